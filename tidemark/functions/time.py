@@ -56,12 +56,12 @@ def iso_wall_date(text: Column) -> Column:
 
 def leading_date(text: Column) -> Column:
     """Date from the first ten characters; null when they are not a date."""
-    return F.try_to_date(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
 def day_month_year(text: Column) -> Column:
     """Lenient ``d MMM yyyy`` (``1``/``01``, any case); null when bad."""
-    return F.try_to_date(F.trim(text), F.lit(DAY_MONTH_YEAR))
+    return F.try_to_date(F.trim(text), DAY_MONTH_YEAR)
 
 
 def rfc822_timestamp(text: Column) -> Column:

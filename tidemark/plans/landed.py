@@ -40,21 +40,23 @@ def bars(events: DataFrame) -> DataFrame:
                  F.round(F.sum("value"), 2).alias("volume"), F.count(F.lit(1)).alias("trades")))
 
 
-def kline_json(b: DataFrame) -> Column:
+def kline_json(b: DataFrame, open_text: Column | None = None) -> Column:
     """Positional kline text: numbers for times/trades, strings for prices."""
     open_ms = F.unix_millis(F.col("open_time"))
     return F.format_string(
         '[%d,"%s","%s","%s","%s","%s",%d,"%s",%d,"%s","%s","0"]',
-        open_ms, _num(F.col("open")), _num(F.col("high")), _num(F.col("low")), _num(F.col("close")),
+        open_ms, open_text if open_text is not None else _num(F.col("open")), _num(F.col("high")), _num(F.col("low")), _num(F.col("close")),
         _num(F.col("volume")), open_ms + F.lit(MS_PER_HOUR - 1), _num(F.col("volume") * 2), F.col("trades"),
         _num(F.col("volume") / 2), _num(F.col("volume") / 4))
 
 
-def kline_pages(events: DataFrame) -> DataFrame:
-    """One JSON page per (event type, day) with that day's hourly klines in time order."""
+def kline_pages(events: DataFrame, open_text=None) -> DataFrame:
+    """One JSON page per (event type, day) with that day's hourly klines in time order.
+    ``open_text(bars) -> Column`` may replace the open field (malformed-payload tests)."""
     b = bars(events)
+    k = kline_json(b, open_text(b) if open_text is not None else None)
     return (b.select("event_type", F.to_date("open_time").alias("day"),
-                     F.struct(F.col("open_time"), kline_json(b).alias("k")).alias("kl"))
+                     F.struct(F.col("open_time"), k.alias("k")).alias("kl"))
             .groupBy("event_type", "day")
             .agg(F.array_sort(F.collect_list("kl")).alias("kls"))
             .select(F.col("event_type").alias("instrument"), "day",

@@ -50,3 +50,274 @@ def closed_bar_filter(spark: SparkSession, sf_dir: str):
     start = AS_OF.replace(day=10, hour=0, minute=0)
     out = closed_bars(rows, window_start=start, window_end=AS_OF + timedelta(days=3), as_of=AS_OF)
     return finish(out)
+
+
+# ---- P11 strict policy: bad rows ------------------------------------------------------
+
+@register("strict_bad_rows", f"""
+SELECT instrument, open_time, number_of_trades FROM ({BARS_SQL}) b
+WHERE instrument = 'error' AND number_of_trades >= 4
+""")
+def strict_bad_rows(spark: SparkSession, sf_dir: str):
+    """Klines whose open field is not a number: the rows a strict job aborts on."""
+    def inject(b):
+        return F.when((F.col("event_type") == "error") & (F.col("trades") >= 4), F.lit("not_a_number")) \
+            .otherwise(F.col("open").cast("string"))
+    pages = landed.kline_pages(load(spark, sf_dir, "events"), open_text=inject)
+    rows = normalize.candles(pages)
+    return finish(rows.filter(F.col("_bad")).select("instrument", "open_time", "number_of_trades"))
+
+
+# ---- S3 JSON object pages under a path --------------------------------------------------
+
+def _event_item(*fields: str):
+    return F.to_json(F.struct(*[F.col(f) for f in fields]))
+
+
+@register("json_pages_explode", """
+SELECT event_id, event_type, value, page_no FROM (
+  SELECT event_id, event_type, value, CAST(floor(event_id / 50) AS BIGINT) AS page_no FROM events)
+WHERE event_type <> 'error'
+""")
+def json_pages_explode(spark: SparkSession, sf_dir: str):
+    """``{"result": {"data": [...]}}`` pages; pages of one type land under another key
+    (missing path = no rows, not an error)."""
+    events = load(spark, sf_dir, "events")
+    item = _event_item("event_id", "event_type", "value")
+    pages = landed.event_pages(events, item, prefix='{"result": {"data": [', suffix="]}}")
+    key = F.when(F.col("event_type") == "error", F.lit('{"results"')).otherwise(F.lit('{"result"'))
+    pages = pages.withColumn("payload", F.concat(key, F.expr("substring(payload, 10)")))
+    schema = "struct<result:struct<data:array<struct<event_id:bigint,event_type:string,value:double>>>>"
+    from tidemark.sources.json_pages import payload_rows
+    rows = payload_rows(pages, "payload", schema, ("result", "data"), keep=("page_no",))
+    return rows.select("item.event_id", "item.event_type", "item.value", F.col("page_no").cast("long"))
+
+
+# ---- S9 page union: overlapping pages, overlap removed by identity ----------------------
+
+@register("page_union", "SELECT event_id, event_type, value, ts FROM events")
+def page_union(spark: SparkSession, sf_dir: str):
+    """Two overlapping page sets (offset pages and half-page-shifted cursor pages)
+    read as one dataset; overlap removed on the identity, first page wins."""
+    from tidemark.operators.dedup import first_wins
+    from tidemark.sources.json_pages import payload_rows
+    events = load(spark, sf_dir, "events").withColumn("us", F.unix_micros(landed.utc("ts")))
+    item = _event_item("event_id", "event_type", "value", "us")
+    a = landed.event_pages(events, item, by=()).withColumn("page_set", F.lit(0))
+    shifted = events.withColumn("shift", F.col("event_id") + F.lit(landed.PAGE_ITEMS // 2))
+    b = landed.event_pages(shifted, item, by=(), order="shift").withColumn("page_set", F.lit(1))
+    schema = "array<struct<event_id:bigint,event_type:string,value:double,us:bigint>>"
+    rows = payload_rows(a.unionByName(b), "payload", schema, keep=("page_set", "page_no"))
+    flat = rows.select("item.*", "page_set", "page_no", "pos")
+    dedup = first_wins(flat, "event_id", ["page_set", "page_no", "pos"])
+    return finish(dedup.select("event_id", "event_type", "value", F.timestamp_micros("us").alias("ts")))
+
+
+# ---- N2 funding rates -------------------------------------------------------------------
+
+@register("funding_normalize", """
+SELECT event_type AS instrument, 'USDT' AS counterpart, date_trunc('millisecond', ts) AS funding_time,
+       (value - 100) / 1000 AS funding_rate,
+       CASE WHEN event_type IN ('view', 'click') THEN NULL ELSE value * 100 END AS mark_price
+FROM events
+""")
+def funding_normalize(spark: SparkSession, sf_dir: str):
+    events = load(spark, sf_dir, "events")
+    mark = (F.when(F.col("event_type") == "view", F.lit(""))
+            .when(F.col("event_type") == "click", F.lit(None).cast("string"))
+            .otherwise((F.col("value") * 100).cast("string")))
+    item = F.to_json(F.struct(F.lit("BTCUSDT").alias("symbol"), F.unix_millis(landed.utc("ts")).alias("fundingTime"),
+                              ((F.col("value") - 100) / 1000).cast("string").alias("fundingRate"),
+                              mark.alias("markPrice")))
+    pages = landed.event_pages(events, item)
+    rows = normalize.funding_rates(pages, instrument=F.col("event_type"))
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- N4 long/short ratio ----------------------------------------------------------------------
+
+@register("long_short_normalize", """
+SELECT event_type AS instrument, 'USDT' AS counterpart, CAST(ts AS DATE) AS date,
+       value / 10 AS long_short_ratio, value / (value + 1) AS long_account_pct,
+       1 / (value + 1) AS short_account_pct, TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM events
+""")
+def long_short_normalize(spark: SparkSession, sf_dir: str):
+    events = load(spark, sf_dir, "events")
+    v = F.col("value")
+    item = F.to_json(F.struct(F.unix_millis(landed.utc("ts")).cast("string").alias("timestamp"),
+                              (v / 10).cast("string").alias("longShortRatio"),
+                              (v / (v + 1)).cast("string").alias("longAccount"),
+                              (F.lit(1.0) / (v + 1)).cast("string").alias("shortAccount")))
+    rows = normalize.long_short(landed.event_pages(events, item), instrument=F.col("event_type"),
+                                source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- N7 exchange flows --------------------------------------------------------------------------
+
+@register("exchange_flow_normalize", """
+SELECT CAST(ts AS DATE) AS date, event_type AS asset, 'binance' AS exchange,
+       value * 1000 AS reserve, value * 40000 AS reserve_usd, value AS inflow,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value / 2 END AS outflow, value / 2 AS netflow,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM events
+""")
+def exchange_flow_normalize(spark: SparkSession, sf_dir: str):
+    """ISO dates with a +05:00 offset: the stored date is the wall date (not converted)."""
+    events = load(spark, sf_dir, "events")
+    v = F.col("value")
+    wall = F.concat(F.date_format(landed.utc("ts"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00"))
+    item = F.to_json(F.struct(wall.alias("date"), (v * 1000).cast("string").alias("reserve"),
+                              (v * 40000).cast("string").alias("reserve_usd"), v.cast("string").alias("inflow"),
+                              F.when(F.col("event_type") != "error", (v / 2).cast("string")).alias("outflow"),
+                              (v / 2).cast("string").alias("netflow")))
+    pages = landed.event_pages(events, item, prefix='{"result": {"data": [', suffix="]}}")
+    rows = normalize.exchange_flows(pages, asset=F.col("event_type"), exchange=F.lit("binance"),
+                                    source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- N5 COT positioning ---------------------------------------------------------------------------
+
+COT_MARKET_SQL = """CASE o_orderstatus WHEN 'F' THEN 'BITCOIN - CHICAGO MERCANTILE EXCHANGE'
+  WHEN 'O' THEN 'BITCOIN MICRO - CHICAGO MERCANTILE EXCHANGE' ELSE 'ETHER - CHICAGO MERCANTILE EXCHANGE' END"""
+
+
+@register("cot_normalize", f"""
+SELECT CAST(o_orderdate AS DATE) AS report_date, o_orderkey AS open_interest, o_custkey AS dealer_long,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(floor(o_totalprice) AS BIGINT) END AS dealer_short,
+       CAST(trunc(o_totalprice) AS BIGINT) AS asset_mgr_long, CAST(NULL AS BIGINT) AS asset_mgr_short,
+       CAST(trunc(-o_totalprice) AS BIGINT) AS lev_money_long, o_custkey * 2 AS lev_money_short,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM orders
+WHERE ({COT_MARKET_SQL}) LIKE 'BITCOIN -%' AND o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
+""")
+def cot_normalize(spark: SparkSession, sf_dir: str):
+    """Prefix market filter + since bound; integers through floats (``"6000.0"``)."""
+    from datetime import date
+    orders = load(spark, sf_dir, "orders")
+    market = (F.when(F.col("o_orderstatus") == "F", F.lit("BITCOIN - CHICAGO MERCANTILE EXCHANGE"))
+              .when(F.col("o_orderstatus") == "O", F.lit("BITCOIN MICRO - CHICAGO MERCANTILE EXCHANGE"))
+              .otherwise(F.lit("ETHER - CHICAGO MERCANTILE EXCHANGE")))
+    item = F.to_json(F.struct(
+        market.alias("market_and_exchange_names"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00.000")).alias("report_date_as_yyyy_mm_dd"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("open_interest_all"),
+        F.col("o_custkey").cast("string").alias("dealer_positions_long_all"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(
+            F.floor("o_totalprice").cast("string")).alias("dealer_positions_short_all"),
+        F.col("o_totalprice").cast("string").alias("asset_mgr_positions_long"),
+        (-F.col("o_totalprice")).cast("string").alias("lev_money_positions_long"),
+        (F.col("o_custkey") * 2).cast("string").alias("lev_money_positions_short")))
+    pages = landed.event_pages(orders, item, by=(), order="o_orderkey")
+    rows = normalize.cot_positioning(pages, since=date(1998, 1, 1), market_prefix="BITCOIN -",
+                                     source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- N13 on-chain metrics -------------------------------------------------------------------------
+
+@register("onchain_normalize", """
+SELECT upper(event_type) AS instrument, 'USD' AS counterpart, CAST(ts AS DATE) AS date,
+       value * 1000000000 AS market_cap_usd, value / 100 AS mvrv, 19700000 + value AS supply,
+       CAST(floor(value * 1000) AS BIGINT) AS active_addresses,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value * 1e15 END AS hash_rate,
+       CAST(NULL AS DOUBLE) AS sopr, value * 100 AS realized_price_usd,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM events
+""")
+def onchain_normalize(spark: SparkSession, sf_dir: str):
+    """ISO times with a -05:00 offset are converted to UTC before taking the date."""
+    events = load(spark, sf_dir, "events")
+    v = F.col("value")
+    local = F.concat(F.date_format(landed.utc("ts") - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                     F.lit("-05:00"))
+    item = F.to_json(F.struct(
+        local.alias("time"), F.lit("btc").alias("asset"),
+        (v * 1e9).cast("string").alias("CapMrktCurUSD"), (v / 100).cast("string").alias("CapMVRVCur"),
+        (F.lit(19700000.0) + v).cast("string").alias("SplyCur"),
+        F.concat(F.floor(v * 1000).cast("string"), F.lit(".0")).alias("AdrActCnt"),
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise((v * 1e15).cast("string")).alias("HashRate"),
+        (v * 100).cast("string").alias("PriceRealizedUSD")))
+    pages = landed.event_pages(events, item, prefix='{"data": [', suffix="]}")
+    rows = normalize.onchain_metrics(pages, instrument=F.upper(F.col("event_type")), counterpart=F.lit("USD"),
+                                     source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- N15 sentiment -------------------------------------------------------------------------------------
+
+@register("sentiment_normalize", """
+SELECT CAST(ts AS DATE) AS date, CAST(floor(value / 4) AS BIGINT) AS fear_greed_value,
+       CASE WHEN event_type = 'view' THEN NULL WHEN value > 50 THEN 'Greed' ELSE 'Fear' END AS fear_greed_label,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM events
+""")
+def sentiment_normalize(spark: SparkSession, sf_dir: str):
+    events = load(spark, sf_dir, "events")
+    v = F.col("value")
+    label = F.when(F.col("event_type") == "view", F.lit(None).cast("string")) \
+        .when(v > 50, F.lit("Greed")).otherwise(F.lit("Fear"))
+    item = F.to_json(F.struct(F.unix_seconds(landed.utc("ts")).cast("string").alias("timestamp"),
+                              F.floor(v / 4).cast("string").alias("value"),
+                              label.alias("value_classification")))
+    pages = landed.event_pages(events, item, prefix='{"data": [', suffix="]}")
+    rows = normalize.sentiment(pages, source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+
+
+# ---- F12-F15 sentinel numbers ----------------------------------------------------------------------------
+
+@register("sentinel_numbers", """
+SELECT event_id,
+       CASE WHEN event_type IN ('error', 'view', 'click') THEN NULL ELSE value END AS as_optional,
+       CASE WHEN event_type IN ('error', 'view', 'click') THEN NULL ELSE value END AS as_macro,
+       CASE WHEN event_type IN ('error', 'view', 'click') THEN NULL ELSE CAST(trunc(value * 10) AS BIGINT) END AS as_int,
+       event_type IN ('error', 'view') AS strict_bad
+FROM events
+""")
+def sentinel_numbers(spark: SparkSession, sf_dir: str):
+    """Sentinels injected by event type: ``""`` (error), ``"."`` (view), missing (click)."""
+    from tidemark.functions import numbers as N
+    events = load(spark, sf_dir, "events")
+    text = (F.when(F.col("event_type") == "error", F.lit(""))
+            .when(F.col("event_type") == "view", F.lit("."))
+            .when(F.col("event_type") == "click", F.lit(None).cast("string"))
+            .otherwise(F.col("value").cast("string")))
+    int_text = F.when(text.isNull() | text.isin("", "."), text).otherwise((F.col("value") * 10).cast("string"))
+    strict = N.optional_double_strict_empty(text)
+    return events.select(
+        "event_id",
+        N.optional_double(text).alias("as_optional"),
+        N.macro_value(text).alias("as_macro"),
+        N.int_via_double(int_text).alias("as_int"),
+        (text.isNotNull() & strict.isNull()).alias("strict_bad"))
+
+
+# ---- N6 HTML tables --------------------------------------------------------------------------------------
+
+@register("html_table_extract", """
+SELECT CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) * 1000000.0 AS net_flow_usd,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+FROM orders GROUP BY 1 HAVING count(*) > 1
+""")
+def html_table_extract(spark: SparkSession, sf_dir: str):
+    """One page per month: a nav table, then Date/GBTC/Total with a trailing
+    sentinel row; single-order days publish ``-`` (skipped)."""
+    orders = load(spark, sf_dir, "orders")
+    daily = (orders.groupBy(F.to_date("o_orderdate").alias("d"))
+             .agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count(F.lit(1)).alias("n")))
+    total_text = F.when(F.col("n") > 1, F.format_number("total", 2)).otherwise(F.lit("-"))
+    row = F.format_string("<tr><td> %s </td><td>%s</td><td>%s</td></tr>",
+                          F.date_format("d", "dd MMM yyyy"), F.col("n").cast("string"), total_text)
+    pages = (daily.select(F.date_format("d", "yyyy-MM").alias("month"), F.struct("d", row.alias("r")).alias("x"))
+             .groupBy("month").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+             .select("month", F.concat(
+                 F.lit("<html><body><table class='nav'><tr><td>Home</td><td>Flows</td></tr></table>"
+                       "<table><thead><tr><th>Date</th><th>GBTC</th><th>Total</th></tr></thead><tbody>"),
+                 F.array_join(F.transform("xs", lambda x: x["r"]), ""),
+                 F.lit("<tr><td>Total</td><td>-</td><td>1,000.00</td></tr></tbody></table></body></html>"))
+                 .alias("html")))
+    rows = normalize.etf_flows(pages, keep=("month",), source_updated_at=SOURCE_UPDATED_AT)
+    return finish(rows.select("date", "net_flow_usd", "source_updated_at"))
