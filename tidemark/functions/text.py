@@ -33,8 +33,13 @@ def symbol(instrument: Column, counterpart: Column) -> Column:
     return F.concat(instrument, counterpart)
 
 
+def strip_ws(c: Column) -> Column:
+    """Remove leading/trailing whitespace of any kind (not only spaces)."""
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
 def trimmed_or_empty(c: Column) -> Column:
-    return F.trim(F.coalesce(c, F.lit("")))
+    return strip_ws(F.coalesce(c, F.lit("")))
 
 
 def _java_quote(s: str) -> str:

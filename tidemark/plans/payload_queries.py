@@ -321,3 +321,121 @@ def html_table_extract(spark: SparkSession, sf_dir: str):
                  .alias("html")))
     rows = normalize.etf_flows(pages, keep=("month",), source_updated_at=SOURCE_UPDATED_AT)
     return finish(rows.select("date", "net_flow_usd", "source_updated_at"))
+
+
+# ---- S6-S8 feeds, F10 RFC-822 dates, F17 content hash -------------------------------------------------
+
+def _rss_item(e):
+    desc = F.when(F.col("event_type") == "error", F.lit("")).otherwise(
+        F.concat(F.lit("<description>"), F.col("props"), F.lit("</description>")))
+    link = F.when(F.col("value") < 5, F.lit("")).otherwise(_news_url())
+    return F.concat(F.lit("<item><title>  "), F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"),
+                    F.lit("  </title><link>"), link, F.lit("</link>"), desc, F.lit("<pubDate>"),
+                    F.date_format(landed.utc("ts"), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item>"))
+
+
+def _news_url():
+    return F.concat(F.lit("https://"), F.col("event_type"), F.lit(".example.com/e/"),
+                    F.col("event_id").cast("string"), F.lit("?u="), F.col("user_id").cast("string"))
+
+
+def _atom_entry(e):
+    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    ts = landed.utc("ts")
+    link = F.when(F.col("value") < 5, F.lit("")).otherwise(
+        F.concat(F.lit('<link rel="alternate" href="'), _news_url(), F.lit('"/>')))
+    published = F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.date_format(ts, iso))
+    return F.concat(F.lit("<entry><title>"), F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"),
+                    F.lit("</title>"), link, F.lit("<published>"), published, F.lit("</published><updated>"),
+                    F.date_format(ts + F.expr("INTERVAL 1 HOUR"), iso), F.lit("</updated><summary>"),
+                    F.col("props"), F.lit("</summary></entry>"))
+
+
+RSS_HEAD = '<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>events</title>'
+RSS_TAIL = "</channel></rss>"
+ATOM_HEAD = '<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>events</title>'
+ATOM_TAIL = "</feed>"
+NEWS_COLUMNS = ["url", "title", "summary", "source_domain", "published_at", "content_hash"]
+
+NEWS_SQL = """
+SELECT url, title, summary, source_domain, published_at,
+       sha256(url || chr(10) || title || chr(10) || coalesce(summary, '')) AS content_hash
+FROM (SELECT 'https://' || event_type || '.example.com/e/' || event_id || '?u=' || user_id AS url,
+             event_type || ' ' || event_id AS title, {summary} AS summary,
+             event_type || '.example.com' AS source_domain, {published} AS published_at, event_type
+      FROM events WHERE value >= 5 {where})
+"""
+
+
+def _rss_pages(events):
+    return landed.event_pages(events, _rss_item(events), sep="", prefix=RSS_HEAD, suffix=RSS_TAIL)
+
+
+def _atom_pages(events):
+    return landed.event_pages(events, _atom_entry(events), sep="", prefix=ATOM_HEAD, suffix=ATOM_TAIL)
+
+
+@register("rss_normalize", NEWS_SQL.format(
+    summary="CASE WHEN event_type = 'error' THEN NULL ELSE props END",
+    published="date_trunc('second', ts)", where=""))
+def rss_normalize(spark: SparkSession, sf_dir: str):
+    pages = _rss_pages(load(spark, sf_dir, "events"))
+    return finish(normalize.news_items(pages, xml="payload").select(*NEWS_COLUMNS))
+
+
+@register("atom_normalize", NEWS_SQL.format(
+    summary="props",
+    published="CASE WHEN event_type = 'view' THEN date_trunc('second', ts) + INTERVAL 1 HOUR "
+              "ELSE date_trunc('second', ts) END", where=""))
+def atom_normalize(spark: SparkSession, sf_dir: str):
+    pages = _atom_pages(load(spark, sf_dir, "events"))
+    return finish(normalize.news_items(pages, xml="payload").select(*NEWS_COLUMNS))
+
+
+@register("feed_dispatch", NEWS_SQL.format(
+    summary="props",
+    published="CASE WHEN event_type = 'view' THEN date_trunc('second', ts) + INTERVAL 1 HOUR "
+              "ELSE date_trunc('second', ts) END",
+    where="AND event_type <> 'error'"))
+def feed_dispatch(spark: SparkSession, sf_dir: str):
+    """Mixed landing: click/view feeds are Atom, the rest RSS; error feeds land
+    truncated (malformed -> no items, no exception)."""
+    events = load(spark, sf_dir, "events")
+    atom_types = ["click", "view"]
+    atom = _atom_pages(events.filter(F.col("event_type").isin(atom_types)))
+    rss_events = events.filter(~F.col("event_type").isin(atom_types))
+    rss = landed.event_pages(rss_events, _atom_free_rss_item(), sep="", prefix=RSS_HEAD, suffix=RSS_TAIL)
+    rss = rss.withColumn("payload", F.when(F.col("event_type") == "error",
+                                           F.expr("substring(payload, 1, length(payload) - 20)"))
+                         .otherwise(F.col("payload")))
+    pages = atom.unionByName(rss)
+    return finish(normalize.news_items(pages, xml="payload").select(*NEWS_COLUMNS))
+
+
+def _atom_free_rss_item():
+    """RSS items carrying the same fields as the Atom entries (description always present)."""
+    link = F.when(F.col("value") < 5, F.lit("")).otherwise(_news_url())
+    return F.concat(F.lit("<item><title>"), F.col("event_type"), F.lit(" "), F.col("event_id").cast("string"),
+                    F.lit("</title><link>"), link, F.lit("</link><description>"), F.col("props"),
+                    F.lit("</description><pubDate>"), F.date_format(landed.utc("ts"), "EEE, dd MMM yyyy HH:mm:ss"),
+                    F.lit(" GMT</pubDate></item>"))
+
+
+@register("rfc822_parse", """
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS published_at
+FROM events
+""")
+def rfc822_parse(spark: SparkSession, sf_dir: str):
+    """RFC-822 with/without weekday, numeric offsets and zone names, ISO fallback, garbage -> null."""
+    from tidemark.functions.time import rfc822_timestamp
+    events = load(spark, sf_dir, "events")
+    ts = landed.utc("ts")
+    text = (F.when(F.col("event_type") == "click",
+                   F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+            .when(F.col("event_type") == "view", F.concat(F.date_format(ts, "dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
+            .when(F.col("event_type") == "purchase",
+                  F.concat(F.date_format(ts - F.expr("INTERVAL 5 HOURS"), "EEE, d MMM yyyy HH:mm:ss"),
+                           F.lit(" -0500")))
+            .when(F.col("event_type") == "signup", F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+            .otherwise(F.lit("not a date")))
+    return finish(events.select("event_id", rfc822_timestamp(text).alias("published_at")))

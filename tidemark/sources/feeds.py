@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import url_netloc
+from tidemark.functions.text import trimmed_or_empty, url_netloc
 from tidemark.functions.time import rfc822_timestamp
 
 # The Atom namespace and the declared payload schemas.
@@ -20,6 +20,8 @@ RSS_SCHEMA = f"channel struct<item:array<{RSS_ITEM}>>, item array<{RSS_ITEM}>"
 ATOM_SCHEMA = ("entry array<struct<title:string,link:array<struct<_href:string>>,"
                "published:string,updated:string,summary:string>>")
 _ROOT_TAG = r"<([A-Za-z_][^\s>/]*)[^>]*>"
+# keep element text as landed (summaries are stored raw); titles/links are trimmed explicitly
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 
 
 def root_tag(xml: Column) -> Column:
@@ -38,15 +40,15 @@ def _items(df: DataFrame, keep: tuple[str, ...], node: Column) -> DataFrame:
 
 def rss_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Items of RSS feeds (under ``channel`` or the root); items without a link are dropped."""
-    parsed = F.from_xml(F.col(xml), RSS_SCHEMA)
+    parsed = F.from_xml(F.col(xml), RSS_SCHEMA, XML_OPTIONS)
     node = F.concat(F.coalesce(parsed.getField("channel").getField("item"), F.array()),
                     F.coalesce(parsed.getField("item"), F.array()))
     items = _items(df, keep, node)
-    url = F.trim(F.coalesce(F.col("it.link"), F.lit("")))
+    url = trimmed_or_empty(F.col("it.link"))
     return items.select(
         *keep, "item_pos",
         url.alias("url"),
-        F.trim(F.coalesce(F.col("it.title"), F.lit(""))).alias("title"),
+        trimmed_or_empty(F.col("it.title")).alias("title"),
         F.col("it.description").alias("summary"),
         url_netloc(url).alias("source_domain"),
         rfc822_timestamp(F.col("it.pubDate")).alias("published_at"),
@@ -55,14 +57,14 @@ def rss_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def atom_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Direct ``entry`` children; first ``link@href``; ``published`` else ``updated``."""
-    parsed = F.from_xml(F.col(xml), ATOM_SCHEMA)
+    parsed = F.from_xml(F.col(xml), ATOM_SCHEMA, XML_OPTIONS)
     items = _items(df, keep, parsed.getField("entry"))
     url = F.coalesce(F.get(F.col("it.link"), 0).getField("_href"), F.lit(""))
     published = F.coalesce(F.nullif(F.col("it.published"), F.lit("")), F.col("it.updated"))
     return items.select(
         *keep, "item_pos",
         url.alias("url"),
-        F.trim(F.coalesce(F.col("it.title"), F.lit(""))).alias("title"),
+        trimmed_or_empty(F.col("it.title")).alias("title"),
         F.col("it.summary").alias("summary"),
         url_netloc(url).alias("source_domain"),
         rfc822_timestamp(published).alias("published_at"),

@@ -60,11 +60,21 @@ def with_partition_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
-def sorted_for_write(df: DataFrame, spec: TableSpec) -> DataFrame:
+def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) -> DataFrame:
     """Cluster rows for the writer: partition columns first, then the sort order
-    (ASC NULLS FIRST).  A per-task sort: no extra shuffle."""
+    (ASC NULLS FIRST).
+
+    ``repartitionByRange`` over (partition columns, sort columns) gives each task a
+    contiguous key range: a partition value lands in one or a few tasks (few
+    files per directory), and a hot partition value holding a third of the rows
+    is still split across many tasks by the sort columns.  Then a per-task sort
+    lays rows out in table order."""
     order = [F.asc_nulls_first(c) for c in spec.partition_columns] + [s.expr() for s in spec.sort]
-    return df.sortWithinPartitions(*order) if order else df
+    if not order:
+        return df
+    if cluster:
+        df = df.repartitionByRange(*order)
+    return df.sortWithinPartitions(*order)
 
 
 def broadcast_threshold(spark: SparkSession) -> int:
@@ -78,6 +88,23 @@ def broadcast_threshold(spark: SparkSession) -> int:
     return max(value, 0)
 
 
+def _observed_count(obs: Observation) -> int:
+    """Row count observed during a write.  A write whose input Catalyst proved
+    empty is optimized away and never reports metrics: that is zero rows."""
+    try:
+        return int(obs.get.get("n", 0) or 0)
+    except Exception:  # noqa: BLE001 - no metrics: the plan had no rows to observe
+        return 0
+
+
+# Fixed-width estimates per stored type (bytes); strings are taken at 32 bytes.
+_TYPE_BYTES = {"bigint": 8, "double": 8, "timestamp": 8, "date": 4, "int": 4, "boolean": 1, "string": 32}
+
+
+def row_size_estimate(schema) -> int:
+    return max(sum(_TYPE_BYTES.get(f.dataType.simpleString(), 16) for f in schema.fields), 1)
+
+
 class TableStore:
     """``create_all / read / append / upsert`` over tables named ``namespace.name``."""
 
@@ -161,8 +188,7 @@ class TableStore:
         if self.stored_layout(table) is None:
             self._write_layout(table)
         self._write(rows, spec, self.path(table), "append")
-        n = int(obs.get.get("n", 0) or 0)
-        return WriteResult(n, 0, round(time.perf_counter() - started, 3))
+        return WriteResult(_observed_count(obs), 0, round(time.perf_counter() - started, 3))
 
     def batch_stats(self, frame: DataFrame, spec: TableSpec) -> dict:
         """One job: batch rows, duplicate identity keys, null identity keys, touched partitions."""
@@ -191,7 +217,7 @@ class TableStore:
         }
 
     def _maybe_broadcast(self, df: DataFrame, n_rows: int, spec: TableSpec) -> DataFrame:
-        est = n_rows * max(spec.schema.defaultSize(), 1)
+        est = n_rows * row_size_estimate(spec.schema)
         return F.broadcast(df) if est <= broadcast_threshold(self.spark) else df
 
     def upsert(self, table: str, frame: DataFrame) -> WriteResult:
@@ -271,7 +297,7 @@ class TableStore:
         rows = with_partition_columns(data, new_spec).observe(obs, F.count(F.lit(1)).alias("n"))
         staging = sess.scratch_path(self.spark, f"relayout-{spec.name}")
         self._write(rows, new_spec, staging, "overwrite")
-        n = int(obs.get.get("n", 0) or 0)
+        n = _observed_count(obs)
         staged = self.spark.read.schema(new_spec.storage_schema).parquet(staging)
         self._write(staged, new_spec, self.path(table), "overwrite", "static")
         self.specs[new_spec.identifier] = new_spec
