@@ -6,7 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import payload_queries, quality_queries, relational_queries, store_queries  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    payload_queries,
+    quality_queries,
+    relational_queries,
+    store_queries,
+    stream_queries,
+)
 from tidemark.plans.registry import AS_OF, ORACLES, QUERIES, finish
 from tidemark.session import apply_session_settings, scratch_path
 from tidemark.store import TableStore
