@@ -14,9 +14,10 @@ Upsert (no row-level MERGE on plain Parquet):
    (null-safe ``<=>`` over every non-key column); inserted = batch - matched;
 4. merged = target ``left_anti`` batch keys, ``unionByName`` batch;
 5. merged rows go to a staging folder under the shared checkpoint root, then
-   replace exactly the touched partitions (dynamic partition overwrite).  A
-   crash between 5a and 5b leaves staging complete; rerunning the upsert is
-   idempotent because the identity decides every row.
+   the staged partition directories replace exactly the touched partitions
+   (directory moves, no second copy of the data).  A crash between 5a and 5b
+   leaves staging complete; rerunning the upsert is idempotent because the
+   identity decides every row.
 
 The batch side is broadcast only when its size estimate (row count from step 1
 times the schema's default row size) is below the broadcast threshold; beyond
@@ -270,13 +271,52 @@ class TableStore:
             merged = target.join(src_keys, keys, "left_anti").unionByName(src_p.select(*target.columns))
             staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
             self._write(merged, spec, staging, "overwrite")
-            staged = self.spark.read.schema(spec.storage_schema).parquet(staging)
-            self._write(staged, spec, self.path(table), "overwrite", "dynamic")
-            sess.delete_path(self.spark, staging)
+            self._commit_staging(staging, self.path(table), len(spec.partition))
             return WriteResult(inserted, updated, round(time.perf_counter() - started, 3))
         finally:
             src.unpersist()
 
+    def _commit_staging(self, staging: str, table_path: str, depth: int) -> None:
+        """Replace the table's touched partitions (or, unpartitioned, its data files)
+        by the staged ones, moving directories instead of copying data.
+
+        Staging is complete before the first move, and each partition is moved
+        whole, so a crash mid-commit is repaired by rerunning the commit (the
+        remaining staged partitions are still there) or the whole idempotent upsert."""
+        fs, stage = sess.hadoop_fs(self.spark, staging)
+        jvm = self.spark.sparkContext._jvm
+        Path = jvm.org.apache.hadoop.fs.Path
+        table = Path(table_path)
+
+        def data_entries(path, level):
+            for st in fs.listStatus(path):
+                name = st.getPath().getName()
+                if name.startswith(("_", ".")):
+                    continue
+                if level < depth and st.isDirectory():
+                    yield from data_entries(st.getPath(), level + 1)
+                else:
+                    yield st.getPath()
+
+        if depth == 0:
+            for st in fs.listStatus(table):
+                if not st.getPath().getName().startswith(("_", ".")):
+                    fs.delete(st.getPath(), True)
+            for src in data_entries(stage, 0):
+                fs.rename(src, Path(table, src.getName()))
+        else:
+            leaves = {}
+            for src in data_entries(stage, 0):
+                rel = src.getParent().toUri().getPath()[len(stage.toUri().getPath()):].lstrip("/")
+                leaves.setdefault(rel, src.getParent())
+            for rel, src_dir in leaves.items():
+                dst = Path(table, rel)
+                if fs.exists(dst):
+                    fs.delete(dst, True)
+                fs.mkdirs(dst.getParent())
+                fs.rename(src_dir, dst)
+        fs.delete(stage, True)
+
     def relayout(self, table: str, partition: Sequence[str] | None = None,
                  sort: Sequence[str] | None = None) -> int:
         """Rewrite a table under a new partition/sort layout; returns rows written."""
@@ -298,9 +338,8 @@ class TableStore:
         staging = sess.scratch_path(self.spark, f"relayout-{spec.name}")
         self._write(rows, new_spec, staging, "overwrite")
         n = _observed_count(obs)
-        staged = self.spark.read.schema(new_spec.storage_schema).parquet(staging)
-        self._write(staged, new_spec, self.path(table), "overwrite", "static")
+        # full replace: every top-level data entry of the table swapped for the staged ones
+        self._commit_staging(staging, self.path(table), 0)
         self.specs[new_spec.identifier] = new_spec
         self._write_layout(table)
-        sess.delete_path(self.spark, staging)
         return n
