@@ -273,3 +273,121 @@ def put_call(book: DataFrame, *, name: str = "instrument_name", oi: str = "open_
     return agg.select(*keys, F.nullif(F.col("put_oi"), F.lit(0.0)).alias("put_oi"),
                       F.nullif(F.col("call_oi"), F.lit(0.0)).alias("call_oi"),
                       N.guarded_ratio(F.col("put_oi"), F.col("call_oi")).alias("put_call_ratio"))
+
+
+# ---- N3 futures metrics: latest point of three sources per day, full assembly ------------
+
+OPEN_INTEREST_SCHEMA = "array<struct<symbol:string,timestamp:bigint,sumOpenInterest:string>>"
+BASIS_SCHEMA = "array<struct<pair:string,timestamp:bigint,basis:string,basisRate:string>>"
+PREMIUM_SCHEMA = "array<array<string>>"
+
+
+def _latest_per_page(pages: DataFrame, schema: str, value: Column, name: str, key: str = "date") -> DataFrame:
+    """Last element of each page (payload order), one value per ``key``; several
+    pages for one key: the last page wins."""
+    parsed = pages.select(key, F.col("page_no") if "page_no" in pages.columns else F.lit(0).alias("page_no"),
+                          F.try_element_at(F.from_json(F.col("payload"), schema), F.lit(-1)).alias("item"))
+    parsed = parsed.filter(F.col("item").isNotNull())
+    return (parsed.groupBy(key).agg(F.max_by(F.struct(F.col("item").alias("item")), F.col("page_no")).alias("_l"))
+            .select(key, F.col("_l.item").alias("item")).select(key, value.alias(name)))
+
+
+def futures_metrics(open_interest: DataFrame, basis: DataFrame, premium: DataFrame, *,
+                    instrument: str = "BTC", counterpart: str = "USDT") -> DataFrame:
+    """Per day: latest open interest, basis and premium-index close; any source may be
+    missing, all missing = no row.  Inputs: (date, payload[, page_no]) pages."""
+    from tidemark.operators.joins import full_assembly
+    oi = _latest_per_page(open_interest, OPEN_INTEREST_SCHEMA,
+                          try_cast(F.col("item.sumOpenInterest"), "double"), "open_interest")
+    bs = _latest_per_page(basis, BASIS_SCHEMA, N.optional_double(F.col("item.basis")), "basis")
+    pm = _latest_per_page(premium, PREMIUM_SCHEMA, try_cast(element(F.col("item"), 4), "double"), "premium_index")
+    out = full_assembly([oi, bs, pm], "date")
+    return out.select(F.lit(instrument).alias("instrument"), F.lit(counterpart).alias("counterpart"), "date",
+                      "open_interest", "basis", "premium_index")
+
+
+# ---- N10 market dominance: exact-ms ratio, last per day, history else snapshot -------------
+
+ASSET_CAPS_SCHEMA = "struct<market_caps:array<array<double>>>"
+TOTAL_CAPS_SCHEMA = "struct<market_cap_chart:struct<market_cap:array<array<double>>>>"
+
+
+def dominance_history(asset_pages: DataFrame, total_pages: DataFrame) -> DataFrame:
+    """(ts, date, btc_dominance_pct): asset cap / total cap * 100 on exactly equal
+    epoch-ms keys, total > 0; the last total point wins on a repeated key."""
+    from tidemark.operators.joins import dedupe_last, ratio_join
+    a = payload_rows(asset_pages, "payload", ASSET_CAPS_SCHEMA, ("market_caps",))
+    a = a.select(element(F.col("item"), 0).cast("long").alias("ms"), element(F.col("item"), 1).alias("cap"))
+    t = payload_rows(total_pages, "payload", TOTAL_CAPS_SCHEMA, ("market_cap_chart", "market_cap"))
+    t = t.select(element(F.col("item"), 0).cast("long").alias("ms"), element(F.col("item"), 1).alias("total"), "pos")
+    total = dedupe_last(t, "ms", "total", "pos")
+    ratio = ratio_join(a, total, "ms", "cap", "total", out="btc_dominance_pct")
+    ts = TM.ms_to_timestamp(F.col("ms"))
+    return ratio.select(ts.alias("ts"), F.to_date(ts).alias("date"), "btc_dominance_pct")
+
+
+def market_metric_rows(history: DataFrame, requested: DataFrame, snapshot_pct: Column,
+                       snapshot_at: datetime) -> DataFrame:
+    """Per requested date: the day's last historical value stamped midnight UTC,
+    else the snapshot stamped with its time.  ``requested`` has a ``date`` column
+    (and may carry the snapshot value as a column)."""
+    from tidemark.operators.aggregates import last_value_per_day
+    from tidemark.operators.joins import fallback_join
+    daily = last_value_per_day(history.select("ts", "btc_dominance_pct"), "ts", "btc_dominance_pct")
+    return fallback_join(requested, daily, "date", {"btc_dominance_pct": snapshot_pct}, "source_updated_at",
+                         TM.date_to_midnight(F.col("date")), _lit_ts(snapshot_at))
+
+
+# ---- N11 stablecoin supply: two coins combined per day ---------------------------------------
+
+COIN_CAP_SCHEMA = "struct<market_data:struct<market_cap:struct<usd:double>>>"
+
+
+def stablecoin_supply(caps: DataFrame, *, source_updated_at: datetime | None = None) -> DataFrame:
+    """``caps`` (date, coin, payload) for coins ``tether`` / ``usd-coin``; one or both
+    may be missing (null); both missing = no row; total null-safe, zero = null."""
+    parsed = caps.select("date", "coin", F.from_json("payload", COIN_CAP_SCHEMA)
+                         .getField("market_data").getField("market_cap").getField("usd").alias("usd"))
+    wide = parsed.groupBy("date").agg(
+        F.max(F.when(F.col("coin") == "tether", F.col("usd"))).alias("usdt_market_cap_usd"),
+        F.max(F.when(F.col("coin") == "usd-coin", F.col("usd"))).alias("usdc_market_cap_usd"))
+    wide = wide.filter(F.col("usdt_market_cap_usd").isNotNull() | F.col("usdc_market_cap_usd").isNotNull())
+    return wide.select("date", "usdt_market_cap_usd", "usdc_market_cap_usd",
+                       N.null_safe_total(F.col("usdt_market_cap_usd"), F.col("usdc_market_cap_usd"))
+                       .alias("total_stablecoin_market_cap_usd"),
+                       _lit_ts(source_updated_at).alias("source_updated_at"))
+
+
+# ---- N14 blockchain charts ----------------------------------------------------------------------
+
+CHART_SCHEMA = "struct<values:array<struct<x:bigint,y:double>>>"
+
+
+def chart_first_values(requested: DataFrame, pages: DataFrame, *,
+                       source_updated_at: datetime | None = None) -> DataFrame:
+    """Daily form: one row per requested (chart_name, date); the page's first value,
+    or null when the page is missing, empty or unparsable."""
+    first = pages.select("chart_name", "date", F.get(F.from_json("payload", CHART_SCHEMA).getField("values"), 0)
+                         .getField("y").alias("value"))
+    out = requested.join(first, ["chart_name", "date"], "left")
+    return out.select("chart_name", "date", "value", _lit_ts(source_updated_at).alias("source_updated_at"))
+
+
+def chart_range(pages: DataFrame, start: date, end: date, *, source_updated_at: datetime | None = None) -> DataFrame:
+    """Backfill form: every point of each chart, half-open ``[start, end)`` by UTC date."""
+    items = payload_rows(pages, "payload", CHART_SCHEMA, ("values",), keep=("chart_name",))
+    d = TM.seconds_to_date(F.col("item.x"))
+    return (items.select("chart_name", d.alias("date"), F.col("item.y").alias("value"),
+                         _lit_ts(source_updated_at).alias("source_updated_at"))
+            .filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))))
+
+
+# ---- N16 volatility index: last close per day ------------------------------------------------------
+
+def volatility_rows(pages: DataFrame, *, source_updated_at: datetime | None = None) -> DataFrame:
+    """Candles -> (date, dvol): the last candle of a day (payload order across pages) wins."""
+    order_cols = [c for c in ("page_no",) if c in pages.columns]
+    pts = volatility_points(pages, keep=tuple(order_cols))
+    order = F.struct(*[F.col(c) for c in order_cols], F.col("pos")) if order_cols else F.col("pos")
+    daily = pts.groupBy(F.to_date("ts").alias("date")).agg(F.max_by("dvol", order).alias("dvol"))
+    return daily.select("date", "dvol", _lit_ts(source_updated_at).alias("source_updated_at"))

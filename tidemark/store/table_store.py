@@ -174,8 +174,13 @@ class TableStore:
         return self.read_storage(table).select(*cols)
 
     # ---- writes ----------------------------------------------------------
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, overwrite_mode: str = "dynamic") -> None:
-        writer = sorted_for_write(df, spec).write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
+    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, overwrite_mode: str = "dynamic",
+               obs: Observation | None = None) -> None:
+        data = sorted_for_write(df, spec)
+        if obs is not None:
+            # observed above the range exchange: its sampling pass does not count rows
+            data = data.observe(obs, F.count(F.lit(1)).alias("n"))
+        writer = data.write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
         if spec.partition:
             writer = writer.partitionBy(*spec.partition_columns)
         writer.parquet(path)
@@ -185,10 +190,10 @@ class TableStore:
         started = time.perf_counter()
         spec = self.spec(table)
         obs = Observation(f"append_{spec.name}")
-        rows = with_partition_columns(conform(frame, spec.schema), spec).observe(obs, F.count(F.lit(1)).alias("n"))
+        rows = with_partition_columns(conform(frame, spec.schema), spec)
         if self.stored_layout(table) is None:
             self._write_layout(table)
-        self._write(rows, spec, self.path(table), "append")
+        self._write(rows, spec, self.path(table), "append", obs=obs)
         return WriteResult(_observed_count(obs), 0, round(time.perf_counter() - started, 3))
 
     def batch_stats(self, frame: DataFrame, spec: TableSpec) -> dict:
@@ -334,9 +339,9 @@ class TableStore:
         data = (self.spark.read.schema(old_spec.storage_schema).parquet(self.path(table)).select(*spec.columns)
                 if self.has_data(table) else self.spark.createDataFrame([], spec.schema))
         obs = Observation(f"relayout_{spec.name}")
-        rows = with_partition_columns(data, new_spec).observe(obs, F.count(F.lit(1)).alias("n"))
+        rows = with_partition_columns(data, new_spec)
         staging = sess.scratch_path(self.spark, f"relayout-{spec.name}")
-        self._write(rows, new_spec, staging, "overwrite")
+        self._write(rows, new_spec, staging, "overwrite", obs=obs)
         n = _observed_count(obs)
         # full replace: every top-level data entry of the table swapped for the staged ones
         self._commit_staging(staging, self.path(table), 0)
