@@ -14,7 +14,6 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -49,14 +48,24 @@ def run_job(store: TableStore, table: str, rows: DataFrame, checks: Sequence[Che
     batch = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         all_checks = list(checks)
+        data = batch.select(*spec.columns)
         if strict_flag and strict_flag in batch.columns:
-            strict = validate(batch, [_strict_check(strict_flag)]).results[0]
+            # the bad-row test rides in the same aggregate as the table's checks
+            combined = validate(batch, [_strict_check(strict_flag), *all_checks], subject=table)
+            strict, *rest = combined.results
             if not strict.passed:
                 bad = batch.filter(F.col(strict_flag)).limit(1).collect()
                 raise ValueError(f"Invalid payload in {table}: {strict.failed_rows} bad rows, e.g. "
                                  f"{bad[0].asDict() if bad else None!r}")
-        data = batch.select(*spec.columns)
-        report = check_frame(data, all_checks, table=table, logger=logger)
+            frame = (combined.frame.filter(F.col("position") > 0)
+                     .withColumn("position", F.col("position") - 1))
+            report = Report(frame, all_checks, table, source=data, results=tuple(rest))
+            if logger is not None:
+                for r in report.failures:
+                    logger.warning("quality_check_failed table=%s check=%s failed_rows=%s", table, r.name,
+                                   r.failed_rows)
+        else:
+            report = check_frame(data, all_checks, table=table, logger=logger)
         total = report.results[0].total_rows if report.results else 0
         metrics: dict[str, MetricValue] = {"rows": total}
         reports: list[Report] = []
