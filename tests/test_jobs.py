@@ -85,3 +85,40 @@ def test_news_dedup_across_runs(spark, store_root):
     assert run("first") == 1
     assert run("first") == 0
     assert run("edited") == 1
+
+
+def test_run_tables_and_cli_window(spark, store_root):
+    import argparse
+    from datetime import date, timezone
+
+    from tidemark.plans.jobs import add_window_args, run_tables, window
+    from tidemark.tables import VOLATILITY_INDEX
+    store = TableStore(spark, store_root)
+    etf = _etf(spark, [(date(2024, 6, 1), 2e8, datetime(2024, 6, 2))])
+    dvol = spark.createDataFrame([(date(2024, 6, 1), 52.0, datetime(2024, 6, 2))],
+                                 "date date, dvol double, source_updated_at timestamp")
+    res = run_tables(store, [(ETF_FLOWS.identifier, etf, quality_checks(ETF_FLOWS), "quality"),
+                             (VOLATILITY_INDEX.identifier, dvol, quality_checks(VOLATILITY_INDEX), "quality_dvol")])
+    assert res["rows_affected"] == 2 and res["quality_dvol_checks_total"] == 2 and len(res.reports) == 2
+    p = argparse.ArgumentParser()
+    add_window_args(p, default_start="2024-01-01")
+    start, end = window(p.parse_args(["--end", "2024-06-02"]))
+    assert (start, end) == (datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 6, 2, tzinfo=timezone.utc))
+
+
+def test_landed_pages_prune_by_day(spark, store_root):
+    import os
+    from datetime import date
+
+    from tidemark.sources.registry import landing_path, read_landed, source
+    root = store_root.replace("file:", "")
+    for d, payload in ((date(2024, 6, 1), "[1]"), (date(2024, 6, 2), "[2]")):
+        path = landing_path(root, "candles", d)
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/page-0.json", "w") as fh:
+            fh.write(payload)
+    got = read_landed(spark, root, "candles", start=date(2024, 6, 2)).collect()
+    assert [(r.payload, str(r.dt)) for r in got] == [("[2]", "2024-06-02")]
+    assert source("candles").page_size == 1000
+    with pytest.raises(KeyError):
+        source("nope")
