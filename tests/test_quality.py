@@ -130,3 +130,17 @@ def test_skew_safe_ordinal_matches_window(spark):
     got = {(r.k, r.o): r.n for r in ordinal_within(df, "k", ["o"], out="n").collect()}
     want = {(r.k, r.o): r.n for r in df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("o"))).collect()}
     assert got == want
+
+
+def test_subjects_catalog_matches_report_ids(spark):
+    from tidemark.tables import CANDLES, candle_checks
+    cat = Q.subjects_catalog(spark, [(CANDLES.identifier, candle_checks())]).orderBy("position").collect()
+    assert [r.check_id for r in cat][:3] == ["raw_candles__not_null_instrument_counterpart_interval_open_time",
+                                             "raw_candles__unique_instrument_counterpart_interval_open_time",
+                                             "raw_candles__high_low"]
+    assert [r.blocking for r in cat] == [True] * 7
+    df = spark.createDataFrame([("BTC", "USDT", "1h", None, None, 2.0, 3.0, 1.0, 2.0, 1.0, 1.0, 1, 1.0, 1.0)],
+                               CANDLES.schema.simpleString().replace("timestamp", "timestamp"))
+    rep = Q.validate(df, candle_checks(), subject=CANDLES.identifier)
+    ids = [r.check_id for r in Q.report_ids(rep).orderBy("position").collect()]
+    assert ids == [r.check_id for r in cat]

@@ -18,9 +18,11 @@ from tidemark.quality.report import (
     CheckResult,
     Report,
     check_names,
+    report_ids,
     report_metrics,
     slug,
     slug_col,
+    subjects_catalog,
     with_check_ids,
 )
 from tidemark.quality.runner import check_frame, report_frame, stats_frame, validate
@@ -28,6 +30,6 @@ from tidemark.quality.runner import check_frame, report_frame, stats_frame, vali
 __all__ = [
     "Check", "CheckResult", "QualityError", "Report", "Severity", "accepted_values", "check_frame",
     "check_names", "expression", "frame_check", "from_spec", "in_range", "matches_regex", "not_empty",
-    "not_null", "report_frame", "report_metrics", "row_count_between", "slug", "slug_col", "stats_frame",
+    "not_null", "report_frame", "report_ids", "report_metrics", "row_count_between", "slug", "slug_col", "stats_frame", "subjects_catalog",
     "time_in_window", "unique", "validate", "with_check_ids",
 ]
