@@ -212,7 +212,8 @@ def select_new_query(spark: SparkSession, sf_dir: str):
 
 
 def news_store(spark: SparkSession, items: DataFrame) -> TableStore:
-    """Upsert document-derived news items (first per hash) into ``raw.market_news_items``."""
+    """Store document-derived news items (first per hash, so keys are unique) in
+    ``raw.market_news_items``."""
     from tidemark.operators.dedup import first_wins
     store = TableStore(spark, scratch_path(spark, "news"), {MARKET_NEWS_ITEMS.identifier: MARKET_NEWS_ITEMS})
     firsts = first_wins(items.select("content_hash", "doc_id", "lang", "source", "text"), "content_hash", ["doc_id"])
@@ -223,5 +224,5 @@ def news_store(spark: SparkSession, items: DataFrame) -> TableStore:
         F.lit(None).cast("timestamp").alias("fetched_at"), F.lit("").alias("title"),
         F.col("text").alias("summary_raw"), F.lit(None).cast("string").alias("content_raw"),
         F.lit(SOURCE_UPDATED_AT).cast("timestamp").alias("source_updated_at"))
-    store.upsert(MARKET_NEWS_ITEMS.identifier, rows)
+    store.append(MARKET_NEWS_ITEMS.identifier, rows)
     return store

@@ -74,7 +74,11 @@ def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) ->
     if not order:
         return df
     if cluster:
-        df = df.repartitionByRange(*order)
+        # identity columns break ties: a sort value shared by many rows (even all of
+        # them, e.g. a null sort column) still splits into many ranges
+        sort_names = {s.column for s in spec.sort}
+        ties = [F.asc_nulls_first(c) for c in spec.identity if c not in sort_names]
+        df = df.repartitionByRange(*order, *ties)
     return df.sortWithinPartitions(*order)
 
 
