@@ -102,3 +102,23 @@ def test_sorted_files(spark, store_root):
     for r in data:
         by_file.setdefault(r.f, []).append((r.t, r.k))
     assert all(v == sorted(v) for v in by_file.values())
+
+
+def test_upsert_large_batch_path_matches_broadcast_path(spark, store_root):
+    """Beyond the broadcast bound the full-outer-join path gives the same table and counts."""
+    base = [(f"k{i}", datetime(2023 + i % 2, 1 + i % 12, 1), float(i), None) for i in range(60)]
+    batch = [(f"k{i}", datetime(2023 + i % 2, 1 + i % 12, 1), float(i) + (1 if i % 3 == 0 else 0),
+              "n" if i % 4 == 0 else None) for i in range(30, 90)]
+    results = []
+    for threshold in ("64m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            store = _store(spark, f"{store_root}-{threshold}")
+            store.upsert("raw.px", _rows(spark, base))
+            r = store.upsert("raw.px", _rows(spark, batch))
+            table = sorted((x.k, x.t, x.v, x.note) for x in store.read("raw.px").collect())
+            results.append(((r.rows_inserted, r.rows_updated), table))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert results[0] == results[1]
+    assert results[0][0] == (30, 15)

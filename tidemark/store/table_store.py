@@ -19,10 +19,12 @@ Upsert (no row-level MERGE on plain Parquet):
    leaves staging complete; rerunning the upsert is idempotent because the
    identity decides every row.
 
-The batch side is broadcast only when its size estimate (row count from step 1
-times the schema's default row size) is below the broadcast threshold; beyond
-that the joins fall back to Spark's shuffle joins.  The large target is never
-shuffled when the batch is broadcast.
+Join strategy: the batch is broadcast only under a proven bound (its exact row
+count from step 1 times the schema's row-size estimate below the broadcast
+threshold); then steps 3-4 are map-side joins and the large target is scanned
+but never shuffled.  Beyond the bound one full outer join (one shuffle of each
+side, AQE splitting skewed keys) is persisted and feeds both the counts and the
+merged rows.
 """
 
 from __future__ import annotations
@@ -93,6 +95,21 @@ def broadcast_threshold(spark: SparkSession) -> int:
     return max(value, 0)
 
 
+def _partition_predicate(names: Sequence[str], parts: Sequence[tuple]):
+    """Static partition filter for the touched partitions (pruned at planning)."""
+    if len(names) == 1:
+        values = [p[0] for p in parts]
+        cond = F.col(names[0]).isin([v for v in values if v is not None])
+        return cond | F.col(names[0]).isNull() if any(v is None for v in values) else cond
+    cond = F.lit(False)
+    for values in parts:
+        one = F.lit(True)
+        for name, v in zip(names, values):
+            one = one & F.col(name).eqNullSafe(F.lit(v))
+        cond = cond | one
+    return cond
+
+
 def _observed_count(obs: Observation) -> int:
     """Row count observed during a write.  A write whose input Catalyst proved
     empty is optimized away and never reports metrics: that is zero rows."""
@@ -226,9 +243,53 @@ class TableStore:
             "parts": [tuple(p) for p in row["parts"]] if spec.partition else [],
         }
 
-    def _maybe_broadcast(self, df: DataFrame, n_rows: int, spec: TableSpec) -> DataFrame:
-        est = n_rows * row_size_estimate(spec.schema)
-        return F.broadcast(df) if est <= broadcast_threshold(self.spark) else df
+    def _fits_broadcast(self, n_rows: int, spec: TableSpec) -> bool:
+        """The batch is broadcast only under a proven bound: its exact row count
+        (from the stats job) times the schema's row-size estimate."""
+        return n_rows * row_size_estimate(spec.schema) <= broadcast_threshold(self.spark)
+
+    @staticmethod
+    def _changed(non_keys: Sequence[str], prefix: str = "_src_"):
+        changed = F.lit(False)
+        for c in non_keys:
+            changed = changed | ~F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+        return changed
+
+    def _merge_broadcast(self, target: DataFrame, src: DataFrame, src_p: DataFrame, spec: TableSpec, n_rows: int):
+        """Small batch: two map-side joins against the broadcast batch; the target
+        partitions are scanned, never shuffled."""
+        keys = list(spec.identity)
+        non_keys = [c for c in spec.columns if c not in keys]
+        renamed = F.broadcast(src.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys]))
+        counts = target.join(renamed, keys, "inner").agg(
+            F.count(F.lit(1)).alias("matched"), F.count_if(self._changed(non_keys)).alias("changed")).collect()[0]
+        matched, updated = int(counts["matched"]), int(counts["changed"])
+        inserted = n_rows - matched
+        if inserted == 0 and updated == 0:
+            return None
+        merged = target.join(F.broadcast(src.select(*keys)), keys, "left_anti") \
+            .unionByName(src_p.select(*target.columns))
+        return merged, inserted, updated, lambda: None
+
+    def _merge_shuffled(self, target: DataFrame, src_p: DataFrame, spec: TableSpec):
+        """Large batch: one full outer join (one shuffle of each side, AQE splits
+        skewed keys), persisted once for the counts and the merged rows.  A batch
+        value wins whenever the batch has the key - nulls included."""
+        keys = list(spec.identity)
+        non_keys = [c for c in target.columns if c not in keys]
+        t = target.withColumn("_in_t", F.lit(True))
+        b = src_p.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys]).withColumn("_in_b", F.lit(True))
+        joined = t.join(b, keys, "full_outer").persist()
+        in_t, in_b = F.coalesce(F.col("_in_t"), F.lit(False)), F.coalesce(F.col("_in_b"), F.lit(False))
+        counts = joined.agg(F.count_if(in_b & ~in_t).alias("inserted"),
+                            F.count_if(in_b & in_t & self._changed(non_keys)).alias("updated")).collect()[0]
+        inserted, updated = int(counts["inserted"]), int(counts["updated"])
+        if inserted == 0 and updated == 0:
+            joined.unpersist()
+            return None
+        merged = joined.select(*keys, *[F.when(in_b, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
+                                        for c in non_keys])
+        return merged, inserted, updated, joined.unpersist
 
     def upsert(self, table: str, frame: DataFrame) -> WriteResult:
         started = time.perf_counter()
@@ -254,33 +315,20 @@ class TableStore:
 
             target = self.read_storage(table)
             if spec.partition:
-                cond = None
-                for values in stats["parts"]:
-                    one = None
-                    for name, v in zip(spec.partition_columns, values):
-                        term = F.col(name).eqNullSafe(F.lit(v))
-                        one = term if one is None else one & term
-                    cond = one if cond is None else cond | one
-                target = target.filter(cond)
-
-            non_keys = [c for c in spec.columns if c not in keys]
-            renamed = src.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys])
-            renamed = self._maybe_broadcast(renamed, stats["rows"], spec)
-            changed = F.lit(False)
-            for c in non_keys:
-                changed = changed | ~F.col(c).eqNullSafe(F.col(f"_src_{c}"))
-            counts = target.join(renamed, keys, "inner").agg(
-                F.count(F.lit(1)).alias("matched"), F.count_if(changed).alias("changed")).collect()[0]
-            matched, updated = int(counts["matched"]), int(counts["changed"])
-            inserted = stats["rows"] - matched
-            if inserted == 0 and updated == 0:
+                target = target.filter(_partition_predicate(spec.partition_columns, stats["parts"]))
+            if self._fits_broadcast(stats["rows"], spec):
+                result = self._merge_broadcast(target, src, src_p, spec, stats["rows"])
+            else:
+                result = self._merge_shuffled(target, src_p, spec)
+            if result is None:
                 return WriteResult(0, 0, round(time.perf_counter() - started, 3))
-
-            src_keys = self._maybe_broadcast(src.select(*keys), stats["rows"], spec)
-            merged = target.join(src_keys, keys, "left_anti").unionByName(src_p.select(*target.columns))
-            staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
-            self._write(merged, spec, staging, "overwrite")
-            self._commit_staging(staging, self.path(table), len(spec.partition))
+            merged, inserted, updated, cleanup = result
+            try:
+                staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
+                self._write(merged, spec, staging, "overwrite")
+                self._commit_staging(staging, self.path(table), len(spec.partition))
+            finally:
+                cleanup()
             return WriteResult(inserted, updated, round(time.perf_counter() - started, 3))
         finally:
             src.unpersist()
