@@ -122,3 +122,12 @@ def test_landed_pages_prune_by_day(spark, store_root):
     assert source("candles").page_size == 1000
     with pytest.raises(KeyError):
         source("nope")
+
+
+def test_select_new_null_keys(spark):
+    from tidemark.operators.joins import select_new
+    frame = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, v long")
+    stored = spark.createDataFrame([("a",)], "k string")
+    assert sorted(r.v for r in select_new(frame, stored, ["k"]).collect()) == [3]
+    none = stored.filter(F.lit(False))
+    assert sorted(r.v for r in select_new(frame, none, ["k"]).collect()) == [1, 2, 3]

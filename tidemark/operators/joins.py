@@ -37,16 +37,23 @@ def config_join(df: DataFrame, config: DataFrame, on: str | Sequence[str], how:
     return df.join(F.broadcast(config), on, how)
 
 
-def select_new(frame: DataFrame, existing: DataFrame, identity: Sequence[str]) -> DataFrame:
+def select_new(frame: DataFrame, existing: DataFrame, identity: Sequence[str], *,
+               existing_empty: bool | None = None) -> DataFrame:
     """Rows of ``frame`` whose identity is not stored yet (left anti, column-wise,
-    so no key-text collisions).  Rows with a null identity never match a stored
-    key; like the stored-key comparison they are dropped when ``existing`` holds rows."""
+    so no key-text collisions).  When nothing is stored the frame passes whole;
+    otherwise rows with a null identity part are dropped too (a null key never
+    compares as new).  ``existing_empty`` may be given by a caller that knows it;
+    else one ``limit(1)`` probe decides."""
     keys = list(identity)
+    if existing_empty is None:
+        existing_empty = existing.isEmpty()
+    if existing_empty:
+        return frame
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     stored = existing.select(*keys).filter(not_null)
-    return frame.join(stored, keys, "left_anti")
+    return frame.filter(not_null).join(stored, keys, "left_anti")
 
 
 def anti_by_hash(frame: DataFrame, stored_hashes: DataFrame, col: str = "content_hash") -> DataFrame:
