@@ -46,3 +46,19 @@ def stream_upsert(spark: SparkSession, sf_dir: str):
     replay = S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows)
     assert sum(r.rows_affected for r in replay) == 0, "replayed stream must not change the table"
     return finish(store.read(FUNDING_RATES.identifier))
+
+
+@register("stream_hash_dedup", """
+SELECT DISTINCT sha256(event_type || chr(10) || chr(10) || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) AS content_hash
+FROM events
+""")
+def stream_hash_dedup(spark: SparkSession, sf_dir: str):
+    """Items keyed by a content hash that repeats across events; the stream keeps
+    the first of each hash within the watermark span (stateful dedup)."""
+    from tidemark.functions.text import content_hash
+    events = S.read_table_stream(spark, sf_dir, "events")
+    items = events.select(
+        content_hash(F.col("event_type"), F.lit(""), F.floor("value").cast("long").cast("string")).alias("content_hash"),
+        F.col("ts").cast("timestamp").alias("published_at"))
+    out = S.run_to_files(S.dedup_stream(items, delay="40 days"), spark, "stream-dedup")
+    return spark.read.parquet(out).select("content_hash")

@@ -73,3 +73,11 @@ def upsert_stream(stream: DataFrame, store: TableStore, table: str,
     if q.exception() is not None:
         raise q.exception()
     return results
+
+
+def dedup_stream(items: DataFrame, *, key: str = "content_hash", ts: str = "published_at",
+                 delay: str = "1 day") -> DataFrame:
+    """Streaming first-seen dedup: state keeps each key until the watermark passes
+    its event time plus ``delay``; duplicates arriving within that span are dropped
+    (bounded state, unlike an unbounded ``dropDuplicates``)."""
+    return items.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
