@@ -131,3 +131,15 @@ def test_select_new_null_keys(spark):
     assert sorted(r.v for r in select_new(frame, stored, ["k"]).collect()) == [3]
     none = stored.filter(F.lit(False))
     assert sorted(r.v for r in select_new(frame, none, ["k"]).collect()) == [1, 2, 3]
+
+
+def test_identity_proven_only_by_passed_baseline(spark):
+    from datetime import date
+
+    from tidemark.plans.jobs import _identity_proven
+    rows = _etf(spark, [(date(2024, 6, 1), 1.0, datetime(2024, 6, 2))])
+    ok = Q.validate(rows, quality_checks(ETF_FLOWS))
+    assert _identity_proven(ok, ETF_FLOWS.identity)
+    warn_only = Q.validate(rows, [Q.not_null("date"), Q.unique("date", severity=Q.Severity.WARN)])
+    assert not _identity_proven(warn_only, ETF_FLOWS.identity)
+    assert not _identity_proven(Q.validate(rows, [Q.not_null("date")]), ETF_FLOWS.identity)
