@@ -2,13 +2,17 @@
 
 Each page is handled inside its own row with regex extraction and higher-order
 array functions (``transform``/``filter``/``array_position``): no join, no
-shuffle, and the work is spread by pages across tasks.
+shuffle, and the work is spread by pages across tasks.  Tag soup the patterns
+cannot take apart falls back to the stdlib HTML parser in Arrow batches.
 """
 
 from __future__ import annotations
 
+from html.parser import HTMLParser
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # row/cell patterns and the entities decoded in cell text.
 # A row counts only when closed by </tr>; a new <tr> discards an unclosed one.
@@ -51,12 +55,77 @@ def header_search(rows: Column, *names: str) -> tuple[Column, list[Column]]:
     return header_pos, idx
 
 
-def rows_after_header(df: DataFrame, html: str, *names: str, keep: tuple[str, ...] = ()) -> DataFrame:
+class _RowCollector(HTMLParser):
+    """Tag-soup tolerant row/cell collector (stdlib parser, entities decoded):
+    a row counts when ``</tr>`` closes it, a cell when ``</td>``/``</th>`` does."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rows: list[list[str]] = []
+        self._row: list[str] = []
+        self._cell: list[str] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "tr":
+            self._row = []
+        elif tag in ("td", "th"):
+            self._cell = []
+
+    def handle_data(self, data):
+        if self._cell is not None:
+            self._cell.append(data)
+
+    def handle_endtag(self, tag):
+        if tag in ("td", "th") and self._cell is not None:
+            self._row.append("".join(self._cell).strip())
+            self._cell = None
+        elif tag == "tr" and self._row:
+            self.rows.append(self._row)
+            self._row = []
+
+
+def _parse_pages(keep: tuple[str, ...], html: str):
+    def parse(batches):
+        for pdf in batches:
+            out = pdf[list(keep)].copy()
+            parsed = []
+            for text in pdf[html]:
+                collector = _RowCollector()
+                if isinstance(text, str):
+                    collector.feed(text)
+                    collector.close()
+                parsed.append(collector.rows)
+            out["_rows"] = parsed
+            yield out
+    return parse
+
+
+def parsed_table_rows(df: DataFrame, html: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(keep..., _rows)`` via the stdlib parser in Arrow batches (``mapInPandas``)."""
+    schema = T.StructType([df.schema[k] for k in keep] +
+                          [T.StructField("_rows", T.ArrayType(T.ArrayType(T.StringType())))])
+    return df.select(*keep, html).mapInPandas(_parse_pages(tuple(keep), html), schema)
+
+
+def rows_after_header(df: DataFrame, html: str, *names: str, keep: tuple[str, ...] = (),
+                      fallback: bool = True) -> DataFrame:
     """One output row per table row after the header row; columns
     ``row_pos`` (0-based), ``cells``, and ``idx_<name>`` for each header name.
-    Pages without a header row give no rows."""
+    Pages without a header row give no rows.
+
+    Rows come from the regex path; with ``fallback`` the pages where it finds no
+    header row although the page has ``<tr`` are re-parsed by the stdlib parser
+    (``mapInPandas``, all character references decoded), so tag soup is handled
+    without Python on ordinary pages."""
     rows = table_rows(F.col(html))
-    with_rows = df.select(*keep, rows.alias("_rows"))
+    with_rows = df.select(*keep, html, rows.alias("_rows"))
+    if fallback:
+        found, _ = header_search(F.col("_rows"), *names)
+        soup = (found == 0) & F.lower(F.col(html)).contains("<tr")
+        parsed = parsed_table_rows(with_rows.filter(soup), html, keep)
+        with_rows = with_rows.filter(~soup).select(*keep, "_rows").unionByName(parsed)
+    else:
+        with_rows = with_rows.select(*keep, "_rows")
     header_pos, idx = header_search(F.col("_rows"), *names)
     staged = with_rows.select(*keep, "_rows", header_pos.alias("_hdr"),
                               *[i.alias(f"idx_{n}") for i, n in zip(idx, names)])
