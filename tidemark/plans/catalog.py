@@ -18,7 +18,20 @@ from tidemark.session import apply_session_settings, scratch_path
 from tidemark.store import TableStore
 from tidemark.tables import CANDLES, candle_checks
 
-__all__ = ["ORACLES", "QUERIES", "flagship"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "pinned_queries"]
+
+
+def pinned_queries() -> dict:
+    """The registered queries, each pinning the runtime settings it relies on
+    (UTC session time zone, AQE, dynamic partition overwrite) before planning."""
+    def pin(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_session_settings(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        return run
+    return {name: pin(fn) for name, fn in QUERIES.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,19 +53,27 @@ def apply_session_settings(spark: SparkSession) -> None:
     conf.set("spark.sql.adaptive.enabled", "true")
 
 
+_PRIVATE_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; a private folder is set only when the cluster names
-    none (tests, local runs).
+    Read from the session (or the context's checkpoint directory); a private
+    folder is created only when the cluster names none (tests, local runs), once
+    per application.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        app = sc.applicationId
+        root = _PRIVATE_ROOTS.get(app)
+        if root is None:
+            root = _PRIVATE_ROOTS[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
