@@ -91,9 +91,14 @@ def run_job(store: TableStore, table: str, rows: DataFrame, checks: Sequence[Che
                 proven = _identity_proven(report, spec.identity)
                 rows_affected = store.upsert(table, data, identity_proven=proven).rows_affected
                 if max_columns:
-                    mx = data.agg(*[F.max(c).alias(c) for c in max_columns]).collect()[0]
-                    metrics.update({f"latest_{c}": (mx[c].isoformat() if mx[c] is not None else None)
-                                    for c in max_columns})
+                    from tidemark.functions.time import iso_from_ms
+                    texts = []
+                    for c in max_columns:
+                        kind = spec.schema[c].dataType.simpleString()
+                        mx = F.max(c)
+                        texts.append((iso_from_ms(F.unix_millis(mx)) if kind == "timestamp" else mx.cast("string")).alias(c))
+                    row = data.agg(*texts).collect()[0]
+                    metrics.update({f"latest_{c}": row[c] for c in max_columns})
         metrics["rows_affected"] = rows_affected
         metrics["duration_seconds"] = round(time.perf_counter() - started, 3)
         metrics.update(extra_metrics or {})
