@@ -23,12 +23,18 @@ from tidemark.store import TableStore
 
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """Stream the parquet files of one table (new files are picked up as they land)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Stream the parquet files of one table (new files are picked up as they land).
+    A table is either a folder of part files or a single file inside ``sf_dir``."""
+    from tidemark.session import hadoop_fs
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(sf_dir)
+    fs, hpath = hadoop_fs(spark, path)
+    if fs.getFileStatus(hpath).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def closed_bars(events: DataFrame, *, ts: str = "ts", key: str = "event_type", value: str = "value",
