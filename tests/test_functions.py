@@ -61,3 +61,14 @@ def test_redact(spark):
     text = "GET /x?api_key=abc123&token=zzz&q=1 Authorization: Bearer eyJ.abc-1 secret=s3cr3t and mysecretvalue!"
     got = _eval(spark, X.redact(F.col("t"), ["mysecretvalue", "short"]), [(text,)], "t string")[0]
     assert got == ("GET /x?api_key=***&token=***&q=1 Authorization: Bearer *** secret=*** and ***!")
+
+
+def test_redact_reference_cases(spark):
+    texts = ["GET https://api.stlouisfed.org/x?api_key=abc123&file_type=json", "uri?token=tok_9&secret=sek_8&key=k7",
+             "Authorization: Bearer abc.def-123", "leaked supersecretvalue here", "nothing to hide here"]
+    got = _eval(spark, X.redact(F.col("t"), ["supersecretvalue", "short"]), [(t,) for t in texts], "t string")
+    assert "abc123" not in got[0] and "api_key=***" in got[0] and "file_type=json" in got[0]
+    assert all(s not in got[1] for s in ("tok_9", "sek_8", "k7"))
+    assert "abc.def-123" not in got[2] and "Bearer ***" in got[2]
+    assert "supersecretvalue" not in got[3]
+    assert got[4] == "nothing to hide here"

@@ -103,3 +103,25 @@ def test_run_news_and_onchain(spark, store_root):
     assert res["onchain_metrics_rows_affected"] == 1 and res["blockchain_charts_rows_affected"] == 2
     vals = {r.chart_name: r.value for r in store.read("raw.blockchain_charts").collect()}
     assert vals == {"miners-revenue": 3e7, "transaction-fees-usd": None}
+
+
+def test_run_news_empty_feeds(spark, store_root):
+    from tidemark.sources.registry import feeds_frame
+    store = TableStore(spark, store_root)
+    pages = spark.createDataFrame([(0, "<rss><channel></channel></rss>"), (1, "not xml")], "feed_pos int, payload string")
+    res = R.run_market_news(store, pages, feeds_frame(spark), fetched_at=datetime(2024, 6, 1, tzinfo=UTC))
+    assert (res["rows_affected"], res["items_seen"], res["items_written"]) == (0, 0, 0)
+
+
+def test_run_funding_window_clamped_and_inverted(spark, store_root):
+    store = TableStore(spark, store_root)
+    items = [{"symbol": "BTCUSDT", "fundingTime": OPEN + 8 * 3600000 * i, "fundingRate": "0.0001", "markPrice": ""}
+             for i in range(6)]
+    pages = _pages(spark, json.dumps(items))
+    start = datetime(2024, 6, 1, tzinfo=UTC)
+    res = R.run_funding_rates(store, pages, window_start=start, window_end=start + timedelta(days=2),
+                              as_of=datetime(2024, 6, 2, 0, tzinfo=UTC))
+    assert res["rows_affected"] == 3 and res["latest_funding_time"] == "2024-06-01T16:00:00+00:00"
+    inverted = R.run_funding_rates(store, pages, window_start=start + timedelta(days=3), window_end=start,
+                                   as_of=datetime(2024, 6, 9, tzinfo=UTC))
+    assert inverted["rows_affected"] == 0 and inverted.reports == ()
