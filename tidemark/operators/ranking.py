@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_if_small
+from tidemark.session import checkpoint_root
 
 
 def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str], out: str = "ordinal") -> DataFrame:
@@ -23,9 +23,12 @@ def ordinal_within(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
     broken by the range partitioning and then row order: give a unique order)."""
     keys = [key] if isinstance(key, str) else list(key)
     order = list(order)
+    # Materialised once in the shared checkpoint folder: both branches below must
+    # see the same task id per row, and the lineage is cut (no cache left pinned).
+    checkpoint_root(df.sparkSession)
     ranged = (df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
               .withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint(eager=True))
     # groups (task, key) are bounded by one range partition each
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
     runs = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -323,7 +323,7 @@ def qc_check_ids(spark: SparkSession, sf_dir: str):
 def qc_gate_rows(spark: SparkSession, sf_dir: str):
     """Write gate: rows pass on when the report has no ERROR failure (WARN never
     blocks); a failing gate yields no rows, and the hard gate raises."""
-    rows = _candles(spark, sf_dir).persist()
+    rows = _candles(spark, sf_dir)
     report = Q.check_frame(rows, candle_checks() + [Q.row_count_between(None, 10, severity=Q.Severity.WARN)],
                            table=CANDLES.identifier)
     blocked = Q.check_frame(rows, [Q.row_count_between(None, 10)], table=CANDLES.identifier)
