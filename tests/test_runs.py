@@ -3,8 +3,6 @@
 import json
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
-
 from tidemark.plans import runs as R
 from tidemark.store import TableStore
 
@@ -125,3 +123,39 @@ def test_run_funding_window_clamped_and_inverted(spark, store_root):
     inverted = R.run_funding_rates(store, pages, window_start=start + timedelta(days=3), window_end=start,
                                    as_of=datetime(2024, 6, 9, tzinfo=UTC))
     assert inverted["rows_affected"] == 0 and inverted.reports == ()
+
+
+def test_remaining_daily_runs(spark, store_root):
+    from tidemark.sources.registry import releases_frame, series_frame
+    store = TableStore(spark, store_root)
+    at = datetime(2024, 6, 1, 6, tzinfo=UTC)
+    cot = [{"market_and_exchange_names": "BITCOIN - CME", "report_date_as_yyyy_mm_dd": "2024-05-28T00:00:00.000",
+            "open_interest_all": "120000"},
+           {"market_and_exchange_names": "BITCOIN - CME", "report_date_as_yyyy_mm_dd": "2024-04-01T00:00:00.000",
+            "open_interest_all": "1"}]
+    assert R.run_cot_positioning(store, _pages(spark, json.dumps(cot)), run_date=date(2024, 6, 1),
+                                 source_updated_at=at)["rows_affected"] == 1      # 30-day look-back
+    flows = {"result": {"data": [{"date": "2024-06-01T00:00:00", "reserve": "1.5", "inflow": "2", "outflow": "1",
+                                  "netflow": "1", "reserve_usd": "3"}]}}
+    assert R.run_exchange_flows(store, _pages(spark, json.dumps(flows)), since=date(2024, 5, 31),
+                                until=date(2024, 6, 1), source_updated_at=at)["rows_affected"] == 1
+    ls = [{"timestamp": str(OPEN), "longShortRatio": "1.25", "longAccount": "0.555", "shortAccount": "0.445"}]
+    assert R.run_long_short_ratio(store, _pages(spark, json.dumps(ls)), window_start=datetime(2024, 6, 1, tzinfo=UTC),
+                                  window_end=datetime(2024, 6, 2, tzinfo=UTC), source_updated_at=at)["rows_affected"] == 1
+    oi = spark.createDataFrame([(json.dumps([{"symbol": "BTCUSDT", "timestamp": OPEN, "sumOpenInterest": "12345.67"}]),)],
+                               "payload string")
+    empty = spark.createDataFrame([("[]",)], "payload string")
+    res = R.run_futures_metrics(store, oi, empty, empty, window_start=datetime(2024, 6, 1, tzinfo=UTC))
+    assert res["rows_affected"] == 1
+    assert store.read("raw.futures_metrics").collect()[0].open_interest == 12345.67
+    nothing = R.run_futures_metrics(store, empty, empty, empty, window_start=datetime(2024, 6, 2, tzinfo=UTC))
+    assert nothing["rows_affected"] == 0                                           # all sources missing: no row
+    cal = spark.createDataFrame([(10, json.dumps({"release_dates": [{"date": "2024-06-12"}, {"date": "2024-01-01"}]}))],
+                                "release_id long, payload string")
+    assert R.run_macro_calendar(store, cal, releases_frame(spark), run_date=date(2024, 6, 1),
+                                source_updated_at=at)["rows_affected"] == 1
+    assert store.read("raw.macro_calendar").collect()[0].title == "Consumer Price Index"
+    first_series = series_frame(spark).first().series_id
+    obs = {"observations": [{"date": "2024-05-30", "value": "4.5"}, {"date": "2024-01-01", "value": "."}]}
+    series = spark.createDataFrame([(first_series, json.dumps(obs))], "series_id string, payload string")
+    assert R.run_macro_series(store, series, run_date=date(2024, 6, 1), source_updated_at=at)["rows_affected"] == 1

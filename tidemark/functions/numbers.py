@@ -15,10 +15,6 @@ FLOW_STRIP_CHARS = ",$"                # thousands separator and currency sign
 FLOW_UNIT = 1_000_000.0                # ETF flows are published in USD millions
 
 
-def to_double(c: Column) -> Column:
-    return try_cast(c.cast("string"), "double")
-
-
 def optional_double(c: Column) -> Column:
     """Null when missing or ``""``; otherwise the number (null if unparsable)."""
     text = c.cast("string")
@@ -60,10 +56,6 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den)
 
 
-def zero_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(0))
-
-
 def null_safe_total(*cols: Column) -> Column:
     """Nulls count as zero; a zero total becomes null."""
     total = None

@@ -31,10 +31,11 @@ def last_value_per_day(df: DataFrame, ts: str, value: str, order: str | None = N
             .groupBy(*keys, day_col).agg(F.max_by(F.col(value), order_c).alias(value)))
 
 
-def run_counters(df: DataFrame, *, kept: Column | None = None, max_of: Sequence[str] = ()) -> DataFrame:
-    """One row: raw rows, kept rows, max of the given columns (run metrics)."""
+def run_counters(df: DataFrame, *, kept: Column | None = None, latest_of: Sequence[str] = ()) -> DataFrame:
+    """One row: raw rows, kept rows and the latest (max) value of each column over
+    the kept rows (run metrics), in one aggregate."""
     aggs = [F.count(F.lit(1)).cast("long").alias("raw_rows")]
     if kept is not None:
         aggs.append(F.count_if(kept).cast("long").alias("kept_rows"))
-    aggs += [F.max(c).alias(f"max_{c}") for c in max_of]
+    aggs += [F.max(F.when(kept, F.col(c)) if kept is not None else F.col(c)).alias(f"latest_{c}") for c in latest_of]
     return df.agg(*aggs)

@@ -47,11 +47,6 @@ def bad_row_flag(required: Sequence[Column]) -> Column:
     return flag
 
 
-def strict_split(df: DataFrame, flag: str = "_bad") -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows) by a precomputed boolean flag column."""
-    return df.filter(~F.col(flag)).drop(flag), df.filter(F.col(flag))
-
-
 def assert_no_bad_rows(df: DataFrame, flag: str = "_bad", payload: str | None = None) -> None:
     """Strict policy: one aggregate; any bad row aborts the whole batch with its payload."""
     sample = F.first(F.col(payload).cast("string")) if payload else F.lit(None).cast("string")

@@ -20,7 +20,7 @@ from tidemark.functions import text as X
 from tidemark.functions import time as TM
 from tidemark.operators.conform import bad_row_flag
 from tidemark.sources import feeds, html_tables
-from tidemark.sources.json_pages import KLINE_SCHEMA, element, kline_fields, payload_rows
+from tidemark.sources.json_pages import KLINE_SCHEMA, element, kline_fields, last_element, payload_rows
 
 
 def _lit_ts(value: datetime | None) -> Column:
@@ -286,7 +286,7 @@ def _latest_per_page(pages: DataFrame, schema: str, value: Column, name: str, ke
     """Last element of each page (payload order), one value per ``key``; several
     pages for one key: the last page wins."""
     parsed = pages.select(key, F.col("page_no") if "page_no" in pages.columns else F.lit(0).alias("page_no"),
-                          F.try_element_at(F.from_json(F.col("payload"), schema), F.lit(-1)).alias("item"))
+                          last_element(F.from_json(F.col("payload"), schema)).alias("item"))
     parsed = parsed.filter(F.col("item").isNotNull())
     return (parsed.groupBy(key).agg(F.max_by(F.struct(F.col("item").alias("item")), F.col("page_no")).alias("_l"))
             .select(key, F.col("_l.item").alias("item")).select(key, value.alias(name)))

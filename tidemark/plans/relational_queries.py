@@ -451,7 +451,4 @@ def run_metrics(spark: SparkSession, sf_dir: str):
     from tidemark.plans.payload_queries import candle_rows
     rows = candle_rows(spark, sf_dir)
     kept = F.col("close_time") < F.lit(AS_OF).cast("timestamp")
-    out = rows.agg(F.count(F.lit(1)).cast("long").alias("raw_rows"),
-                   F.count_if(kept).cast("long").alias("kept_rows"),
-                   F.max(F.when(kept, F.col("close_time"))).alias("latest_close_time"))
-    return finish(out)
+    return finish(A.run_counters(rows, kept=kept, latest_of=("close_time",)))

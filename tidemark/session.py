@@ -89,17 +89,6 @@ def hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = hadoop_fs(spark, path)
-    return bool(fs.exists(hpath))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, hpath = hadoop_fs(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small metadata file (layout JSON, pointer) atomically via rename."""
     fs, hpath = hadoop_fs(spark, path)

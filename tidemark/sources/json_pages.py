@@ -1,7 +1,7 @@
 """Landed JSON payloads -> rows.
 
-Payloads are landed as files (one page per file, or JSON lines) and read with
-``spark.read.text(wholetext=True)`` / ``spark.read.text``; the parsing below is
+Payloads are landed as files (one page per file) and read with
+``sources.registry.read_landed`` (whole-file text, ``dt`` pruning); the parsing below is
 pure Column logic (``from_json`` with a declared schema, ``explode``), so it runs
 in whole-stage codegen on the executors and scales with the number of pages.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,13 +18,6 @@ from tidemark.functions.casts import try_cast
 from tidemark.operators.conform import bad_row_flag
 
 
-def read_landed_pages(spark: SparkSession, path: str, *, whole_file: bool = True) -> DataFrame:
-    """Landed pages under ``path`` (e.g. ``landing/<source>/<dt>/page-*.json``) with
-    the file name kept as the page id.  Partition folders (``dt=...``) prune."""
-    df = spark.read.text(path, wholetext=whole_file)
-    return df.select(F.col("value").alias("payload"), F.input_file_name().alias("page"))
-
-
 def payload_rows(df: DataFrame, payload: str | Column, schema: T.DataType | str, path: Sequence[str] = (),
                  *, keep: Sequence[str] = (), position: str | None = "pos") -> DataFrame:
     """Parse ``payload`` with ``schema`` and explode the array found under ``path``.
