@@ -29,11 +29,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         return df
     extra = set(have) - set(schema.fieldNames())
     if extra:
-        raise ValueError(f"frame has columns absent from table schema: {sorted(extra)}")
+        raise ValueError(f"conform: columns {sorted(extra)} are not in the table schema")
     cols = []
     for f in schema.fields:
         if f.name not in have:
-            raise ValueError(f"column {f.name!r} required by table schema but missing from frame")
+            raise ValueError(f"conform: the frame is missing column {f.name!r} of the table schema")
         c = F.col(f.name)
         cols.append(c if have[f.name] == f.dataType else _cast(c, f.name, have[f.name], f.dataType).alias(f.name))
     return df.select(*cols)

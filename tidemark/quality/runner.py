@@ -151,15 +151,15 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
 
 
 def validate(frame: DataFrame, checks: Sequence[Check], *, subject: str = "") -> Report:
-    """Run all checks (no short-circuit, order kept, equal names do not collide)."""
+    """Evaluate every check in declaration order; results are positional, so two
+    checks with the same name stay distinct, and a failure never stops the others."""
     return Report(report_frame(frame, checks, subject), checks, subject, source=frame)
 
 
 def check_frame(frame: DataFrame, checks: Sequence[Check], *, table: str, logger=None) -> Report:
-    """Write gate: validate, log failures, tag the report with its table.
-
-    Does not raise; the caller writes only when ``report.ok``.  WARN failures
-    never block.
+    """Pre-write validation for ``table``: failures are logged and the report
+    carries the table name.  Nothing is raised here - writers proceed only when
+    ``report.ok`` (no ERROR failure); WARN failures are reported, never blocking.
     """
     report = validate(frame, checks, subject=table)
     if logger is not None:
