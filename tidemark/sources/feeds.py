@@ -2,7 +2,7 @@
 
 Malformed XML parses to a null struct (no rows), never an exception.  Feed kind
 is decided from the root start tag: the Atom namespace there means Atom,
-anything else is read as RSS.
+anything else is read as RSS.  Mixed landings are parsed once per page.
 """
 
 from __future__ import annotations
@@ -71,7 +71,32 @@ def atom_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame
     ).filter(F.length("url") > 0)
 
 
+ANY_FEED_SCHEMA = f"{RSS_SCHEMA}, {ATOM_SCHEMA}"
+_COMMON = "struct<link:string,title:string,summary:string,date:string>"
+
+
 def feed_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Dispatch each feed by kind and union the items (two filtered branches of one scan)."""
+    """Items of RSS and Atom feeds in one pass: each page is parsed once with a
+    schema covering both kinds, and its kind (Atom namespace on the root tag)
+    picks which part becomes items.  RSS links are trimmed, Atom links are not."""
+    parsed = F.from_xml(F.col(xml), ANY_FEED_SCHEMA, XML_OPTIONS)
     atom = is_atom(F.col(xml))
-    return rss_items(df.filter(~atom), xml, keep).unionByName(atom_items(df.filter(atom), xml, keep))
+    rss_nodes = F.concat(F.coalesce(parsed.getField("channel").getField("item"), F.array()),
+                         F.coalesce(parsed.getField("item"), F.array()))
+    as_rss = F.transform(rss_nodes, lambda it: F.struct(
+        trimmed_or_empty(it["link"]).alias("link"), it["title"].alias("title"), it["description"].alias("summary"),
+        it["pubDate"].alias("date")))
+    as_atom = F.transform(F.coalesce(parsed.getField("entry"), F.array()), lambda e: F.struct(
+        F.coalesce(F.get(e["link"], 0).getField("_href"), F.lit("")).alias("link"), e["title"].alias("title"),
+        e["summary"].alias("summary"), F.coalesce(F.nullif(e["published"], F.lit("")), e["updated"]).alias("date")))
+    nodes = F.when(atom, as_atom).otherwise(as_rss).cast(f"array<{_COMMON}>")
+    items = _items(df, keep, nodes)
+    url = F.col("it.link")
+    return items.select(
+        *keep, "item_pos",
+        url.alias("url"),
+        trimmed_or_empty(F.col("it.title")).alias("title"),
+        F.col("it.summary").alias("summary"),
+        url_netloc(url).alias("source_domain"),
+        rfc822_timestamp(F.col("it.date")).alias("published_at"),
+    ).filter(F.length("url") > 0)
