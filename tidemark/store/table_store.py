@@ -67,21 +67,16 @@ def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) ->
     """Cluster rows for the writer: partition columns first, then the sort order
     (ASC NULLS FIRST).
 
-    ``repartitionByRange`` over (partition columns, sort columns) gives each task a
-    contiguous key range: a partition value lands in one or a few tasks (few
-    files per directory), and a hot partition value holding a third of the rows
-    is still split across many tasks by the sort columns.  Then a per-task sort
-    lays rows out in table order."""
+    ``REBALANCE`` on the partition columns lets AQE size the write tasks from the
+    actual shuffle statistics: a partition value usually lands in one task (one
+    file per directory), a hot value holding a third of the rows is split across
+    tasks, and small tasks are coalesced - without a sampling pass over the input
+    (a range partitioning would evaluate the whole input once more to sample it).
+    Then a per-task sort lays rows out in table order inside each file."""
     order = [F.asc_nulls_first(c) for c in spec.partition_columns] + [s.expr() for s in spec.sort]
-    if not order:
-        return df
     if cluster:
-        # identity columns break ties: a sort value shared by many rows (even all of
-        # them, e.g. a null sort column) still splits into many ranges
-        sort_names = {s.column for s in spec.sort}
-        ties = [F.asc_nulls_first(c) for c in spec.identity if c not in sort_names]
-        df = df.repartitionByRange(*order, *ties)
-    return df.sortWithinPartitions(*order)
+        df = df.hint("rebalance", *spec.partition_columns) if spec.partition else df.hint("rebalance")
+    return df.sortWithinPartitions(*order) if order else df
 
 
 def broadcast_threshold(spark: SparkSession) -> int:
