@@ -122,3 +122,14 @@ def test_upsert_large_batch_path_matches_broadcast_path(spark, store_root):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert results[0] == results[1]
     assert results[0][0] == (30, 15)
+
+
+def test_read_keys_prunes_to_batch_partitions(spark, store_root):
+    store = _store(spark, store_root)
+    store.append("raw.px", _rows(spark, [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]))
+    batch = _rows(spark, [("b", datetime(2024, 1, 1), 5.0, None), ("c", datetime(2024, 2, 1), 6.0, None)])
+    keys = store.read_keys("raw.px", batch)
+    assert sorted(r.k for r in keys.collect()) == ["b"]
+    p = spark._jvm.PythonSQLUtils.explainString(keys._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(t_years" in p and "= 2024)" in p
+    assert store.read_keys("raw.flat", spark.createDataFrame([("x", 1.0)], "d string, v double")).count() == 0

@@ -121,7 +121,8 @@ def backfill_job(store: TableStore | None, table: str, rows: DataFrame, identity
         report.raise_for_status()
         if dry_run or store is None:
             return 0
-        existing = store.read(table, columns=list(identity))
+        existing = (store.read_keys(table, batch) if tuple(identity) == tuple(store.spec(table).identity)
+                    else store.read(table, columns=list(identity)))
         new = select_new(batch, existing, identity)
         return store.append(table, new).rows_inserted
     finally:

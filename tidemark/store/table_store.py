@@ -189,6 +189,20 @@ class TableStore:
             return self.spark.createDataFrame([], schema).select(*cols)
         return self.read_storage(table).select(*cols)
 
+    def read_keys(self, table: str, batch: DataFrame) -> DataFrame:
+        """Stored identities that can match ``batch``: the partition source is part
+        of every identity, so only the partitions the batch touches are read
+        (one partial aggregate over the batch names them; the scan is pruned)."""
+        spec = self.spec(table)
+        keys = list(spec.identity)
+        if not spec.partition or not self.has_data(table):
+            return self.read(table, columns=keys)
+        parts = batch.agg(F.collect_set(F.struct(*[p.expr().alias(p.name) for p in spec.partition])).alias("p"))
+        touched = [tuple(r) for r in parts.collect()[0]["p"]]
+        if not touched:
+            return self.read(table, columns=keys).filter(F.lit(False))
+        return self.read_storage(table).filter(_partition_predicate(spec.partition_columns, touched)).select(*keys)
+
     # ---- writes ----------------------------------------------------------
     def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, overwrite_mode: str = "dynamic",
                obs: Observation | None = None) -> None:
