@@ -133,3 +133,30 @@ def test_read_keys_prunes_to_batch_partitions(spark, store_root):
     p = spark._jvm.PythonSQLUtils.explainString(keys._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(t_years" in p and "= 2024)" in p
     assert store.read_keys("raw.flat", spark.createDataFrame([("x", 1.0)], "d string, v double")).count() == 0
+
+
+def test_interrupted_commit_rolls_forward(spark, store_root):
+    """A driver lost mid-commit (old partition removed, staged one not yet moved):
+    the next store operation finishes the commit; no row is lost or doubled."""
+    store = _store(spark, store_root)
+    store.upsert("raw.px", _rows(spark, [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]))
+    real_apply = TableStore._apply_commit
+
+    def crash_after_removal(self, plan):
+        jvm = self.spark.sparkContext._jvm
+        fs, _ = hadoop_fs(spark, plan["staging"])
+        for _, dst in plan["moves"]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(dst), True)   # old partition gone ...
+        raise RuntimeError("driver lost")                         # ... staged one not moved
+
+    TableStore._apply_commit = crash_after_removal
+    try:
+        with pytest.raises(RuntimeError):
+            store.upsert("raw.px", _rows(spark, [("b", datetime(2024, 1, 1), 9.0, None),
+                                                 ("c", datetime(2024, 3, 1), 3.0, None)]))
+    finally:
+        TableStore._apply_commit = real_apply
+    fresh = _store(spark, store_root)            # e.g. a restarted driver
+    got = sorted((r.k, r.v) for r in fresh.read("raw.px").collect())
+    assert got == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
+    assert not fresh.recover("raw.px")

@@ -43,6 +43,7 @@ from tidemark.spec import TableSpec, partition_matches, sort_matches
 from tidemark.tables import ALL_SPECS, resolve
 
 LAYOUT_FILE = "_layout.json"
+PENDING_COMMIT = "_pending_commit.json"
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -175,11 +176,13 @@ class TableStore:
     def read_storage(self, table: str) -> DataFrame:
         """Data + derived partition columns, with the declared schema (never inferred)."""
         spec = self.spec(table)
+        self.recover(table)
         return self.spark.read.schema(spec.storage_schema).parquet(self.path(table))
 
     def read(self, table: str, *, columns: Sequence[str] | None = None) -> DataFrame:
         """Projected scan; a missing table is an empty frame with the declared (projected) schema."""
         spec = self.spec(table)
+        self.recover(table)
         cols = list(columns) if columns else spec.columns
         unknown = [c for c in cols if c not in spec.columns]
         if unknown:
@@ -219,6 +222,7 @@ class TableStore:
         """Append rows; the count comes from an Observation on the write itself."""
         started = time.perf_counter()
         spec = self.spec(table)
+        self.recover(table)
         obs = Observation(f"append_{spec.name}")
         rows = with_partition_columns(conform(frame, spec.schema), spec)
         if self.stored_layout(table) is None:
@@ -318,6 +322,7 @@ class TableStore:
         spec = self.spec(table)
         if not spec.identity:
             raise ValueError(f"{table} has no identity columns; use append")
+        self.recover(table)
         src = conform(frame, spec.schema).persist()
         try:
             stats = self.batch_stats(src, spec, identity_proven=identity_proven)
@@ -359,9 +364,11 @@ class TableStore:
         """Replace the table's touched partitions (or, unpartitioned, its data files)
         by the staged ones, moving directories instead of copying data.
 
-        Staging is complete before the first move, and each partition is moved
-        whole, so a crash mid-commit is repaired by rerunning the commit (the
-        remaining staged partitions are still there) or the whole idempotent upsert."""
+        The full plan (entries to remove, moves to make) is written to a marker
+        file in the table folder before anything changes; applying it is
+        idempotent, and every store operation first finishes a pending plan
+        (roll-forward), so a driver lost mid-commit never leaves a partition
+        missing or duplicated."""
         fs, stage = sess.hadoop_fs(self.spark, staging)
         jvm = self.spark.sparkContext._jvm
         Path = jvm.org.apache.hadoop.fs.Path
@@ -377,29 +384,62 @@ class TableStore:
                 else:
                     yield st.getPath()
 
+        stage_root = stage.toUri().getPath()
         if depth == 0:
-            for st in fs.listStatus(table):
-                if not st.getPath().getName().startswith(("_", ".")):
-                    fs.delete(st.getPath(), True)
-            for src in data_entries(stage, 0):
-                fs.rename(src, Path(table, src.getName()))
+            remove = [st.getPath().toString() for st in fs.listStatus(table)
+                      if not st.getPath().getName().startswith(("_", "."))]
+            moves = [(src.toString(), Path(table, src.getName()).toString()) for src in data_entries(stage, 0)]
         else:
             leaves = {}
             for src in data_entries(stage, 0):
-                rel = src.getParent().toUri().getPath()[len(stage.toUri().getPath()):].lstrip("/")
-                leaves.setdefault(rel, src.getParent())
-            for rel, src_dir in leaves.items():
-                dst = Path(table, rel)
-                if fs.exists(dst):
-                    fs.delete(dst, True)
-                fs.mkdirs(dst.getParent())
-                fs.rename(src_dir, dst)
+                rel = src.getParent().toUri().getPath()[len(stage_root):].lstrip("/")
+                leaves.setdefault(rel, src.getParent().toString())
+            remove = []
+            moves = [(src_dir, Path(table, rel).toString()) for rel, src_dir in leaves.items()]
+        plan = {"staging": staging, "remove": remove, "moves": moves}
+        marker = f"{table_path}/{PENDING_COMMIT}"
+        sess.write_text(self.spark, marker, json.dumps(plan))
+        self._apply_commit(plan)
+        fs.delete(Path(marker), False)
         fs.delete(stage, True)
 
+    def _apply_commit(self, plan: dict) -> None:
+        """Idempotent: removals of what is still there, then moves of what is still staged."""
+        jvm = self.spark.sparkContext._jvm
+        Path = jvm.org.apache.hadoop.fs.Path
+        fs, _ = sess.hadoop_fs(self.spark, plan["staging"])
+        for old in plan["remove"]:
+            if fs.exists(Path(old)):
+                fs.delete(Path(old), True)
+        for src, dst in plan["moves"]:
+            src_p, dst_p = Path(src), Path(dst)
+            if not fs.exists(src_p):
+                continue            # moved before an interruption
+            if fs.exists(dst_p):
+                fs.delete(dst_p, True)
+            fs.mkdirs(dst_p.getParent())
+            fs.rename(src_p, dst_p)
+
+    def recover(self, table: str) -> bool:
+        """Finish a commit interrupted by a lost driver; True when one was pending."""
+        marker = f"{self.path(table)}/{PENDING_COMMIT}"
+        text = sess.read_text(self.spark, marker)
+        if text is None:
+            return False
+        plan = json.loads(text)
+        self._apply_commit(plan)
+        fs, hmarker = sess.hadoop_fs(self.spark, marker)
+        fs.delete(hmarker, False)
+        fs_s, stage = sess.hadoop_fs(self.spark, plan["staging"])
+        if fs_s.exists(stage):
+            fs_s.delete(stage, True)
+        return True
+
     def relayout(self, table: str, partition: Sequence[str] | None = None,
                  sort: Sequence[str] | None = None) -> int:
         """Rewrite a table under a new partition/sort layout; returns rows written."""
         spec = self.spec(table)
+        self.recover(table)
         old_stored = self.stored_layout(table)
         if partition is not None or sort is not None:
             new_spec = spec.with_layout(
