@@ -145,9 +145,10 @@ def test_interrupted_commit_rolls_forward(spark, store_root):
     def crash_after_removal(self, plan):
         jvm = self.spark.sparkContext._jvm
         fs, _ = hadoop_fs(spark, plan["staging"])
-        for _, dst in plan["moves"]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(dst), True)   # old partition gone ...
-        raise RuntimeError("driver lost")                         # ... staged one not moved
+        assert plan["remove"]                                      # the file holding "b" is replaced
+        for old in plan["remove"]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)   # old data gone ...
+        raise RuntimeError("driver lost")                          # ... staged data not moved
 
     TableStore._apply_commit = crash_after_removal
     try:
@@ -160,3 +161,30 @@ def test_interrupted_commit_rolls_forward(spark, store_root):
     got = sorted((r.k, r.v) for r in fresh.read("raw.px").collect())
     assert got == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
     assert not fresh.recover("raw.px")
+
+
+def test_small_upsert_rewrites_only_files_with_changed_keys(spark, store_root):
+    import os
+    store = _store(spark, store_root)
+    first = [(f"k{i}", datetime(2024, 1, 1 + i), float(i), None) for i in range(6)]
+    store.append("raw.px", _rows(spark, first[:3]))
+    store.append("raw.px", _rows(spark, first[3:]))          # two files in the 2024 partition
+    root = store.path("raw.px").replace("file:", "") + "/t_years=2024"
+
+    def files():
+        return sorted(f for f in os.listdir(root) if f.endswith(".parquet"))
+
+    before = files()
+    assert len(before) == 2
+    r = store.upsert("raw.px", _rows(spark, [("k9", datetime(2024, 2, 1), 9.0, None)]))
+    assert (r.rows_inserted, r.rows_updated) == (1, 0)
+    after_insert = files()
+    assert set(before) < set(after_insert) and len(after_insert) == 3   # pure addition
+    r = store.upsert("raw.px", _rows(spark, [("k4", datetime(2024, 1, 5), 40.0, None),
+                                             ("k1", datetime(2024, 1, 2), 1.0, None)]))   # k1 unchanged
+    assert (r.rows_inserted, r.rows_updated) == (0, 1)
+    after_update = files()
+    kept = set(after_insert) & set(after_update)
+    assert len(kept) == 2 and len(after_update) == 3                  # only the file holding k4 replaced
+    got = {x.k: x.v for x in store.read("raw.px").collect()}
+    assert got == {"k0": 0.0, "k1": 1.0, "k2": 2.0, "k3": 3.0, "k4": 40.0, "k5": 5.0, "k9": 9.0}

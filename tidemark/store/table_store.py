@@ -10,21 +10,18 @@ Upsert (no row-level MERGE on plain Parquet):
    and the set of partitions it touches (bounded by the partition count);
 2. only the touched partitions of the target are read (static partition
    pruning from the collected partition values);
-3. counts: target ``inner`` join batch on the identity -> matched and changed
-   (null-safe ``<=>`` over every non-key column); inserted = batch - matched;
-4. merged = target ``left_anti`` batch keys, ``unionByName`` batch;
-5. merged rows go to a staging folder under the shared checkpoint root, then
-   the staged partition directories replace exactly the touched partitions
-   (directory moves, no second copy of the data).  A crash between 5a and 5b
-   leaves staging complete; rerunning the upsert is idempotent because the
-   identity decides every row.
-
-Join strategy: the batch is broadcast only under a proven bound (its exact row
-count from step 1 times the schema's row-size estimate below the broadcast
-threshold); then steps 3-4 are map-side joins and the large target is scanned
-but never shuffled.  Beyond the bound one full outer join (one shuffle of each
-side, AQE splitting skewed keys) is persisted and feeds both the counts and the
-merged rows.
+3. small batch (broadcast only under a proven bound: exact row count times the
+   schema's row size below the threshold): copy-on-write at file level - one
+   map-side join with the broadcast batch yields the insert/update counts
+   (null-safe ``<=>`` over every non-key column) and the files holding changed
+   keys; only those files are rewritten, inserts and changed rows land as new
+   files, and the target is scanned but never shuffled;
+4. large batch: one full outer join (AQE splits skewed keys), persisted once for
+   the counts and the merged rows, replaces the touched partitions;
+5. new data is staged under the shared checkpoint root and committed by moves
+   whose full plan is first written to a marker in the table folder; any store
+   operation finishes a pending plan first (roll-forward), and the identity
+   makes reruns idempotent.
 """
 
 from __future__ import annotations
@@ -279,21 +276,67 @@ class TableStore:
             changed = changed | ~F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
         return changed
 
-    def _merge_broadcast(self, target: DataFrame, src: DataFrame, src_p: DataFrame, spec: TableSpec, n_rows: int):
-        """Small batch: two map-side joins against the broadcast batch; the target
-        partitions are scanned, never shuffled."""
+    def _upsert_files(self, table: str, spec: TableSpec, target: DataFrame, src: DataFrame, src_p: DataFrame,
+                      n_rows: int, started: float) -> WriteResult:
+        """Small batch (broadcast under a proven bound): copy-on-write at file level.
+
+        One map-side join of the (pruned) target with the broadcast batch gives the
+        match and change counts and the data files that hold changed keys.  Only
+        those files are rewritten (minus the changed keys); inserts and changed
+        rows land as new files; files with no changed key stay untouched, so an
+        insert-only batch is a pure addition."""
         keys = list(spec.identity)
         non_keys = [c for c in spec.columns if c not in keys]
         renamed = F.broadcast(src.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys]))
-        counts = target.join(renamed, keys, "inner").agg(
-            F.count(F.lit(1)).alias("matched"), F.count_if(self._changed(non_keys)).alias("changed")).collect()[0]
-        matched, updated = int(counts["matched"]), int(counts["changed"])
-        inserted = n_rows - matched
-        if inserted == 0 and updated == 0:
-            return None
-        merged = target.join(F.broadcast(src.select(*keys)), keys, "left_anti") \
-            .unionByName(src_p.select(*target.columns))
-        return merged, inserted, updated, lambda: None
+        matched = (target.withColumn("_file", F.input_file_name()).join(renamed, keys, "inner")
+                   .select(*keys, "_file", self._changed(non_keys).alias("_changed"))
+                   .persist())  # at most one row per batch key
+        try:
+            row = matched.agg(F.count(F.lit(1)).alias("matched"), F.count_if("_changed").alias("changed"),
+                              F.collect_set(F.when(F.col("_changed"), F.col("_file"))).alias("files")).collect()[0]
+            inserted, updated = n_rows - int(row["matched"]), int(row["changed"])
+            if inserted == 0 and updated == 0:
+                return WriteResult(0, 0, round(time.perf_counter() - started, 3))
+            columns = spec.storage_schema.fieldNames()
+            unchanged = matched.filter(~F.col("_changed")).select(*keys)
+            parts = [src_p.join(F.broadcast(unchanged), keys, "left_anti").select(*columns)]
+            files = sorted(row["files"])
+            if files:
+                old = (self.spark.read.schema(spec.storage_schema).option("basePath", self.path(table))
+                       .parquet(*files))
+                changed_keys = matched.filter(F.col("_changed")).select(*keys)
+                parts.append(old.join(F.broadcast(changed_keys), keys, "left_anti").select(*columns))
+            new_rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
+            self._write(new_rows, spec, staging, "overwrite")
+            self._commit_files(staging, self.path(table), files)
+            return WriteResult(inserted, updated, round(time.perf_counter() - started, 3))
+        finally:
+            matched.unpersist()
+
+    def _commit_files(self, staging: str, table_path: str, remove: Sequence[str]) -> None:
+        """File-level commit: the replaced files go, every staged data file moves to
+        the same relative place in the table (names are unique).  Same roll-forward
+        marker as the directory commit."""
+        fs, stage = sess.hadoop_fs(self.spark, staging)
+        jvm = self.spark.sparkContext._jvm
+        Path = jvm.org.apache.hadoop.fs.Path
+        stage_root = stage.toUri().getPath().rstrip("/")
+        moves = []
+        it = fs.listFiles(stage, True)
+        while it.hasNext():
+            st = it.next()
+            path = st.getPath()
+            rel = path.toUri().getPath()[len(stage_root):].lstrip("/")
+            if any(part.startswith(("_", ".")) for part in rel.split("/")):
+                continue
+            moves.append((path.toString(), Path(Path(table_path), rel).toString()))
+        plan = {"staging": staging, "remove": list(remove), "moves": moves}
+        marker = f"{table_path}/{PENDING_COMMIT}"
+        sess.write_text(self.spark, marker, json.dumps(plan))
+        self._apply_commit(plan)
+        fs.delete(Path(marker), False)
+        fs.delete(stage, True)
 
     def _merge_shuffled(self, target: DataFrame, src_p: DataFrame, spec: TableSpec):
         """Large batch: one full outer join (one shuffle of each side, AQE splits
@@ -344,9 +387,8 @@ class TableStore:
             if spec.partition:
                 target = target.filter(_partition_predicate(spec.partition_columns, stats["parts"]))
             if self._fits_broadcast(stats["rows"], spec):
-                result = self._merge_broadcast(target, src, src_p, spec, stats["rows"])
-            else:
-                result = self._merge_shuffled(target, src_p, spec)
+                return self._upsert_files(table, spec, target, src, src_p, stats["rows"], started)
+            result = self._merge_shuffled(target, src_p, spec)
             if result is None:
                 return WriteResult(0, 0, round(time.perf_counter() - started, 3))
             merged, inserted, updated, cleanup = result
