@@ -300,7 +300,7 @@ class TableStore:
             columns = spec.storage_schema.fieldNames()
             unchanged = matched.filter(~F.col("_changed")).select(*keys)
             parts = [src_p.join(F.broadcast(unchanged), keys, "left_anti").select(*columns)]
-            files = sorted(row["files"])
+            files = sorted(self._file_path(f) for f in row["files"])
             if files:
                 old = (self.spark.read.schema(spec.storage_schema).option("basePath", self.path(table))
                        .parquet(*files))
@@ -314,6 +314,13 @@ class TableStore:
         finally:
             matched.unpersist()
 
+    def _file_path(self, uri: str) -> str:
+        """``input_file_name()`` gives a URI with escaped characters (Spark escapes
+        partition values in folder names, and the URI escapes again); decode it to
+        the file-system path so it can be read and removed."""
+        jvm = self.spark.sparkContext._jvm
+        return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
     def _commit_files(self, staging: str, table_path: str, remove: Sequence[str]) -> None:
         """File-level commit: the replaced files go, every staged data file moves to
         the same relative place in the table (names are unique).  Same roll-forward
