@@ -37,6 +37,17 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: in
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _finish(query, timeout_s: int) -> None:
+    """Wait for an ``availableNow`` query; a query still running after ``timeout_s``
+    is stopped and reported (the checkpoint lets a rerun resume)."""
+    done = query.awaitTermination(timeout_s)
+    if not done:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def closed_bars(events: DataFrame, *, ts: str = "ts", key: str = "event_type", value: str = "value",
                 bar: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """Streaming OHLC bars; a bar is emitted once closed (watermark past its end)."""
@@ -51,21 +62,20 @@ def closed_bars(events: DataFrame, *, ts: str = "ts", key: str = "event_type", v
                       "open", "high", "low", "close", "volume", "number_of_trades")
 
 
-def run_to_files(stream: DataFrame, spark: SparkSession, purpose: str) -> str:
+def run_to_files(stream: DataFrame, spark: SparkSession, purpose: str, timeout_s: int = 1800) -> str:
     """Run a streaming query over everything available (``availableNow``) into a
     parquet sink; returns the output folder."""
     root = scratch_path(spark, purpose)
     q = (stream.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(q, timeout_s)
     return f"{root}/out"
 
 
 def upsert_stream(stream: DataFrame, store: TableStore, table: str,
-                  transform: Callable[[DataFrame], DataFrame], purpose: str = "stream-upsert") -> list:
+                  transform: Callable[[DataFrame], DataFrame], purpose: str = "stream-upsert",
+                  timeout_s: int = 1800) -> list:
     """Each micro-batch -> ``transform`` -> keyed upsert.  Returns per-batch write results."""
     results: list = []
 
@@ -75,9 +85,7 @@ def upsert_stream(stream: DataFrame, store: TableStore, table: str,
     root = scratch_path(store.spark, purpose)
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(q, timeout_s)
     return results
 
 
