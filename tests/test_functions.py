@@ -72,3 +72,21 @@ def test_redact_reference_cases(spark):
     assert "abc.def-123" not in got[2] and "Bearer ***" in got[2]
     assert "supersecretvalue" not in got[3]
     assert got[4] == "nothing to hide here"
+
+
+def test_iso_and_epoch_edges(spark):
+    ms = [0, -1, 999, 1000, 1717286399999, 253402300799000]
+    got = _eval(spark, TM.iso_from_ms(F.col("ms")), [(m,) for m in ms], "ms long")
+    assert got == [datetime.fromtimestamp(m / 1000, tz=timezone.utc).isoformat() for m in ms]
+    back = _eval(spark, TM.timestamp_to_ms(TM.ms_to_timestamp(F.col("ms"))), [(m,) for m in ms], "ms long")
+    assert back == ms
+    days = _eval(spark, TM.seconds_to_date(F.col("s")), [(1717200000,), (1717286399,), (-1,)], "s long")
+    assert [d.isoformat() for d in days] == ["2024-06-01", "2024-06-01", "1969-12-31"]
+
+
+def test_number_text_variants(spark):
+    rows = [(" 12 ",), ("1e3",), ("-0",), ("NaN",), ("1_0",), ("0x10",)]
+    got = _eval(spark, N.optional_double(F.col("t")), rows, "t string")
+    assert got[0] == 12.0 and got[1] == 1000.0 and got[2] == 0.0
+    assert got[3] != got[3]                  # NaN accepted, as float() does
+    assert got[4] is None and got[5] is None  # Spark refuses these (documented difference for 1_0)
