@@ -12,6 +12,7 @@ the operator scales with the number of tasks and a lost task is simply packed ag
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,10 @@ from tidemark.llm.common import map_batches
 MAX_TOKENS = 4096
 END_ID = 1
 OPEN_BINS = 8192
-#: Words kept with their ids in one worker, and the longest word that is kept.
-CACHE_WORDS, CACHE_CHARS = 250_000, 48
+#: Words that a worker keeps with their ids (twice as many at most), and the longest word that is kept.
+CACHE_WORDS, CACHE_CHARS = 500_000, 48
+#: Marks that may end a word.
+MARKS = ".,;:!?#$%&*|"
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
@@ -34,33 +37,57 @@ PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequ
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
+class WordIds(dict):
+    """Ids of words as they are met; the words not met for longest go first when it is full."""
+
+    def __init__(self, inner) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+        super().__init__({"": b""})
+        self.inner, self.older, self.merged = inner, {}, inner.model.tokenize
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_chars = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x250)}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._made(word)
+        if len(word) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.older = self.copy()
+                self.clear()
+                self[""] = b""
+            self[word] = ids
+        return ids
+
+    def _made(self, word: str) -> bytes:
+        if "<" not in word and len(word) <= CACHE_CHARS and max(word) < "\u0250" and "\u0130" not in word:
+            # in these scripts lower-casing is a map of single characters, and nothing composes
+            low = word.lower()
+            if low != word:
+                return self[low]
+            if word.isalpha():  # one word to the merges, so nothing before them changes it
+                return array("I", [t.id for t in self.merged(word.translate(self.byte_chars))]).tobytes()
+            core = word.rstrip(MARKS)
+            if core != word and core.isalpha():  # letters and marks are never in one token
+                return self[core] + self[word[len(core):]]
+        return np.array(self.inner.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 class WordTokenizer:
     """Ids of whole texts, by way of the ids of their words.
 
-    A tokenizer whose pre-tokenizer drops white space and never merges across it gives a text the
-    ids of its space-separated words in order, so each distinct word is tokenised once.
+    A tokenizer that lower-cases, drops white space and never merges across it or from letters to
+    marks gives a text the ids of its space-separated words in order, so a distinct word is
+    tokenised once for as long as a worker keeps it.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        self.inner = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        return {w: np.array(e.ids, dtype="<u4").tobytes()
-                for w, e in zip(words, self.inner.encode_batch(words, add_special_tokens=False))}
+        self.known = WordIds(Tokenizer.from_file(path))
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = self._learn(list({w for w, b in zip(words, found) if b is None}))
-            found = [new[w] if b is None else b for w, b in zip(words, found)]
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {"": b""}
-            self.known.update((w, b) for w, b in new.items() if len(w) <= CACHE_CHARS)
-        return b"".join(found)
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
 def _tokenizer(path: str) -> WordTokenizer:
