@@ -31,3 +31,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.packing import packed_documents
     return packed_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.decontaminate import contamination_report
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.quality import judged
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
