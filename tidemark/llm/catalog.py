@@ -50,3 +50,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.quality import judged
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.personal import personal_data_report
+    return personal_data_report(table(spark, sf_dir, "documents"))
