@@ -56,3 +56,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.personal import personal_data_report
     return personal_data_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.language import identified_languages
+    return identified_languages(table(spark, sf_dir, "documents"))
