@@ -62,3 +62,9 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.language import identified_languages
     return identified_languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.lines import line_report
+    return line_report(table(spark, sf_dir, "documents"))
