@@ -15,7 +15,7 @@ import pyarrow as pa
 
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 #: Bytes of words: all but white space (0x20, 0x09-0x0D), or ASCII letters and digits and all beyond ASCII.
 NOT_SPACE = np.ones(256, bool)

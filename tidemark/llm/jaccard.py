@@ -72,16 +72,16 @@ def set_sizes(docs: DataFrame, n_gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int32)
         for batch in batches:
-            n, keys, waiting = [], [], []
+            n, keys, waiting, held = [], [], [], 0
             for _, tokens in _sets(batch.column(1), n_gram):
                 n.append(len(tokens))
                 keys.append(_key(tokens) if len(tokens) else None)
                 waiting.append(tokens)
-                if len(waiting) >= 256:
-                    counts += np.bincount(_slot(np.concatenate(waiting)), minlength=len(counts)).astype(np.int32)
-                    waiting = []
-            if waiting:
-                counts += np.bincount(_slot(np.concatenate(waiting)), minlength=len(counts)).astype(np.int32)
+                held += len(tokens)
+                if held >= 1 << 19:
+                    _count(counts, waiting)
+                    waiting, held = [], 0
+            _count(counts, waiting)
             yield _batch([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
                           pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], SIZES)
         for part in range(1 << SKETCH_BITS - PART_BITS):
@@ -93,6 +93,12 @@ def set_sizes(docs: DataFrame, n_gram: int) -> DataFrame:
     return map_batches(docs, run, SIZES)
 
 
+def _count(counts: np.ndarray, waiting: list[np.ndarray]) -> None:
+    if waiting:
+        slots, times = np.unique(_slot(np.concatenate(waiting)), return_counts=True)
+        counts[slots] += times.astype(np.int32)
+
+
 def _slot(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
