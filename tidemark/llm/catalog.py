@@ -68,3 +68,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.lines import line_report
     return line_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.licenses import licence_report
+    return licence_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.html_text import extracted_text
+    return extracted_text(table(spark, sf_dir, "pages"))
