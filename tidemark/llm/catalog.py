@@ -80,3 +80,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.html_text import extracted_text
     return extracted_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.warc import fixity_report
+    from tidemark.session import scratch_path
+    return fixity_report(table(spark, sf_dir, "pages"), scratch_path(spark, "llm-warc"))

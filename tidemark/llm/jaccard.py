@@ -295,10 +295,10 @@ def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90,
 def one_of_each(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders: int = 2) -> DataFrame:
     """``documents`` with one document of each component: that with its smallest doc_id.
 
-    Rows that repeat this doc_id all stay, and so do rows without a doc_id in a component without
-    any; a document without words stays, being linked with nothing.
+    Rows that share a doc_id stay or go together, and stay if any of them would; so do rows without
+    one, which stay if a component has no other.  A document without words stays, linked with nothing.
     """
-    first = jaccard_components(documents, n_gram, percent, orders).where("doc_id <=> component_id") \
-        .select(F.col("doc_id").alias("kept")).distinct()
-    kept = materialize(first, "jaccard-kept")
-    return documents.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept")), "left_semi")
+    named = materialize(jaccard_components(documents, n_gram, percent, orders).select("doc_id", F.expr("doc_id <=> component_id").alias("stays")),
+                        "jaccard-named")
+    gone = materialize(named.groupBy(F.col("doc_id").alias("gone")).agg(F.max("stays").alias("stays")).where("not stays").select("gone"), "jaccard-gone")
+    return documents.join(small_or_shuffled(gone, BROADCAST_ROWS), F.col("doc_id").cast("long").eqNullSafe(F.col("gone")), "left_anti")
