@@ -34,13 +34,15 @@ THRESHOLD = 1
 MIN_CHARS = 20
 #: Lines of a key that are compared pair by pair, pieces a part is cut into, rows of a broadcast.
 PAIRED, PIECES, BROADCAST_ROWS = 24, 8, 200_000
+#: Line numbers (and four for each row of them) that are broadcast at most.
+BROADCAST_LINES = 1_000_000
 
-_SPACE = re.compile(r"\s+")
-_DIGITS = {ord(d): "0" for d in "123456789"}
+_DIGITS = re.compile(r"[1-9]")
 
 
 def normalised(line: str) -> str:
-    return _SPACE.sub(" ", line.strip().lower()).translate(_DIGITS)
+    line = " ".join(line.lower().split())
+    return _DIGITS.sub("0", line) if _DIGITS.search(line) else line
 
 
 def line_hash(line: str) -> int:
@@ -123,7 +125,7 @@ def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """Every line of ``min_chars`` or more: its document and place, hash, length, and four keys: its
     two segments, then what it has in the place of those of a line one character shorter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, len(whole), 1000)):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for rid, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for number, line in enumerate((text.as_py() or "").split("\n")):
@@ -142,9 +144,9 @@ def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """``(line, body)`` of the wanted line hashes."""
+    """``(line, body)`` of the wanted ``(line, rid)``: a line's hash and the row of one of its documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, len(whole), 1000)):
             found = {}
             for text in batch.column(0):
                 for line in (text.as_py() or "").split("\n"):
@@ -152,8 +154,9 @@ def _texts(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
                         found[line_hash(line)] = line
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.string())], names=["line", "body"])
 
-    rows = map_batches(docs.select("text"), run, "line long, body string")
-    return rows.join(small_or_shuffled(wanted, BROADCAST_ROWS), "line", "left_semi").groupBy("line").agg(F.min("body").alias("body"))
+    theirs = docs.join(small_or_shuffled(wanted.select("rid").distinct(), BROADCAST_ROWS), "rid", "left_semi").select("text")
+    rows = map_batches(theirs, run, "line long, body string")
+    return rows.join(small_or_shuffled(wanted.select("line"), BROADCAST_ROWS), "line", "left_semi").groupBy("line").agg(F.min("body").alias("body"))
 
 
 PARTS = "key long, line long, length int, lo int, hi int, longer boolean"
@@ -212,7 +215,8 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
                                                   part(2, m, half(m), m), part(3, m, F.lit(0), half(m)))))
     shared = start.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low < high").select("key")
     parts = materialize(start.join(shared, "key").select("line", "length", "lo", "hi"), "lines-parts")
-    bodies = materialize(_texts(docs, parts.select("line").distinct(), min_chars), "lines-bodies")
+    wanted = materialize(lines.select("line", "rid").join(parts.select("line").distinct(), "line"), "lines-wanted")
+    bodies = materialize(_texts(docs, wanted, min_chars), "lines-bodies")
 
     pairs, links = [], []
     while True:
@@ -252,17 +256,20 @@ def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
     plain = docs.select("rid", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = materialize(occurrences(plain, min_chars), "lines-seen")
     place = (F.col("doc_id").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")).cast("decimal(38,0)")
-    lines = materialize(seen.groupBy("line").agg(F.min(place).alias("place"), F.count("*").alias("times"), F.max("n").alias("n"),
-                                                 *(F.max(F.col("keys")[k]).alias(f"k{k}") for k in range(4)))
-                        .select("line", "place", "times", "n", F.array("k0", "k1", "k2", "k3").alias("keys")), "lines-distinct")
+    lines = materialize(seen.groupBy("line").agg(F.min(place).alias("place"), F.min_by("rid", place).alias("rid"), F.count("*").alias("times"),
+                                                 F.max("n").alias("n"), *(F.max(F.col("keys")[k]).alias(f"k{k}") for k in range(4)))
+                        .select("line", "place", "rid", "times", "n", F.array("k0", "k1", "k2", "k3").alias("keys")), "lines-distinct")
     links = materialize(line_links(plain, lines, min_chars), "lines-links")
     near = (links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
             .join(lines.select(F.col("line").alias("b"), F.col("place").alias("theirs")), "b").groupBy("a").agg(F.min("theirs").alias("theirs")))
     first = (lines.join(near.withColumnRenamed("a", "line"), "line", "left").where("times > 1 or theirs < place")
              .select("line", F.least("place", "theirs").alias("first")))
-    again = (seen.select("rid", "line", "line_no", place.alias("place")).join(first, "line").where("place > first")
-             .groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("repeats")))
-    found = docs.join(materialize(again, "lines-repeats"), "rid", "left")
+    first = small_or_shuffled(materialize(first, "lines-first"), BROADCAST_ROWS)
+    again = materialize(seen.select("rid", "line", "line_no", place.alias("place")).join(first, "line").where("place > first")
+                        .groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("repeats")), "lines-repeats")
+    if (again.agg(F.sum(F.size("repeats") + 4)).first()[0] or 0) <= BROADCAST_LINES:
+        again = F.broadcast(again)
+    found = docs.join(again, "rid", "left")
     return found.select(*base.columns, F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"))
 
 
