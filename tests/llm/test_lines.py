@@ -1,0 +1,98 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import tidemark.llm.lines as L
+from tests.llm.conftest import words
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("ab", max_size=14), st.text("abc", max_size=14), st.integers(1, 4))
+def test_banded_distance(a, b, k):
+    assert L.edits_within(a, b, k) == (distance(a, b) <= k)
+
+
+def brute(docs):
+    first, seen = {}, []
+    for doc, text in docs:
+        for k, line in enumerate((text or "").split("\n")):
+            line = L.normalised(line)
+            if len(line) >= L.MIN_CHARS:
+                place = (doc is None, doc or 0, k)
+                seen.append((doc, text, k, place, line))
+                first[line] = min(first.get(line, place), place)
+    out = {(doc, text): set() for doc, text in docs}
+    for doc, text, k, place, line in seen:
+        if any(p < place for other, p in first.items() if abs(len(other) - len(line)) <= 1 and distance(line, other) <= 1):
+            out[doc, text].add(k)
+    return {key: sorted(v) for key, v in out.items()}
+
+
+def got(df):
+    return {(r.doc_id, r.text): list(r.repeats) for r in df.collect()}
+
+
+def near_lines(seed, n=60):
+    """Many lines that differ from a few by an edit here and there (so groups are large), and some by more."""
+    rng = random.Random(seed)
+    bases = [" ".join(words(9, 50 + k)) for k in range(2)] + ["page 1 of 10 in this document of ours", "x" * 40]
+    docs = []
+    for doc in range(n):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            line = list(rng.choice(bases))
+            for _ in range(rng.choice([0, 0, 1, 1, 1, 2])):
+                at = rng.randrange(len(line))
+                what = rng.random()
+                if what < 0.4:
+                    line[at] = rng.choice("abcxyz")
+                elif what < 0.7:
+                    line.insert(at, rng.choice("abcxyz"))
+                else:
+                    del line[at]
+            lines.append("".join(line))
+        docs.append((doc * 7 % n, "\n".join(lines)))
+    return docs
+
+
+@pytest.mark.parametrize("paired", [24, 2])
+def test_repeats_are_those_of_all_pairs(make, monkeypatch, paired):
+    monkeypatch.setattr(L, "PAIRED", paired)     # a small group, so that cutting goes down to single characters
+    docs = near_lines(paired)
+    assert got(L.repeated_lines(make(docs))) == brute(docs)
+
+
+def test_odd_documents(odd, make, clashing):
+    docs = [(r.doc_id, r.text) for r in odd.collect() if r.doc_id != 6]
+    small = make(docs)
+    assert got(L.repeated_lines(small)) == brute(docs)
+    frame = clashing(small)
+    out = L.deduplicated_lines(frame)
+    assert out.columns == frame.columns
+    assert L.deduplicated_lines(odd).where("doc_id = 6").count() == 1
+    assert L.repeated_lines(make([])).collect() == []
+
+
+def test_texts_without_repeats(make):
+    line, other = "A line of boilerplate, 2024.", "Something else altogether here"
+    docs = [(1, f"{line}\nshort\n{other}"), (2, f"short\n  a LINE  of boilerplate, 2023.\nown words of this one here"), (3, f"{line}\n \n"), (4, f"{line}\nshort")]
+    kept = {r.doc_id: r.text for r in L.deduplicated_lines(make(docs)).collect()}
+    assert kept == {1: docs[0][1], 2: "short\nown words of this one here", 4: "short"}
+
+
+def test_report_columns(make):
+    rows = {r.doc_id: r for r in L.line_report(make([(1, "one line of many letters\nb"), (2, "b\none line of many letters"), (3, None)])).collect()}
+    assert (rows[1].n_lines, rows[1].n_repeats, rows[2].n_repeats, rows[2].text) == (2, 0, 1, "b")
+    assert (rows[3].n_lines, rows[3].text) == (0, None)

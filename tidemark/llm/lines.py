@@ -9,7 +9,7 @@ length ``n + 1`` can have in their place are the probes.
 The part that may differ is then cut again, into eight, and lines must agree on all but one of the
 pieces; a group of lines that share a key is compared pair by pair only once it is small.  A large
 group goes on being cut, down to one character: then its members are one edit apart by what they
-share, and links to one of them are enough.  So no key, however common, makes pairs of all its lines.
+share, and links to the earliest of them are enough.  So no key, however common, makes pairs of all its lines.
 Candidates are verified by banded bit-parallel edit distance.
 
 Lines are known by 64-bit hashes (with their lengths); a line is a repeat if an equal line, or one
@@ -206,7 +206,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 
 def line_links(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
     """Links ``(a, b)`` between hashes of lines that are one edit apart.  Within a large group whose
-    lines are all alike but for one character, each is linked with the smallest hash only."""
+    lines are all alike but for one character, each is linked with the earliest only."""
     half = lambda n: F.floor(n / 2).cast("int")
     n, m = F.col("n"), F.col("n") - 1
     part = lambda k, length, lo, hi: F.struct(F.col("keys")[k].alias("key"), length.cast("int").alias("length"),
@@ -223,9 +223,11 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
         cut = materialize(_cut(parts, bodies), "lines-cut")
         groups = cut.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"), F.count("*").alias("members"),
                                         F.min(F.when(~F.col("longer"), F.col("line"))).alias("centre")).where("low < high")
-        held = materialize(cut.join(groups.select("key", "members", "low", "centre"), "key"), "lines-groups")
+        held = materialize(cut.join(groups.select("key", "members", "centre"), "key"), "lines-groups")
         # leaves: one edit apart by what they share
-        links.append(held.where("hi = lo and line <> low").select(F.col("low").alias("a"), F.col("line").alias("b")))
+        alike = held.where("hi = lo").join(lines.select("line", "place"), "line")
+        earliest = alike.groupBy("key").agg(F.min_by("line", "place").alias("earliest"))
+        links.append(alike.join(earliest, "key").where("line <> earliest").select(F.col("earliest").alias("a"), F.col("line").alias("b")))
         links.append(held.where("hi < lo and centre is not null and line <> centre").select(F.col("centre").alias("a"), F.col("line").alias("b")))
         small = held.where((F.col("hi") > F.col("lo")) & (F.col("members") <= PAIRED)).select("key", "line")
         pairs.append(small.alias("s").join(small.alias("t"), "key").where("s.line < t.line").select(F.col("s.line").alias("a"), F.col("t.line").alias("b")))
