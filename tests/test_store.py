@@ -5,9 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import hadoop_fs
+from tidemark.session import create_text
 from tidemark.spec import table_spec
-from tidemark.store import TableStore
+from tidemark.store import ConcurrentWrite, TableStore
 
 SPEC = table_spec("raw.px", {"k": str, "t": datetime, "v": float, "note": str | None},
                   identity=("k", "t"), partition=("years(t)",), sort=("t", "k"))
@@ -52,11 +52,9 @@ def test_upsert_insert_update_unchanged(spark, store_root):
 def test_upsert_touches_only_batch_partitions(spark, store_root):
     store = _store(spark, store_root)
     store.upsert("raw.px", _rows(spark, [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]))
-    fs, root = hadoop_fs(spark, store.path("raw.px") + "/t_years=2023")
-    before = sorted(st.getPath().getName() for st in fs.listStatus(root))
+    before = {f for f in store.version("raw.px").files if "t_years=2023" in f}
     store.upsert("raw.px", _rows(spark, [("b", datetime(2024, 1, 1), 9.0, None)]))
-    after = sorted(st.getPath().getName() for st in fs.listStatus(root))
-    assert before == after  # 2023 files untouched
+    assert before <= set(store.version("raw.px").files)  # 2023 files untouched
     assert {r.k: r.v for r in store.read("raw.px").collect()} == {"a": 1.0, "b": 9.0}
 
 
@@ -130,49 +128,113 @@ def test_read_keys_prunes_to_batch_partitions(spark, store_root):
     batch = _rows(spark, [("b", datetime(2024, 1, 1), 5.0, None), ("c", datetime(2024, 2, 1), 6.0, None)])
     keys = store.read_keys("raw.px", batch)
     assert sorted(r.k for r in keys.collect()) == ["b"]
-    p = spark._jvm.PythonSQLUtils.explainString(keys._jdf.queryExecution(), "formatted")
-    assert "PartitionFilters: [isnotnull(t_years" in p and "= 2024)" in p
+    assert keys.inputFiles() and all("t_years=2024" in f for f in keys.inputFiles())
     assert store.read_keys("raw.flat", spark.createDataFrame([("x", 1.0)], "d string, v double")).count() == 0
 
 
-def test_interrupted_commit_rolls_forward(spark, store_root):
-    """A driver lost mid-commit (old partition removed, staged one not yet moved):
-    the next store operation finishes the commit; no row is lost or doubled."""
+BASE = [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]
+BATCH = [("b", datetime(2024, 1, 1), 9.0, None), ("c", datetime(2024, 3, 1), 3.0, None)]
+MERGED = [("a", 1.0), ("b", 9.0), ("c", 3.0)]
+
+
+def _held(store):
+    return sorted((r.k, r.v) for r in store.read("raw.px").collect())
+
+
+def test_a_writer_lost_before_its_commit_changes_nothing(spark, store_root):
     store = _store(spark, store_root)
-    store.upsert("raw.px", _rows(spark, [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]))
-    real_apply = TableStore._apply_commit
+    store.upsert("raw.px", _rows(spark, BASE))
+
+    def lost():
+        raise RuntimeError("driver lost")
 
-    def crash_after_removal(self, plan):
-        jvm = self.spark.sparkContext._jvm
-        fs, _ = hadoop_fs(spark, plan["staging"])
-        assert plan["remove"]                                      # the file holding "b" is replaced
-        for old in plan["remove"]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)   # old data gone ...
-        raise RuntimeError("driver lost")                          # ... staged data not moved
+    with pytest.raises(RuntimeError):
+        store.upsert("raw.px", _rows(spark, BATCH), before_commit=lost)
+    assert _held(_store(spark, store_root)) == [("a", 1.0), ("b", 2.0)]
+    assert store.upsert("raw.px", _rows(spark, BATCH)).rows_affected == 2
+    assert _held(store) == MERGED
+    assert store.vacuum("raw.px") >= 1 and _held(store) == MERGED and store.vacuum("raw.px") == 0
 
-    TableStore._apply_commit = crash_after_removal
+
+def test_a_torn_version_file_leaves_the_one_before_in_force(spark, store_root):
+    store = _store(spark, store_root)
+    store.upsert("raw.px", _rows(spark, BASE))
+    assert create_text(spark, f"{store.path('raw.px')}/_versions/{1:012d}.json", '{"layout": null, "fil')
+    assert store.version("raw.px").number == 0 and _held(store) == [("a", 1.0), ("b", 2.0)]
+    store.upsert("raw.px", _rows(spark, BATCH))
+    assert store.version("raw.px").number == 2 and _held(store) == MERGED
+
+
+def test_two_writers(spark, store_root):
+    """Of two upserts on one version one fails whole and can be run again; an append goes on top."""
+    store, other = _store(spark, store_root), _store(spark, store_root)
+    store.upsert("raw.px", _rows(spark, BASE))
+    late = [("d", datetime(2024, 5, 1), 4.0, None)]
+    with pytest.raises(ConcurrentWrite):
+        store.upsert("raw.px", _rows(spark, BATCH), before_commit=lambda: other.upsert("raw.px", _rows(spark, late)))
+    assert _held(store) == [("a", 1.0), ("b", 2.0), ("d", 4.0)]
+    publish, calls = TableStore._publish, []
+
+    def outrun(self, table, base, number, files):
+        if not calls:
+            calls.append(1)
+            other.append("raw.px", _rows(spark, [("e", datetime(2024, 6, 1), 5.0, None)]))
+        return publish(self, table, base, number, files)
+
+    TableStore._publish = outrun
     try:
-        with pytest.raises(RuntimeError):
-            store.upsert("raw.px", _rows(spark, [("b", datetime(2024, 1, 1), 9.0, None),
-                                                 ("c", datetime(2024, 3, 1), 3.0, None)]))
+        store.append("raw.px", _rows(spark, [("f", datetime(2024, 6, 1), 6.0, None)]))
     finally:
-        TableStore._apply_commit = real_apply
-    fresh = _store(spark, store_root)            # e.g. a restarted driver
-    got = sorted((r.k, r.v) for r in fresh.read("raw.px").collect())
-    assert got == [("a", 1.0), ("b", 9.0), ("c", 3.0)]
-    assert not fresh.recover("raw.px")
+        TableStore._publish = publish
+    assert _held(store) == [("a", 1.0), ("b", 2.0), ("d", 4.0), ("e", 5.0), ("f", 6.0)]
+
+
+def test_a_read_during_a_write_sees_one_version(spark, store_root):
+    store = _store(spark, store_root)
+    store.upsert("raw.px", _rows(spark, BASE))
+    seen, before = [], store.read("raw.px")
+    store.upsert("raw.px", _rows(spark, BATCH), before_commit=lambda: seen.append(_held(store)))
+    assert seen == [[("a", 1.0), ("b", 2.0)]] and _held(store) == MERGED
+    assert sorted((r.k, r.v) for r in before.collect()) == seen[0]      # a reader that began before
+
+
+@pytest.mark.parametrize("threshold", ["64m", "-1"])
+def test_upsert_into_duplicate_identities(spark, store_root, threshold):
+    """A key that is stored twice (two appends): both rows take the batch's values; new keys go in."""
+    store = _store(spark, f"{store_root}{threshold}")
+    for _ in range(2):
+        store.append("raw.flat", spark.createDataFrame([("1", 1.0), ("7", 7.0)], "d string, v double"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        r = store.upsert("raw.flat", spark.createDataFrame([("1", 1.0), ("2", 2.0)], "d string, v double"))
+        assert (r.rows_inserted, r.rows_updated) == (1, 0)
+        r = store.upsert("raw.flat", spark.createDataFrame([("7", 8.0), ("2", 2.0)], "d string, v double"))
+        assert (r.rows_inserted, r.rows_updated) == (0, 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted((x.d, x.v) for x in store.read("raw.flat").collect()) == [("1", 1.0), ("1", 1.0), ("2", 2.0), ("7", 8.0), ("7", 8.0)]
+
+
+def test_a_key_that_changes_partition_moves(spark, store_root):
+    spec = table_spec("raw.mv", {"k": str, "t": datetime, "v": float}, identity=("k",), partition=("years(t)",))
+    store = TableStore(spark, store_root, {spec.identifier: spec})
+    rows = lambda r: spark.createDataFrame(r, "k string, t timestamp, v double")
+    store.upsert("raw.mv", rows([("1", datetime(2020, 1, 1), 1.0), ("2", datetime(2020, 1, 1), 2.0)]))
+    batch = rows([("1", datetime(2021, 1, 1), 1.0), ("3", datetime(2021, 1, 1), 3.0)])
+    assert sorted(r.k for r in store.read_keys("raw.mv", batch).collect()) == ["1", "2"]
+    r = store.upsert("raw.mv", batch)
+    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    assert sorted((x.k, x.t.year) for x in store.read("raw.mv").collect()) == [("1", 2021), ("2", 2020), ("3", 2021)]
 
 
 def test_small_upsert_rewrites_only_files_with_changed_keys(spark, store_root):
-    import os
     store = _store(spark, store_root)
     first = [(f"k{i}", datetime(2024, 1, 1 + i), float(i), None) for i in range(6)]
     store.append("raw.px", _rows(spark, first[:3]))
     store.append("raw.px", _rows(spark, first[3:]))          # two files in the 2024 partition
-    root = store.path("raw.px").replace("file:", "") + "/t_years=2024"
 
     def files():
-        return sorted(f for f in os.listdir(root) if f.endswith(".parquet"))
+        return store.version("raw.px").files
 
     before = files()
     assert len(before) == 2

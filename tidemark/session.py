@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS: dict[str, str] = {
@@ -71,6 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         app = sc.applicationId
         root = _PRIVATE_ROOTS.get(app)
         if root is None:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir is not set: a cluster has to name a folder that all its machines share")
             root = _PRIVATE_ROOTS[app] = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -89,19 +92,45 @@ def hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small metadata file (layout JSON, pointer) atomically via rename."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already (the file system lets one creator through)."""
     fs, hpath = hadoop_fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
-    out = fs.create(tmp, True)
+    if fs.exists(hpath):
+        return False
+    try:
+        out = fs.create(hpath, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    fs.rename(tmp, hpath)
+    return True
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, hpath = hadoop_fs(spark, folder)
+    return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all files below a folder, relative to it."""
+    fs, hpath = hadoop_fs(spark, folder)
+    if not fs.exists(hpath):
+        return []
+    top, found, it = hpath.toUri().getPath().rstrip("/"), [], fs.listFiles(hpath, True)
+    while it.hasNext():
+        found.append(it.next().getPath().toUri().getPath()[len(top) + 1:])
+    return sorted(found)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder; whether there was one."""
+    fs, hpath = hadoop_fs(spark, path)
+    return bool(fs.delete(hpath, True))
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -1,37 +1,33 @@
-"""Keyed table I/O over Parquet directories.
-
-Layout: ``<root>/<namespace>/<name>/`` holds the Parquet data (partitioned by
-the derived ``<col>_<transform>`` columns) and ``_layout.json`` (partition and
-sort layout, compared against the spec to detect drift).
-
-Upsert (no row-level MERGE on plain Parquet):
-
-1. one aggregate over the batch gives its row count, duplicate keys, null keys
-   and the set of partitions it touches (bounded by the partition count);
-2. only the touched partitions of the target are read (static partition
-   pruning from the collected partition values);
-3. small batch (broadcast only under a proven bound: exact row count times the
-   schema's row size below the threshold): copy-on-write at file level - one
-   map-side join with the broadcast batch yields the insert/update counts
-   (null-safe ``<=>`` over every non-key column) and the files holding changed
-   keys; only those files are rewritten, inserts and changed rows land as new
-   files, and the target is scanned but never shuffled;
-4. large batch: one full outer join (AQE splits skewed keys), persisted once for
-   the counts and the merged rows, replaces the touched partitions;
-5. new data is staged under the shared checkpoint root and committed by moves
-   whose full plan is first written to a marker in the table folder; any store
-   operation finishes a pending plan first (roll-forward), and the identity
-   makes reruns idempotent.
+"""Keyed tables as versioned sets of Parquet files.
+
+Layout of a table's folder::
+
+    data/<write>/<derived column>=<value>/.../part-*.parquet    files of one write, never changed
+    _versions/<number>.json                                     layout and file list of a version
+
+A version names every file that belongs to the table; the highest readable one is the table.  A
+write puts its files into a folder of its own and then creates the next version file, which only
+one writer can: an append that finds it taken is put on top of it, any other write fails and can be
+run again.  So a reader never sees half a write and changes nothing itself; a writer that dies
+leaves files that no version names (`vacuum` removes them), and a refused or torn version file
+leaves the version before it in force.  No file is moved or replaced.
+
+Upsert is copy-on-write by file: one join of the batch with the stored rows it can match gives the
+counts and the files that hold changed rows; these are written anew, all others stay.  Spark picks
+the join by the measured size of the persisted batch.  Only partitions that the batch touches are
+read, if the identity determines the partition; else a row may have moved, and all are.
 """
 
 from __future__ import annotations
 
 import json
 import time
-from collections.abc import Sequence
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import session as sess
@@ -39,85 +35,56 @@ from tidemark.operators.conform import conform
 from tidemark.spec import TableSpec, partition_matches, sort_matches
 from tidemark.tables import ALL_SPECS, resolve
 
-LAYOUT_FILE = "_layout.json"
-PENDING_COMMIT = "_pending_commit.json"
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DATA, VERSIONS = "data", "_versions"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer made the next version first; the write changed nothing and may be run again."""
 
 
-@dataclass(frozen=True)
-class WriteResult:
-    rows_inserted: int
-    rows_updated: int
-    write_duration_seconds: float
+class WriteResult(NamedTuple):
+    """Rows put in, rows given other values, and how long it took."""
+
+    rows_inserted: int = 0
+    rows_updated: int = 0
+    seconds: float = 0.0
 
     @property
     def rows_affected(self) -> int:
-        return self.rows_inserted + self.rows_updated
+        return sum(self[:2])
+
+
+class Version(NamedTuple):
+    """A table at one moment: its number (-1: none yet), layout, and files under the table's folder."""
+
+    number: int
+    layout: dict | None
+    files: tuple[str, ...]
 
 
 def with_partition_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
-    for p in spec.partition:
-        df = df.withColumn(p.name, p.expr())
-    return df
+    return df.withColumns({p.name: p.expr() for p in spec.partition}) if spec.partition else df
 
 
 def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) -> DataFrame:
-    """Cluster rows for the writer: partition columns first, then the sort order
-    (ASC NULLS FIRST).
-
-    ``REBALANCE`` on the partition columns lets AQE size the write tasks from the
-    actual shuffle statistics: a partition value usually lands in one task (one
-    file per directory), a hot value holding a third of the rows is split across
-    tasks, and small tasks are coalesced - without a sampling pass over the input
-    (a range partitioning would evaluate the whole input once more to sample it).
-    Then a per-task sort lays rows out in table order inside each file."""
+    """Cluster rows for the writer: partition columns first, then the sort order (ASC NULLS FIRST).
+
+    ``REBALANCE`` on the partition columns lets AQE size the write tasks from the actual shuffle
+    statistics: a partition value usually lands in one task (one file per directory), a hot value
+    holding a third of the rows is split across tasks, and small tasks are coalesced - without a
+    sampling pass over the input.  Then a per-task sort lays rows out in table order inside each
+    file."""
     order = [F.asc_nulls_first(c) for c in spec.partition_columns] + [s.expr() for s in spec.sort]
     if cluster:
         df = df.hint("rebalance", *spec.partition_columns) if spec.partition else df.hint("rebalance")
     return df.sortWithinPartitions(*order) if order else df
 
 
-def broadcast_threshold(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    try:
-        value = int(str(raw).rstrip("bBkKmMgG") or 0)
-        unit = str(raw)[-1].lower() if str(raw)[-1].isalpha() else ""
-        value *= {"k": 1024, "m": 1024 ** 2, "g": 1024 ** 3}.get(unit, 1)
-    except ValueError:
-        value = DEFAULT_BROADCAST_BYTES
-    return max(value, 0)
-
-
-def _partition_predicate(names: Sequence[str], parts: Sequence[tuple]):
-    """Static partition filter for the touched partitions (pruned at planning)."""
-    if len(names) == 1:
-        values = [p[0] for p in parts]
-        cond = F.col(names[0]).isin([v for v in values if v is not None])
-        return cond | F.col(names[0]).isNull() if any(v is None for v in values) else cond
-    cond = F.lit(False)
-    for values in parts:
-        one = F.lit(True)
-        for name, v in zip(names, values):
-            one = one & F.col(name).eqNullSafe(F.lit(v))
-        cond = cond | one
-    return cond
-
-
-def _observed_count(obs: Observation) -> int:
-    """Row count observed during a write.  A write whose input Catalyst proved
-    empty is optimized away and never reports metrics: that is zero rows."""
-    try:
-        return int(obs.get.get("n", 0) or 0)
-    except Exception:  # noqa: BLE001 - no metrics: the plan had no rows to observe
-        return 0
-
-
-# Fixed-width estimates per stored type (bytes); strings are taken at 32 bytes.
-_TYPE_BYTES = {"bigint": 8, "double": 8, "timestamp": 8, "date": 4, "int": 4, "boolean": 1, "string": 32}
-
-
-def row_size_estimate(schema) -> int:
-    return max(sum(_TYPE_BYTES.get(f.dataType.simpleString(), 16) for f in schema.fields), 1)
+def partition_values(file: str) -> dict[str, str | None]:
+    """The derived columns in a file's path, as text."""
+    steps = (step.split("=", 1) for step in file.split("/")[2:-1])
+    return {name: None if value == NULL_PARTITION else unquote(value) for name, value in steps}
 
 
 class TableStore:
@@ -128,7 +95,7 @@ class TableStore:
         self.root = root.rstrip("/")
         self.specs = dict(ALL_SPECS if specs is None else specs)
 
-    # ---- names and layout ------------------------------------------------
+    # ---- names and versions ----------------------------------------------
     def spec(self, table: str) -> TableSpec:
         return resolve(table, self.specs)
 
@@ -136,378 +103,232 @@ class TableStore:
         spec = self.spec(table)
         return f"{self.root}/{spec.namespace}/{spec.name}"
 
-    def stored_layout(self, table: str) -> dict | None:
-        text = sess.read_text(self.spark, f"{self.path(table)}/{LAYOUT_FILE}")
-        return json.loads(text) if text else None
+    def version(self, table: str) -> Version:
+        """The version in force: the highest whose file is whole."""
+        folder = f"{self.path(table)}/{VERSIONS}"
+        numbers = sorted((int(n[:-5]) for n in sess.file_names(self.spark, folder) if n[:-5].isdigit()), reverse=True)
+        for number in numbers:
+            try:
+                held = json.loads(sess.read_text(self.spark, f"{folder}/{number:012d}.json") or "")
+            except ValueError:
+                continue            # its writer died; the one before is in force
+            return Version(number, held["layout"], tuple(held["files"]))
+        return Version(-1, None, ())
+
+    def _next_number(self, table: str) -> int:
+        """The number after the last version file, whole or torn."""
+        names = sess.file_names(self.spark, f"{self.path(table)}/{VERSIONS}")
+        return 1 + max((int(n[:-5]) for n in names if n[:-5].isdigit()), default=-1)
+
+    def _publish(self, table: str, base: Version, number: int, files: Sequence[str]) -> bool:
+        """Make version ``number`` on top of ``base``; False if another writer was first."""
+        text = json.dumps({"layout": self.spec(table).layout(), "base": base.number, "files": sorted(files)})
+        return sess.create_text(self.spark, f"{self.path(table)}/{VERSIONS}/{number:012d}.json", text)
+
+    def _commit(self, table: str, base: Version, number: int, files: Sequence[str]) -> None:
+        if not self._publish(table, base, number, files):
+            raise ConcurrentWrite(f"{table}: version {number} was made by another writer")
 
-    def _write_layout(self, table: str) -> None:
-        sess.write_text(self.spark, f"{self.path(table)}/{LAYOUT_FILE}", json.dumps(self.spec(table).layout()))
+    def stored_layout(self, table: str) -> dict | None:
+        return self.version(table).layout
 
     def has_data(self, table: str) -> bool:
-        fs, hpath = sess.hadoop_fs(self.spark, self.path(table))
-        if not fs.exists(hpath):
-            return False
-        return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
+        return bool(self.version(table).files)
 
     def layout_drift(self, table: str) -> tuple[bool, bool]:
         """(partition layout matches, sort order matches) against the stored copy."""
-        stored = self.stored_layout(table)
-        spec = self.spec(table)
+        stored, spec = self.stored_layout(table), self.spec(table)
         return partition_matches(stored, spec), sort_matches(stored, spec)
 
     def create_all(self) -> None:
-        """Create missing tables (layout file); reconcile the layout of existing ones."""
+        """Create missing tables (an empty version); reconcile the layout of existing ones."""
         for table in sorted(self.specs):
-            stored = self.stored_layout(table)
-            if stored is None:
-                self._write_layout(table)
-                continue
-            part_ok, sort_ok = self.layout_drift(table)
-            if not (part_ok and sort_ok):
-                if self.has_data(table):
-                    self.relayout(table)
-                else:
-                    self._write_layout(table)
+            now = self.version(table)
+            if now.layout is None:
+                self._commit(table, now, self._next_number(table), ())
+            elif not all(self.layout_drift(table)):
+                self.relayout(table)
+
+    def vacuum(self, table: str) -> int:
+        """Remove the data files that the version in force does not name; for when no reader of an
+        older version and no writer is about.  Returns how many went."""
+        keep, path = set(self.version(table).files), self.path(table)
+        gone = [f for f in sess.files_below(self.spark, f"{path}/{DATA}") if f"{DATA}/{f}" not in keep]
+        return sum(sess.remove(self.spark, f"{path}/{DATA}/{f}") for f in gone)
 
     # ---- read ------------------------------------------------------------
+    def _scan(self, table: str, files: Sequence[str]) -> DataFrame:
+        """The rows of these files with the declared schema (never inferred)."""
+        spec, path = self.spec(table), self.path(table)
+        if not files:
+            return self.spark.createDataFrame([], spec.schema)
+        return self.spark.read.schema(spec.schema).parquet(*(f"{path}/{f}" for f in files))
+
     def read_storage(self, table: str) -> DataFrame:
-        """Data + derived partition columns, with the declared schema (never inferred)."""
-        spec = self.spec(table)
-        self.recover(table)
-        return self.spark.read.schema(spec.storage_schema).parquet(self.path(table))
+        """All rows plus the derived partition columns."""
+        return with_partition_columns(self._scan(table, self.version(table).files), self.spec(table))
 
     def read(self, table: str, *, columns: Sequence[str] | None = None) -> DataFrame:
-        """Projected scan; a missing table is an empty frame with the declared (projected) schema."""
+        """Projected scan of the version in force; a missing table is an empty frame with the declared
+        (projected) schema."""
         spec = self.spec(table)
-        self.recover(table)
         cols = list(columns) if columns else spec.columns
         unknown = [c for c in cols if c not in spec.columns]
         if unknown:
             raise KeyError(f"columns {unknown} not in {table}")
-        if not self.has_data(table):
-            schema = spec.schema
-            return self.spark.createDataFrame([], schema).select(*cols)
-        return self.read_storage(table).select(*cols)
+        return self._scan(table, self.version(table).files).select(*cols)
+
+    def _touched_files(self, version: Version, spec: TableSpec, touched: Sequence[dict] | None) -> list[str]:
+        """Files of the partitions with these derived values; all files if ``touched`` is None or the
+        files were laid out by another rule."""
+        if touched is None or not partition_matches(version.layout, spec):
+            return list(version.files)
+        wanted = {tuple(sorted(t.items(), key=lambda kv: kv[0])) for t in touched}
+        return [f for f in version.files if tuple(sorted(partition_values(f).items(), key=lambda kv: kv[0])) in wanted]
 
     def read_keys(self, table: str, batch: DataFrame) -> DataFrame:
-        """Stored identities that can match ``batch``: the partition source is part
-        of every identity, so only the partitions the batch touches are read
-        (one partial aggregate over the batch names them; the scan is pruned)."""
-        spec = self.spec(table)
-        keys = list(spec.identity)
-        if not spec.partition or not self.has_data(table):
-            return self.read(table, columns=keys)
-        parts = batch.agg(F.collect_set(F.struct(*[p.expr().alias(p.name) for p in spec.partition])).alias("p"))
-        touched = [tuple(r) for r in parts.collect()[0]["p"]]
-        if not touched:
-            return self.read(table, columns=keys).filter(F.lit(False))
-        return self.read_storage(table).filter(_partition_predicate(spec.partition_columns, touched)).select(*keys)
+        """Stored identities that can match ``batch``: one partial aggregate over the batch names the
+        partitions to read, where the identity determines them."""
+        spec, now = self.spec(table), self.version(table)
+        touched = None
+        if spec.partition and spec.identity_determines_partition and now.files:
+            touched = self._touched(batch.agg(self._parts(spec)).first()["parts"], spec)
+        return self._scan(table, self._touched_files(now, spec, touched)).select(*spec.identity)
+
+    @staticmethod
+    def _parts(spec: TableSpec) -> Column:
+        return F.collect_set(F.struct(*[p.expr().cast("string").alias(p.name) for p in spec.partition])).alias("parts")
+
+    @staticmethod
+    def _touched(parts, spec: TableSpec) -> list[dict]:
+        return [{name: p[name] for name in spec.partition_columns} for p in parts or ()]
 
     # ---- writes ----------------------------------------------------------
-    def _write(self, df: DataFrame, spec: TableSpec, path: str, mode: str, overwrite_mode: str = "dynamic",
-               obs: Observation | None = None) -> None:
-        data = sorted_for_write(df, spec)
-        if obs is not None:
-            # observed above the range exchange: its sampling pass does not count rows
-            data = data.observe(obs, F.count(F.lit(1)).alias("n"))
-        writer = data.write.mode(mode).option("partitionOverwriteMode", overwrite_mode)
+    def _write(self, table: str, rows: DataFrame, spec: TableSpec) -> list[str]:
+        """Write ``rows`` into a folder of their own; returns the files."""
+        folder = f"{DATA}/{uuid.uuid4().hex}"
+        writer = sorted_for_write(with_partition_columns(rows.select(*spec.columns), spec), spec).write.mode("errorifexists")
         if spec.partition:
             writer = writer.partitionBy(*spec.partition_columns)
-        writer.parquet(path)
+        writer.parquet(f"{self.path(table)}/{folder}")
+        found = sess.files_below(self.spark, f"{self.path(table)}/{folder}")
+        return [f"{folder}/{f}" for f in found if f.endswith(".parquet") and not any(s.startswith(("_", ".")) for s in f.split("/"))]
 
     def append(self, table: str, frame: DataFrame) -> WriteResult:
-        """Append rows; the count comes from an Observation on the write itself."""
+        """Append rows; the count is read off the written files' footers.  An append that another writer
+        outruns is put on top of the newer version."""
         started = time.perf_counter()
         spec = self.spec(table)
-        self.recover(table)
-        obs = Observation(f"append_{spec.name}")
-        rows = with_partition_columns(conform(frame, spec.schema), spec)
-        if self.stored_layout(table) is None:
-            self._write_layout(table)
-        self._write(rows, spec, self.path(table), "append", obs=obs)
-        return WriteResult(_observed_count(obs), 0, round(time.perf_counter() - started, 3))
+        new = self._write(table, conform(frame, spec.schema), spec)
+        n = self._scan(table, new).count()
+        while True:
+            number, now = self._next_number(table), self.version(table)
+            if now.layout is not None and not n:
+                break
+            if self._publish(table, now, number, [*now.files, *new]):
+                break
+        return WriteResult(n, 0, round(time.perf_counter() - started, 3))
 
     def batch_stats(self, frame: DataFrame, spec: TableSpec, *, identity_proven: bool = False) -> dict:
         """One job: batch rows, duplicate identity keys, null identity keys, touched partitions.
 
-        With ``identity_proven`` (a passed report already showed the identity is
-        not null and unique) only rows and partitions are needed: a global
-        aggregate with map-side partials, no shuffle of the keys."""
+        With ``identity_proven`` (a passed report already showed the identity is not null and unique)
+        only rows and partitions are needed: a global aggregate with map-side partials, no shuffle of
+        the keys."""
+        parts = [self._parts(spec)] if spec.partition else []
         if identity_proven:
-            aggs = [F.count(F.lit(1)).cast("long").alias("rows")]
-            if spec.partition:
-                aggs.append(F.collect_set(F.struct(*[p.expr().alias(p.name) for p in spec.partition])).alias("parts"))
-            row = frame.agg(*aggs).collect()[0]
-            return {"rows": int(row["rows"]), "max_per_key": 1 if row["rows"] else 0, "null_keys": 0,
-                    "parts": [tuple(p) for p in row["parts"]] if spec.partition else []}
-        keys = list(spec.identity)
-        null_key = F.lit(False)
-        for k in keys:
-            null_key = null_key | F.col(k).isNull()
-        part_exprs = [p.expr().alias(p.name) for p in spec.partition]
-        level1 = frame.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.first(e, ignorenulls=False).alias(p.name) for e, p in zip(part_exprs, spec.partition)],
-        )
-        aggs = [
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-            F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("max_per_key"),
-            F.count_if(null_key).cast("long").alias("null_keys"),
-        ]
-        if spec.partition:
-            aggs.append(F.collect_set(F.struct(*spec.partition_columns)).alias("parts"))
-        row = level1.agg(*aggs).collect()[0]
-        return {
-            "rows": int(row["rows"]),
-            "max_per_key": int(row["max_per_key"]),
-            "null_keys": int(row["null_keys"]),
-            "parts": [tuple(p) for p in row["parts"]] if spec.partition else [],
-        }
-
-    def _fits_broadcast(self, n_rows: int, spec: TableSpec) -> bool:
-        """The batch is broadcast only under a proven bound: its exact row count
-        (from the stats job) times the schema's row-size estimate."""
-        return n_rows * row_size_estimate(spec.schema) <= broadcast_threshold(self.spark)
-
-    @staticmethod
-    def _changed(non_keys: Sequence[str], prefix: str = "_src_"):
-        changed = F.lit(False)
-        for c in non_keys:
-            changed = changed | ~F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
-        return changed
-
-    def _upsert_files(self, table: str, spec: TableSpec, target: DataFrame, src: DataFrame, src_p: DataFrame,
-                      n_rows: int, started: float) -> WriteResult:
-        """Small batch (broadcast under a proven bound): copy-on-write at file level.
-
-        One map-side join of the (pruned) target with the broadcast batch gives the
-        match and change counts and the data files that hold changed keys.  Only
-        those files are rewritten (minus the changed keys); inserts and changed
-        rows land as new files; files with no changed key stay untouched, so an
-        insert-only batch is a pure addition."""
+            row = frame.agg(F.count(F.lit(1)).alias("n"), *parts).first()
+            return {"rows": row["n"], "max_per_key": min(row["n"], 1), "null_keys": 0,
+                    "parts": self._touched(row["parts"], spec) if parts else []}
         keys = list(spec.identity)
-        non_keys = [c for c in spec.columns if c not in keys]
-        renamed = F.broadcast(src.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys]))
-        matched = (target.withColumn("_file", F.input_file_name()).join(renamed, keys, "inner")
-                   .select(*keys, "_file", self._changed(non_keys).alias("_changed"))
-                   .persist())  # at most one row per batch key
-        try:
-            row = matched.agg(F.count(F.lit(1)).alias("matched"), F.count_if("_changed").alias("changed"),
-                              F.collect_set(F.when(F.col("_changed"), F.col("_file"))).alias("files")).collect()[0]
-            inserted, updated = n_rows - int(row["matched"]), int(row["changed"])
-            if inserted == 0 and updated == 0:
-                return WriteResult(0, 0, round(time.perf_counter() - started, 3))
-            columns = spec.storage_schema.fieldNames()
-            unchanged = matched.filter(~F.col("_changed")).select(*keys)
-            parts = [src_p.join(F.broadcast(unchanged), keys, "left_anti").select(*columns)]
-            files = sorted(self._file_path(f) for f in row["files"])
-            if files:
-                old = (self.spark.read.schema(spec.storage_schema).option("basePath", self.path(table))
-                       .parquet(*files))
-                changed_keys = matched.filter(F.col("_changed")).select(*keys)
-                parts.append(old.join(F.broadcast(changed_keys), keys, "left_anti").select(*columns))
-            new_rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-            staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
-            self._write(new_rows, spec, staging, "overwrite")
-            self._commit_files(staging, self.path(table), files)
-            return WriteResult(inserted, updated, round(time.perf_counter() - started, 3))
-        finally:
-            matched.unpersist()
-
-    def _file_path(self, uri: str) -> str:
-        """``input_file_name()`` gives a URI with escaped characters (Spark escapes
-        partition values in folder names, and the URI escapes again); decode it to
-        the file-system path so it can be read and removed."""
-        jvm = self.spark.sparkContext._jvm
-        return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
-
-    def _commit_files(self, staging: str, table_path: str, remove: Sequence[str]) -> None:
-        """File-level commit: the replaced files go, every staged data file moves to
-        the same relative place in the table (names are unique).  Same roll-forward
-        marker as the directory commit."""
-        fs, stage = sess.hadoop_fs(self.spark, staging)
-        jvm = self.spark.sparkContext._jvm
-        Path = jvm.org.apache.hadoop.fs.Path
-        stage_root = stage.toUri().getPath().rstrip("/")
-        moves = []
-        it = fs.listFiles(stage, True)
-        while it.hasNext():
-            st = it.next()
-            path = st.getPath()
-            rel = path.toUri().getPath()[len(stage_root):].lstrip("/")
-            if any(part.startswith(("_", ".")) for part in rel.split("/")):
-                continue
-            moves.append((path.toString(), Path(Path(table_path), rel).toString()))
-        plan = {"staging": staging, "remove": list(remove), "moves": moves}
-        marker = f"{table_path}/{PENDING_COMMIT}"
-        sess.write_text(self.spark, marker, json.dumps(plan))
-        self._apply_commit(plan)
-        fs.delete(Path(marker), False)
-        fs.delete(stage, True)
-
-    def _merge_shuffled(self, target: DataFrame, src_p: DataFrame, spec: TableSpec):
-        """Large batch: one full outer join (one shuffle of each side, AQE splits
-        skewed keys), persisted once for the counts and the merged rows.  A batch
-        value wins whenever the batch has the key - nulls included."""
-        keys = list(spec.identity)
-        non_keys = [c for c in target.columns if c not in keys]
-        t = target.withColumn("_in_t", F.lit(True))
-        b = src_p.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in non_keys]).withColumn("_in_b", F.lit(True))
-        joined = t.join(b, keys, "full_outer").persist()
-        in_t, in_b = F.coalesce(F.col("_in_t"), F.lit(False)), F.coalesce(F.col("_in_b"), F.lit(False))
-        counts = joined.agg(F.count_if(in_b & ~in_t).alias("inserted"),
-                            F.count_if(in_b & in_t & self._changed(non_keys)).alias("updated")).collect()[0]
-        inserted, updated = int(counts["inserted"]), int(counts["updated"])
-        if inserted == 0 and updated == 0:
-            joined.unpersist()
-            return None
-        merged = joined.select(*keys, *[F.when(in_b, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
-                                        for c in non_keys])
-        return merged, inserted, updated, joined.unpersist
-
-    def upsert(self, table: str, frame: DataFrame, *, identity_proven: bool = False) -> WriteResult:
-        """Keyed upsert.  ``identity_proven``: the caller's passed quality report
-        already showed the batch identity is not null and unique (skips that shuffle)."""
+        null_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+        of_key = [F.collect_set(F.struct(*[p.expr().cast("string").alias(p.name) for p in spec.partition])).alias("p")] if parts else []
+        row = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *of_key).agg(
+            F.sum("n").alias("rows"), F.max("n").alias("max_per_key"), F.count_if(null_key).alias("null_keys"),
+            *([F.array_distinct(F.flatten(F.collect_set("p"))).alias("parts")] if parts else [])).first()
+        return {"rows": row["rows"] or 0, "max_per_key": row["max_per_key"] or 0, "null_keys": row["null_keys"],
+                "parts": self._touched(row["parts"], spec) if parts else []}
+
+    def upsert(self, table: str, frame: DataFrame, *, identity_proven: bool = False,
+               before_commit: Callable[[], None] | None = None) -> WriteResult:
+        """Keyed upsert, as a MERGE: a stored row whose key is in the batch takes the batch's values
+        (nulls too), a batch row whose key is not stored is put in.  If a key is stored several times,
+        each of these rows takes the values.  ``rows_updated`` counts stored rows that change; rows that
+        stay equal are neither counted nor written, and a batch that changes nothing writes nothing.
+
+        ``identity_proven``: the caller's passed quality report already showed the batch identity is
+        not null and unique (skips that shuffle).  ``before_commit`` is called once the data is written.
+        """
         started = time.perf_counter()
         spec = self.spec(table)
         if not spec.identity:
             raise ValueError(f"{table} has no identity columns; use append")
-        self.recover(table)
+        number, now = self._next_number(table), self.version(table)
         src = conform(frame, spec.schema).persist()
+        matched = None
         try:
             stats = self.batch_stats(src, spec, identity_proven=identity_proven)
-            if stats["rows"] == 0:
-                return WriteResult(0, 0, 0.0)
+            if not stats["rows"]:
+                return WriteResult()
             if stats["null_keys"]:
                 raise ValueError(f"upsert into {table}: {stats['null_keys']} batch rows have a null identity")
             if stats["max_per_key"] > 1:
                 raise ValueError(f"upsert into {table}: duplicate identity keys in the batch")
             keys = list(spec.identity)
-            src_p = with_partition_columns(src, spec)
-            if self.stored_layout(table) is None:
-                self._write_layout(table)
-            if not self.has_data(table):
-                self._write(src_p, spec, self.path(table), "overwrite")
-                return WriteResult(stats["rows"], 0, round(time.perf_counter() - started, 3))
-
-            target = self.read_storage(table)
-            if spec.partition:
-                target = target.filter(_partition_predicate(spec.partition_columns, stats["parts"]))
-            if self._fits_broadcast(stats["rows"], spec):
-                return self._upsert_files(table, spec, target, src, src_p, stats["rows"], started)
-            result = self._merge_shuffled(target, src_p, spec)
-            if result is None:
+            others = [c for c in spec.columns if c not in keys]
+            determined = spec.partition and spec.identity_determines_partition
+            reached = self._touched_files(now, spec, stats["parts"] if determined else None)
+
+            stored = self._scan(table, reached).select(*keys, F.struct(F.lit(True).alias("here"), *others).alias("_old"),
+                                                       F.col("_metadata.file_path").alias("_file") if reached else F.lit(None).cast("string").alias("_file"))
+            differs = ~F.struct(F.lit(True).alias("here"), *others).eqNullSafe(F.col("_old"))
+            matched = src.join(stored, keys, "left").select(
+                *spec.columns, F.col("_old").isNull().alias("_new"), (F.col("_old").isNotNull() & differs).alias("_changed"), "_file").persist()
+            counts = matched.agg(F.count_if("_new").alias("inserted"), F.count_if("_changed").alias("updated"),
+                                 F.collect_set(F.when(F.col("_changed"), F.col("_file"))).alias("files")).first()
+            if not counts["inserted"] and not counts["updated"]:
                 return WriteResult(0, 0, round(time.perf_counter() - started, 3))
-            merged, inserted, updated, cleanup = result
-            try:
-                staging = sess.scratch_path(self.spark, f"staging-{spec.name}")
-                self._write(merged, spec, staging, "overwrite")
-                self._commit_staging(staging, self.path(table), len(spec.partition))
-            finally:
-                cleanup()
-            return WriteResult(inserted, updated, round(time.perf_counter() - started, 3))
+
+            rows = matched.where("_new").select(*spec.columns)
+            replaced = self._named(reached, counts["files"])
+            if replaced:
+                given = src.select(*keys, F.struct(*others).alias("_given"), F.lit(True).alias("_hit"))
+                kept = self._scan(table, replaced).join(given, keys, "left")
+                rows = rows.unionByName(kept.select(*keys, *[
+                    F.when(F.col("_hit"), F.col(f"_given.{c}")).otherwise(F.col(c)).alias(c) for c in others]).select(*spec.columns))
+            files = self._write(table, rows, spec)
+            if before_commit:
+                before_commit()
+            self._commit(table, now, number, [*(f for f in now.files if f not in set(replaced)), *files])
+            return WriteResult(counts["inserted"], counts["updated"], round(time.perf_counter() - started, 3))
         finally:
             src.unpersist()
+            if matched is not None:
+                matched.unpersist()
 
-    def _commit_staging(self, staging: str, table_path: str, depth: int) -> None:
-        """Replace the table's touched partitions (or, unpartitioned, its data files)
-        by the staged ones, moving directories instead of copying data.
-
-        The full plan (entries to remove, moves to make) is written to a marker
-        file in the table folder before anything changes; applying it is
-        idempotent, and every store operation first finishes a pending plan
-        (roll-forward), so a driver lost mid-commit never leaves a partition
-        missing or duplicated."""
-        fs, stage = sess.hadoop_fs(self.spark, staging)
-        jvm = self.spark.sparkContext._jvm
-        Path = jvm.org.apache.hadoop.fs.Path
-        table = Path(table_path)
-
-        def data_entries(path, level):
-            for st in fs.listStatus(path):
-                name = st.getPath().getName()
-                if name.startswith(("_", ".")):
-                    continue
-                if level < depth and st.isDirectory():
-                    yield from data_entries(st.getPath(), level + 1)
-                else:
-                    yield st.getPath()
-
-        stage_root = stage.toUri().getPath()
-        if depth == 0:
-            remove = [st.getPath().toString() for st in fs.listStatus(table)
-                      if not st.getPath().getName().startswith(("_", "."))]
-            moves = [(src.toString(), Path(table, src.getName()).toString()) for src in data_entries(stage, 0)]
-        else:
-            leaves = {}
-            for src in data_entries(stage, 0):
-                rel = src.getParent().toUri().getPath()[len(stage_root):].lstrip("/")
-                leaves.setdefault(rel, src.getParent().toString())
-            remove = []
-            moves = [(src_dir, Path(table, rel).toString()) for rel, src_dir in leaves.items()]
-        plan = {"staging": staging, "remove": remove, "moves": moves}
-        marker = f"{table_path}/{PENDING_COMMIT}"
-        sess.write_text(self.spark, marker, json.dumps(plan))
-        self._apply_commit(plan)
-        fs.delete(Path(marker), False)
-        fs.delete(stage, True)
-
-    def _apply_commit(self, plan: dict) -> None:
-        """Idempotent: removals of what is still there, then moves of what is still staged."""
-        jvm = self.spark.sparkContext._jvm
-        Path = jvm.org.apache.hadoop.fs.Path
-        fs, _ = sess.hadoop_fs(self.spark, plan["staging"])
-        for old in plan["remove"]:
-            if fs.exists(Path(old)):
-                fs.delete(Path(old), True)
-        for src, dst in plan["moves"]:
-            src_p, dst_p = Path(src), Path(dst)
-            if not fs.exists(src_p):
-                continue            # moved before an interruption
-            if fs.exists(dst_p):
-                fs.delete(dst_p, True)
-            fs.mkdirs(dst_p.getParent())
-            fs.rename(src_p, dst_p)
-
-    def recover(self, table: str) -> bool:
-        """Finish a commit interrupted by a lost driver; True when one was pending."""
-        marker = f"{self.path(table)}/{PENDING_COMMIT}"
-        text = sess.read_text(self.spark, marker)
-        if text is None:
-            return False
-        plan = json.loads(text)
-        self._apply_commit(plan)
-        fs, hmarker = sess.hadoop_fs(self.spark, marker)
-        fs.delete(hmarker, False)
-        fs_s, stage = sess.hadoop_fs(self.spark, plan["staging"])
-        if fs_s.exists(stage):
-            fs_s.delete(stage, True)
-        return True
+    def _named(self, files: Sequence[str], uris: Sequence[str]) -> list[str]:
+        """Those of ``files`` that Spark's file URIs name (a URI escapes once more what a path holds)."""
+        changed = {unquote(u).split(f"/{DATA}/", 1)[1] for u in uris} | {u.split(f"/{DATA}/", 1)[1] for u in uris}
+        found = [f for f in files if f.split("/", 1)[1] in changed]
+        if len(found) != len(set(uris)):
+            raise RuntimeError(f"changed files {sorted(uris)} are not all among the table's")
+        return found
 
     def relayout(self, table: str, partition: Sequence[str] | None = None,
                  sort: Sequence[str] | None = None) -> int:
-        """Rewrite a table under a new partition/sort layout; returns rows written."""
-        spec = self.spec(table)
-        self.recover(table)
-        old_stored = self.stored_layout(table)
+        """Rewrite a table under a new partition/sort layout; data and layout change in one version.
+        Returns rows written."""
+        spec, number, now = self.spec(table), self._next_number(table), self.version(table)
         if partition is not None or sort is not None:
-            new_spec = spec.with_layout(
+            spec = spec.with_layout(
                 tuple(partition) if partition is not None else tuple(f"{p.transform}({p.source})" for p in spec.partition),
                 tuple(sort) if sort is not None else tuple(s.column for s in spec.sort))
-        else:
-            new_spec = spec
-        # read under the layout the files actually have
-        old_parts = [tuple(p) for p in (old_stored or {}).get("partition", [])]
-        old_spec = spec.with_layout(tuple(f"{t}({s})" for s, t, _ in old_parts), ()) if old_stored else spec
-        data = (self.spark.read.schema(old_spec.storage_schema).parquet(self.path(table)).select(*spec.columns)
-                if self.has_data(table) else self.spark.createDataFrame([], spec.schema))
-        obs = Observation(f"relayout_{spec.name}")
-        rows = with_partition_columns(data, new_spec)
-        staging = sess.scratch_path(self.spark, f"relayout-{spec.name}")
-        self._write(rows, new_spec, staging, "overwrite", obs=obs)
-        n = _observed_count(obs)
-        # full replace: every top-level data entry of the table swapped for the staged ones
-        self._commit_staging(staging, self.path(table), 0)
-        self.specs[new_spec.identifier] = new_spec
-        self._write_layout(table)
-        return n
+        files = self._write(table, self._scan(table, now.files), spec) if now.files else []
+        before = self.specs.get(spec.identifier)
+        self.specs[spec.identifier] = spec
+        try:
+            self._commit(table, now, number, files)
+        except ConcurrentWrite:
+            self.specs[spec.identifier] = before
+            raise
+        return self._scan(table, files).count()
