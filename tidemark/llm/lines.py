@@ -34,8 +34,6 @@ THRESHOLD = 1
 MIN_CHARS = 20
 #: Lines of a key that are compared pair by pair, pieces a part is cut into, rows of a broadcast.
 PAIRED, PIECES, BROADCAST_ROWS = 24, 8, 200_000
-#: Line numbers (and four for each row of them) that are broadcast at most.
-BROADCAST_LINES = 1_000_000
 
 _DIGITS = re.compile(r"[1-9]")
 
@@ -266,11 +264,8 @@ def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
             .join(lines.select(F.col("line").alias("b"), F.col("place").alias("theirs")), "b").groupBy("a").agg(F.min("theirs").alias("theirs")))
     first = (lines.join(near.withColumnRenamed("a", "line"), "line", "left").where("times > 1 or theirs < place")
              .select("line", F.least("place", "theirs").alias("first")))
-    first = small_or_shuffled(materialize(first, "lines-first"), BROADCAST_ROWS)
     again = materialize(seen.select("rid", "line", "line_no", place.alias("place")).join(first, "line").where("place > first")
                         .groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("repeats")), "lines-repeats")
-    if (again.agg(F.sum(F.size("repeats") + 4)).first()[0] or 0) <= BROADCAST_LINES:
-        again = F.broadcast(again)
     found = docs.join(again, "rid", "left")
     return found.select(*base.columns, F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"))
 
