@@ -3,7 +3,7 @@
 A document's set is its distinct word n-grams (hashed to 64 bits).  Two sets whose Jaccard
 similarity reaches the threshold must share one of their first ``s - ceil(t * s) + 1`` tokens under
 *every* global order of tokens.  The first order puts tokens that are rare in the corpus first (by
-counts in a sketch of fixed size over all documents), so a prefix seldom holds a common token; pairs
+counts in a sketch over all documents), so a prefix seldom holds a common token; pairs
 that share a prefix token there, at places that leave enough tokens for the overlap, must also share
 a prefix token under the other orders and pass a parity bitmap before their sets are compared.
 
@@ -28,8 +28,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.bytewords import NOT_SPACE, mix, windows, words
 from tidemark.llm.common import components, map_batches, materialize, small_or_shuffled
 
-#: Counters of the sketch, and of one part of it as it is summed.
-SKETCH_BITS, PART_BITS = 22, 16
+#: The sketch has a counter for every so many tokens of the corpus, 2 ** 16 to 2 ** 26 of them (one byte
+#: each in a task); it is summed in parts of 2 ** 16.
+TOKENS_A_COUNTER, SKETCH_BITS, PART_BITS = 8, (16, 26), 16
+#: Ratio between the sizes that begin a size class.
+SIZE_STEP = 1.1
 #: Rows of a side that is broadcast (each one or two longs).
 BROADCAST_ROWS = 200_000
 #: Classes that one task compares with one class.
@@ -66,11 +69,17 @@ def _key(tokens: np.ndarray) -> int:
 SIZES = "doc_id long, n_shingles long, k long, part int, counts binary"
 
 
-def set_sizes(docs: DataFrame, n_gram: int) -> DataFrame:
+def sketch_bits(docs: DataFrame) -> int:
+    """Counters (as a power of two) by the size of the corpus, a token being six bytes or so."""
+    tokens = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / 6
+    return min(max(int(np.ceil(np.log2(max(tokens / TOKENS_A_COUNTER, 1)))), SKETCH_BITS[0]), SKETCH_BITS[1])
+
+
+def set_sizes(docs: DataFrame, n_gram: int, bits: int) -> DataFrame:
     """Per document the size and key of its set (null key: empty), and at the end of each task the
     parts of its count sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int32)
+        counts = np.zeros(1 << bits, np.uint8)
         for batch in batches:
             n, keys, waiting, held = [], [], [], 0
             for _, tokens in _sets(batch.column(1), n_gram):
@@ -84,7 +93,7 @@ def set_sizes(docs: DataFrame, n_gram: int) -> DataFrame:
             _count(counts, waiting)
             yield _batch([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
                           pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], SIZES)
-        for part in range(1 << SKETCH_BITS - PART_BITS):
+        for part in range(1 << bits - PART_BITS):
             own = counts[part << PART_BITS:part + 1 << PART_BITS]
             if own.any():
                 yield _batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()),
@@ -94,20 +103,21 @@ def set_sizes(docs: DataFrame, n_gram: int) -> DataFrame:
 
 
 def _count(counts: np.ndarray, waiting: list[np.ndarray]) -> None:
+    """Add tokens to a task's counters, which stay at 255 once there."""
     if waiting:
-        slots, times = np.unique(_slot(np.concatenate(waiting)), return_counts=True)
-        counts[slots] += times.astype(np.int32)
+        slots, times = np.unique(_slot(np.concatenate(waiting), counts), return_counts=True)
+        counts[slots] = np.minimum(counts[slots] + times, 255)
 
 
-def _slot(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def _slot(tokens: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(65 - len(counters).bit_length())).astype(np.int64)
 
 
 def _batch(columns: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
 
 
-def commonness(sizes: DataFrame) -> np.ndarray:
+def commonness(sizes: DataFrame, bits: int) -> np.ndarray:
     """How common the tokens of each counter are: the bit length of the counter's sum over all tasks.
 
     The parts are summed as they stream by, one array for each part; the result has a fixed size.
@@ -116,14 +126,14 @@ def commonness(sizes: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.frombuffer(zlib.decompress(counts), np.int32)
+                own = np.frombuffer(zlib.decompress(counts), np.uint8)
                 sums[part] = sums[part] + own if part in sums else own.astype(np.int64)
         for part, own in sums.items():
-            bits = np.ceil(np.log2(own + 1)).astype(np.uint8)
-            yield _batch([pa.array([part], pa.int32()), pa.array([bits.tobytes()], pa.binary())], "part int, bits binary")
+            length = np.ceil(np.log2(own + 1)).astype(np.uint8)
+            yield _batch([pa.array([part], pa.int32()), pa.array([length.tobytes()], pa.binary())], "part int, bits binary")
 
     parts = sizes.where("part is not null").select("part", "counts").repartition("part")
-    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
+    levels = np.zeros(1 << bits, np.uint8)
     for row in map_batches(parts, total, "part int, bits binary").collect():
         levels[row[0] << PART_BITS:row[0] + 1 << PART_BITS] = np.frombuffer(bytes(row[1]), np.uint8)
     return levels
@@ -131,7 +141,7 @@ def commonness(sizes: DataFrame) -> np.ndarray:
 
 def _ordered(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
     """Sorted ranks of the tokens under a global order: rare ones first, then by a hash of the order."""
-    level = levels[_slot(tokens)].astype(np.uint64)
+    level = levels[_slot(tokens, levels)].astype(np.uint64)
     tie = tokens if order == 0 else mix(tokens ^ np.uint64(order * 0x5851F42D4C957F2D))
     return np.sort(level << np.uint64(58) | tie >> np.uint64(6))
 
@@ -241,8 +251,9 @@ def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90,
     """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sizes = materialize(set_sizes(docs, n_gram), "jaccard-sizes")
-    levels = spark.sparkContext.broadcast(commonness(sizes))
+    bits = sketch_bits(docs)
+    sizes = materialize(set_sizes(docs, n_gram, bits), "jaccard-sizes")
+    levels = spark.sparkContext.broadcast(commonness(sizes, bits))
     rows = sizes.where("part is null").select("doc_id", "n_shingles", "k")
     first = rows.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
 
@@ -268,8 +279,7 @@ def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90,
              .join(comps.withColumnsRenamed({"node": "pivot", "component": "centre"}), "pivot", "left")
              .select("token", "k", "n", "pos", F.coalesce("own", "k").alias("own"), F.coalesce("centre", "pivot").alias("centre")))
     named = materialize(named, "jaccard-named")
-    step = 1.02
-    size_class = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(step))).cast("int")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(SIZE_STEP))).cast("int")
     # the most tokens that a partner can have beside those that stand before the shared one
     most = F.least(F.floor(F.col("n") * 100 / percent),
                    F.floor((F.col("n") - F.col("pos")) * (100 + percent) / percent) - F.col("n"))
