@@ -20,20 +20,20 @@ def test_run_job_writes_and_reports(spark, store_root):
     store = TableStore(spark, store_root)
     rows = _etf(spark, [(date(2024, 6, 1), 2e8, datetime(2024, 6, 2)), (date(2024, 5, 31), 1.5e8, datetime(2024, 6, 2))])
     res = run_job(store, ETF_FLOWS.identifier, rows, quality_checks(ETF_FLOWS))
-    assert res["rows_affected"] == 2 and res["quality_checks_total"] == 2 and res["quality_failed_errors"] == 0
+    assert res.metrics["rows_affected"] == 2 and res.metrics["quality_checks_total"] == 2 and res.metrics["quality_failed_errors"] == 0
     assert len(res.reports) == 1 and res.reports[0].subject == "raw.etf_flows"
     again = run_job(store, ETF_FLOWS.identifier, rows, quality_checks(ETF_FLOWS))
-    assert again["rows_affected"] == 0
+    assert again.metrics["rows_affected"] == 0
 
 
 def test_run_job_empty_and_gate(spark, store_root):
     from datetime import date
     store = TableStore(spark, store_root)
     empty = run_job(store, ETF_FLOWS.identifier, _etf(spark, []), quality_checks(ETF_FLOWS))
-    assert empty["rows_affected"] == 0 and empty.reports == ()
+    assert empty.metrics["rows_affected"] == 0 and empty.reports == ()
     dup = _etf(spark, [(date(2024, 6, 1), 1.0, datetime(2024, 6, 2)), (date(2024, 6, 1), 2.0, datetime(2024, 6, 2))])
     blocked = run_job(store, ETF_FLOWS.identifier, dup, quality_checks(ETF_FLOWS))
-    assert blocked["rows_affected"] == 0 and blocked["quality_failed_errors"] == 1
+    assert blocked.metrics["rows_affected"] == 0 and blocked.metrics["quality_failed_errors"] == 1
     assert not store.has_data(ETF_FLOWS.identifier)
 
 
@@ -80,7 +80,7 @@ def test_news_dedup_across_runs(spark, store_root):
                           "published_at", F.lit(None).cast("timestamp").alias("fetched_at"), "title",
                           F.col("summary").alias("summary_raw"), F.lit(None).cast("string").alias("content_raw"),
                           F.lit(datetime(2024, 6, 1)).cast("timestamp").alias("source_updated_at"))
-        return run_job(store, MARKET_NEWS_ITEMS.identifier, rows, quality_checks(MARKET_NEWS_ITEMS))["rows_affected"]
+        return run_job(store, MARKET_NEWS_ITEMS.identifier, rows, quality_checks(MARKET_NEWS_ITEMS)).metrics["rows_affected"]
 
     assert run("first") == 1
     assert run("first") == 0
@@ -88,10 +88,9 @@ def test_news_dedup_across_runs(spark, store_root):
 
 
 def test_run_tables_and_cli_window(spark, store_root):
-    import argparse
     from datetime import date, timezone
 
-    from tidemark.plans.jobs import add_window_args, run_tables, window
+    from tidemark.plans.jobs import days_of, run_tables, window_parser
     from tidemark.tables import VOLATILITY_INDEX
     store = TableStore(spark, store_root)
     etf = _etf(spark, [(date(2024, 6, 1), 2e8, datetime(2024, 6, 2))])
@@ -99,11 +98,11 @@ def test_run_tables_and_cli_window(spark, store_root):
                                  "date date, dvol double, source_updated_at timestamp")
     res = run_tables(store, [(ETF_FLOWS.identifier, etf, quality_checks(ETF_FLOWS), "quality"),
                              (VOLATILITY_INDEX.identifier, dvol, quality_checks(VOLATILITY_INDEX), "quality_dvol")])
-    assert res["rows_affected"] == 2 and res["quality_dvol_checks_total"] == 2 and len(res.reports) == 2
-    p = argparse.ArgumentParser()
-    add_window_args(p, default_start="2024-01-01")
-    start, end = window(p.parse_args(["--end", "2024-06-02"]))
-    assert (start, end) == (datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 6, 2, tzinfo=timezone.utc))
+    assert res.metrics["rows_affected"] == 2 and res.metrics["quality_dvol_checks_total"] == 2 and len(res.reports) == 2
+    given = window_parser("x", default_start="2024-05-30").parse_args(["--end", "2024-06-02"])
+    assert (given.start, given.end, given.dry_run) == (datetime(2024, 5, 30, tzinfo=timezone.utc), datetime(2024, 6, 2, tzinfo=timezone.utc), False)
+    assert [d.day for d in days_of(given.start, given.end)] == [30, 31, 1] and days_of(given.end, given.start) == []
+    assert window_parser("x", default_start="2024-05-30").parse_args(["--dry-run"]).end.hour == 0
 
 
 def test_landed_pages_prune_by_day(spark, store_root):

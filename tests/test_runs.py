@@ -26,15 +26,15 @@ def test_run_candles_closed_bars_and_metrics(spark, store_root):
     start = datetime(2024, 6, 1, tzinfo=UTC)
     res = R.run_candles(store, pages, interval="1d", window_start=start, window_end=start + timedelta(days=2),
                         as_of=datetime(2024, 6, 2, 12, tzinfo=UTC))
-    assert res["rows_affected"] == 1 and res["rows"] == 1 and res["symbol"] == "BTCUSDT"
-    assert res["latest_source_close_time"] == "2024-06-01T23:59:59.999000+00:00"
-    assert res["quality_checks_total"] == 7 and res["quality_failed_errors"] == 0
+    assert res.metrics["rows_affected"] == 1 and res.metrics["rows"] == 1 and res.metrics["symbol"] == "BTCUSDT"
+    assert res.metrics["latest_source_close_time"] == "2024-06-01T23:59:59.999000+00:00"
+    assert res.metrics["quality_checks_total"] == 7 and res.metrics["quality_failed_errors"] == 0
     again = R.run_candles(store, pages, interval="1d", window_start=start, window_end=start + timedelta(days=2),
                           as_of=datetime(2024, 6, 3, tzinfo=UTC))
-    assert again["rows_affected"] == 1  # the second bar is now closed; the first is unchanged
+    assert again.metrics["rows_affected"] == 1  # the second bar is now closed; the first is unchanged
     empty = R.run_candles(store, pages, interval="1d", window_start=start + timedelta(days=5),
                           window_end=start + timedelta(days=6), as_of=datetime(2024, 6, 3, tzinfo=UTC))
-    assert empty["rows_affected"] == 0 and empty.reports == ()
+    assert empty.metrics["rows_affected"] == 0 and empty.reports == ()
 
 
 def test_run_etf_and_sentiment(spark, store_root):
@@ -46,7 +46,7 @@ def test_run_etf_and_sentiment(spark, store_root):
     pages = spark.createDataFrame([("p0", html)], "page string, html string")
     stamp = datetime(2024, 6, 1, 18, tzinfo=UTC)
     res = R.run_etf_flows(store, pages, run_date=date(2024, 6, 1), source_updated_at=stamp)
-    assert (res["available_days"], res["written_days"], res["rows_affected"]) == (3, 2, 2)
+    assert (res.metrics["available_days"], res.metrics["written_days"], res.metrics["rows_affected"]) == (3, 2, 2)
     fg = {"data": [{"timestamp": str(1717200000 - 86400 * i), "value": str(60 + i), "value_classification": "Greed"}
                    for i in range(7)]}
     dvol = {"result": {"data": [[OPEN, 50, 55, 48, 52], [OPEN + 3600000, 52, 56, 50, 53],
@@ -55,9 +55,9 @@ def test_run_etf_and_sentiment(spark, store_root):
                                  "instrument_name string, open_interest double")
     res = R.run_sentiment_index(store, _pages(spark, json.dumps(fg)), _pages(spark, json.dumps(dvol)), book,
                                 run_date=date(2024, 6, 1), source_updated_at=stamp)
-    assert res["sentiment_index_rows_affected"] == 1 and res["deribit_dvol_rows_affected"] == 1
-    assert res["deribit_put_call_rows_affected"] == 1 and res["available_days"] == 7
-    assert res["quality_dvol_checks_total"] == 2 and res["quality_put_call_checks_total"] == 2
+    assert res.metrics["sentiment_index_rows_affected"] == 1 and res.metrics["deribit_dvol_rows_affected"] == 1
+    assert res.metrics["deribit_put_call_rows_affected"] == 1 and res.metrics["available_days"] == 7
+    assert res.metrics["quality_dvol_checks_total"] == 2 and res.metrics["quality_put_call_checks_total"] == 2
     assert [r.dvol for r in store.read("raw.deribit_dvol").collect()] == [53.0]
     assert [r.put_call_ratio for r in store.read("raw.deribit_put_call").collect()] == [0.5]
 
@@ -75,7 +75,7 @@ def test_run_market_metrics_and_stablecoins(spark, store_root):
     caps = spark.createDataFrame([("2024-06-01", "tether", cap(80e9)), ("2024-06-01", "usd-coin", cap(25e9))],
                                  "date string, coin string, payload string")
     res = R.run_stablecoin_supply(store, caps, run_date=date(2024, 6, 1), source_updated_at=snap_at)
-    assert res["rows_affected"] == 1
+    assert res.metrics["rows_affected"] == 1
     assert store.read("raw.stablecoin_supply").collect()[0].total_stablecoin_market_cap_usd == 105e9
 
 
@@ -88,17 +88,17 @@ def test_run_news_and_onchain(spark, store_root):
     bodies = spark.createDataFrame([("https://a.example.com/1", "<html>body</html>")], "url string, body string")
     at = datetime(2024, 6, 1, tzinfo=UTC)
     first = R.run_market_news(store, pages, feeds_frame(spark), fetched_at=at, bodies=bodies)
-    assert (first["items_seen"], first["items_written"], first["rows_affected"]) == (4, 2, 2)
+    assert (first.metrics["items_seen"], first.metrics["items_written"], first.metrics["rows_affected"]) == (4, 2, 2)
     stored = {r.source_url: r for r in store.read("raw.market_news_items").collect()}
     assert stored["https://a.example.com/1"].source_name == "SEC press releases"
     assert stored["https://a.example.com/1"].content_raw == "<html>body</html>"
-    assert R.run_market_news(store, pages, feeds_frame(spark), fetched_at=at)["items_written"] == 0
+    assert R.run_market_news(store, pages, feeds_frame(spark), fetched_at=at).metrics["items_written"] == 0
     item = {"time": "2024-06-01T00:00:00Z", "asset": "btc", "CapMrktCurUSD": "1200000000000", "CapMVRVCur": "2.5"}
     charts = spark.createDataFrame([("miners-revenue", json.dumps({"values": [{"x": 1717200000, "y": 3e7}]}))],
                                    "chart_name string, payload string")
     res = R.run_onchain_metrics(store, _pages(spark, json.dumps({"data": [item]})), charts, charts_frame(spark),
                                 run_date=date(2024, 6, 1), source_updated_at=at)
-    assert res["onchain_metrics_rows_affected"] == 1 and res["blockchain_charts_rows_affected"] == 2
+    assert res.metrics["onchain_metrics_rows_affected"] == 1 and res.metrics["blockchain_charts_rows_affected"] == 2
     vals = {r.chart_name: r.value for r in store.read("raw.blockchain_charts").collect()}
     assert vals == {"miners-revenue": 3e7, "transaction-fees-usd": None}
 
@@ -108,7 +108,7 @@ def test_run_news_empty_feeds(spark, store_root):
     store = TableStore(spark, store_root)
     pages = spark.createDataFrame([(0, "<rss><channel></channel></rss>"), (1, "not xml")], "feed_pos int, payload string")
     res = R.run_market_news(store, pages, feeds_frame(spark), fetched_at=datetime(2024, 6, 1, tzinfo=UTC))
-    assert (res["rows_affected"], res["items_seen"], res["items_written"]) == (0, 0, 0)
+    assert (res.metrics["rows_affected"], res.metrics["items_seen"], res.metrics["items_written"]) == (0, 0, 0)
 
 
 def test_run_funding_window_clamped_and_inverted(spark, store_root):
@@ -119,10 +119,10 @@ def test_run_funding_window_clamped_and_inverted(spark, store_root):
     start = datetime(2024, 6, 1, tzinfo=UTC)
     res = R.run_funding_rates(store, pages, window_start=start, window_end=start + timedelta(days=2),
                               as_of=datetime(2024, 6, 2, 0, tzinfo=UTC))
-    assert res["rows_affected"] == 3 and res["latest_funding_time"] == "2024-06-01T16:00:00+00:00"
+    assert res.metrics["rows_affected"] == 3 and res.metrics["latest_funding_time"] == "2024-06-01T16:00:00+00:00"
     inverted = R.run_funding_rates(store, pages, window_start=start + timedelta(days=3), window_end=start,
                                    as_of=datetime(2024, 6, 9, tzinfo=UTC))
-    assert inverted["rows_affected"] == 0 and inverted.reports == ()
+    assert inverted.metrics["rows_affected"] == 0 and inverted.reports == ()
 
 
 def test_remaining_daily_runs(spark, store_root):
@@ -134,28 +134,28 @@ def test_remaining_daily_runs(spark, store_root):
            {"market_and_exchange_names": "BITCOIN - CME", "report_date_as_yyyy_mm_dd": "2024-04-01T00:00:00.000",
             "open_interest_all": "1"}]
     assert R.run_cot_positioning(store, _pages(spark, json.dumps(cot)), run_date=date(2024, 6, 1),
-                                 source_updated_at=at)["rows_affected"] == 1      # 30-day look-back
+                                 source_updated_at=at).metrics["rows_affected"] == 1      # 30-day look-back
     flows = {"result": {"data": [{"date": "2024-06-01T00:00:00", "reserve": "1.5", "inflow": "2", "outflow": "1",
                                   "netflow": "1", "reserve_usd": "3"}]}}
     assert R.run_exchange_flows(store, _pages(spark, json.dumps(flows)), since=date(2024, 5, 31),
-                                until=date(2024, 6, 1), source_updated_at=at)["rows_affected"] == 1
+                                until=date(2024, 6, 1), source_updated_at=at).metrics["rows_affected"] == 1
     ls = [{"timestamp": str(OPEN), "longShortRatio": "1.25", "longAccount": "0.555", "shortAccount": "0.445"}]
     assert R.run_long_short_ratio(store, _pages(spark, json.dumps(ls)), window_start=datetime(2024, 6, 1, tzinfo=UTC),
-                                  window_end=datetime(2024, 6, 2, tzinfo=UTC), source_updated_at=at)["rows_affected"] == 1
+                                  window_end=datetime(2024, 6, 2, tzinfo=UTC), source_updated_at=at).metrics["rows_affected"] == 1
     oi = spark.createDataFrame([(json.dumps([{"symbol": "BTCUSDT", "timestamp": OPEN, "sumOpenInterest": "12345.67"}]),)],
                                "payload string")
     empty = spark.createDataFrame([("[]",)], "payload string")
     res = R.run_futures_metrics(store, oi, empty, empty, window_start=datetime(2024, 6, 1, tzinfo=UTC))
-    assert res["rows_affected"] == 1
+    assert res.metrics["rows_affected"] == 1
     assert store.read("raw.futures_metrics").collect()[0].open_interest == 12345.67
     nothing = R.run_futures_metrics(store, empty, empty, empty, window_start=datetime(2024, 6, 2, tzinfo=UTC))
-    assert nothing["rows_affected"] == 0                                           # all sources missing: no row
+    assert nothing.metrics["rows_affected"] == 0                                           # all sources missing: no row
     cal = spark.createDataFrame([(10, json.dumps({"release_dates": [{"date": "2024-06-12"}, {"date": "2024-01-01"}]}))],
                                 "release_id long, payload string")
     assert R.run_macro_calendar(store, cal, releases_frame(spark), run_date=date(2024, 6, 1),
-                                source_updated_at=at)["rows_affected"] == 1
+                                source_updated_at=at).metrics["rows_affected"] == 1
     assert store.read("raw.macro_calendar").collect()[0].title == "Consumer Price Index"
     first_series = series_frame(spark).first().series_id
     obs = {"observations": [{"date": "2024-05-30", "value": "4.5"}, {"date": "2024-01-01", "value": "."}]}
     series = spark.createDataFrame([(first_series, json.dumps(obs))], "series_id string, payload string")
-    assert R.run_macro_series(store, series, run_date=date(2024, 6, 1), source_updated_at=at)["rows_affected"] == 1
+    assert R.run_macro_series(store, series, run_date=date(2024, 6, 1), source_updated_at=at).metrics["rows_affected"] == 1

@@ -41,6 +41,19 @@ def int_via_double(c: Column) -> Column:
     return F.when(finite, as_double.cast("long"))
 
 
+def unparsable(c: Column, missing: tuple[str, ...] = ("",)) -> Column:
+    """True for text that is there, is none of the ``missing`` marks, and is no number."""
+    text = c.cast("string")
+    return F.coalesce(~text.isin(*missing) & try_cast(text, "double").isNull(), F.lit(False))
+
+
+def not_integral(c: Column) -> Column:
+    """True where :func:`int_via_double` gets something that it cannot make an integer of (not a number,
+    not finite)."""
+    text = c.cast("string")
+    return F.coalesce((text != "") & int_via_double(c).isNull(), F.lit(False))
+
+
 def flow_cell_text(c: Column) -> Column:
     return F.trim(F.translate(c, FLOW_STRIP_CHARS, ""))
 

@@ -47,9 +47,8 @@ def bad_row_flag(required: Sequence[Column]) -> Column:
     return flag
 
 
-def assert_no_bad_rows(df: DataFrame, flag: str = "_bad", payload: str | None = None) -> None:
-    """Strict policy: one aggregate; any bad row aborts the whole batch with its payload."""
-    sample = F.first(F.col(payload).cast("string")) if payload else F.lit(None).cast("string")
-    row = df.filter(F.col(flag)).agg(F.count(F.lit(1)).alias("n"), sample.alias("p")).collect()[0]
-    if row["n"]:
-        raise ValueError(f"Invalid payload ({row['n']} bad rows), e.g. {row['p']!r}")
+def no_bad_rows(df: DataFrame, flag: str = "_bad") -> DataFrame:
+    """``df`` without its flag column; the first flagged row that is met aborts whatever reads it."""
+    others = [c for c in df.columns if c != flag]
+    said = F.concat(F.lit("Invalid payload: "), F.to_json(F.struct(*others)))
+    return df.filter(F.when(F.col(flag), F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop(flag)

@@ -43,8 +43,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_session_settings(spark)
     store = TableStore(spark, scratch_path(spark, "flagship-store"))
     rows = closed_bars(candle_rows(spark, sf_dir), as_of=AS_OF)
-    result = run_job(store, CANDLES.identifier, rows, candle_checks(), strict_flag="_bad",
-                     max_columns=("close_time",))
-    if result["rows_affected"] == 0 and result.get("rows", 0) and not result.reports[0].ok:
+    result = run_job(store, CANDLES.identifier, rows, candle_checks(), max_columns=("close_time",))
+    if result.reports and not result.reports[0].ok:
         result.reports[0].raise_for_status()
     return finish(store.read(CANDLES.identifier).orderBy(F.col("open_time"), F.col("instrument")))

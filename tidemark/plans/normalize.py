@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,15 +19,21 @@ from tidemark.functions.casts import try_cast
 from tidemark.functions import numbers as N
 from tidemark.functions import text as X
 from tidemark.functions import time as TM
-from tidemark.operators.conform import bad_row_flag
+from tidemark.operators.conform import bad_row_flag, no_bad_rows
+from tidemark.operators.windows import since_filter
 from tidemark.sources import feeds, html_tables
-from tidemark.sources.json_pages import KLINE_SCHEMA, element, kline_fields, last_element, payload_rows
+from tidemark.sources.json_pages import KLINE_SCHEMA, broken, element, kline_fields, last_element, payload_rows
 
 
 def _lit_ts(value: datetime | None) -> Column:
     return F.lit(value).cast("timestamp")
 
 
+def _any(*conditions: Column) -> Column:
+    """True where any condition holds (null counts as not)."""
+    return F.coalesce(reduce(lambda a, b: a | b, conditions), F.lit(False))
+
+
 def _col(value, default_col: str | None = None, default_lit=None) -> Column:
     """Column argument: a Column as given, a name for a column, or a default."""
     if value is None:
@@ -115,13 +122,12 @@ def cot_positioning(pages: DataFrame, *, payload: str = "payload", since: date |
     d = TM.leading_date(F.col("item.report_date_as_yyyy_mm_dd"))
     out = items
     if market_prefix is not None:
-        out = out.filter(F.col("item.market_and_exchange_names").startswith(market_prefix))
-    if since is not None:
-        out = out.filter(d >= F.lit(since))
-    return out.select(d.alias("report_date"),
+        out = out.filter(F.col("item.market_and_exchange_names").startswith(market_prefix) | F.col("item").isNull())
+    bad = _any(d.isNull(), *(N.not_integral(F.col(f"item.{src}")) for src, _ in COT_FIELDS))
+    rows = out.select(d.alias("report_date"),
                       *[N.int_via_double(F.col(f"item.{src}")).alias(dst) for src, dst in COT_FIELDS],
-                      _lit_ts(source_updated_at).alias("source_updated_at"),
-                      d.isNull().alias("_bad"))
+                      _lit_ts(source_updated_at).alias("source_updated_at"), bad.alias("_bad"))
+    return since_filter(rows, "report_date", since)
 
 
 # ---- N6 ETF flows (HTML) ------------------------------------------------------
@@ -189,9 +195,10 @@ def macro_series(pages: DataFrame, *, payload: str = "payload", series_id: Colum
     src = pages.select(_col(series_id, "series_id").alias("series_id"), F.col(payload).alias("p"))
     items = payload_rows(src, "p", OBSERVATION_SCHEMA, ("observations",), keep=("series_id",))
     d = TM.leading_date(F.col("item.date"))
+    bad = _any(d.isNull(), N.unparsable(F.col("item.value"), N.MISSING_MACRO))
     out = items.select("series_id", d.alias("date"), N.macro_value(F.col("item.value")).alias("value"),
-                       _lit_ts(source_updated_at).alias("source_updated_at"), d.isNull().alias("_bad"))
-    return out if since is None else out.filter(F.col("date") >= F.lit(since))
+                       _lit_ts(source_updated_at).alias("source_updated_at"), bad.alias("_bad"))
+    return since_filter(out, "date", since)
 
 
 # ---- N12 market news -----------------------------------------------------------
@@ -228,7 +235,8 @@ def onchain_metrics(pages: DataFrame, *, payload: str = "payload", instrument: C
     for s, dst, t in ONCHAIN_FIELDS:
         c = F.col(f"item.{s}")
         cols.append((N.int_via_double(c) if t == "long" else N.optional_double(c)).alias(dst))
-    bad = d.isNull() | F.col("item.asset").isNull()
+    bad = _any(d.isNull(), F.col("item.asset").isNull(),
+               *(N.not_integral(F.col(f"item.{s}")) if t == "long" else N.unparsable(F.col(f"item.{s}")) for s, _, t in ONCHAIN_FIELDS))
     return items.select("instrument", "counterpart", d.alias("date"), *cols,
                         _lit_ts(source_updated_at).alias("source_updated_at"), bad.alias("_bad"))
 
@@ -245,7 +253,7 @@ def sentiment(pages: DataFrame, *, payload: str = "payload", source_updated_at:
                         N.int_via_double(F.col("item.value")).alias("fear_greed_value"),
                         F.col("item.value_classification").alias("fear_greed_label"),
                         _lit_ts(source_updated_at).alias("source_updated_at"),
-                        secs.isNull().alias("_bad"))
+                        _any(secs.isNull(), N.int_via_double(F.col("item.value")).isNull()).alias("_bad"))
 
 
 # ---- N16 volatility index ------------------------------------------------------------
@@ -254,10 +262,11 @@ VOL_SCHEMA = "struct<result:struct<data:array<array<double>>>>"
 
 
 def volatility_points(pages: DataFrame, *, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Candles ``[ms, open, high, low, close]`` -> (ts, close, page order)."""
+    """Candles ``[ms, open, high, low, close]`` -> (ts, close, page order; ``_bad``: no time or no close)."""
     items = payload_rows(pages, payload, VOL_SCHEMA, ("result", "data"), keep=keep)
-    return items.select(*keep, "pos", TM.ms_to_timestamp(element(F.col("item"), 0).cast("long")).alias("ts"),
-                        element(F.col("item"), 4).alias("dvol"))
+    ms, close = element(F.col("item"), 0), element(F.col("item"), 4)
+    return items.select(*keep, "pos", TM.ms_to_timestamp(ms.cast("long")).alias("ts"), close.alias("dvol"),
+                        (ms.isNull() | close.isNull()).alias("_bad"))
 
 
 # ---- N17 put/call ---------------------------------------------------------------------
@@ -282,28 +291,29 @@ BASIS_SCHEMA = "array<struct<pair:string,timestamp:bigint,basis:string,basisRate
 PREMIUM_SCHEMA = "array<array<string>>"
 
 
-def _latest_per_page(pages: DataFrame, schema: str, value: Column, name: str, key: str = "date") -> DataFrame:
-    """Last element of each page (payload order), one value per ``key``; several
-    pages for one key: the last page wins."""
+def _latest_per_page(pages: DataFrame, schema: str, value: Column, name: str, bad: Column, key: str = "date") -> DataFrame:
+    """Last element of each page (payload order), one value per ``key``; several pages for one key: the
+    last page wins.  ``_bad_<name>`` tells whether a page cannot be read or its last value is no number."""
     parsed = pages.select(key, F.col("page_no") if "page_no" in pages.columns else F.lit(0).alias("page_no"),
-                          last_element(F.from_json(F.col("payload"), schema)).alias("item"))
-    parsed = parsed.filter(F.col("item").isNotNull())
-    return (parsed.groupBy(key).agg(F.max_by(F.struct(F.col("item").alias("item")), F.col("page_no")).alias("_l"))
-            .select(key, F.col("_l.item").alias("item")).select(key, value.alias(name)))
+                          broken(F.col("payload")).alias("cut"), last_element(F.from_json(F.col("payload"), schema)).alias("item"))
+    parsed = parsed.filter(F.col("cut") | F.col("item").isNotNull())
+    points = parsed.select(key, "page_no", value.alias("value"), (F.col("cut") | _any(bad)).alias("bad"))
+    return points.groupBy(key).agg(F.max_by("value", "page_no").alias(name), F.max("bad").alias(f"_bad_{name}"))
 
 
 def futures_metrics(open_interest: DataFrame, basis: DataFrame, premium: DataFrame, *,
                     instrument: str = "BTC", counterpart: str = "USDT") -> DataFrame:
-    """Per day: latest open interest, basis and premium-index close; any source may be
+    """Per day: latest open interest, basis and premium-index close (+ ``_bad``); any source may be
     missing, all missing = no row.  Inputs: (date, payload[, page_no]) pages."""
     from tidemark.operators.joins import full_assembly
-    oi = _latest_per_page(open_interest, OPEN_INTEREST_SCHEMA,
-                          try_cast(F.col("item.sumOpenInterest"), "double"), "open_interest")
-    bs = _latest_per_page(basis, BASIS_SCHEMA, N.optional_double(F.col("item.basis")), "basis")
-    pm = _latest_per_page(premium, PREMIUM_SCHEMA, try_cast(element(F.col("item"), 4), "double"), "premium_index")
+    oi_value, pm_value = try_cast(F.col("item.sumOpenInterest"), "double"), try_cast(element(F.col("item"), 4), "double")
+    oi = _latest_per_page(open_interest, OPEN_INTEREST_SCHEMA, oi_value, "open_interest", oi_value.isNull())
+    bs = _latest_per_page(basis, BASIS_SCHEMA, N.optional_double(F.col("item.basis")), "basis", N.unparsable(F.col("item.basis")))
+    pm = _latest_per_page(premium, PREMIUM_SCHEMA, pm_value, "premium_index", pm_value.isNull())
     out = full_assembly([oi, bs, pm], "date")
-    return out.select(F.lit(instrument).alias("instrument"), F.lit(counterpart).alias("counterpart"), "date",
-                      "open_interest", "basis", "premium_index")
+    names = ("open_interest", "basis", "premium_index")
+    return out.select(F.lit(instrument).alias("instrument"), F.lit(counterpart).alias("counterpart"), "date", *names,
+                      _any(*(F.coalesce(f"_bad_{n}", F.lit(False)) for n in names)).alias("_bad"))
 
 
 # ---- N10 market dominance: exact-ms ratio, last per day, history else snapshot -------------
@@ -314,12 +324,15 @@ TOTAL_CAPS_SCHEMA = "struct<market_cap_chart:struct<market_cap:array<array<doubl
 
 def dominance_history(asset_pages: DataFrame, total_pages: DataFrame) -> DataFrame:
     """(ts, date, btc_dominance_pct): asset cap / total cap * 100 on exactly equal
-    epoch-ms keys, total > 0; the last total point wins on a repeated key."""
+    epoch-ms keys, total > 0; the last total point wins on a repeated key.  A page that cannot be
+    read, or a point without a time, aborts."""
     from tidemark.operators.joins import dedupe_last, ratio_join
     a = payload_rows(asset_pages, "payload", ASSET_CAPS_SCHEMA, ("market_caps",))
-    a = a.select(element(F.col("item"), 0).cast("long").alias("ms"), element(F.col("item"), 1).alias("cap"))
+    point = lambda name: (element(F.col("item"), 0).cast("long").alias("ms"), element(F.col("item"), 1).alias(name),
+                          element(F.col("item"), 0).isNull().alias("_bad"))
+    a = no_bad_rows(a.select(*point("cap")))
     t = payload_rows(total_pages, "payload", TOTAL_CAPS_SCHEMA, ("market_cap_chart", "market_cap"))
-    t = t.select(element(F.col("item"), 0).cast("long").alias("ms"), element(F.col("item"), 1).alias("total"), "pos")
+    t = no_bad_rows(t.select(*point("total"), "pos"))
     total = dedupe_last(t, "ms", "total", "pos")
     ratio = ratio_join(a, total, "ms", "cap", "total", out="btc_dominance_pct")
     ts = TM.ms_to_timestamp(F.col("ms"))
@@ -365,17 +378,18 @@ CHART_SCHEMA = "struct<values:array<struct<x:bigint,y:double>>>"
 
 def chart_first_values(requested: DataFrame, pages: DataFrame, *,
                        source_updated_at: datetime | None = None) -> DataFrame:
-    """Daily form: one row per requested (chart_name, date); the page's first value,
-    or null when the page is missing, empty or unparsable."""
-    first = pages.select("chart_name", "date", F.get(F.from_json("payload", CHART_SCHEMA).getField("values"), 0)
-                         .getField("y").alias("value"))
+    """Daily form: one row per requested (chart_name, date); the first value of the first page, or null
+    when the page is missing, empty or unparsable."""
+    page_no = F.col("page_no") if "page_no" in pages.columns else F.lit(0)
+    value = F.get(F.from_json("payload", CHART_SCHEMA).getField("values"), 0).getField("y")
+    first = pages.groupBy("chart_name", "date").agg(F.min_by(value, page_no).alias("value"))
     out = requested.join(first, ["chart_name", "date"], "left")
     return out.select("chart_name", "date", "value", _lit_ts(source_updated_at).alias("source_updated_at"))
 
 
 def chart_range(pages: DataFrame, start: date, end: date, *, source_updated_at: datetime | None = None) -> DataFrame:
     """Backfill form: every point of each chart, half-open ``[start, end)`` by UTC date."""
-    items = payload_rows(pages, "payload", CHART_SCHEMA, ("values",), keep=("chart_name",))
+    items = payload_rows(pages, "payload", CHART_SCHEMA, ("values",), keep=("chart_name",)).filter("item is not null")
     d = TM.seconds_to_date(F.col("item.x"))
     return (items.select("chart_name", d.alias("date"), F.col("item.y").alias("value"),
                          _lit_ts(source_updated_at).alias("source_updated_at"))
@@ -389,5 +403,5 @@ def volatility_rows(pages: DataFrame, *, source_updated_at: datetime | None = No
     order_cols = [c for c in ("page_no",) if c in pages.columns]
     pts = volatility_points(pages, keep=tuple(order_cols))
     order = F.struct(*[F.col(c) for c in order_cols], F.col("pos")) if order_cols else F.col("pos")
-    daily = pts.groupBy(F.to_date("ts").alias("date")).agg(F.max_by("dvol", order).alias("dvol"))
-    return daily.select("date", "dvol", _lit_ts(source_updated_at).alias("source_updated_at"))
+    daily = pts.groupBy(F.to_date("ts").alias("date")).agg(F.max_by("dvol", order).alias("dvol"), F.max("_bad").alias("_bad"))
+    return daily.select("date", "dvol", _lit_ts(source_updated_at).alias("source_updated_at"), "_bad")

@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.conform import no_bad_rows
 from tidemark.operators.windows import closed_bars
 from tidemark.plans import landed, normalize
 from tidemark.plans.registry import AS_OF, SOURCE_UPDATED_AT, finish, load, register
@@ -37,7 +38,7 @@ def candle_rows(spark: SparkSession, sf_dir: str):
 @register("kline_normalize", BARS_SQL)
 def kline_normalize(spark: SparkSession, sf_dir: str):
     rows = candle_rows(spark, sf_dir)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad", "_payload"))
+    return finish(no_bad_rows(rows).drop("_payload"))
 
 
 @register("closed_bar_filter", f"""
@@ -46,7 +47,7 @@ WHERE close_time < TIMESTAMP '2024-01-15 12:30:00'
   AND open_time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-15 12:29:59.999'
 """)
 def closed_bar_filter(spark: SparkSession, sf_dir: str):
-    rows = candle_rows(spark, sf_dir).filter(~F.col("_bad")).drop("_bad", "_payload")
+    rows = no_bad_rows(candle_rows(spark, sf_dir)).drop("_payload")
     start = AS_OF.replace(day=10, hour=0, minute=0)
     out = closed_bars(rows, window_start=start, window_end=AS_OF + timedelta(days=3), as_of=AS_OF)
     return finish(out)
@@ -131,7 +132,7 @@ def funding_normalize(spark: SparkSession, sf_dir: str):
                               mark.alias("markPrice")))
     pages = landed.event_pages(events, item)
     rows = normalize.funding_rates(pages, instrument=F.col("event_type"))
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- N4 long/short ratio ----------------------------------------------------------------------
@@ -151,7 +152,7 @@ def long_short_normalize(spark: SparkSession, sf_dir: str):
                               (F.lit(1.0) / (v + 1)).cast("string").alias("shortAccount")))
     rows = normalize.long_short(landed.event_pages(events, item), instrument=F.col("event_type"),
                                 source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- N7 exchange flows --------------------------------------------------------------------------
@@ -175,7 +176,7 @@ def exchange_flow_normalize(spark: SparkSession, sf_dir: str):
     pages = landed.event_pages(events, item, prefix='{"result": {"data": [', suffix="]}}")
     rows = normalize.exchange_flows(pages, asset=F.col("event_type"), exchange=F.lit("binance"),
                                     source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- N5 COT positioning ---------------------------------------------------------------------------
@@ -213,7 +214,7 @@ def cot_normalize(spark: SparkSession, sf_dir: str):
     pages = landed.event_pages(orders, item, by=(), order="o_orderkey")
     rows = normalize.cot_positioning(pages, since=date(1998, 1, 1), market_prefix="BITCOIN -",
                                      source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- N13 on-chain metrics -------------------------------------------------------------------------
@@ -243,7 +244,7 @@ def onchain_normalize(spark: SparkSession, sf_dir: str):
     pages = landed.event_pages(events, item, prefix='{"data": [', suffix="]}")
     rows = normalize.onchain_metrics(pages, instrument=F.upper(F.col("event_type")), counterpart=F.lit("USD"),
                                      source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- N15 sentiment -------------------------------------------------------------------------------------
@@ -264,7 +265,7 @@ def sentiment_normalize(spark: SparkSession, sf_dir: str):
                               label.alias("value_classification")))
     pages = landed.event_pages(events, item, prefix='{"data": [', suffix="]}")
     rows = normalize.sentiment(pages, source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.filter(~F.col("_bad")).drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- F12-F15 sentinel numbers ----------------------------------------------------------------------------

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import quality as Q
+from tidemark.operators.conform import no_bad_rows
 from tidemark.plans import landed
 from tidemark.plans.payload_queries import BARS_SQL, candle_rows
 from tidemark.plans.registry import finish, load, register
 from tidemark.plans.relational_queries import DOMINANCE_HOURLY_SQL, dominance_hourly
-from tidemark.quality.report import slug_col
 from tidemark.tables import CANDLES, FUNDING_RATES, MARKET_METRICS, SENTIMENT_INDEX, candle_checks
 from tidemark.tables import dominance_checks, funding_checks, sentiment_checks
 
@@ -230,7 +230,7 @@ CANDLE_RULES = (
 
 
 def _candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candle_rows(spark, sf_dir).filter(~F.col("_bad")).select(*CANDLES.columns)
+    return no_bad_rows(candle_rows(spark, sf_dir)).select(*CANDLES.columns)
 
 
 @register("qc_from_spec", report_sql(BARS_SQL, "raw.candles", CANDLE_RULES))
@@ -311,21 +311,17 @@ def qc_check_ids(spark: SparkSession, sf_dir: str):
     """Stable unique ids ``<subject>__<check>`` with ``_2``, ``_3`` suffixes in
     declaration order, over a catalogue of one check per customer (skew-safe
     ordinal instead of a window over a possibly hot id)."""
-    from tidemark.operators.ranking import ordinal_within
     cust = load(spark, sf_dir, "customer")
-    subject = F.concat(F.lit("raw."), F.lower("c_mktsegment"))
     check = F.concat(F.lit("in_range(acct_"), F.floor(F.col("c_acctbal") / 1000).cast("long").cast("string"), F.lit(")"))
-    base = cust.select("c_custkey", F.concat(slug_col(subject), F.lit("__"), slug_col(check)).alias("base"))
-    numbered = ordinal_within(base, "base", ["c_custkey"], out="n")
-    return numbered.select("c_custkey", F.when(F.col("n") == 1, F.col("base"))
-                           .otherwise(F.concat(F.col("base"), F.lit("_"), F.col("n").cast("string"))).alias("check_id"))
+    named = cust.select("c_custkey", F.concat(F.lit("raw."), F.lower("c_mktsegment")).alias("subject"), check.alias("check"))
+    return Q.with_check_ids(named, position="c_custkey").select("c_custkey", "check_id")
 
 
 @register("qc_gate_rows", BARS_SQL)
 def qc_gate_rows(spark: SparkSession, sf_dir: str):
     """Write gate: rows pass on when the report has no ERROR failure (WARN never
     blocks); a failing gate yields no rows, and the hard gate raises."""
-    rows = _candles(spark, sf_dir)
+    rows = _candles(spark, sf_dir).persist()    # validated twice, then passed on
     report = Q.check_frame(rows, candle_checks() + [Q.row_count_between(None, 10, severity=Q.Severity.WARN)],
                            table=CANDLES.identifier)
     blocked = Q.check_frame(rows, [Q.row_count_between(None, 10)], table=CANDLES.identifier)

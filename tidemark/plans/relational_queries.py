@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.conform import no_bad_rows
 from tidemark.functions import numbers as N
 from tidemark.functions import text as X
 from tidemark.functions import time as TM
@@ -410,7 +411,7 @@ def event_id_midnight(spark: SparkSession, sf_dir: str):
     pages = landed.event_pages(tagged, item, by=("release_id",), order="o_orderkey",
                                prefix='{"release_dates": [', suffix="]}")
     rows = normalize.macro_calendar(pages, cfg.select("release_id", "name"), source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # Series id per event type.
@@ -433,7 +434,7 @@ def series_union(spark: SparkSession, sf_dir: str):
     pages = landed.event_pages(ev, item, prefix='{"observations": [', suffix="]}")
     pages = J.config_join(pages, cfg, "event_type")
     rows = normalize.macro_series(pages, series_id=F.col("series_id"), source_updated_at=SOURCE_UPDATED_AT)
-    return finish(rows.drop("_bad"))
+    return finish(no_bad_rows(rows))
 
 
 # ---- A6/A7 run metrics -------------------------------------------------------------------------------

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import first_wins
 from tidemark.operators.joins import anti_by_hash
-from tidemark.operators.windows import closed_bars, lookback_window, run_day_rows, window_inclusive
+from tidemark.operators.windows import closed_bars, lookback_window, run_day_rows, since_filter, window_inclusive
 from tidemark.plans import normalize as N
-from tidemark.plans.jobs import RunResult, run_job, run_tables
+from tidemark.plans.jobs import JobRun, run_job, run_tables
 from tidemark.sources.registry import source
 from tidemark.store import TableStore
 from tidemark.tables import (
@@ -53,30 +53,28 @@ def _midnight(d: date) -> datetime:
 
 
 def run_candles(store: TableStore, pages: DataFrame, *, interval: str, window_start: datetime,
-                window_end: datetime, as_of: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> RunResult:
+                window_end: datetime, as_of: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> JobRun:
     """Klines of one interval; only bars closed before ``as_of`` within the clamped window."""
     rows = N.candles(pages, instrument=F.lit(instrument), counterpart=F.lit(counterpart), interval=F.lit(interval))
     kept = closed_bars(rows, window_start=window_start, window_end=window_end, as_of=as_of)
-    res = run_job(store, CANDLES.identifier, kept, quality_checks(CANDLES), strict_flag="_bad",
+    res = run_job(store, CANDLES.identifier, kept, quality_checks(CANDLES),
                   max_columns=("close_time",),
                   extra_metrics={"symbol": instrument + counterpart, "interval": interval})
-    res["latest_source_close_time"] = res.pop("latest_close_time", None)
+    res.metrics["latest_source_close_time"] = res.metrics.pop("latest_close_time", None)
     return res
 
 
 def run_funding_rates(store: TableStore, pages: DataFrame, *, window_start: datetime, window_end: datetime,
-                      as_of: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> RunResult:
+                      as_of: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> JobRun:
     end = min(window_end, as_of - timedelta(milliseconds=1))
     rows = N.funding_rates(pages, instrument=F.lit(instrument), counterpart=F.lit(counterpart))
-    if window_start > end:
-        rows = rows.filter(F.lit(False))
-    rows = window_inclusive(rows, "funding_time", window_start, end)
-    return run_job(store, FUNDING_RATES.identifier, rows, quality_checks(FUNDING_RATES), strict_flag="_bad",
+    rows = window_inclusive(rows, "funding_time", window_start, end)   # an inverted window holds nothing
+    return run_job(store, FUNDING_RATES.identifier, rows, quality_checks(FUNDING_RATES),
                    max_columns=("funding_time",))
 
 
 def run_futures_metrics(store: TableStore, open_interest: DataFrame, basis: DataFrame, premium: DataFrame, *,
-                        window_start: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> RunResult:
+                        window_start: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> JobRun:
     """One row for the window's start date assembled from three sources (all missing = none)."""
     day = window_start.date()
     rows = N.futures_metrics(*(p.withColumn("date", F.lit(day)) if "date" not in p.columns else p
@@ -86,21 +84,21 @@ def run_futures_metrics(store: TableStore, open_interest: DataFrame, basis: Data
 
 
 def run_long_short_ratio(store: TableStore, pages: DataFrame, *, window_start: datetime, window_end: datetime,
-                         source_updated_at: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> RunResult:
+                         source_updated_at: datetime, instrument: str = "BTC", counterpart: str = "USDT") -> JobRun:
     rows = N.long_short(pages, instrument=F.lit(instrument), counterpart=F.lit(counterpart),
                         source_updated_at=source_updated_at)
     rows = window_inclusive(rows, "date", window_start.date(), window_end.date())
-    return run_job(store, LONG_SHORT_RATIO.identifier, rows, quality_checks(LONG_SHORT_RATIO), strict_flag="_bad")
+    return run_job(store, LONG_SHORT_RATIO.identifier, rows, quality_checks(LONG_SHORT_RATIO))
 
 
 def run_cot_positioning(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime,
-                        market_prefix: str = "BITCOIN -") -> RunResult:
+                        market_prefix: str = "BITCOIN -") -> JobRun:
     since = run_date - timedelta(days=source("cot_positioning").lookback_days)
     rows = N.cot_positioning(pages, since=since, market_prefix=market_prefix, source_updated_at=source_updated_at)
-    return run_job(store, COT_POSITIONING.identifier, rows, quality_checks(COT_POSITIONING), strict_flag="_bad")
+    return run_job(store, COT_POSITIONING.identifier, rows, quality_checks(COT_POSITIONING))
 
 
-def run_etf_flows(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime) -> RunResult:
+def run_etf_flows(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime) -> JobRun:
     """All parsable days of the page; the trailing look-back is written."""
     rows = N.etf_flows(pages, keep=("page",) if "page" in pages.columns else (),
                        source_updated_at=source_updated_at).select(*ETF_FLOWS.columns)
@@ -109,7 +107,7 @@ def run_etf_flows(store: TableStore, pages: DataFrame, *, run_date: date, source
         available = days.count()
         window = lookback_window(days, "date", run_date, source("etf_flows").lookback_days)
         res = run_job(store, ETF_FLOWS.identifier, window, quality_checks(ETF_FLOWS))
-        res.update({"available_days": available, "written_days": res["rows"],
+        res.metrics.update({"available_days": available, "written_days": res.metrics["rows"],
                     "fetch_status": "ok" if available else "empty_source"})
         return res
     finally:
@@ -117,28 +115,28 @@ def run_etf_flows(store: TableStore, pages: DataFrame, *, run_date: date, source
 
 
 def run_exchange_flows(store: TableStore, pages: DataFrame, *, since: date, until: date,
-                       source_updated_at: datetime, asset: str = "btc", exchange: str = "all_exchange") -> RunResult:
+                       source_updated_at: datetime, asset: str = "btc", exchange: str = "all_exchange") -> JobRun:
     rows = N.exchange_flows(pages, asset=F.lit(asset), exchange=F.lit(exchange), source_updated_at=source_updated_at)
     return run_job(store, EXCHANGE_FLOWS.identifier, window_inclusive(rows, "date", since, until),
-                   quality_checks(EXCHANGE_FLOWS), strict_flag="_bad")
+                   quality_checks(EXCHANGE_FLOWS))
 
 
 def run_macro_calendar(store: TableStore, pages: DataFrame, releases: DataFrame, *, run_date: date,
-                       source_updated_at: datetime) -> RunResult:
+                       source_updated_at: datetime) -> JobRun:
     since = _midnight(run_date - timedelta(days=source("macro_calendar").lookback_days))
     rows = N.macro_calendar(pages, releases, source_updated_at=source_updated_at)
-    rows = rows.filter(F.col("event_time_utc") >= _ts(since))
-    return run_job(store, MACRO_CALENDAR.identifier, rows, quality_checks(MACRO_CALENDAR), strict_flag="_bad")
+    rows = since_filter(rows, "event_time_utc", since)
+    return run_job(store, MACRO_CALENDAR.identifier, rows, quality_checks(MACRO_CALENDAR))
 
 
-def run_macro_series(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime) -> RunResult:
+def run_macro_series(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime) -> JobRun:
     since = run_date - timedelta(days=source("macro_series").lookback_days)
     rows = N.macro_series(pages, since=since, source_updated_at=source_updated_at)
-    return run_job(store, MACRO_SERIES.identifier, rows, quality_checks(MACRO_SERIES), strict_flag="_bad")
+    return run_job(store, MACRO_SERIES.identifier, rows, quality_checks(MACRO_SERIES))
 
 
 def run_market_metrics(store: TableStore, asset_pages: DataFrame, total_pages: DataFrame, *, run_date: date,
-                       snapshot_pct: float | None, snapshot_at: datetime) -> RunResult:
+                       snapshot_pct: float | None, snapshot_at: datetime) -> JobRun:
     """Run day from history, else from the snapshot; no snapshot and no history = no row."""
     history = N.dominance_history(asset_pages, total_pages)
     requested = store.spark.range(1).select(F.lit(run_date).alias("date"))
@@ -148,14 +146,14 @@ def run_market_metrics(store: TableStore, asset_pages: DataFrame, total_pages: D
 
 
 def run_stablecoin_supply(store: TableStore, caps: DataFrame, *, run_date: date,
-                          source_updated_at: datetime) -> RunResult:
+                          source_updated_at: datetime) -> JobRun:
     rows = run_day_rows(N.stablecoin_supply(caps, source_updated_at=source_updated_at).withColumn(
         "date", F.to_date("date")), "date", run_date)
     return run_job(store, STABLECOIN_SUPPLY.identifier, rows, quality_checks(STABLECOIN_SUPPLY))
 
 
 def run_market_news(store: TableStore, feed_pages: DataFrame, feeds: DataFrame, *, fetched_at: datetime,
-                    bodies: DataFrame | None = None) -> RunResult:
+                    bodies: DataFrame | None = None) -> JobRun:
     """Items of every feed, first occurrence per content hash (feed order, item
     order), minus stored hashes, then the optional landed bodies by URL."""
     items = N.news_items(feed_pages, xml="payload", keep=("feed_pos",))
@@ -176,34 +174,31 @@ def run_market_news(store: TableStore, feed_pages: DataFrame, feeds: DataFrame,
             _ts(fetched_at).alias("fetched_at"), "title", F.col("summary").alias("summary_raw"), "content_raw",
             _ts(fetched_at).alias("source_updated_at"))
         res = run_job(store, MARKET_NEWS_ITEMS.identifier, rows, quality_checks(MARKET_NEWS_ITEMS))
-        res.update({"items_seen": seen, "items_written": res["rows"]})
+        res.metrics.update({"items_seen": seen, "items_written": res.metrics["rows"]})
         return res
     finally:
         items.unpersist()
 
 
 def run_onchain_metrics(store: TableStore, metric_pages: DataFrame, chart_pages: DataFrame, charts: DataFrame, *,
-                        run_date: date, source_updated_at: datetime) -> RunResult:
+                        run_date: date, source_updated_at: datetime) -> JobRun:
     """Metrics for the run day and one row per configured chart (null when the chart
     has no value); each table gated on its own."""
     metrics = run_day_rows(N.onchain_metrics(metric_pages, source_updated_at=source_updated_at), "date", run_date)
-    bad = metrics.filter(F.col("_bad")).limit(1).count()
-    if bad:
-        raise ValueError("Invalid on-chain payload")
     requested = charts.select("chart_name", F.lit(run_date).alias("date"))
     chart_rows = N.chart_first_values(requested, chart_pages.withColumn("date", F.lit(run_date))
                                       if "date" not in chart_pages.columns else chart_pages,
                                       source_updated_at=source_updated_at)
     return run_tables(store, [
-        (ONCHAIN_METRICS.identifier, metrics.drop("_bad"), quality_checks(ONCHAIN_METRICS), "quality"),
+        (ONCHAIN_METRICS.identifier, metrics, quality_checks(ONCHAIN_METRICS), "quality"),
         (BLOCKCHAIN_CHARTS.identifier, chart_rows, quality_checks(BLOCKCHAIN_CHARTS), "quality_charts"),
     ])
 
 
 def run_sentiment_index(store: TableStore, fear_greed_pages: DataFrame, dvol_pages: DataFrame | None,
-                        option_book: DataFrame | None, *, run_date: date, source_updated_at: datetime) -> RunResult:
+                        option_book: DataFrame | None, *, run_date: date, source_updated_at: datetime) -> JobRun:
     """Look-back fetch, but only the run day is written (three tables, separate gates)."""
-    fg = N.sentiment(fear_greed_pages, source_updated_at=source_updated_at).drop("_bad")
+    fg = N.sentiment(fear_greed_pages, source_updated_at=source_updated_at)
     parts = [(SENTIMENT_INDEX.identifier, run_day_rows(fg, "date", run_date), quality_checks(SENTIMENT_INDEX),
               "quality")]
     if dvol_pages is not None:
@@ -215,5 +210,5 @@ def run_sentiment_index(store: TableStore, fear_greed_pages: DataFrame, dvol_pag
                                             _ts(source_updated_at).alias("source_updated_at"))
         parts.append((PUT_CALL.identifier, pc, quality_checks(PUT_CALL), "quality_put_call"))
     res = run_tables(store, parts)
-    res["available_days"] = fg.count()
+    res.metrics["available_days"] = fg.count()
     return res

@@ -15,21 +15,19 @@ from tidemark.quality.checks import (
     unique,
 )
 from tidemark.quality.report import (
-    CheckResult,
+    Finding,
     Report,
-    check_names,
     report_ids,
     report_metrics,
-    slug,
     slug_col,
     subjects_catalog,
     with_check_ids,
 )
-from tidemark.quality.runner import check_frame, report_frame, stats_frame, validate
+from tidemark.quality.runner import check_frame, log_failures, report_frame, stats_frame, validate
 
 __all__ = [
-    "Check", "CheckResult", "QualityError", "Report", "Severity", "accepted_values", "check_frame",
-    "check_names", "expression", "frame_check", "from_spec", "in_range", "matches_regex", "not_empty",
-    "not_null", "report_frame", "report_ids", "report_metrics", "row_count_between", "slug", "slug_col", "stats_frame", "subjects_catalog",
+    "Check", "Finding", "QualityError", "Report", "Severity", "accepted_values", "check_frame",
+    "expression", "frame_check", "from_spec", "in_range", "log_failures", "matches_regex", "not_empty",
+    "not_null", "report_frame", "report_ids", "report_metrics", "row_count_between", "slug_col", "stats_frame", "subjects_catalog",
     "time_in_window", "unique", "validate", "with_check_ids",
 ]

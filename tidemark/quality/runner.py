@@ -27,9 +27,9 @@ from tidemark.quality.checks import Check
 from tidemark.quality.report import Report
 
 
-def _fail_sum(keep: Column) -> Column:
+def _fail_sum(rule: Column) -> Column:
     # Null predicate = pass: ``when`` with a null condition takes ``otherwise``.
-    return F.sum(F.when(~keep, F.lit(1)).otherwise(F.lit(0))).cast("long")
+    return F.sum(F.when(~rule, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
 def _key_sets(checks: Sequence[Check]) -> list[tuple[str, ...]]:
@@ -42,18 +42,18 @@ def _key_sets(checks: Sequence[Check]) -> list[tuple[str, ...]]:
 
 def stats_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One-row DataFrame: ``_total``, ``_f<i>`` per row check, ``_d<j>`` per key set."""
-    row_idx = [i for i, c in enumerate(checks) if c.kind == "row"]
+    row_idx = [i for i, c in enumerate(checks) if c.rule is not None]
     key_sets = _key_sets(checks)
 
     if not key_sets:
         aggs = [F.count(F.lit(1)).cast("long").alias("_total")]
-        aggs += [_fail_sum(checks[i].keep).alias(f"_f{i}") for i in row_idx]
+        aggs += [_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx]
         stats = frame.agg(*aggs)
     elif len(key_sets) == 1:
         key = list(key_sets[0])
         level1 = frame.groupBy(*key).agg(
             F.count(F.lit(1)).alias("_n"),
-            *[_fail_sum(checks[i].keep).alias(f"_f{i}") for i in row_idx],
+            *[_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx],
         )
         stats = level1.agg(
             F.sum("_n").cast("long").alias("_total"),
@@ -68,7 +68,7 @@ def stats_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
                     all_cols.append(c)
         level1 = frame.groupingSets([list(ks) for ks in key_sets], *all_cols).agg(
             F.count(F.lit(1)).alias("_n"),
-            *[_fail_sum(checks[i].keep).alias(f"_f{i}") for i in row_idx],
+            *[_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx],
             F.grouping_id().alias("_gid"),
         )
         gids = []
@@ -110,7 +110,7 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
     total = F.col("_total")
     structs = []
     for pos, c in enumerate(checks):
-        if c.kind == "row":
+        if c.rule is not None:
             failed = F.col(f"_f{pos}")
             structs.append(_report_struct(pos, c, failed == 0, failed, total))
         elif c.kind == "unique":
@@ -119,11 +119,8 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
         elif c.kind == "not_empty":
             structs.append(_report_struct(pos, c, total > 0, F.lit(0), total))
         elif c.kind == "row_count":
-            ok = F.lit(True)
-            if c.low is not None:
-                ok = ok & (total >= F.lit(c.low))
-            if c.high is not None:
-                ok = ok & (total <= F.lit(c.high))
+            low, high = c.parameters["low"], c.parameters["high"]
+            ok = total.between(F.lit(0 if low is None else low), F.lit((1 << 63) - 1 if high is None else high))
             structs.append(_report_struct(pos, c, ok, F.when(ok, F.lit(0)).otherwise(total), total))
     if structs:
         report = stats.select(F.inline(F.array(*structs)))
@@ -136,7 +133,7 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
     if custom:
         parts = [report]
         for pos, c in custom:
-            res = c.frame_eval(frame)
+            res = c.parameters["evaluate"](frame)
             parts.append(res.select(
                 F.lit(pos).alias("position"), F.lit(c.name).alias("check"), F.lit(c.severity.value).alias("severity"),
                 F.col("passed").cast("boolean").alias("passed"), F.col("failed_rows").cast("long").alias("failed_rows"),
@@ -156,15 +153,16 @@ def validate(frame: DataFrame, checks: Sequence[Check], *, subject: str = "") ->
     return Report(report_frame(frame, checks, subject), checks, subject, source=frame)
 
 
+def log_failures(report: Report, logger=None) -> None:
+    """A warning for every failed check."""
+    for r in report.failures if logger is not None else ():
+        logger.warning("quality_check_failed table=%s check=%s severity=%s failed_rows=%s total_rows=%s sample=%s",
+                       report.subject, r.name, r.severity.value, r.failed_rows, r.total_rows, r.sample)
+
+
 def check_frame(frame: DataFrame, checks: Sequence[Check], *, table: str, logger=None) -> Report:
-    """Pre-write validation for ``table``: failures are logged and the report
-    carries the table name.  Nothing is raised here - writers proceed only when
-    ``report.ok`` (no ERROR failure); WARN failures are reported, never blocking.
-    """
+    """Validation before a write of ``table``: nothing is raised, failures are logged, and the caller
+    writes only if the report is ``ok``."""
     report = validate(frame, checks, subject=table)
-    if logger is not None:
-        for result in report.failures:
-            logger.warning("quality_check_failed table=%s check=%s severity=%s failed_rows=%s total_rows=%s sample=%s",
-                           table, result.name, result.severity.value, result.failed_rows,
-                           result.total_rows, result.sample)
+    log_failures(report, logger)
     return report

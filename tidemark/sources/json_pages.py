@@ -22,20 +22,26 @@ def payload_rows(df: DataFrame, payload: str | Column, schema: T.DataType | str,
                  *, keep: Sequence[str] = (), position: str | None = "pos") -> DataFrame:
     """Parse ``payload`` with ``schema`` and explode the array found under ``path``.
 
-    A missing path (or unparsable payload) yields no rows (``explode``, not
-    ``explode_outer``).  The element position is kept (payload order matters for
-    "latest" rules)."""
+    A missing path gives no rows.  A page that is there but is no JSON (cut off, an error page) gives
+    one row whose ``item`` is null, so that whatever the source requires of an item is missing and the
+    strict test sees the page; sources that forgive drop it by ``item is not null``.  The element
+    position is kept (payload order matters for "latest" rules)."""
     payload_col = F.col(payload) if isinstance(payload, str) else payload
-    parsed = F.from_json(payload_col, schema)
-    node = parsed
+    node = F.from_json(payload_col, schema)
     for step in path:
         node = node.getField(step)
+    node = F.when(broken(payload_col), F.array(F.get(node, F.lit(0)))).otherwise(node)
     keep_cols = [F.col(k) for k in keep]
     if position:
         return df.select(*keep_cols, F.posexplode(node).alias(position, "item"))
     return df.select(*keep_cols, F.explode(node).alias("item"))
 
 
+def broken(payload: Column) -> Column:
+    """True for a page that is there but cannot be read as JSON."""
+    return payload.isNotNull() & F.try_parse_json(payload).isNull()
+
+
 def element(arr: Column, i: int) -> Column:
     """0-based positional element; null past the end."""
     return F.get(arr, i)
