@@ -62,3 +62,96 @@ def test_stream_forms(spark):
     latest_end = bars.agg(F.max(F.col("close_time"))).collect()[0][0]
     assert latest_end is not None and latest_end < wm
     assert stream_upsert(spark, sf).count() == ev.count()
+
+
+def test_a_stopped_stream_goes_on_where_it_was(spark, store_root):
+    """A batch that fails stops the stream; started again with the same checkpoint it takes up the files
+    that are left, not those that were committed."""
+    from tidemark.streaming.jobs import upsert_stream
+    from tidemark.tables import FUNDING_RATES
+    landing = store_root.replace("file:", "") + "-landing3"
+    for k in range(3):
+        spark.createDataFrame([(f"S{k}", "USDT", datetime(2024, 6, 1), 0.1, 1.0)], FUNDING_RATES.schema).coalesce(1) \
+            .write.mode("append").parquet(landing)
+    store = TableStore(spark, store_root + "-wh3", {FUNDING_RATES.identifier: FUNDING_RATES})
+    source = lambda: spark.readStream.schema(FUNDING_RATES.schema).option("maxFilesPerTrigger", "1").parquet(landing)
+    seen = []
+
+    def second_fails(batch):
+        seen.append(batch.first().instrument)
+        if len(seen) == 2:
+            raise RuntimeError("stopped")
+        return batch
+
+    with pytest.raises(Exception, match="stopped"):
+        upsert_stream(source(), store, FUNDING_RATES.identifier, second_fails, store_root + "-ckpt3")
+    assert store.read(FUNDING_RATES.identifier).count() == 1
+    results = upsert_stream(source(), store, FUNDING_RATES.identifier, lambda b: b, store_root + "-ckpt3")
+    assert len(results) == 2 and store.read(FUNDING_RATES.identifier).count() == 3
+    assert upsert_stream(source(), store, FUNDING_RATES.identifier, lambda b: b, store_root + "-ckpt3") == []
+
+
+def test_backfills_of_every_source(spark, store_root):
+    """Pages of each kind that a source lands, under the names in their paths."""
+    root = store_root.replace("file:", "") + "-landing4"
+    day = date(2024, 6, 2)
+    ms = 1717200000000                                       # 2024-06-01
+    for kind, page in (("open_interest", [{"symbol": "S", "timestamp": ms, "sumOpenInterest": "11"}]),
+                       ("basis", [{"pair": "S", "timestamp": ms, "basis": "2.5"}]), ("premium", [[ms, "0", "0", "0", "0.25"]])):
+        _land(root, "futures_metrics", day, [json.dumps(page)], f"/kind={kind}/date=2024-06-01")
+    _land(root, "macro_calendar", day, [json.dumps({"release_dates": [{"date": "2024-06-03"}]})], "/release=10")
+    for kind, page in (("asset", {"market_caps": [[ms, 50.0], [ms + 1, 60.0]]}),
+                       ("total", {"market_cap_chart": {"market_cap": [[ms, 100.0], [ms + 1, 100.0]]}})):
+        _land(root, "market_metrics", day, [json.dumps(page)], f"/kind={kind}")
+    for coin, cap in (("tether", 7.0), ("usd-coin", 3.0)):
+        _land(root, "market_metrics", day, [json.dumps({"market_data": {"market_cap": {"usd": cap}}})], f"/coin={coin}/date=2024-06-01")
+    _land(root, "onchain_metrics", day, [json.dumps({"values": [{"x": ms // 1000, "y": 4.0}, {"x": ms // 1000 + 86400, "y": 5.0}]})], "/chart=miners-revenue")
+    _land(root, "sentiment_index", day, [json.dumps({"result": {"data": [[ms, 1, 2, 3, 44.0], [ms + 1, 1, 2, 3, 45.0]]}})], "/kind=dvol")
+    store = TableStore(spark, store_root + "-wh4")
+    stamp = datetime(2024, 6, 6, tzinfo=timezone.utc)
+    got = {}
+    for name in ("futures_metrics", "macro_calendar", "market_metrics", "onchain_metrics", "sentiment_index"):
+        got |= run_backfill(spark, root, store, name, date(2024, 6, 1), date(2024, 7, 1), source_updated_at=stamp)
+    assert got == {"raw.futures_metrics": 1, "raw.macro_calendar": 1, "raw.market_metrics": 1, "raw.stablecoin_supply": 1,
+                   "raw.blockchain_charts": 2, "raw.deribit_dvol": 1}
+    assert store.read("raw.futures_metrics").first()[-3:] == (11.0, 2.5, 0.25)
+    assert store.read("raw.market_metrics").first().btc_dominance_pct == 60.0
+    assert store.read("raw.deribit_dvol").first().dvol == 45.0
+
+
+@pytest.mark.parametrize("name,sub,page", [
+    ("sentiment_index", "", '{"data": [{"timestamp": "1717200000", "value": "forty"}]}'),
+    ("sentiment_index", "", '{"data": [{"timestamp": "17172'),
+    ("onchain_metrics", "", '{"data": [{"asset": "btc", "time": "2024-06-01T00:00:00Z", "CapMVRVCur": "abc"}]}'),
+    ("cot_positioning", "", '[{"market_and_exchange_names": "BITCOIN - X", "report_date_as_yyyy_mm_dd": "2024-06-01", "open_interest_all": "abc"}]'),
+    ("futures_metrics", "/kind=open_interest", '[{"timestamp": 1717200000000, "sumOpenInterest": "abc"}]'),
+    ("macro_series", "/series=X", '{"observations": [{"date": "2024-06-01", "value": "abc"}]}'),
+])
+def test_bad_values_and_cut_pages_abort_a_backfill(spark, store_root, name, sub, page):
+    root = store_root.replace("file:", "") + "-landing5"
+    _land(root, name, date(2024, 6, 2), [page], sub)
+    with pytest.raises(ValueError, match="Invalid payload"):
+        run_backfill(spark, root, TableStore(spark, store_root + "-wh5"), name, date(2024, 6, 1), date(2024, 7, 1))
+
+
+def test_a_bad_time_or_a_cut_page_aborts_a_run(spark, store_root):
+    from tidemark.plans import runs as R
+    store = TableStore(spark, store_root + "-wh6")
+    window = dict(interval="1h", window_start=datetime(2024, 6, 1, tzinfo=timezone.utc), window_end=datetime(2024, 6, 2, tzinfo=timezone.utc),
+                  as_of=datetime(2024, 6, 3, tzinfo=timezone.utc))
+    bar = [1717200000000, "1", "2", "0.5", "1.5", "10", 1717203599999, "15", 3, "5", "7", "0"]
+    for pages in (json.dumps([bar, [*bar[:6], "oops", *bar[7:]]]), json.dumps([bar])[:-9]):
+        with pytest.raises(ValueError, match="Invalid payload"):
+            R.run_candles(store, spark.createDataFrame([(pages,)], "payload string"), **window)
+    assert R.run_candles(store, spark.createDataFrame([(json.dumps([bar]),)], "payload string"), **window).metrics["rows_affected"] == 1
+
+
+def test_a_run_without_checks_writes(spark, store_root):
+    from tidemark.plans.jobs import run_job
+    store = TableStore(spark, store_root + "-wh7")
+    rows = spark.createDataFrame([(date(2024, 6, 1), 52.0, datetime(2024, 6, 2))], "date date, dvol double, source_updated_at timestamp")
+    res = run_job(store, "raw.deribit_dvol", rows, [])
+    assert (res.metrics["rows"], res.metrics["rows_affected"]) == (1, 1)
+    with pytest.raises(Exception, match="is required"):
+        run_job(store, "raw.etf_flows", spark.createDataFrame([(date(2024, 6, 1), None, datetime(2024, 6, 2))],
+                                                              "date date, net_flow_usd double, source_updated_at timestamp"), [])

@@ -63,7 +63,7 @@ def test_upsert_rejects_duplicate_and_null_keys(spark, store_root):
     dup = [("a", datetime(2024, 1, 1), 1.0, None), ("a", datetime(2024, 1, 1), 2.0, None)]
     with pytest.raises(ValueError, match="duplicate"):
         store.upsert("raw.px", _rows(spark, dup))
-    with pytest.raises(ValueError, match="null identity"):
+    with pytest.raises(Exception, match="'k' is required"):
         store.upsert("raw.px", _rows(spark, [(None, datetime(2024, 1, 1), 1.0, None)]))
 
 

@@ -12,31 +12,35 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _cast(c: Column, name: str, src: T.DataType, dst: T.DataType) -> Column:
-    if isinstance(dst, _INTEGRAL) and isinstance(src, _FRACTIONAL):
-        # ANSI cast truncates fractions silently; a safe cast refuses them.
-        lossy = c.isNotNull() & (c != F.floor(c))
-        return F.when(lossy, F.raise_error(F.lit(f"lossy cast of column {name!r} to {dst.simpleString()}"))) \
-            .otherwise(c.cast(dst))
-    return c.cast(dst)
+def _exact(value: Column, name: str, have: T.DataType, want: T.DataType) -> Column:
+    """A cast that changes no value: ANSI mode refuses overflow and bad text, this a cut-off fraction."""
+    if isinstance(have, _FRACTIONAL) and isinstance(want, _INTEGRAL):
+        whole = value.isNull() | (value == F.floor(value))
+        value = F.when(whole, value).otherwise(F.raise_error(F.lit(f"column {name!r}: a fraction does not go into {want.simpleString()}")))
+    return value.cast(want)
+
+
+def _required(value: Column, name: str) -> Column:
+    return F.coalesce(value, F.raise_error(F.lit(f"column {name!r} is required: it holds a null")))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exact match passes through; extra or missing columns raise; reorder by
-    name; cast where the type differs (ANSI: overflow and bad text fail)."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
+    """``df`` in the shape of ``schema``: its columns by name, in its order, in its types.
+
+    A column too many or too few raises at once.  A value that does not fit its type, and a null in a
+    column that the schema requires, raise when the rows are read.  A column that fits already is
+    passed on as it is.
+    """
+    want, have = {f.name: f for f in schema.fields}, {f.name: f for f in df.schema.fields}
+    if df.schema == schema:
         return df
-    extra = set(have) - set(schema.fieldNames())
-    if extra:
-        raise ValueError(f"conform: columns {sorted(extra)} are not in the table schema")
-    cols = []
-    for f in schema.fields:
-        if f.name not in have:
-            raise ValueError(f"conform: the frame is missing column {f.name!r} of the table schema")
-        c = F.col(f.name)
-        cols.append(c if have[f.name] == f.dataType else _cast(c, f.name, have[f.name], f.dataType).alias(f.name))
-    return df.select(*cols)
+    if want.keys() != have.keys():
+        raise ValueError(f"conform: not in the table schema: {sorted(have.keys() - want.keys())}; missing: {sorted(want.keys() - have.keys())}")
+    columns = []
+    for name, field in want.items():
+        value = F.col(name) if field.dataType == have[name].dataType else _exact(F.col(name), name, have[name].dataType, field.dataType)
+        columns.append((value if field.nullable or not have[name].nullable else _required(value, name)).alias(name))
+    return df.select(*columns)
 
 
 def bad_row_flag(required: Sequence[Column]) -> Column:

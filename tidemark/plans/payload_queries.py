@@ -310,8 +310,13 @@ def html_table_extract(spark: SparkSession, sf_dir: str):
     daily = (orders.groupBy(F.to_date("o_orderdate").alias("d"))
              .agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count(F.lit(1)).alias("n")))
     total_text = F.when(F.col("n") > 1, F.format_number("total", 2)).otherwise(F.lit("-"))
-    row = F.format_string("<tr><td> %s </td><td>%s</td><td>%s</td></tr>",
-                          F.date_format("d", "dd MMM yyyy"), F.col("n").cast("string"), total_text)
+    # every other day writes digits, spaces and the sign as character references
+    odd = F.dayofmonth("d") % 2 == 1
+    total_text = F.when(odd & (F.col("n") > 1), F.concat(F.lit("&#36;"), F.regexp_replace(F.regexp_replace(total_text, "1", "&#49;"), "0", "&#x30;"))) \
+        .otherwise(total_text)
+    day_text = F.replace(F.date_format("d", "dd MMM yyyy"), F.lit(" "), F.when(odd, "&#32;").otherwise(" "))
+    row = F.format_string("<tr title='a>b'><td> %s&nbsp;</td><td>%s</td><td>%s</td></tr><!-- <tr><td>-->",
+                          day_text, F.col("n").cast("string"), total_text)
     pages = (daily.select(F.date_format("d", "yyyy-MM").alias("month"), F.struct("d", row.alias("r")).alias("x"))
              .groupBy("month").agg(F.array_sort(F.collect_list("x")).alias("xs"))
              .select("month", F.concat(

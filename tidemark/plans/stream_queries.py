@@ -22,7 +22,7 @@ WHERE open_time + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 H
 def stream_closed_bars(spark: SparkSession, sf_dir: str):
     """Watermarked hourly windows in append mode: only bars the watermark has closed."""
     bars = S.closed_bars(S.read_table_stream(spark, sf_dir, "events"))
-    out = S.run_to_files(bars, spark, "stream-bars")
+    out = S.run_to_files(bars, scratch_path(spark, "stream-bars"))
     return finish(spark.read.parquet(out))
 
 
@@ -42,8 +42,10 @@ def stream_upsert(spark: SparkSession, sf_dir: str):
                             ((F.col("value") - 100) / 1000).alias("funding_rate"),
                             (F.col("value") * 100).alias("mark_price"))
 
-    S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows)
-    replay = S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows)
+    S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows,
+                    scratch_path(spark, "stream-upsert"))
+    replay = S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows,
+                             scratch_path(spark, "stream-replay"))
     assert sum(r.rows_affected for r in replay) == 0, "replayed stream must not change the table"
     return finish(store.read(FUNDING_RATES.identifier))
 
@@ -60,5 +62,5 @@ def stream_hash_dedup(spark: SparkSession, sf_dir: str):
     items = events.select(
         content_hash(F.col("event_type"), F.lit(""), F.floor("value").cast("long").cast("string")).alias("content_hash"),
         F.col("ts").cast("timestamp").alias("published_at"))
-    out = S.run_to_files(S.dedup_stream(items, delay="40 days"), spark, "stream-dedup")
+    out = S.run_to_files(S.dedup_stream(items, delay="40 days"), scratch_path(spark, "stream-dedup"))
     return spark.read.parquet(out).select("content_hash")

@@ -14,6 +14,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import file_names
+
 
 @dataclass(frozen=True)
 class Source:
@@ -91,15 +93,17 @@ def landing_path(root: str, name: str, dt: date | None = None) -> str:
 
 def read_landed(spark: SparkSession, root: str, name: str, start: date | None = None,
                 end: date | None = None) -> DataFrame:
-    """Landed pages of a source as ``(dt, page, payload)``; ``[start, end)`` on
-    ``dt`` prunes partition folders before any file is opened."""
-    df = (spark.read.option("wholetext", "true").format("text").load(landing_path(root, name))
-          .select(F.col("value").alias("payload"), F.input_file_name().alias("page"), F.col("dt")))
-    if start is not None:
-        df = df.filter(F.col("dt") >= F.lit(start))
-    if end is not None:
-        df = df.filter(F.col("dt") < F.lit(end))
-    return df
+    """Landed pages of a source as ``(dt, page, payload)``; only the day folders in ``[start, end)`` are
+    listed and read.  Below a day folder pages may lie in folders that say more of them (``kind=...``)."""
+    base = landing_path(root, name)
+    days = [n[3:] for n in file_names(spark, base) if n.startswith("dt=")]
+    kept = [d for d in sorted(days) if (start is None or d >= start.isoformat()) and (end is None or d < end.isoformat())]
+    if not kept:
+        return spark.createDataFrame([], "dt date, page string, payload string")
+    pages = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").format("text")
+             .load([f"{base}/dt={d}" for d in kept]))
+    page = F.input_file_name()
+    return pages.select(F.regexp_extract(page, "/dt=([0-9-]+)/", 1).cast("date").alias("dt"), page.alias("page"), F.col("value").alias("payload"))
 
 
 def config_frame(spark: SparkSession, rows, schema: str) -> DataFrame:

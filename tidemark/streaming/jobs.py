@@ -7,8 +7,8 @@
   ``TableStore.upsert``; a replayed batch after a failure rewrites the same rows,
   so the sink is effectively exactly-once.
 
-Checkpoints live under the shared ``spark.checkpoint.dir`` so a restarted
-driver (or a lost executor) resumes from the last committed batch.
+The caller names the checkpoint folder (shared, and the same at every start), so a restarted driver
+resumes after the last committed batch.  ``MAX_FILES`` bounds a micro-batch.
 """
 
 from __future__ import annotations
@@ -18,32 +18,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
-from tidemark.store import TableStore
+from tidemark.store import TableStore, WriteResult
 
+#: Files of one micro-batch.
+MAX_FILES = 64
 
-def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = MAX_FILES) -> DataFrame:
     """Stream the parquet files of one table (new files are picked up as they land).
     A table is either a folder of part files or a single file inside ``sf_dir``."""
     from tidemark.session import hadoop_fs
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files))
     fs, hpath = hadoop_fs(spark, path)
     if fs.getFileStatus(hpath).isDirectory():
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def _finish(query, timeout_s: int) -> None:
-    """Wait for an ``availableNow`` query; a query still running after ``timeout_s``
-    is stopped and reported (the checkpoint lets a rerun resume)."""
-    done = query.awaitTermination(timeout_s)
-    if not done:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+def _finish(query) -> None:
+    """Wait for an ``availableNow`` query to the end, however long it takes; its failure is raised here."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 
@@ -62,30 +58,34 @@ def closed_bars(events: DataFrame, *, ts: str = "ts", key: str = "event_type", v
                       "open", "high", "low", "close", "volume", "number_of_trades")
 
 
-def run_to_files(stream: DataFrame, spark: SparkSession, purpose: str, timeout_s: int = 1800) -> str:
-    """Run a streaming query over everything available (``availableNow``) into a
-    parquet sink; returns the output folder."""
-    root = scratch_path(spark, purpose)
-    q = (stream.writeStream.format("parquet").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+def run_to_files(stream: DataFrame, folder: str) -> str:
+    """Run a streaming query over everything available (``availableNow``) into a parquet sink under
+    ``folder``; returns the output folder.
+
+    The checkpoint is there too: a run that was stopped goes on after its last committed batch when it
+    is started again with the same folder, and a finished one takes up what has landed since."""
+    q = (stream.writeStream.format("parquet").option("path", f"{folder}/out")
+         .option("checkpointLocation", f"{folder}/checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
-    _finish(q, timeout_s)
-    return f"{root}/out"
+    _finish(q)
+    return f"{folder}/out"
 
 
 def upsert_stream(stream: DataFrame, store: TableStore, table: str,
-                  transform: Callable[[DataFrame], DataFrame], purpose: str = "stream-upsert",
-                  timeout_s: int = 1800) -> list:
-    """Each micro-batch -> ``transform`` -> keyed upsert.  Returns per-batch write results."""
-    results: list = []
+                  transform: Callable[[DataFrame], DataFrame], checkpoint: str) -> list[WriteResult]:
+    """Each micro-batch -> ``transform`` -> keyed upsert.  Returns the write results of this run.
+
+    ``checkpoint`` is the caller's: started again with the same one, the stream goes on after the last
+    committed batch; a batch that was written but not committed is upserted once more, which changes
+    nothing."""
+    results: list[WriteResult] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         results.append(store.upsert(table, transform(batch)))
 
-    root = scratch_path(store.spark, purpose)
-    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{root}/checkpoint")
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    _finish(q, timeout_s)
+    _finish(q)
     return results
 
 
