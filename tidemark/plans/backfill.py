@@ -71,7 +71,7 @@ def _caps(pages: DataFrame, at: datetime) -> DataFrame:
 
 def _charts(pages: DataFrame, at: datetime) -> DataFrame:
     charts = pages.select(_in_path("chart").alias("chart_name"), "payload").filter("chart_name is not null")
-    return N.chart_range(charts, date.min, date.max, source_updated_at=at)
+    return N.chart_range(charts, source_updated_at=at)
 
 
 def _usdt(make: Callable[..., DataFrame], counterpart: str = "USDT", **fixed) -> Callable[[DataFrame], DataFrame]:

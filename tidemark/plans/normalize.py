@@ -387,13 +387,14 @@ def chart_first_values(requested: DataFrame, pages: DataFrame, *,
     return out.select("chart_name", "date", "value", _lit_ts(source_updated_at).alias("source_updated_at"))
 
 
-def chart_range(pages: DataFrame, start: date, end: date, *, source_updated_at: datetime | None = None) -> DataFrame:
-    """Backfill form: every point of each chart, half-open ``[start, end)`` by UTC date."""
+def chart_range(pages: DataFrame, start: date | None = None, end: date | None = None, *,
+                source_updated_at: datetime | None = None) -> DataFrame:
+    """Backfill form: every point of each chart, half-open ``[start, end)`` by UTC date (None: open)."""
     items = payload_rows(pages, "payload", CHART_SCHEMA, ("values",), keep=("chart_name",)).filter("item is not null")
-    d = TM.seconds_to_date(F.col("item.x"))
-    return (items.select("chart_name", d.alias("date"), F.col("item.y").alias("value"),
-                         _lit_ts(source_updated_at).alias("source_updated_at"))
-            .filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))))
+    rows = items.select("chart_name", TM.seconds_to_date(F.col("item.x")).alias("date"), F.col("item.y").alias("value"),
+                        _lit_ts(source_updated_at).alias("source_updated_at"))
+    rows = since_filter(rows, "date", start)
+    return rows if end is None else rows.filter(F.col("date") < F.lit(end))
 
 
 # ---- N16 volatility index: last close per day ------------------------------------------------------

@@ -460,7 +460,7 @@ def volatility_normalize(spark: SparkSession, sf_dir: str):
     v = F.col("value").cast("string")
     item = F.format_string("[%d,%s,%s,%s,%s]", F.unix_millis(landed.utc("ts")), v, v, v, v)
     pages = landed.event_pages(ev, item, by=(), prefix='{"result": {"data": [', suffix="]}}")
-    return finish(normalize.volatility_rows(pages, source_updated_at=SOURCE_UPDATED_AT))
+    return finish(no_bad_rows(normalize.volatility_rows(pages, source_updated_at=SOURCE_UPDATED_AT)))
 
 
 # ---- N3 futures metrics: three landed sources, latest point per day, full assembly --------------
@@ -491,7 +491,7 @@ def futures_day_normalize(spark: SparkSession, sf_dir: str):
     pm = ev.filter((F.col("event_type") == "purchase") & (F.col("value") > 300))
     pm_item = F.format_string('[%d,"0","0","0","%s","0",%d]', ms, (F.col("value") / 1000).cast("string"), ms)
     pages = [landed.event_pages(src, item, by=("date",)) for src, item in ((oi, oi_item), (bs, bs_item), (pm, pm_item))]
-    return normalize.futures_metrics(*pages)
+    return no_bad_rows(normalize.futures_metrics(*pages))
 
 
 # ---- N14 chart backfill: every point in a half-open window ---------------------------------------
