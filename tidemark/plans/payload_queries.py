@@ -451,12 +451,12 @@ def rfc822_parse(spark: SparkSession, sf_dir: str):
 
 @register("volatility_normalize", """
 SELECT CAST(ts AS DATE) AS date, arg_max(value, event_id) AS dvol, TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
-FROM events WHERE event_type = 'view' GROUP BY 1
+FROM events GROUP BY 1
 """)
 def volatility_normalize(spark: SparkSession, sf_dir: str):
     """Index candles ``[ms, o, h, l, c]`` landed in pages; the last candle of a day
     (page order, then position) gives the day's value."""
-    ev = load(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    ev = load(spark, sf_dir, "events")
     v = F.col("value").cast("string")
     item = F.format_string("[%d,%s,%s,%s,%s]", F.unix_millis(landed.utc("ts")), v, v, v, v)
     pages = landed.event_pages(ev, item, by=(), prefix='{"result": {"data": [', suffix="]}}")
@@ -466,50 +466,49 @@ def volatility_normalize(spark: SparkSession, sf_dir: str):
 # ---- N3 futures metrics: three landed sources, latest point per day, full assembly --------------
 
 @register("futures_day_normalize", """
-WITH oi AS (SELECT CAST(ts AS DATE) AS date, arg_max(value, event_id) AS open_interest FROM events
-            WHERE event_type = 'click' GROUP BY 1),
-     bs AS (SELECT CAST(ts AS DATE) AS date, arg_max(CASE WHEN value < 50 THEN NULL ELSE value END, event_id) AS basis,
-                   count(*) AS n FROM events WHERE event_type = 'view' AND value > 100 GROUP BY 1),
-     pm AS (SELECT CAST(ts AS DATE) AS date, arg_max(value / 1000, event_id) AS premium_index FROM events
-            WHERE event_type = 'purchase' AND value > 300 GROUP BY 1)
+WITH e AS (SELECT CAST(ts AS DATE) AS date, dayofweek(ts) AS d, event_type, event_id, value FROM events),
+     oi AS (SELECT date, arg_max(value, event_id) AS open_interest FROM e WHERE event_type IN ('click', 'signup') AND d <> 0 GROUP BY 1),
+     bs AS (SELECT date, max_by({'v': CASE WHEN value < 50 THEN NULL ELSE value END}, event_id).v AS basis
+            FROM e WHERE event_type IN ('view', 'error') AND d NOT IN (0, 6) GROUP BY 1),
+     pm AS (SELECT date, arg_max(value / 1000, event_id) AS premium_index FROM e WHERE event_type = 'purchase' AND d NOT IN (0, 5, 6) GROUP BY 1)
 SELECT 'BTC' AS instrument, 'USDT' AS counterpart, coalesce(oi.date, bs.date, pm.date) AS date,
        open_interest, basis, premium_index
 FROM oi FULL JOIN bs ON oi.date = bs.date FULL JOIN pm ON coalesce(oi.date, bs.date) = pm.date
 """)
 def futures_day_normalize(spark: SparkSession, sf_dir: str):
-    """Open interest (click), basis (view, sparse) and premium-index klines
-    (purchase, sparse) landed as pages per day; the last point of the last page of a
-    day is that day's value; any source may miss a day."""
+    """Open interest, basis (now and then without a value) and premium-index klines, to which all event
+    types are dealt, landed as pages per day; the last point of the last page of a day is that day's
+    value; each source rests on some days of the week."""
     ev = load(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
     ms = F.unix_millis(landed.utc("ts"))
-    oi = ev.filter(F.col("event_type") == "click")
+
+    def dealt(resting, *kinds):
+        return ev.filter(F.col("event_type").isin(*kinds) & ~F.dayofweek("date").isin(*resting))
+
     oi_item = F.to_json(F.struct(F.lit("BTCUSDT").alias("symbol"), ms.alias("timestamp"),
                                  F.col("value").cast("string").alias("sumOpenInterest")))
-    bs = ev.filter((F.col("event_type") == "view") & (F.col("value") > 100))
     bs_item = F.to_json(F.struct(F.lit("BTCUSDT").alias("pair"), ms.alias("timestamp"),
                                  F.when(F.col("value") >= 50, F.col("value").cast("string")).alias("basis")))
-    pm = ev.filter((F.col("event_type") == "purchase") & (F.col("value") > 300))
     pm_item = F.format_string('[%d,"0","0","0","%s","0",%d]', ms, (F.col("value") / 1000).cast("string"), ms)
-    pages = [landed.event_pages(src, item, by=("date",)) for src, item in ((oi, oi_item), (bs, bs_item), (pm, pm_item))]
-    return no_bad_rows(normalize.futures_metrics(*pages))
+    sources = ((dealt((1,), "click", "signup"), oi_item), (dealt((1, 7), "view", "error"), bs_item), (dealt((1, 6, 7), "purchase"), pm_item))
+    return no_bad_rows(normalize.futures_metrics(*(landed.event_pages(src, item, by=("date",)) for src, item in sources)))
 
 
 # ---- N14 chart backfill: every point in a half-open window ---------------------------------------
 
 @register("chart_range_backfill", """
-SELECT 'miners-revenue' AS chart_name, CAST(ts AS DATE) AS date, value,
+SELECT event_type AS chart_name, CAST(ts AS DATE) AS date, value,
        TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
 FROM events
-WHERE event_type = 'purchase' AND CAST(ts AS DATE) >= DATE '2024-01-05' AND CAST(ts AS DATE) < DATE '2024-01-20'
+WHERE CAST(ts AS DATE) >= DATE '2024-01-05' AND CAST(ts AS DATE) < DATE '2024-01-20'
 """)
 def chart_range_backfill(spark: SparkSession, sf_dir: str):
     """Chart points ``{"x": epoch seconds, "y": value}`` over all time; the backfill
     keeps ``[start, end)`` by UTC date."""
     from datetime import date as _date
-    ev = load(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    ev = load(spark, sf_dir, "events").withColumnRenamed("event_type", "chart_name")
     item = F.to_json(F.struct(F.unix_seconds(landed.utc("ts")).alias("x"), F.col("value").alias("y")))
-    pages = landed.event_pages(ev, item, by=(), prefix='{"values": [', suffix="]}") \
-        .withColumn("chart_name", F.lit("miners-revenue"))
+    pages = landed.event_pages(ev, item, by=("chart_name",), prefix='{"values": [', suffix="]}")
     rows = normalize.chart_range(pages, _date(2024, 1, 5), _date(2024, 1, 20), source_updated_at=SOURCE_UPDATED_AT)
     return finish(rows)
 
@@ -520,7 +519,7 @@ def chart_range_backfill(spark: SparkSession, sf_dir: str):
 WITH d AS (
   SELECT CAST(ts AS DATE) AS date,
          round(sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END), 2) AS p,
-         round(sum(CASE WHEN event_type = 'signup' THEN value ELSE 0 END), 2) AS s,
+         round(sum(CASE WHEN event_type IN ('signup', 'error') THEN value ELSE 0 END), 2) AS s,
          round(sum(CASE WHEN event_type = 'click' THEN value ELSE 0 END), 2) AS c,
          round(sum(CASE WHEN event_type = 'view' THEN value ELSE 0 END), 2) AS v
   FROM events GROUP BY 1),
@@ -532,15 +531,15 @@ FROM k WHERE usdt IS NOT NULL OR usdc IS NOT NULL
 """)
 def stablecoin_normalize(spark: SparkSession, sf_dir: str):
     """Per day one landed payload per coin (market cap = a rounded daily event sum);
-    tether lands empty on days where purchases trail signups, usd-coin on days where
+    tether lands empty on days where purchases trail signups and errors, usd-coin on days where
     clicks trail views: days with both, one or no coin."""
     ev = load(spark, sf_dir, "events")
 
-    def day_sum(kind):
-        return F.round(F.sum(F.when(F.col("event_type") == kind, F.col("value")).otherwise(0.0)), 2)
+    def day_sum(*kinds):
+        return F.round(F.sum(F.when(F.col("event_type").isin(*kinds), F.col("value")).otherwise(0.0)), 2)
 
     daily = ev.groupBy(F.to_date("ts").alias("date")).agg(
-        day_sum("purchase").alias("p"), day_sum("signup").alias("s"), day_sum("click").alias("c"),
+        day_sum("purchase").alias("p"), day_sum("signup", "error").alias("s"), day_sum("click").alias("c"),
         day_sum("view").alias("v"))
     caps = daily.select("date", F.explode(F.array(
         F.struct(F.lit("tether").alias("coin"), F.when(F.col("p") >= F.col("s"), F.col("p")).alias("usd")),

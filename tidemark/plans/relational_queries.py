@@ -17,6 +17,7 @@ from tidemark.operators import windows as W
 from tidemark.operators.dedup import first_wins
 from tidemark.plans import landed, normalize
 from tidemark.plans.registry import AS_OF, SOURCE_UPDATED_AT, finish, load, register
+from tidemark.session import checkpoint_root
 
 # ---- S11/P2/P3/J8/F20: config enrichment ----------------------------------------------------
 
@@ -118,22 +119,27 @@ FROM p JOIN t ON p.h = t.h WHERE t.total > 0
 """
 
 
-def _hourly_caps(spark: SparkSession, sf_dir: str):
-    ev = load(spark, sf_dir, "events").select("event_type", landed.utc("ts").alias("ts"), "value")
-    hourly = ev.withColumn("h", F.date_trunc("hour", "ts"))
-    part = (hourly.filter(F.col("event_type") == "purchase").groupBy("h")
-            .agg(F.round(F.sum("value"), 2).alias("cap")))
-    # total series as landed points (ts, value, payload position): last point per ts wins
-    total_points = hourly.groupBy("h").agg(F.round(F.sum("value"), 2).alias("total"),
-                                           F.max("ts").alias("pos"))
-    total = J.dedupe_last(total_points, "h", "total", "pos")
-    return part, total
+def dominance_pages(spark: SparkSession, sf_dir: str):
+    """Landed pages of a day's hourly points: the asset's cap (purchases) and the total; each total is
+    landed twice, a stale value first, so that the last one has to win."""
+    hourly = (load(spark, sf_dir, "events").groupBy(F.date_trunc("hour", landed.utc("ts")).alias("h"))
+              .agg(F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), 2).alias("cap"),
+                   F.round(F.sum("value"), 2).alias("total")))
+    ms = F.unix_millis("h").cast("string")
+    point = lambda v: F.concat(F.lit("["), ms, F.lit(","), v.cast("string"), F.lit("]"))
+
+    def pages(rows, item, prefix, suffix):
+        return (rows.groupBy(F.to_date("h").alias("day")).agg(F.array_sort(F.collect_list(F.struct("h", item.alias("p")))).alias("xs"))
+                .select(F.concat(F.lit(prefix), F.array_join(F.transform("xs", lambda x: x["p"]), ","), F.lit(suffix)).alias("payload")))
+
+    asset = pages(hourly.filter("cap is not null"), point(F.col("cap")), '{"market_caps": [', "]}")
+    total = pages(hourly, F.concat(point(F.col("total") + 1), F.lit(","), point(F.col("total"))), '{"market_cap_chart": {"market_cap": [', "]}}")
+    return asset, total
 
 
 def dominance_hourly(spark: SparkSession, sf_dir: str):
-    part, total = _hourly_caps(spark, sf_dir)
-    ratio = J.ratio_join(part, total, "h", "cap", "total", out="pct")
-    return ratio.select(F.col("h").alias("ts"), F.round("pct", 6).alias("btc_dominance_pct"))
+    history = normalize.dominance_history(*dominance_pages(spark, sf_dir))
+    return history.select("ts", F.round("btc_dominance_pct", 6).alias("btc_dominance_pct"))
 
 
 @register("dominance_ratio", DOMINANCE_HOURLY_SQL)
@@ -156,15 +162,12 @@ FROM days LEFT JOIN daily ON days.date = daily.date, snap
 def history_else_snapshot(spark: SparkSession, sf_dir: str):
     """Requested days (event range plus three later days) take the day's last
     historical value, else the snapshot (latest value) stamped with its time."""
-    hourly = dominance_hourly(spark, sf_dir)
-    daily = A.last_value_per_day(hourly, "ts", "btc_dominance_pct", day_col="date")
-    # one aggregate gives the requested range and the snapshot; the days carry it along
+    checkpoint_root(spark)
+    hourly = dominance_hourly(spark, sf_dir).checkpoint()        # a row per hour, read for the days and for the bounds
     one = hourly.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"),
                      F.max_by("btc_dominance_pct", "ts").alias("snap_pct"))
-    req = one.select(F.explode(F.sequence("lo", F.date_add("hi", 3))).alias("date"), "snap_pct")
-    out = J.fallback_join(req, daily, "date", {"btc_dominance_pct": F.col("snap_pct")}, "source_updated_at",
-                          F.col("date").cast("timestamp"), F.lit(AS_OF).cast("timestamp"))
-    return finish(out)
+    requested = one.select(F.explode(F.sequence("lo", F.date_add("hi", 3))).alias("date"), "snap_pct")
+    return finish(normalize.market_metric_rows(hourly, requested, F.col("snap_pct"), AS_OF))
 
 
 @register("last_value_per_day", """
@@ -190,27 +193,25 @@ def latest_in_window(spark: SparkSession, sf_dir: str):
 # ---- J4 full assembly of a day from three sources (R4 day loop) ----------------------------------
 
 @register("assemble_day_metrics", """
-WITH oi AS (SELECT CAST(ts AS DATE) AS date, arg_max(value, ts) AS open_interest FROM events
-            WHERE event_type = 'click' AND value > 200 GROUP BY 1),
-     bs AS (SELECT CAST(ts AS DATE) AS date, arg_max(value, ts) AS basis FROM events
-            WHERE event_type = 'view' AND value > 250 GROUP BY 1),
-     pm AS (SELECT CAST(ts AS DATE) AS date, arg_max(value, ts) AS premium_index FROM events
-            WHERE event_type = 'purchase' AND value > 300 GROUP BY 1)
+WITH e AS (SELECT CAST(ts AS DATE) AS date, dayofweek(ts) AS d, event_type, ts, value FROM events),
+     oi AS (SELECT date, arg_max(value, ts) AS open_interest FROM e WHERE event_type IN ('click', 'signup') AND d <> 0 GROUP BY 1),
+     bs AS (SELECT date, arg_max(value, ts) AS basis FROM e WHERE event_type IN ('view', 'error') AND d NOT IN (0, 6) GROUP BY 1),
+     pm AS (SELECT date, arg_max(value, ts) AS premium_index FROM e WHERE event_type = 'purchase' AND d NOT IN (0, 5, 6) GROUP BY 1)
 SELECT 'BTC' AS instrument, 'USDT' AS counterpart, coalesce(oi.date, bs.date, pm.date) AS date,
        open_interest, basis, premium_index
 FROM oi FULL JOIN bs ON oi.date = bs.date FULL JOIN pm ON coalesce(oi.date, bs.date) = pm.date
 """)
 def assemble_day_metrics(spark: SparkSession, sf_dir: str):
-    """Per day, the latest point of each of three sources; any may be missing, all
-    missing = no row."""
+    """Per day, the latest point of each of three sources, to which all event types are dealt; each rests on
+    some days of the week, all of them on Sundays (then there is no row)."""
     ev = load(spark, sf_dir, "events").select("event_type", landed.utc("ts").alias("ts"), "value")
 
-    def latest(kind: str, floor: float, name: str):
-        src = ev.filter((F.col("event_type") == kind) & (F.col("value") > floor))
+    def latest(kinds: tuple[str, ...], resting: tuple[int, ...], name: str):
+        src = ev.filter(F.col("event_type").isin(*kinds) & ~F.dayofweek("ts").isin(*resting))
         return A.last_value_per_day(src, "ts", "value").withColumnRenamed("value", name)
 
-    parts = [latest("click", 200, "open_interest"), latest("view", 250, "basis"),
-             latest("purchase", 300, "premium_index")]
+    parts = [latest(("click", "signup"), (1,), "open_interest"), latest(("view", "error"), (1, 7), "basis"),
+             latest(("purchase",), (1, 6, 7), "premium_index")]
     out = J.full_assembly(parts, "date")
     return out.select(F.lit("BTC").alias("instrument"), F.lit("USDT").alias("counterpart"), "date",
                       "open_interest", "basis", "premium_index")
@@ -218,59 +219,58 @@ def assemble_day_metrics(spark: SparkSession, sf_dir: str):
 
 # ---- N14/P13 placeholder rows per configured chart and day ------------------------------------------
 
-# Configured chart names and the event type feeding each (with a sparsity floor).
-CHARTS = (("miners-revenue", "purchase", 0.0), ("transaction-fees-usd", "error", 300.0))
+# Chart names and the event types feeding each.
+CHARTS = {"miners-revenue": ("purchase", "click", "signup"), "transaction-fees-usd": ("error", "view")}
 
 
 @register("chart_placeholder_rows", """
 WITH pts AS (
-  SELECT 'miners-revenue' AS chart_name, CAST(ts AS DATE) AS date, arg_min(value, ts) AS value
-  FROM events WHERE event_type = 'purchase' AND value > 0.0 GROUP BY 2
-  UNION ALL
-  SELECT 'transaction-fees-usd', CAST(ts AS DATE), arg_min(value, ts)
-  FROM events WHERE event_type = 'error' AND value > 300.0 GROUP BY 2),
+  SELECT CASE WHEN event_type IN ('error', 'view') THEN 'transaction-fees-usd' ELSE 'miners-revenue' END AS chart_name,
+         CAST(ts AS DATE) AS date, arg_min(value, event_id) AS value
+  FROM events WHERE dayofweek(ts) <> 0 GROUP BY 1, 2),
 days AS (SELECT CAST(d AS DATE) AS date FROM generate_series(
            (SELECT min(CAST(ts AS DATE)) FROM events),
            (SELECT max(CAST(ts AS DATE)) FROM events) + INTERVAL 2 DAY, INTERVAL 1 DAY) g(d)),
 charts AS (SELECT * FROM (VALUES ('miners-revenue'), ('transaction-fees-usd')) c(chart_name))
-SELECT charts.chart_name, days.date, pts.value, TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
+SELECT charts.chart_name, days.date, CASE WHEN dayofweek(days.date) <> 6 THEN pts.value END AS value,
+       TIMESTAMP '2024-02-01 00:00:00' AS source_updated_at
 FROM charts CROSS JOIN days LEFT JOIN pts ON pts.chart_name = charts.chart_name AND pts.date = days.date
 """)
 def chart_placeholder_rows(spark: SparkSession, sf_dir: str):
-    """One row per configured chart and requested day: the day's first value, or a
-    null row when the chart has none (error = null value, not a missing row)."""
-    ev = load(spark, sf_dir, "events").select("event_type", landed.utc("ts").alias("ts"), "value")
-    points = None
-    for name, kind, floor in CHARTS:
-        src = ev.filter((F.col("event_type") == kind) & (F.col("value") > floor))
-        p = (src.groupBy(F.to_date("ts").alias("date")).agg(F.min_by("value", "ts").alias("value"))
-             .withColumn("chart_name", F.lit(name)))
-        points = p if points is None else points.unionByName(p)
-    bounds = ev.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"))
-    requested = (bounds.select(F.explode(F.array(*[F.lit(n) for n, _, _ in CHARTS])).alias("chart_name"), "lo", "hi")
+    """One row per configured chart and requested day: the first value of the day's first page, or a null
+    row where no page landed (Sundays, later days) or its page cannot be read (Saturdays)."""
+    kind = F.coalesce(*(F.when(F.col("event_type").isin(*kinds), F.lit(name)) for name, kinds in CHARTS.items()))
+    ev = load(spark, sf_dir, "events").withColumn("chart_name", kind).withColumn("date", F.to_date("ts"))
+    item = F.to_json(F.struct(F.unix_seconds(landed.utc("ts")).alias("x"), F.col("value").alias("y")))
+    pages = landed.event_pages(ev.filter(F.dayofweek("date") != 1), item, by=("chart_name", "date"), prefix='{"values": [', suffix="]}")
+    pages = pages.withColumn("payload", F.when(F.dayofweek("date") == 7, F.expr("left(payload, length(payload) - 3)")).otherwise(F.col("payload")))
+    bounds = ev.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    requested = (bounds.select(F.explode(F.array(*map(F.lit, CHARTS))).alias("chart_name"), "lo", "hi")
                  .select("chart_name", F.explode(F.sequence("lo", F.date_add("hi", 2))).alias("date")))
-    out = requested.join(points, ["chart_name", "date"], "left")
-    return finish(out.select("chart_name", "date", "value",
-                             F.lit(SOURCE_UPDATED_AT).cast("timestamp").alias("source_updated_at")))
+    return finish(normalize.chart_first_values(requested, pages, source_updated_at=SOURCE_UPDATED_AT))
 
 
 # ---- J6/A3 two-source combine with null-safe total ------------------------------------------------
 
 @register("null_safe_total", """
 WITH a AS (SELECT c_nationkey AS nationkey, round(sum(c_acctbal), 2) AS usdt FROM customer
-           WHERE c_acctbal > 9000 GROUP BY 1),
+           GROUP BY 1 HAVING sum(c_acctbal) <= 30000 OR count(*) % 2 = 0),
      b AS (SELECT s_nationkey AS nationkey, round(sum(s_acctbal), 2) AS usdc FROM supplier
-           WHERE s_acctbal > 9000 GROUP BY 1)
+           GROUP BY 1 HAVING sum(s_acctbal) > 15000)
 SELECT coalesce(a.nationkey, b.nationkey) AS nationkey, a.usdt AS usdt_market_cap_usd,
        b.usdc AS usdc_market_cap_usd,
        nullif(coalesce(a.usdt, 0) + coalesce(b.usdc, 0), 0) AS total_stablecoin_market_cap_usd
 FROM a FULL JOIN b ON a.nationkey = b.nationkey
 """)
 def null_safe_total(spark: SparkSession, sf_dir: str):
-    a = (load(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 9000)
-         .groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.round(F.sum("c_acctbal"), 2).alias("usdt")))
-    b = (load(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 9000)
-         .groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.round(F.sum("s_acctbal"), 2).alias("usdc")))
+    """Balances by nation over all customers and all suppliers; a side has no row for some nations."""
+    def side(table: str, prefix: str, name: str, has):
+        rows = load(spark, sf_dir, table).groupBy(F.col(f"{prefix}_nationkey").alias("nationkey")).agg(
+            F.sum(f"{prefix}_acctbal").alias("s"), F.count("*").alias("n"))
+        return rows.filter(has).select("nationkey", F.round("s", 2).alias(name))
+
+    a = side("customer", "c", "usdt", (F.col("s") <= 30000) | (F.col("n") % 2 == 0))
+    b = side("supplier", "s", "usdc", F.col("s") > 15000)
     both = J.full_assembly([a, b], "nationkey")
     return both.select("nationkey", F.col("usdt").alias("usdt_market_cap_usd"),
                        F.col("usdc").alias("usdc_market_cap_usd"),
@@ -282,23 +282,20 @@ def null_safe_total(spark: SparkSession, sf_dir: str):
 @register("put_call_ratio", """
 WITH m AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-         round(sum(CASE WHEN o_orderpriority LIKE '%-U%' THEN o_totalprice ELSE 0 END), 2) AS put_oi,
-         round(sum(CASE WHEN o_orderpriority LIKE '%-H%' THEN o_totalprice ELSE 0 END), 2) AS call_oi
+         sum(CASE WHEN o_orderpriority LIKE '%-U%' THEN o_totalprice ELSE 0 END) AS put_oi,
+         sum(CASE WHEN o_orderpriority LIKE '%-H%' THEN o_totalprice ELSE 0 END) AS call_oi
   FROM orders GROUP BY 1)
-SELECT month, nullif(put_oi, 0) AS put_oi, nullif(call_oi, 0) AS call_oi,
+SELECT month, round(nullif(put_oi, 0), 2) AS put_oi, round(nullif(call_oi, 0), 2) AS call_oi,
        CASE WHEN call_oi > 0 THEN round(put_oi / call_oi, 6) END AS put_call_ratio
 FROM m
 """)
 def put_call_ratio(spark: SparkSession, sf_dir: str):
-    """Option book per month from orders: ``-U`` names are puts, ``-H`` calls."""
-    book = load(spark, sf_dir, "orders").select(
-        F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
-        F.col("o_orderpriority").alias("instrument_name"), F.col("o_totalprice").alias("open_interest"))
-    put = A.conditional_sum(F.col("open_interest"), F.col("instrument_name").contains("-U"))
-    call = A.conditional_sum(F.col("open_interest"), F.col("instrument_name").contains("-H"))
-    agg = book.groupBy("month").agg(F.round(put, 2).alias("p"), F.round(call, 2).alias("c"))
-    return agg.select("month", F.nullif("p", F.lit(0.0)).alias("put_oi"), F.nullif("c", F.lit(0.0)).alias("call_oi"),
-                      F.round(N.guarded_ratio(F.col("p"), F.col("c")), 6).alias("put_call_ratio"))
+    """Option book per month from all orders: urgent ones are puts, high ones calls."""
+    side = F.when(F.col("o_orderpriority").contains("-U"), "BTC-P").when(F.col("o_orderpriority").contains("-H"), "BTC-C").otherwise("BTC")
+    book = load(spark, sf_dir, "orders").select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
+                                                side.alias("instrument_name"), F.col("o_totalprice").alias("open_interest"))
+    found = normalize.put_call(book, keys=("month",))
+    return found.select("month", *(F.round(c, d).alias(c) for c, d in (("put_oi", 2), ("call_oi", 2), ("put_call_ratio", 6))))
 
 
 # ---- U1/J3/F17: first-wins dedup and stored-hash anti-join -----------------------------------------

@@ -159,6 +159,61 @@ def upsert_merge(spark: SparkSession, sf_dir: str):
     return finish(store.read(ORDERS.identifier))
 
 
+MERGED_SQL = """
+SELECT o.o_orderkey, coalesce(b.o_custkey, o.o_custkey) AS o_custkey, coalesce(b.o_orderstatus, o.o_orderstatus) AS o_orderstatus,
+       coalesce(b.o_totalprice, o.o_totalprice) AS o_totalprice, coalesce(b.o_orderdate, o.o_orderdate) AS o_orderdate,
+       coalesce(b.o_orderpriority, o.o_orderpriority) AS o_orderpriority
+FROM stored o LEFT JOIN batch b ON o.o_orderkey = b.o_orderkey
+UNION ALL
+SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM stored o WHERE o.o_orderkey = b.o_orderkey)
+"""
+
+
+@register("upsert_duplicate_target", f"""
+WITH batch AS ({UPSERT_BATCH_SQL}), stored AS (SELECT {ORDER_COLUMNS} FROM orders UNION ALL SELECT {ORDER_COLUMNS} FROM orders)
+{MERGED_SQL}
+""")
+def upsert_duplicate_target(spark: SparkSession, sf_dir: str):
+    """Every order stored twice (two appends), then the upsert: both rows of a key take the batch's values,
+    new keys go in once."""
+    store = orders_store(spark, "upsert-twice")
+    for _ in range(2):
+        store.append(ORDERS.identifier, orders_rows(spark, sf_dir))
+    store.upsert(ORDERS.identifier, upsert_batch(spark, sf_dir))
+    return finish(store.read(ORDERS.identifier))
+
+
+@register("upsert_moving_partition", f"""
+WITH batch AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate + INTERVAL 1 YEAR AS o_orderdate, o_orderpriority
+               FROM orders WHERE o_orderstatus = 'O'), stored AS (SELECT {ORDER_COLUMNS} FROM orders)
+{MERGED_SQL}
+""")
+def upsert_moving_partition(spark: SparkSession, sf_dir: str):
+    """Open orders put off by a year: their keys stay, their partition (by year) does not."""
+    store = orders_store(spark, "upsert-moving")
+    rows = orders_rows(spark, sf_dir)
+    store.append(ORDERS.identifier, rows)
+    moved = rows.filter(F.col("o_orderstatus") == "O").withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 1 YEAR"))
+    store.upsert(ORDERS.identifier, moved)
+    return finish(store.read(ORDERS.identifier))
+
+
+@register("upsert_large_batch", f"""
+WITH batch AS ({UPSERT_BATCH_SQL}), stored AS (SELECT {ORDER_COLUMNS} FROM orders)
+{MERGED_SQL}
+""")
+def upsert_large_batch(spark: SparkSession, sf_dir: str):
+    """The upsert with no side small enough to be broadcast: both are shuffled."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "-1")
+    try:
+        store, _ = upserted(spark, sf_dir, "upsert-large")
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return finish(store.read(ORDERS.identifier))
+
+
 @register("upsert_counts", f"""
 WITH batch AS ({UPSERT_BATCH_SQL})
 SELECT count(*) FILTER (WHERE t.o_orderkey IS NULL) AS rows_inserted,
