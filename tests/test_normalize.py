@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import normalize as N
 
-KLINE = [1717200000000, "65000.00", "66000.00", "64000.00", "65500.00", "1000.00", 1717286399999,
-         "65000000.00", 5000, "500.00", "32500000.00", "0"]
+KLINE = [1717200000000, "12.25", "14.5", "11", "13.75", "80", 1717286399999,
+         "1060", 17, "33", "440", "0"]
 UTC = timezone.utc
 
 
@@ -29,17 +29,17 @@ def test_kline_valid_and_strict(spark):
     good = [r for r in rows if not r._bad]
     assert len(good) == 1 and sum(r._bad for r in rows) == 3
     g = good[0]
-    assert (g.open, g.close, g.number_of_trades) == (65000.0, 65500.0, 5000)
+    assert (g.open, g.close, g.number_of_trades) == (12.25, 13.75, 17)
     assert g.open_time == datetime(2024, 6, 1) and g.close_time == datetime(2024, 6, 1, 23, 59, 59, 999000)
 
 
 def test_funding_mark_price(spark):
-    items = [{"symbol": "BTCUSDT", "fundingTime": 1717200000000, "fundingRate": "0.0001", "markPrice": "65000.00"},
-             {"symbol": "BTCUSDT", "fundingTime": 1717228800000, "fundingRate": "0.0002", "markPrice": ""},
-             {"symbol": "BTCUSDT", "fundingTime": 1717257600000, "fundingRate": "0.0003", "markPrice": None}]
+    items = [{"symbol": "BTCUSDT", "fundingTime": 1717200000000, "fundingRate": "0.0031", "markPrice": "12.75"},
+             {"symbol": "BTCUSDT", "fundingTime": 1717228800000, "fundingRate": "-0.002", "markPrice": ""},
+             {"symbol": "BTCUSDT", "fundingTime": 1717257600000, "fundingRate": "0.004", "markPrice": None}]
     rows = N.funding_rates(_pages(spark, [json.dumps(items)], instrument=["BTC"])).orderBy("funding_time").collect()
-    assert [r.mark_price for r in rows] == [65000.0, None, None]
-    assert rows[0].funding_rate == 0.0001 and not any(r._bad for r in rows)
+    assert [r.mark_price for r in rows] == [12.75, None, None]
+    assert rows[0].funding_rate == 0.0031 and not any(r._bad for r in rows)
     missing = N.funding_rates(_pages(spark, [json.dumps([{"symbol": "BTCUSDT", "fundingTime": 1}])],
                                      instrument=["BTC"])).collect()
     assert missing[0]._bad
@@ -170,9 +170,9 @@ def test_charts_and_volatility_and_put_call(spark):
     assert rows == {"miners-revenue": 30000000.0, "transaction-fees-usd": None}
     rng = N.chart_range(pages, date(2024, 6, 1), date(2024, 6, 2)).collect()
     assert len(rng) == 1 and N.chart_range(pages, date(2024, 5, 1), date(2024, 6, 1)).count() == 0
-    vol = {"result": {"data": [[1717200000000, 50, 55, 48, 52], [1717203600000, 52, 56, 50, 53]]}}
+    vol = {"result": {"data": [[1717200000000, 31, 36, 30, 33], [1717203600000, 33, 37, 31, 34]]}}
     v = N.volatility_rows(_pages(spark, [json.dumps(vol)])).collect()
-    assert [(r.date, r.dvol) for r in v] == [(date(2024, 6, 1), 53.0)]
+    assert [(r.date, r.dvol) for r in v] == [(date(2024, 6, 1), 34.0)]
     book = spark.createDataFrame([("BTC-1JUN24-60000-P", 1000.0), ("BTC-1JUN24-65000-C", 2000.0), ("BTC-X", None)],
                                  "instrument_name string, open_interest double")
     pc = N.put_call(book).collect()[0]
@@ -183,7 +183,7 @@ def test_charts_and_volatility_and_put_call(spark):
 
 def test_futures_day_assembly(spark):
     oi = spark.createDataFrame([(date(2024, 6, 1), json.dumps([{"symbol": "BTCUSDT", "timestamp": 1, "sumOpenInterest": "1.5"},
-                                                               {"symbol": "BTCUSDT", "timestamp": 2, "sumOpenInterest": "12345.67"}]))],
+                                                               {"symbol": "BTCUSDT", "timestamp": 2, "sumOpenInterest": "871.5"}]))],
                                "date date, payload string")
     basis = spark.createDataFrame([(date(2024, 6, 2), json.dumps([{"pair": "BTCUSDT", "timestamp": 1, "basis": None}]))],
                                   "date date, payload string")
@@ -191,7 +191,7 @@ def test_futures_day_assembly(spark):
                                   (date(2024, 6, 3), "[]")], "date date, payload string")
     rows = {r.date: r for r in N.futures_metrics(oi, basis, prem).collect()}
     assert set(rows) == {date(2024, 6, 1), date(2024, 6, 2)}
-    assert (rows[date(2024, 6, 1)].open_interest, rows[date(2024, 6, 1)].premium_index) == (12345.67, 0.0012)
+    assert (rows[date(2024, 6, 1)].open_interest, rows[date(2024, 6, 1)].premium_index) == (871.5, 0.0012)
     assert rows[date(2024, 6, 2)].basis is None
 
 

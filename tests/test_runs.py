@@ -8,8 +8,8 @@ from tidemark.store import TableStore
 
 UTC = timezone.utc
 OPEN = 1717200000000
-KLINE = [OPEN, "65000.00", "66000.00", "64000.00", "65500.00", "1000.00", 1717286399999,
-         "65000000.00", 5000, "500.00", "32500000.00", "0"]
+KLINE = [OPEN, "12.25", "14.5", "11", "13.75", "80", 1717286399999,
+         "1060", 17, "33", "440", "0"]
 
 
 def _pages(spark, *payloads, **cols):
@@ -49,7 +49,7 @@ def test_run_etf_and_sentiment(spark, store_root):
     assert (res.metrics["available_days"], res.metrics["written_days"], res.metrics["rows_affected"]) == (3, 2, 2)
     fg = {"data": [{"timestamp": str(1717200000 - 86400 * i), "value": str(60 + i), "value_classification": "Greed"}
                    for i in range(7)]}
-    dvol = {"result": {"data": [[OPEN, 50, 55, 48, 52], [OPEN + 3600000, 52, 56, 50, 53],
+    dvol = {"result": {"data": [[OPEN, 31, 36, 30, 33], [OPEN + 3600000, 33, 37, 31, 34],
                                 [OPEN - 86400000, 40, 41, 39, 40]]}}
     book = spark.createDataFrame([("BTC-1JUN24-60000-P", 1000.0), ("BTC-1JUN24-65000-C", 2000.0)],
                                  "instrument_name string, open_interest double")
@@ -58,7 +58,7 @@ def test_run_etf_and_sentiment(spark, store_root):
     assert res.metrics["sentiment_index_rows_affected"] == 1 and res.metrics["deribit_dvol_rows_affected"] == 1
     assert res.metrics["deribit_put_call_rows_affected"] == 1 and res.metrics["available_days"] == 7
     assert res.metrics["quality_dvol_checks_total"] == 2 and res.metrics["quality_put_call_checks_total"] == 2
-    assert [r.dvol for r in store.read("raw.deribit_dvol").collect()] == [53.0]
+    assert [r.dvol for r in store.read("raw.deribit_dvol").collect()] == [34.0]
     assert [r.put_call_ratio for r in store.read("raw.deribit_put_call").collect()] == [0.5]
 
 
@@ -113,7 +113,7 @@ def test_run_news_empty_feeds(spark, store_root):
 
 def test_run_funding_window_clamped_and_inverted(spark, store_root):
     store = TableStore(spark, store_root)
-    items = [{"symbol": "BTCUSDT", "fundingTime": OPEN + 8 * 3600000 * i, "fundingRate": "0.0001", "markPrice": ""}
+    items = [{"symbol": "BTCUSDT", "fundingTime": OPEN + 8 * 3600000 * i, "fundingRate": "0.0031", "markPrice": ""}
              for i in range(6)]
     pages = _pages(spark, json.dumps(items))
     start = datetime(2024, 6, 1, tzinfo=UTC)
@@ -142,12 +142,12 @@ def test_remaining_daily_runs(spark, store_root):
     ls = [{"timestamp": str(OPEN), "longShortRatio": "1.25", "longAccount": "0.555", "shortAccount": "0.445"}]
     assert R.run_long_short_ratio(store, _pages(spark, json.dumps(ls)), window_start=datetime(2024, 6, 1, tzinfo=UTC),
                                   window_end=datetime(2024, 6, 2, tzinfo=UTC), source_updated_at=at).metrics["rows_affected"] == 1
-    oi = spark.createDataFrame([(json.dumps([{"symbol": "BTCUSDT", "timestamp": OPEN, "sumOpenInterest": "12345.67"}]),)],
+    oi = spark.createDataFrame([(json.dumps([{"symbol": "BTCUSDT", "timestamp": OPEN, "sumOpenInterest": "871.5"}]),)],
                                "payload string")
     empty = spark.createDataFrame([("[]",)], "payload string")
     res = R.run_futures_metrics(store, oi, empty, empty, window_start=datetime(2024, 6, 1, tzinfo=UTC))
     assert res.metrics["rows_affected"] == 1
-    assert store.read("raw.futures_metrics").collect()[0].open_interest == 12345.67
+    assert store.read("raw.futures_metrics").collect()[0].open_interest == 871.5
     nothing = R.run_futures_metrics(store, empty, empty, empty, window_start=datetime(2024, 6, 2, tzinfo=UTC))
     assert nothing.metrics["rows_affected"] == 0                                           # all sources missing: no row
     cal = spark.createDataFrame([(10, json.dumps({"release_dates": [{"date": "2024-06-12"}, {"date": "2024-01-01"}]}))],

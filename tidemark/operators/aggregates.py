@@ -1,6 +1,7 @@
-"""Aggregations.  Every one is a hash aggregate with map-side partials
-(``sum``, ``count_if``, ``max_by``/``min_by`` all merge partially), so a hot key
-holding a third of the rows still sends only one partial row per task."""
+"""Aggregations with map-side partials (``sum``, ``count_if``, ``max_by``/``min_by`` all merge
+partially), so a hot key holding a third of the rows still sends only one partial row per task.
+They are hash aggregates as long as what they carry has a fixed width; a text among the carried
+columns makes Spark sort instead, so callers carry an id and join the text back where it is long."""
 
 from __future__ import annotations
 
@@ -16,11 +17,11 @@ def conditional_sum(value: Column, cond: Column) -> Column:
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str | Column, cols: Sequence[str]) -> DataFrame:
-    """Latest record per key: the row with the greatest ``order`` (payload position
-    or timestamp), kept whole via ``max_by`` of a struct."""
+    """Latest record per key: the row with the greatest ``order`` (payload position or timestamp).
+
+    Every column takes the same row: all of them compare the same order in the same way."""
     order_c = F.col(order) if isinstance(order, str) else order
-    picked = F.max_by(F.struct(*[F.col(c) for c in cols]), order_c).alias("_latest")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*(F.max_by(c, order_c).alias(c) for c in cols))
 
 
 def last_value_per_day(df: DataFrame, ts: str, value: str, order: str | None = None,

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 
 def first_wins(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the first in ``order`` (e.g. feed position, item position).
+    """One row per key: the first in ``order`` (e.g. feed position, item position; nulls last).
 
-    ``min_by`` of a struct is a partial aggregate, so duplicates are collapsed
-    map-side before the shuffle - a key repeated across a third of the input
-    costs one partial row per task, not a group in one task."""
+    ``min_by`` is a partial aggregate, so duplicates are collapsed map-side before the shuffle - a key
+    repeated across a third of the input costs one partial row per task, not a group in one task.  All
+    columns compare the same order, so they come from one row."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    picked = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(picked.alias("_first")).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    return df.groupBy(*keys).agg(*(F.min_by(c, place).alias(c) for c in df.columns if c not in keys)).select(*keys, *(c for c in df.columns if c not in keys))

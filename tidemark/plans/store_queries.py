@@ -271,7 +271,7 @@ def news_store(spark: SparkSession, items: DataFrame) -> TableStore:
     ``raw.market_news_items``."""
     from tidemark.operators.dedup import first_wins
     store = TableStore(spark, scratch_path(spark, "news"), {MARKET_NEWS_ITEMS.identifier: MARKET_NEWS_ITEMS})
-    firsts = first_wins(items.select("content_hash", "doc_id", "lang", "source", "text"), "content_hash", ["doc_id"])
+    firsts = items.join(first_wins(items.select("content_hash", "doc_id"), "content_hash", ["doc_id"]), ["content_hash", "doc_id"], "left_semi")
     rows = firsts.select(
         F.col("lang").alias("source_url"), "content_hash", F.col("source").alias("source_name"),
         F.lit(None).cast("string").alias("source_domain"), F.lit("document").alias("source_type"),
