@@ -54,9 +54,29 @@ def ship_package(spark: SparkSession) -> None:
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` with the package shipped to the workers, which give back at a task's end what memory
+    they no longer use (a worker lives on, beside the executor's heap, for the tasks after)."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Return freed memory of the Arrow pool and the C library's heap to the system."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # another C library: nothing to ask for
+        pass
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

@@ -27,7 +27,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 OPEN_BINS = 8192
 #: Words that a worker keeps with their ids (twice as many at most), and the longest word that is kept.
-CACHE_WORDS, CACHE_CHARS = 500_000, 48
+CACHE_WORDS, CACHE_CHARS = 300_000, 48
 #: Marks that may end a word.
 MARKS = ".,;:!?#$%&*|"
 
