@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import (  # noqa: F401
+    backfill_queries,
     payload_queries,
     quality_queries,
     relational_queries,

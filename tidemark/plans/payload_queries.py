@@ -4,6 +4,7 @@ into typed rows; the oracles select the typed values directly from the tables.""
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,45 @@ def strict_bad_rows(spark: SparkSession, sf_dir: str):
     return finish(rows.filter(F.col("_bad")).select("instrument", "open_time", "number_of_trades"))
 
 
+STRICT_SOURCES = ("cot_positioning", "exchange_flows", "funding_rates", "long_short_ratio", "macro_series", "onchain_metrics", "sentiment_index")
+
+
+@register("strict_source_bad_rows", """
+SELECT source, 1 + (SELECT count(*) FROM events WHERE event_type = 'error') AS bad_rows,
+       (SELECT count(*) FROM events WHERE event_type <> 'error') AS good_rows
+FROM (VALUES """ + ", ".join(f"('{name}')" for name in STRICT_SOURCES) + """) s(source)
+""")
+def strict_source_bad_rows(spark: SparkSession, sf_dir: str):
+    """For each strict source pages of all events, in which errors have a text for a number, and one page
+    that is cut off: what a run would abort on."""
+    ev = load(spark, sf_dir, "events")
+    ts = landed.utc("ts")
+    text = F.when(F.col("event_type") == "error", "oops").otherwise(F.col("value").cast("string"))
+    day, iso = F.date_format(ts, "yyyy-MM-dd"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    lit = F.lit
+
+    def pages(fields: dict, prefix: str = "[", suffix: str = "]"):
+        item = F.to_json(F.struct(*(c.alias(name) for name, c in fields.items())))
+        whole = landed.event_pages(ev, item, by=(), prefix=prefix, suffix=suffix).select("payload")
+        return whole.union(spark.range(1).select(lit(prefix + '{"cut').alias("payload")))
+
+    pair = {"instrument": lit("BTC"), "counterpart": lit("USDT")}
+    made = {
+        "cot_positioning": normalize.cot_positioning(pages({"market_and_exchange_names": lit("BITCOIN - X"), "report_date_as_yyyy_mm_dd": day,
+                                                            "open_interest_all": text}), market_prefix="BITCOIN -"),
+        "exchange_flows": normalize.exchange_flows(pages({"date": iso, "reserve": text}, '{"result": {"data": [', "]}}"), asset=lit("btc"), exchange=lit("all")),
+        "funding_rates": normalize.funding_rates(pages({"symbol": lit("S"), "fundingTime": F.unix_millis(ts), "fundingRate": text}), **pair),
+        "long_short_ratio": normalize.long_short(pages({"timestamp": F.unix_millis(ts).cast("string"), "longShortRatio": text,
+                                                        "longAccount": lit("0.5"), "shortAccount": lit("0.5")}), **pair),
+        "macro_series": normalize.macro_series(pages({"date": day, "value": text}, '{"observations": [', "]}"), series_id=lit("X")),
+        "onchain_metrics": normalize.onchain_metrics(pages({"asset": lit("btc"), "time": iso, "CapMVRVCur": text}, '{"data": [', "]}")),
+        "sentiment_index": normalize.sentiment(pages({"timestamp": F.unix_seconds(ts).cast("string"), "value": text}, '{"data": [', "]}")),
+    }
+    counted = [rows.agg(lit(name).alias("source"), F.count_if("_bad").alias("bad_rows"), F.count_if(~F.col("_bad")).alias("good_rows"))
+               for name, rows in made.items()]
+    return reduce(lambda x, y: x.unionByName(y), counted)
+
+
 # ---- S3 JSON object pages under a path --------------------------------------------------
 
 def _event_item(*fields: str):
