@@ -52,6 +52,8 @@ def apply_session_settings(spark: SparkSession) -> None:
     conf.set("spark.sql.session.timeZone", "UTC")
     conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     conf.set("spark.sql.adaptive.enabled", "true")
+    # listing the files of a version: tasks by the cores there are, not one for each file
+    conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(32, 4 * spark.sparkContext.defaultParallelism)))
 
 
 _PRIVATE_ROOTS: dict[str, str] = {}

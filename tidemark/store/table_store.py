@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 from urllib.parse import unquote
@@ -56,11 +57,13 @@ class WriteResult(NamedTuple):
 
 
 class Version(NamedTuple):
-    """A table at one moment: its number (-1: none yet), layout, and files under the table's folder."""
+    """A table at one moment: its number (-1: none yet), layout, files under the table's folder, and how
+    many files each write left in its folder."""
 
     number: int
     layout: dict | None
     files: tuple[str, ...]
+    written: dict[str, int]
 
 
 def with_partition_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -81,6 +84,11 @@ def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) ->
     return df.sortWithinPartitions(*order) if order else df
 
 
+def _write_of(file: str) -> str:
+    """The folder of the write that a file comes from."""
+    return "/".join(file.split("/", 2)[:2])
+
+
 def partition_values(file: str) -> dict[str, str | None]:
     """The derived columns in a file's path, as text."""
     steps = (step.split("=", 1) for step in file.split("/")[2:-1])
@@ -112,8 +120,8 @@ class TableStore:
                 held = json.loads(sess.read_text(self.spark, f"{folder}/{number:012d}.json") or "")
             except ValueError:
                 continue            # its writer died; the one before is in force
-            return Version(number, held["layout"], tuple(held["files"]))
-        return Version(-1, None, ())
+            return Version(number, held["layout"], tuple(held["files"]), held["written"])
+        return Version(-1, None, (), {})
 
     def _next_number(self, table: str) -> int:
         """The number after the last version file, whole or torn."""
@@ -122,7 +130,9 @@ class TableStore:
 
     def _publish(self, table: str, base: Version, number: int, files: Sequence[str]) -> bool:
         """Make version ``number`` on top of ``base``; False if another writer was first."""
-        text = json.dumps({"layout": self.spec(table).layout(), "base": base.number, "files": sorted(files)})
+        now = Counter(_write_of(f) for f in files)
+        text = json.dumps({"layout": self.spec(table).layout(), "base": base.number, "files": sorted(files),
+                           "written": {w: base.written.get(w, n) for w, n in now.items()}})
         return sess.create_text(self.spark, f"{self.path(table)}/{VERSIONS}/{number:012d}.json", text)
 
     def _commit(self, table: str, base: Version, number: int, files: Sequence[str]) -> None:
@@ -157,16 +167,21 @@ class TableStore:
         return sum(sess.remove(self.spark, f"{path}/{DATA}/{f}") for f in gone)
 
     # ---- read ------------------------------------------------------------
-    def _scan(self, table: str, files: Sequence[str]) -> DataFrame:
-        """The rows of these files with the declared schema (never inferred)."""
+    def _scan(self, table: str, files: Sequence[str], written: dict[str, int] | None = None) -> DataFrame:
+        """The rows of these files with the declared schema (never inferred).  A write of which all files are
+        asked for is given as its folder, so that Spark does not get thousands of paths."""
         spec, path = self.spec(table), self.path(table)
         if not files:
             return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(*(f"{path}/{f}" for f in files))
+        asked = Counter(map(_write_of, files))
+        whole = {w for w, n in asked.items() if (written or {}).get(w) == n}
+        paths = sorted(whole) + [f for f in files if _write_of(f) not in whole]
+        return self.spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(*(f"{path}/{p}" for p in paths))
 
     def read_storage(self, table: str) -> DataFrame:
         """All rows plus the derived partition columns."""
-        return with_partition_columns(self._scan(table, self.version(table).files), self.spec(table))
+        now = self.version(table)
+        return with_partition_columns(self._scan(table, now.files, now.written), self.spec(table))
 
     def read(self, table: str, *, columns: Sequence[str] | None = None) -> DataFrame:
         """Projected scan of the version in force; a missing table is an empty frame with the declared
@@ -176,7 +191,8 @@ class TableStore:
         unknown = [c for c in cols if c not in spec.columns]
         if unknown:
             raise KeyError(f"columns {unknown} not in {table}")
-        return self._scan(table, self.version(table).files).select(*cols)
+        now = self.version(table)
+        return self._scan(table, now.files, now.written).select(*cols)
 
     def _touched_files(self, version: Version, spec: TableSpec, touched: Sequence[dict] | None) -> list[str]:
         """Files of the partitions with these derived values; all files if ``touched`` is None or the
@@ -193,7 +209,7 @@ class TableStore:
         touched = None
         if spec.partition and spec.identity_determines_partition and now.files:
             touched = self._touched(batch.agg(self._parts(spec)).first()["parts"], spec)
-        return self._scan(table, self._touched_files(now, spec, touched)).select(*spec.identity)
+        return self._scan(table, self._touched_files(now, spec, touched), now.written).select(*spec.identity)
 
     @staticmethod
     def _parts(spec: TableSpec) -> Column:
@@ -211,8 +227,8 @@ class TableStore:
         if spec.partition:
             writer = writer.partitionBy(*spec.partition_columns)
         writer.parquet(f"{self.path(table)}/{folder}")
-        found = sess.files_below(self.spark, f"{self.path(table)}/{folder}")
-        return [f"{folder}/{f}" for f in found if f.endswith(".parquet") and not any(s.startswith(("_", ".")) for s in f.split("/"))]
+        listed = self.spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(f"{self.path(table)}/{folder}")
+        return sorted(f"{folder}/{unquote(uri).split(f'/{folder}/', 1)[1]}" for uri in listed.inputFiles())
 
     def append(self, table: str, frame: DataFrame) -> WriteResult:
         """Append rows; the count is read off the written files' footers.  An append that another writer
@@ -220,7 +236,7 @@ class TableStore:
         started = time.perf_counter()
         spec = self.spec(table)
         new = self._write(table, conform(frame, spec.schema), spec)
-        n = self._scan(table, new).count()
+        n = self._scan(table, new, Counter(map(_write_of, new))).count()
         while True:
             number, now = self._next_number(table), self.version(table)
             if now.layout is not None and not n:
@@ -279,7 +295,7 @@ class TableStore:
             determined = spec.partition and spec.identity_determines_partition
             reached = self._touched_files(now, spec, stats["parts"] if determined else None)
 
-            stored = self._scan(table, reached).select(*keys, F.struct(F.lit(True).alias("here"), *others).alias("_old"),
+            stored = self._scan(table, reached, now.written).select(*keys, F.struct(F.lit(True).alias("here"), *others).alias("_old"),
                                                        F.col("_metadata.file_path").alias("_file") if reached else F.lit(None).cast("string").alias("_file"))
             differs = ~F.struct(F.lit(True).alias("here"), *others).eqNullSafe(F.col("_old"))
             matched = src.join(stored, keys, "left").select(
@@ -293,7 +309,7 @@ class TableStore:
             replaced = self._named(reached, counts["files"])
             if replaced:
                 given = src.select(*keys, F.struct(*others).alias("_given"), F.lit(True).alias("_hit"))
-                kept = self._scan(table, replaced).join(given, keys, "left")
+                kept = self._scan(table, replaced, now.written).join(given, keys, "left")
                 rows = rows.unionByName(kept.select(*keys, *[
                     F.when(F.col("_hit"), F.col(f"_given.{c}")).otherwise(F.col(c)).alias(c) for c in others]).select(*spec.columns))
             files = self._write(table, rows, spec)
@@ -323,7 +339,7 @@ class TableStore:
             spec = spec.with_layout(
                 tuple(partition) if partition is not None else tuple(f"{p.transform}({p.source})" for p in spec.partition),
                 tuple(sort) if sort is not None else tuple(s.column for s in spec.sort))
-        files = self._write(table, self._scan(table, now.files), spec) if now.files else []
+        files = self._write(table, self._scan(table, now.files, now.written), spec) if now.files else []
         before = self.specs.get(spec.identifier)
         self.specs[spec.identifier] = spec
         try:
@@ -331,4 +347,4 @@ class TableStore:
         except ConcurrentWrite:
             self.specs[spec.identifier] = before
             raise
-        return self._scan(table, files).count()
+        return self._scan(table, files, Counter(map(_write_of, files))).count()
