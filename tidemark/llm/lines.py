@@ -266,7 +266,7 @@ def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
              .select("line", F.least("place", "theirs").alias("first")))
     again = materialize(seen.select("rid", "line", "line_no", place.alias("place")).join(first, "line").where("place > first")
                         .groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("repeats")), "lines-repeats")
-    found = docs.join(again, "rid", "left")
+    found = docs.join(again.hint("merge"), "rid", "left")       # the same join at every size
     return found.select(*base.columns, F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"))
 
 
