@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import DOCS, words
@@ -84,6 +85,15 @@ def test_run_gives_the_pieces_of_what_is_left(spark, folder):
     assert sorted(tuple(r)[:5] for r in rows) == sorted(expected)
 
 
+def test_columns_of_any_name_stay_as_they_are(spark, folder, clashing):
+    docs = clashing(spark.read.parquet(f"{folder}/documents.parquet")).withColumn("__gone", F.lit("taken"))
+    added = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        assert kept.select(*added).distinct().collect() == [tuple("taken" for _ in added)]
+
+
 def test_empty_tables(spark, folder):
     assert corpus_pipeline.run(spark, f"{folder}/none").collect() == []
 

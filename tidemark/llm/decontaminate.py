@@ -189,9 +189,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
 
     A cut passage takes its words and what stands between them; the text around it stays as it is.
     """
+    aside = {c: f"__own_{c}" for c in docs.columns if c in SCAN.fieldNames()}     # the documents' own columns stay
+    back = {own: c for c, own in aside.items()}
+    docs = docs.withColumnsRenamed(aside)
     found = scan(docs, benchmark, width, block_bytes)
     if action == "documents":
-        return found.where("n_hit = 0").select(*docs.columns)
+        return found.where("n_hit = 0").select(*docs.columns).withColumnsRenamed(back)
     if action != "spans":
         raise ValueError("action is 'documents' or 'spans'")
     names = docs.columns
@@ -211,7 +214,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(found.select(*names, "hit_bytes"), cut, docs.schema)
+    return map_batches(found.select(*names, "hit_bytes"), cut, docs.schema).withColumnsRenamed(back)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -310,5 +310,6 @@ def one_of_each(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders
     """
     named = materialize(jaccard_components(documents, n_gram, percent, orders).select("doc_id", F.expr("doc_id <=> component_id").alias("stays")),
                         "jaccard-named")
-    gone = materialize(named.groupBy(F.col("doc_id").alias("gone")).agg(F.max("stays").alias("stays")).where("not stays").select("gone"), "jaccard-gone")
-    return documents.join(small_or_shuffled(gone, BROADCAST_ROWS), F.col("doc_id").cast("long").eqNullSafe(F.col("gone")), "left_anti")
+    gone = materialize(named.groupBy(F.col("doc_id").alias("__gone")).agg(F.max("stays").alias("stays")).where("not stays").select("__gone"), "jaccard-gone")
+    gone = small_or_shuffled(gone, BROADCAST_ROWS)
+    return documents.join(gone, documents["doc_id"].cast("long").eqNullSafe(gone["__gone"]), "left_anti")

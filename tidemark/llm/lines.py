@@ -34,6 +34,8 @@ THRESHOLD = 1
 MIN_CHARS = 20
 #: Lines of a key that are compared pair by pair, pieces a part is cut into, rows of a broadcast.
 PAIRED, PIECES, BROADCAST_ROWS = 24, 8, 200_000
+#: Columns that stand beside those of the documents for a while.
+_ROW, _REPEATS = "__line_row", "__line_repeats"
 
 _DIGITS = re.compile(r"[1-9]")
 
@@ -244,16 +246,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``documents`` plus ``repeats``: the numbers (from 0, by \\n) of the lines that stand earlier.
+def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, out: str = "repeats") -> DataFrame:
+    """``documents`` plus ``repeats`` (or as ``out`` names it): the numbers (from 0, by \\n) of the lines that stand earlier.
 
     Rows of one doc_id count as one document and are ordered by line only; rows without a doc_id come
     after all others, as one document.  A null text has no lines; other columns go through, a column
-    ``repeats`` is replaced.
+    of that name is replaced.
     """
-    base = documents.drop("repeats")
-    docs = base.withColumn("rid", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
-    plain = docs.select("rid", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = documents.drop(out)
+    docs = base.withColumn(_ROW, F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+    plain = docs.select(F.col(_ROW).alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = materialize(occurrences(plain, min_chars), "lines-seen")
     place = (F.col("doc_id").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")).cast("decimal(38,0)")
     lines = materialize(seen.groupBy("line").agg(F.min(place).alias("place"), F.min_by("rid", place).alias("rid"), F.count("*").alias("times"),
@@ -266,8 +268,9 @@ def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
              .select("line", F.least("place", "theirs").alias("first")))
     again = materialize(seen.select("rid", "line", "line_no", place.alias("place")).join(first, "line").where("place > first")
                         .groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("repeats")), "lines-repeats")
-    found = docs.join(again.hint("merge"), "rid", "left")       # the same join at every size
-    return found.select(*base.columns, F.coalesce("repeats", F.array().cast("array<int>")).alias("repeats"))
+    named = again.select(F.col("rid").alias(_ROW), F.col("repeats").alias(out))
+    found = docs.join(named.hint("merge"), _ROW, "left")        # the same join at every size
+    return found.select(*base.columns, F.coalesce(out, F.array().cast("array<int>")).alias(out))
 
 
 def _without(text, repeats):
@@ -279,8 +282,8 @@ def _without(text, repeats):
 def deduplicated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``documents`` without the lines that stand earlier; a document that has nothing but white space
     left, and had repeats, goes."""
-    found = repeated_lines(documents, min_chars).withColumn("text", _without(F.col("text"), F.col("repeats")))
-    return found.where((F.size("repeats") == 0) | (F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0)).select(*documents.columns)
+    found = repeated_lines(documents, min_chars, _REPEATS).withColumn("text", _without(F.col("text"), F.col(_REPEATS)))
+    return found.where((F.size(_REPEATS) == 0) | (F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0)).select(*documents.columns)
 
 
 def line_report(documents: DataFrame) -> DataFrame:
