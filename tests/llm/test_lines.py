@@ -96,3 +96,30 @@ def test_report_columns(make):
     rows = {r.doc_id: r for r in L.line_report(make([(1, "one line of many letters\nb"), (2, "b\none line of many letters"), (3, None)])).collect()}
     assert (rows[1].n_lines, rows[1].n_repeats, rows[2].n_repeats, rows[2].text) == (2, 0, 1, "b")
     assert (rows[3].n_lines, rows[3].text) == (0, None)
+
+
+def test_equal_short_lines_are_repeats_in_the_query_and_the_pipeline(spark, make, tmp_path):
+    from tidemark.llm import catalog, stages
+    line = "A line of boilerplate, 2024."
+    docs = [(1, f"Menu\n{line}\n\nHome 1\nMenus"), (2, f"home  2\n\nA LINE of boilerplate; 2023.\nMenu\nown"), (3, "Menu\n \nown"), (4, "\n \n"), (None, "Own\nelse")]
+    frame = make(docs)
+    expected = {1: [], 2: [0, 2, 3], 3: [0, 2], 4: [], None: [0]}      # blank lines never; Menus is one edit from Menu, but short
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: list(r.repeats) for r in catalog.QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()} == expected
+    kept = {r.doc_id: (r.text, r.n_chars) for r in stages.line_dedup(spark, frame, str(tmp_path)).collect()}
+    assert kept == {1: (docs[0][1], len(docs[0][1])), 2: ("\nown", 4), 4: ("\n \n", 3), None: ("else", 4)}
+
+
+def test_equal_lines_of_any_length_and_near_lines_from_the_floor_on(make):
+    rng = random.Random(5)
+    docs = near_lines(5, 40)
+    docs = [(doc, "\n".join([text, *("x" * rng.randint(0, 19) + rng.choice(" a") for _ in range(4))])) for doc, text in docs]
+    long, exact = brute(docs), {}
+    seen = set()
+    for doc, text in sorted(docs):
+        exact[doc, text] = set()
+        for k, line in enumerate(L.normalised(x) for x in text.split("\n")):
+            if line and line in seen:
+                exact[doc, text].add(k)
+            seen.add(line)
+    assert got(L.repeated_lines(make(docs), min_exact=L.ANY_LINE)) == {key: sorted(exact[key] | set(long[key])) for key in long}

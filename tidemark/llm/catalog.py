@@ -66,8 +66,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.llm.lines import line_report
-    return line_report(table(spark, sf_dir, "documents"))
+    from tidemark.llm.lines import ANY_LINE, line_report
+    return line_report(table(spark, sf_dir, "documents"), min_exact=ANY_LINE)
 
 
 @query

@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches, materialize, small_or_shuffled
 
 THRESHOLD = 1
-#: Shorter lines (normalised) are left alone: one edit is much of them, and they recur by chance.
+#: Shorter lines (normalised) have no lines one edit apart: one edit is much of them.  Their equal lines count
+#: from ``min_exact`` characters on: as long as that by default, every line that is not blank in the query and the pipeline.
 MIN_CHARS = 20
+ANY_LINE = 1
 #: Lines of a key that are compared pair by pair, pieces a part is cut into, rows of a broadcast.
 PAIRED, PIECES, BROADCAST_ROWS = 24, 8, 200_000
 #: Columns that stand beside those of the documents for a while.
@@ -121,20 +123,23 @@ def edits_within(a: str, b: str, k: int) -> bool:
 OCCURRENCES = "rid long, doc_id long, line_no int, line long, n int, keys array<long>"
 
 
-def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Every line of ``min_chars`` or more: its document and place, hash, length, and four keys: its
-    two segments, then what it has in the place of those of a line one character shorter."""
+def occurrences(docs: DataFrame, min_chars: int, min_exact: int) -> DataFrame:
+    """Every line of ``min_exact`` or more: its document and place, hash, length, and from ``min_chars`` on four keys:
+    its two segments, then what it has in the place of those of a line one character shorter."""
+    least = max(1, min(min_chars, min_exact))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(k, 1000) for whole in batches for k in range(0, len(whole), 1000)):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for rid, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for number, line in enumerate((text.as_py() or "").split("\n")):
-                    if len(line) < min_chars or len(line := normalised(line)) < min_chars:
+                    if len(line) < least or len(line := normalised(line)) < least:
                         continue
                     n = len(line)
                     half, shorter = n // 2, (n - 1) // 2
-                    keys = [part_key(line, n, half, n), part_key(line, n, 0, half),
-                            part_key(line, n - 1, shorter, n - 1), part_key(line, n - 1, 0, shorter)]
+                    keys = None if n < min_chars else [
+                        part_key(line, n, half, n), part_key(line, n, 0, half),
+                        part_key(line, n - 1, shorter, n - 1), part_key(line, n - 1, 0, shorter)]
                     for column, value in zip(out, (rid, doc, number, line_hash(line), n, keys)):
                         column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
@@ -211,7 +216,7 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
     n, m = F.col("n"), F.col("n") - 1
     part = lambda k, length, lo, hi: F.struct(F.col("keys")[k].alias("key"), length.cast("int").alias("length"),
                                               lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
-    start = lines.select("line", F.inline(F.array(part(0, n, half(n), n), part(1, n, F.lit(0), half(n)),
+    start = lines.where(n >= min_chars).select("line", F.inline(F.array(part(0, n, half(n), n), part(1, n, F.lit(0), half(n)),
                                                   part(2, m, half(m), m), part(3, m, F.lit(0), half(m)))))
     shared = start.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low < high").select("key")
     parts = materialize(start.join(shared, "key").select("line", "length", "lo", "hi"), "lines-parts")
@@ -246,9 +251,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, out: str = "repeats") -> DataFrame:
+def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, out: str = "repeats", min_exact: int | None = None) -> DataFrame:
     """``documents`` plus ``repeats`` (or as ``out`` names it): the numbers (from 0, by \\n) of the lines that stand earlier.
 
+    Equal lines count from ``min_exact`` characters on (``min_chars`` if None; blank lines never do),
+    lines one edit apart if both have ``min_chars`` or more.
     Rows of one doc_id count as one document and are ordered by line only; rows without a doc_id come
     after all others, as one document.  A null text has no lines; other columns go through, a column
     of that name is replaced.
@@ -256,7 +263,7 @@ def repeated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, out: str =
     base = documents.drop(out)
     docs = base.withColumn(_ROW, F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
     plain = docs.select(F.col(_ROW).alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = materialize(occurrences(plain, min_chars), "lines-seen")
+    seen = materialize(occurrences(plain, min_chars, min_chars if min_exact is None else min_exact), "lines-seen")
     place = (F.col("doc_id").cast("decimal(28,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")).cast("decimal(38,0)")
     lines = materialize(seen.groupBy("line").agg(F.min(place).alias("place"), F.min_by("rid", place).alias("rid"), F.count("*").alias("times"),
                                                  F.max("n").alias("n"), *(F.max(F.col("keys")[k]).alias(f"k{k}") for k in range(4)))
@@ -279,15 +286,15 @@ def _without(text, repeats):
     return F.when(F.size(repeats) == 0, text).otherwise(F.array_join(kept, "\n"))
 
 
-def deduplicated_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated_lines(documents: DataFrame, min_chars: int = MIN_CHARS, min_exact: int | None = None) -> DataFrame:
     """``documents`` without the lines that stand earlier; a document that has nothing but white space
     left, and had repeats, goes."""
-    found = repeated_lines(documents, min_chars, _REPEATS).withColumn("text", _without(F.col("text"), F.col(_REPEATS)))
+    found = repeated_lines(documents, min_chars, _REPEATS, min_exact).withColumn("text", _without(F.col("text"), F.col(_REPEATS)))
     return found.where((F.size(_REPEATS) == 0) | (F.length(F.trim(F.regexp_replace("text", r"\s+", " "))) > 0)).select(*documents.columns)
 
 
-def line_report(documents: DataFrame) -> DataFrame:
+def line_report(documents: DataFrame, min_exact: int | None = None) -> DataFrame:
     """Per document the number of lines, of repeats, and its text without them."""
-    found = repeated_lines(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    found = repeated_lines(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), min_exact=min_exact)
     return found.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
                         F.size("repeats").cast("long").alias("n_repeats"), "repeats", _without(F.col("text"), F.col("repeats")).alias("text"))

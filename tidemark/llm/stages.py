@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand earlier in the corpus; ``n_chars`` follows the text."""
-    from tidemark.llm.lines import deduplicated_lines
-    kept = deduplicated_lines(docs)
+    from tidemark.llm.lines import ANY_LINE, deduplicated_lines
+    kept = deduplicated_lines(docs, min_exact=ANY_LINE)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
