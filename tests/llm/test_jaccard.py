@@ -98,3 +98,17 @@ def test_bounds():
             assert prefix_length(n, percent) == n - -(-percent * n // 100) + 1
             least = needed(2 * n, percent)
             assert 100 * least >= percent * (2 * n - least) and not 100 * (least - 1) >= percent * (2 * n - least + 1)
+
+
+def test_an_id_with_a_copy_and_a_text_of_its_own(make):
+    a, b = " ".join(words(120, 21)), words(120, 22)
+    near = " ".join(b[:60] + ["exchanged"] + b[61:])
+    docs = [(1, a), (2, a), (2, " ".join(b)), (9, near)]
+    assert order(map(tuple, jaccard_components(make(docs)).collect())) == order(brute(docs))
+    assert sorted((r.doc_id, r.text) for r in one_of_each(make(docs)).collect()) == sorted(docs[:3])
+
+
+def test_ids_with_many_texts(make):
+    docs = [(k % 13 if k % 13 else None, text) for k, (_, text) in enumerate(variants(8, 60, 90))]
+    docs += [(20 + k, text) for k, (_, text) in enumerate(docs[::7])]
+    assert order(map(tuple, jaccard_components(make(docs)).collect())) == order(brute(docs))

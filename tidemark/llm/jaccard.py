@@ -257,10 +257,15 @@ def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90,
     rows = sizes.where("part is null").select("doc_id", "n_shingles", "k")
     first = rows.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
 
-    # one document of each class of equal sets goes on
-    doubles = rows.join(first.where("n > 1"), "k").where("doc_id > low").select("doc_id").distinct()
-    single = docs.join(small_or_shuffled(materialize(doubles, "jaccard-doubles"), BROADCAST_ROWS), "doc_id", "left_anti")
-    sets = materialize(prefixes(single, levels, n_gram, percent, orders), "jaccard-prefixes")
+    # one document of each class of equal sets goes on: documents that stand for no class are not read again, and
+    # of those that stand for some (rows of one doc_id may have different texts) the other classes are left out after
+    spare = materialize(rows.join(first.where("n > 1"), "k").where("doc_id > low").select("doc_id", "k").distinct(), "jaccard-spare")
+    theirs = rows.where("k is not null").join(small_or_shuffled(spare.select("doc_id").distinct(), BROADCAST_ROWS), "doc_id", "left_semi")
+    mixed = small_or_shuffled(materialize(theirs.join(spare, ["doc_id", "k"], "left_anti").select("doc_id").distinct(), "jaccard-mixed"), BROADCAST_ROWS)
+    doubles = materialize(spare.select("doc_id").distinct().join(mixed, "doc_id", "left_anti"), "jaccard-doubles")
+    single = docs.join(small_or_shuffled(doubles, BROADCAST_ROWS), "doc_id", "left_anti")
+    others = small_or_shuffled(materialize(spare.join(mixed, "doc_id", "left_semi"), "jaccard-others"), BROADCAST_ROWS)
+    sets = materialize(prefixes(single, levels, n_gram, percent, orders).join(others, ["doc_id", "k"], "left_anti"), "jaccard-prefixes")
 
     # pivots: of the classes that share a token, the one that has it earliest
     at = sets.select("k", "n", F.posexplode("first").alias("pos", "token"))
