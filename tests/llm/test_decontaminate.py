@@ -89,3 +89,17 @@ def test_actions(spark, make):
     assert texts[3] == "Here: ! é" + passage_start(items) + " "
     assert texts[4] is None and texts[2] == docs[1][1]
     assert all(not hit for _, _, hit, *_ in brute([(k, t) for k, t in texts.items() if k == 1], items))
+
+
+def test_items_without_an_id_are_windows_too(spark, make):
+    docs, items = fixture()
+    items = [(None if k in (0, 20) else k, text) for k, text in items] + [(None, None)]
+    every = brute(docs, items)
+    none = hashlib.sha256(b"").hexdigest()
+    named = {doc: (n_items, digest) for doc, _, _, n_items, digest, _ in brute(docs, [(k, t) for k, t in items if k is not None])}
+    expected = [(doc, n, hit, *named[doc], found) for doc, n, hit, _, _, found in every]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = rows(contamination_report(make(docs), bench))
+    assert got == sorted(expected, key=lambda r: (r[0] is None, r[0] or 0))
+    assert [r for r in got if r[0] == 6] == [(6, 25, 25, 0, none, True)] * 2
+    assert not {6} & {r.doc_id for r in decontaminate(make(docs), bench).collect()}

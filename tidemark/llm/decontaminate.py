@@ -37,7 +37,7 @@ _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 class Grams:
     """Windows of benchmark items: hash -> the windows' words and the items that have them."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], width: int = WINDOW) -> None:
         self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.found: dict[tuple[int, int], list[tuple[bytes, set[int]]]] = {}
         if not items:
@@ -50,15 +50,16 @@ class Grams:
                 if lo == hi:
                     continue
                 size = min(width, hi - lo)
+                item = {items[part.first + k][0]} - {None}
                 for at, h in enumerate(windows(part.hash[lo:hi], size).tolist()):
                     text = joined(part, lo + at, size)
                     same = self.found.setdefault((size, h), [])
                     for known, ids in same:
                         if known == text:
-                            ids.add(items[part.first + k][0])
+                            ids |= item
                             break
                     else:
-                        same.append((text, {items[part.first + k][0]}))
+                        same.append((text, {*item}))
                         hashes.setdefault(size, []).append(h)
         for size, hs in hashes.items():
             values = np.unique(np.array(hs, np.uint64))
@@ -93,14 +94,14 @@ def _runs(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
     """The benchmark's ``(item_id, text)`` in blocks of about ``block_bytes``, each collected alone.
 
-    Null and empty texts have no window.  An item is dealt to a block by the hash of its text, so
+    Null and empty texts have no window.  The text of a row without an item_id counts as any other.  An item is dealt to a block by the hash of its text, so
     equal texts meet in one block.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .where("text is not null and item_id is not null").distinct()
+        .where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     for b in range(blocks):
@@ -111,7 +112,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes
     """``docs`` plus the columns of ``SCAN`` (which replace columns of the same names).
 
     A null text has no words.  An item of fewer than ``width`` words, but not none, is one window.
-    Items with equal text are all met.  With an empty benchmark nothing is hit.
+    Items with equal text are all met; one without an item_id counts for ``n_hit`` and adds no id.  With an empty benchmark nothing is hit.
     """
     spark = docs.sparkSession
     base = docs.drop(*SCAN.fieldNames())
