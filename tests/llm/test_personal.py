@@ -83,3 +83,9 @@ def test_redaction_and_other_columns(make, clashing):
     texts = {r.doc_id: r.text for r in redact(frame).collect()}
     assert texts == {1: "write to <email> or <phone>.", 2: None, 3: ""}
     assert set(find_personal_data(frame).columns) == set(frame.columns)
+
+
+def test_a_secret_goes_whole(make):
+    token = "aB3-xY9z" * 800
+    assert [(s["first"], s["end"]) for s in all_spans(f"token: {token}") if s["kind"] == "secret"] == [(7, 7 + len(token))]
+    assert [r.text for r in redact(make([(1, f"token: {token} end")])).collect()] == ["token: <secret> end"]

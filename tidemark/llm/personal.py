@@ -34,7 +34,7 @@ _DIGIT = re.compile(r"[0-9]")
 # A country code and check digits, then groups of letters and digits.
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![0-9-])")
-_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\x20{0,4}[=:]\x20{0,4}[\"']?([A-Za-z0-9+/_.-]{8,512}+)")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\x20{0,4}[=:]\x20{0,4}[\"']?([A-Za-z0-9+/_.-]{8,}+)")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 
 #: Score of a confirmed span before its context is looked at.
