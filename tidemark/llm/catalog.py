@@ -87,3 +87,17 @@ def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.warc import fixity_report
     from tidemark.session import scratch_path
     return fixity_report(table(spark, sf_dir, "pages"), scratch_path(spark, "llm-warc"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.middle import fill_in_middle_report
+    return fill_in_middle_report(table(spark, sf_dir, "documents"))
+
+
+def _oracles() -> dict[str, str]:
+    from tidemark.llm import middle
+    return {"op13_fill_in_middle": middle.SQL}
+
+
+ORACLES.update(_oracles())
