@@ -95,9 +95,15 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.mixing import mix_report
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> dict[str, str]:
-    from tidemark.llm import middle
-    return {"op13_fill_in_middle": middle.SQL}
+    from tidemark.llm import middle, mixing
+    return {"op11_source_mix": mixing.SQL, "op13_fill_in_middle": middle.SQL}
 
 
 ORACLES.update(_oracles())
