@@ -101,9 +101,15 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def _oracles() -> dict[str, str]:
-    from tidemark.llm import middle, mixing
-    return {"op11_source_mix": mixing.SQL, "op13_fill_in_middle": middle.SQL}
+    from tidemark.llm import middle, mixing, trie
+    return {"op11_source_mix": mixing.SQL, "op12_conversation_trie": trie.SQL, "op13_fill_in_middle": middle.SQL}
 
 
 ORACLES.update(_oracles())

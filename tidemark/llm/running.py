@@ -25,17 +25,20 @@ def parts_for(spark: SparkSession, rows: int) -> int:
 
 
 def running_sums(rows: DataFrame, keys: Sequence[str], block: str, order: Sequence[str | Column],
-                 sums: dict[str, str], before: DataFrame | None = None) -> DataFrame:
+                 sums: dict[str, str], before: DataFrame | None = None, totals: dict[str, str] | None = None) -> DataFrame:
     """``rows`` with a column for each ``{new: summed}``: the sum over the rows of its keys that stand
-    before it by ``(block, order)``.
+    before it by ``(block, order)``, and one for each of ``totals``: the sum over all rows of its keys.
 
     ``rows`` are read twice: give a table that was written.  Keys and block are not null; ``block`` never
     falls as ``order`` rises, and rows that are equal in both are put in any order.  ``before`` are columns
     by ``(keys, block)`` to add on the way.
     """
-    blocks = rows.groupBy(*keys, block).agg(*[F.sum(c).alias(f"_all_{new}") for new, c in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(*keys, block, *[F.coalesce(F.sum(f"_all_{new}").over(earlier), F.lit(0)).alias(f"_base_{new}") for new in sums])
+    totals = totals or {}
+    blocks = rows.groupBy(*keys, block).agg(*[F.sum(c).alias(f"_all_{new}") for new, c in (sums | totals).items()])
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, block, *[F.coalesce(F.sum(f"_all_{new}").over(earlier), F.lit(0)).alias(f"_base_{new}") for new in sums],
+                           *[F.sum(f"_all_{new}").over(whole).alias(new) for new in totals])
     inside = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = rows.join(blocks, [*keys, block])
     if before is not None:
