@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -23,7 +24,7 @@ def brute(rows):
     built = {}
     for c, own in turns.items():
         h = zlib.crc32(str(c).encode()) % 4
-        built[c] = tuple(turns.get(c - c % 20, [])[:h] + own[h:])
+        built[c] = tuple(turns.get(c - int(math.fmod(c, 20)), [])[:h] + own[h:])     # SQL's remainder
     nodes = {}
     for c, seq in sorted(built.items()):
         for d in range(len(seq) + 1):
