@@ -1,11 +1,13 @@
 """Check operators, one-pass batching, report and check ids."""
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import quality as Q
+from tidemark.quality.report import failing_rows, told
 
 
 def _one(spark, rows, schema, check):
@@ -34,6 +36,48 @@ def test_in_range_variants(spark):
     assert _one(spark, [(0.0,), (5.0,)], "v double", Q.in_range("v", 0, 10, inclusive=False)).failed_rows == 1
 
 
+def test_in_range_of_every_ordered_type(spark):
+    day, first = date(2024, 3, 1), datetime(2024, 3, 1, 12)
+    top = (1 << 63) - 1
+    cases = [
+        ("v date", [date(2024, 2, 29), day, date(2024, 3, 5), date(2024, 3, 6)], (day, date(2024, 3, 5)), 2, 4),
+        ("v timestamp", [first, first + timedelta(hours=1), first - timedelta(seconds=1)], (first, first + timedelta(hours=1)), 1, 3),
+        ("v string", ["a", "b", "bz", "c", "d"], ("b", "c"), 2, 4),
+        ("v long", [top, -top - 1, 0], (-10, None), 1, 1),
+        ("v long", [top, -top - 1, 0], (-top - 1, top), 0, 2),
+        ("v double", [float("inf"), float("-inf"), 1.0], (float("-inf"), float("inf")), 0, 2),
+        ("v double", [float("inf"), 2.0], (0, 10), 1, 1),
+        ("v decimal(20,2)", [Decimal("1.00"), Decimal("1.01")], (None, Decimal("1.00")), 1, 2),
+    ]
+    for schema, values, (low, high), closed, opened in cases:
+        rows = [(v,) for v in values]
+        assert _one(spark, rows, schema, Q.in_range("v", low, high)).failed_rows == closed, schema
+        assert _one(spark, rows, schema, Q.in_range("v", low, high, inclusive=False)).failed_rows == opened, schema
+    assert _one(spark, [(1.0,)], "v double", Q.in_range("v", None, None)).passed
+
+
+def test_samples_of_all_failed_row_checks_come_from_one_scan(spark):
+    df = spark.range(0, 20000, numPartitions=6).select(F.col("id").alias("a"), (F.col("id") % 100).alias("b"))
+    checks = {0: Q.in_range("a", 0, 9), 1: Q.accepted_values("b", [1, 2]), 2: Q.in_range("a", 0, 19990)}
+    shown = Q.validate(df, list(checks.values())).results
+    assert [r.sample for r in shown] == [[{"a": 10}, {"a": 11}, {"a": 12}], [{"b": 0}, {"b": 3}, {"b": 4}], [{"a": 19991}, {"a": 19992}, {"a": 19993}]]
+    plan = failing_rows(df, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and "WindowGroupLimit" in plan
+
+
+def test_aggregate_checks_share_a_scan(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (9, "b")], "n long, k string")
+    checks = [Q.aggregate_check("mean below 5", F.avg("n") < 5), Q.aggregate_check("few big", F.count_if(F.col("n") > 8) == 0, F.count_if(F.col("n") > 8)), Q.not_null("n")]
+    got = [(r.name, r.passed, r.failed_rows, r.total_rows) for r in Q.validate(df, checks).results]
+    assert got == [("mean below 5", True, 0, 3), ("few big", False, 1, 3), ("not_null(n)", True, 0, 3)]
+    keyed = [(r.passed, r.failed_rows) for r in Q.validate(df, [*checks, Q.unique("k")]).results]
+    assert keyed == [(True, 0), (False, 1), (True, 0), (False, 2)]
+    empty = Q.validate(df.limit(0), checks).results
+    assert [r.passed for r in empty] == [True, True, True]
+    plan = Q.report_frame(df, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1
+
+
 def test_accepted_values_regex_and_nulls_pass(spark):
     assert _one(spark, [("a",), ("b",), ("z",), (None,)], "a string",
                 Q.accepted_values("a", ["a", "b"])).failed_rows == 1
@@ -83,14 +127,14 @@ def test_report_metrics_ok_and_raise(spark):
     df = spark.createDataFrame([(1, 10.0), (1, 999.0)], "id long, v double")
     report = Q.validate(df, [Q.unique("id"), Q.in_range("v", 0, 100, severity=Q.Severity.WARN),
                              Q.not_null("id")], subject="raw.t")
-    assert report.to_metrics() == {"quality_checks_total": 3, "quality_failed_errors": 1, "quality_failed_warns": 1}
-    assert report.to_metrics(prefix="quality_dvol")["quality_dvol_checks_total"] == 3
+    assert report.metrics() == {"quality_checks_total": 3, "quality_failed_errors": 1, "quality_failed_warns": 1}
+    assert report.metrics(prefix="quality_dvol")["quality_dvol_checks_total"] == 3
     assert not report.ok
     with pytest.raises(Q.QualityError, match=r"unique\(id\) \[error\]: 2/2 rows"):
-        report.raise_for_status()
+        report.require_ok()
     m = report.metrics_frame().collect()[0]
     assert (m.quality_checks_total, m.quality_failed_errors, m.quality_failed_warns) == (3, 1, 1)
-    assert report.results[2].message == "not_null(id): ok (2 rows)"
+    assert told(report.results[2]) == "not_null(id): ok (2 rows)"
 
 
 def test_warn_never_blocks(spark):

@@ -46,5 +46,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = closed_bars(candle_rows(spark, sf_dir), as_of=AS_OF)
     result = run_job(store, CANDLES.identifier, rows, candle_checks(), max_columns=("close_time",))
     if result.reports and not result.reports[0].ok:
-        result.reports[0].raise_for_status()
+        result.reports[0].require_ok()
     return finish(store.read(CANDLES.identifier).orderBy(F.col("open_time"), F.col("instrument")))

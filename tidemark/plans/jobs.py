@@ -16,7 +16,7 @@ import logging
 import time
 from collections.abc import Sequence
 from contextlib import contextmanager
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import select_new
-from tidemark.quality import Check, Report, expression, log_failures, row_count_between, validate
+from tidemark.quality import Check, Report, expression, log_failures, report_frame, row_count_between
 from tidemark.store import TableStore
 
 BAD_ROWS, ALL_ROWS = "payload_valid", "rows"
@@ -47,35 +47,35 @@ def _persisted(rows: DataFrame):
 
 
 def validated(batch: DataFrame, columns: Sequence[str], checks: Sequence[Check], table: str, *,
-              strict_flag: str | None = None, logger: logging.Logger | None = None) -> tuple[int, Report]:
-    """``(rows, report)`` of a batch by one aggregate; raises if a row carries the strict flag.
+              strict_flag: str | None = None, logger: logging.Logger | None = None,
+              maxima: Sequence[str] = ()) -> tuple[int, Report, dict]:
+    """``(rows, report, largest values)`` of a batch by one aggregate; raises if a row carries the strict flag.
 
-    The strict test and the row count ride in front of the table's own checks.
+    The strict test, the row count and the largest values of ``maxima`` ride along with the table's own checks.
     """
     strict = strict_flag if strict_flag in batch.columns else None
     own = [row_count_between(None, None), *([expression(BAD_ROWS, ~F.col(strict))] if strict else [])]
-    combined = validate(batch, [*own, *checks], subject=table)
-    bad = combined.results[1].failed_rows if strict else 0
-    if bad:
+    frame = report_frame(batch, [*own, *checks], table, maxima)
+    held = frame.collect()       # a row for each check
+    combined = Report(batch.sparkSession.createDataFrame(held, frame.schema), [*own, *checks], table, batch.select(*columns))
+    if strict and (bad := combined.results[1].failed_rows):
         raise ValueError(f"Invalid payload in {table}: {bad} bad rows, e.g. {batch.filter(F.col(strict)).first().asDict()!r}")
-    report = combined.without_first(len(own), batch.select(*columns))
+    report = combined.behind(len(own))
     log_failures(report, logger)
-    return combined.results[0].total_rows, report
+    return held[0]["total_rows"], report, {c: held[0][f"max_{c}"] for c in maxima}
 
 
 def _identity_proven(report: Report, identity: Sequence[str]) -> bool:
     """Whether passed ERROR checks in the report show the identity to be complete and unique."""
     shown = {r.check.kind if r.check.kind == "unique" else r.check.name.split("(")[0] for r in report.results
-             if r.passed and r.blocking and r.check.columns == tuple(identity)}
+             if r.passed and r.check.blocking and r.check.columns == tuple(identity)}
     return {"unique", "not_null"} <= shown
 
 
-def _latest(data: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """The largest value of each column as text (timestamps in ISO form)."""
-    from tidemark.functions.time import iso_from_ms
-    kinds = dict(data.dtypes)
-    row = data.agg(*((iso_from_ms(F.unix_millis(F.max(c))) if kinds[c] == "timestamp" else F.max(c).cast("string")).alias(c) for c in columns)).first()
-    return {f"latest_{c}": row[c] for c in columns}
+def _latest(values: dict) -> dict[str, str | None]:
+    """The largest values of columns as text (timestamps in ISO form)."""
+    said = {c: v.astimezone(timezone.utc) if isinstance(v, datetime) else v for c, v in values.items()}
+    return {f"latest_{c}": None if v is None else v.isoformat() if isinstance(v, (date, datetime)) else str(v) for c, v in said.items()}
 
 
 def run_job(store: TableStore, table: str, rows: DataFrame, checks: Sequence[Check], *,
@@ -87,14 +87,14 @@ def run_job(store: TableStore, table: str, rows: DataFrame, checks: Sequence[Che
     started = time.perf_counter()
     spec = store.spec(table)
     with _persisted(rows) as batch:
-        n, report = validated(batch, spec.columns, checks, table, strict_flag=strict_flag, logger=logger)
+        n, report, largest = validated(batch, spec.columns, checks, table, strict_flag=strict_flag, logger=logger, maxima=max_columns)
         metrics, affected = {"rows": n}, 0
         if n:
-            metrics |= report.to_metrics(prefix=metrics_prefix)
+            metrics |= report.metrics(prefix=metrics_prefix)
             if report.ok:
                 data = batch.select(*spec.columns)
                 affected = store.upsert(table, data, identity_proven=_identity_proven(report, spec.identity)).rows_affected
-                metrics |= _latest(data, max_columns) if max_columns else {}
+                metrics |= _latest(largest)
         metrics |= {"rows_affected": affected, "duration_seconds": round(time.perf_counter() - started, 3), **(extra_metrics or {})}
         return JobRun(metrics, (report,) if n else ())
 
@@ -106,8 +106,8 @@ def backfill_job(store: TableStore | None, table: str, rows: DataFrame, identity
     whose identity is not stored yet.  Returns the number of rows appended."""
     columns = [c for c in rows.columns if c != strict_flag]
     with _persisted(rows) as batch:
-        _, report = validated(batch, columns, checks, table, strict_flag=strict_flag, logger=logger)
-        report.raise_for_status()
+        _, report, _ = validated(batch, columns, checks, table, strict_flag=strict_flag, logger=logger)
+        report.require_ok()
         if dry_run or store is None:
             return 0
         data = batch.select(*columns)

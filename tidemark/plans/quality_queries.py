@@ -8,7 +8,7 @@ the duplicate-group count, unioned in check order.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,17 +153,54 @@ def qc_not_null(spark: SparkSession, sf_dir: str):
                       subject="raw.orders").frame
 
 
-@register("qc_in_range", report_sql(
-    "SELECT l_discount, nullif(l_tax, 0.0) AS tax FROM lineitem", "raw.lineitem", (
+@register("qc_in_range", report_sql("""
+SELECT l_discount, nullif(l_tax, 0.0) AS tax, CAST(l_shipdate AS DATE) AS day, CAST(l_shipdate AS TIMESTAMP) AS shipped, l_returnflag AS flag,
+       CASE l_linenumber WHEN 1 THEN 9223372036854775807 WHEN 2 THEN -9223372036854775808 ELSE CAST(l_orderkey AS BIGINT) END AS big,
+       CASE l_linenumber WHEN 3 THEN CAST('inf' AS DOUBLE) WHEN 4 THEN CAST('-inf' AS DOUBLE) ELSE CAST(l_discount AS DOUBLE) END AS wide
+FROM lineitem""", "raw.lineitem", (
         ("row", "in_range(l_discount)", "error", "l_discount IS NOT NULL AND l_discount >= 0 AND l_discount <= 0.05"),
         ("row", "in_range(l_discount)", "error", "l_discount IS NOT NULL AND l_discount > 0.02"),
         ("row", "in_range(tax)", "warn", "tax IS NULL OR (tax >= 0 AND tax <= 0.04)"),
-        ("row", "in_range(tax)", "error", "tax IS NOT NULL AND tax >= 0 AND tax <= 0.04"))))
+        ("row", "in_range(tax)", "error", "tax IS NOT NULL AND tax >= 0 AND tax <= 0.04"),
+        ("row", "in_range(day)", "error", "day BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'"),
+        ("row", "in_range(shipped)", "error", "shipped > TIMESTAMP '1995-01-01' AND shipped < TIMESTAMP '1997-06-01'"),
+        ("row", "in_range(flag)", "error", "flag >= 'B' AND flag <= 'O'"),
+        ("row", "in_range(big)", "error", "big >= -10"),
+        ("row", "in_range(wide)", "error", "wide >= 0 AND wide <= CAST('inf' AS DOUBLE)"))))
 def qc_in_range(spark: SparkSession, sf_dir: str):
-    """Both bounds, exclusive lower bound only, and null allowed / not allowed."""
-    li = load(spark, sf_dir, "lineitem").select("l_discount", F.nullif("l_tax", F.lit(0.0)).alias("tax"))
+    """Both bounds, exclusive bounds, null allowed / not allowed; numbers, dates, times, text, the extremes
+    of long and infinities."""
+    line = F.col("l_linenumber")
+    ends = F.when(line == 1, F.lit((1 << 63) - 1)).when(line == 2, F.lit(-(1 << 63))).otherwise(F.col("l_orderkey").cast("long"))
+    wide = F.when(line == 3, F.lit(float("inf"))).when(line == 4, F.lit(float("-inf"))).otherwise(F.col("l_discount").cast("double"))
+    li = load(spark, sf_dir, "lineitem").select(
+        "l_discount", F.nullif("l_tax", F.lit(0.0)).alias("tax"), F.to_date("l_shipdate").alias("day"), landed.utc("l_shipdate").alias("shipped"),
+        F.col("l_returnflag").alias("flag"), ends.alias("big"), wide.alias("wide"))
     checks = [Q.in_range("l_discount", 0, 0.05), Q.in_range("l_discount", 0.02, None, inclusive=False),
-              Q.in_range("tax", 0, 0.04, allow_null=True, severity=Q.Severity.WARN), Q.in_range("tax", 0, 0.04)]
+              Q.in_range("tax", 0, 0.04, allow_null=True, severity=Q.Severity.WARN), Q.in_range("tax", 0, 0.04),
+              Q.in_range("day", date(1995, 1, 1), date(1996, 12, 31)),
+              Q.in_range("shipped", datetime(1995, 1, 1, tzinfo=timezone.utc), datetime(1997, 6, 1, tzinfo=timezone.utc), inclusive=False),
+              Q.in_range("flag", "B", "O"), Q.in_range("big", -10, None), Q.in_range("wide", 0, float("inf"))]
+    return Q.validate(li, checks, subject="raw.lineitem").frame
+
+
+@register("qc_frame_check", """
+WITH src AS (SELECT count(*) AS n, avg(l_quantity) AS mean, count(*) FILTER (l_extendedprice > 50000) AS dear,
+                    sum(CASE WHEN l_discount > 0.09 THEN 1 ELSE 0 END) AS steep FROM lineitem)
+SELECT 0 AS position, 'raw.lineitem' AS subject, 'mean quantity' AS "check", 'error' AS severity, mean BETWEEN 20 AND 30 AS passed,
+       CAST(0 AS BIGINT) AS failed_rows, n AS total_rows FROM src
+UNION ALL
+SELECT 1, 'raw.lineitem', 'few dear lines', 'warn', dear * 100 <= n, dear, n FROM src
+UNION ALL
+SELECT 2, 'raw.lineitem', 'discount at most 0.09', 'error', steep = 0, CAST(steep AS BIGINT), n FROM src
+""")
+def qc_frame_check(spark: SparkSession, sf_dir: str):
+    """Checks of the whole frame by aggregates, and one row check: one scan for all of them."""
+    li = load(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
+    dear = F.count_if(F.col("l_extendedprice") > 50000)
+    checks = [Q.aggregate_check("mean quantity", F.avg("l_quantity").between(20, 30)),
+              Q.aggregate_check("few dear lines", dear * 100 <= F.count("*"), dear, severity=Q.Severity.WARN),
+              Q.expression("discount at most 0.09", F.col("l_discount") <= 0.09)]
     return Q.validate(li, checks, subject="raw.lineitem").frame
 
 
@@ -326,7 +363,7 @@ def qc_gate_rows(spark: SparkSession, sf_dir: str):
                            table=CANDLES.identifier)
     blocked = Q.check_frame(rows, [Q.row_count_between(None, 10)], table=CANDLES.identifier)
     try:
-        blocked.raise_for_status()
+        blocked.require_ok()
         raise AssertionError("hard gate did not raise")
     except Q.QualityError:
         pass

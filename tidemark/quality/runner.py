@@ -40,22 +40,28 @@ def _key_sets(checks: Sequence[Check]) -> list[tuple[str, ...]]:
     return seen
 
 
-def stats_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One-row DataFrame: ``_total``, ``_f<i>`` per row check, ``_d<j>`` per key set."""
+def stats_frame(frame: DataFrame, checks: Sequence[Check], maxima: Sequence[str] = ()) -> DataFrame:
+    """One-row DataFrame: ``_total``, ``_f<i>`` per row check, ``_d<j>`` per key set, ``_max_<column>`` per
+    column of ``maxima``; without key sets also ``_p<i>`` and ``_f<i>`` per aggregate check."""
+    highest = [F.max(c).alias(f"_max_{c}") for c in maxima]
+    merged = [F.max(f"_max_{c}").alias(f"_max_{c}") for c in maxima]
+    by_aggregate: list[int] = []
     row_idx = [i for i, c in enumerate(checks) if c.rule is not None]
     key_sets = _key_sets(checks)
 
     if not key_sets:
         aggs = [F.count(F.lit(1)).cast("long").alias("_total")]
         aggs += [_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx]
-        stats = frame.agg(*aggs)
+        by_aggregate = [i for i, c in enumerate(checks) if c.kind == "aggregate"]
+        stats = frame.agg(*aggs, *highest, *_verdicts(checks))
     elif len(key_sets) == 1:
         key = list(key_sets[0])
         level1 = frame.groupBy(*key).agg(
             F.count(F.lit(1)).alias("_n"),
-            *[_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx],
+            *[_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx], *highest,
         )
         stats = level1.agg(
+            *merged,
             F.sum("_n").cast("long").alias("_total"),
             *[F.sum(f"_f{i}").cast("long").alias(f"_f{i}") for i in row_idx],
             F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).cast("long").alias("_d0"),
@@ -69,7 +75,7 @@ def stats_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
         level1 = frame.groupingSets([list(ks) for ks in key_sets], *all_cols).agg(
             F.count(F.lit(1)).alias("_n"),
             *[_fail_sum(checks[i].rule).alias(f"_f{i}") for i in row_idx],
-            F.grouping_id().alias("_gid"),
+            F.grouping_id().alias("_gid"), *highest,
         )
         gids = []
         width = len(all_cols)
@@ -79,13 +85,21 @@ def stats_frame(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
             gids.append(gid)
         first = F.col("_gid") == F.lit(gids[0])
         stats = level1.agg(
+            *merged,
             F.sum(F.when(first, F.col("_n")).otherwise(0)).cast("long").alias("_total"),
             *[F.sum(F.when(first, F.col(f"_f{i}")).otherwise(0)).cast("long").alias(f"_f{i}") for i in row_idx],
             *[F.sum(F.when((F.col("_gid") == F.lit(g)) & (F.col("_n") > 1), F.col("_n")).otherwise(0))
               .cast("long").alias(f"_d{j}") for j, g in enumerate(gids)],
         )
     cols = ["_total"] + [f"_f{i}" for i in row_idx] + [f"_d{j}" for j in range(len(key_sets))]
-    return stats.select(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
+    return stats.select(*[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols],
+                        *[f"_{kind}{i}" for i in by_aggregate for kind in "pf"], *[f"_max_{c}" for c in maxima])
+
+
+def _verdicts(checks: Sequence[Check]) -> list[Column]:
+    """``_p<i>`` and ``_f<i>`` of the aggregate checks."""
+    return [column for i, c in enumerate(checks) if c.kind == "aggregate" for column in (
+        F.coalesce(c.parameters["passed"], F.lit(True)).alias(f"_p{i}"), F.coalesce(c.parameters["failed_rows"], F.lit(0)).cast("long").alias(f"_f{i}"))]
 
 
 def _report_struct(pos: int, check: Check, passed: Column, failed: Column, total: Column) -> Column:
@@ -99,14 +113,17 @@ def _report_struct(pos: int, check: Check, passed: Column, failed: Column, total
     )
 
 
-def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -> DataFrame:
-    """Report DataFrame (``position, subject, check, severity, passed, failed_rows, total_rows``).
+def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "", maxima: Sequence[str] = ()) -> DataFrame:
+    """Report DataFrame (``position, subject, check, severity, passed, failed_rows, total_rows``), with a
+    column ``max_<column>`` for each of ``maxima``, the same in all rows.
 
     Lazy: nothing runs until the report is read.
     """
     checks = list(checks)
     key_sets = _key_sets(checks)
-    stats = stats_frame(frame, checks)
+    stats = stats_frame(frame, checks, maxima)
+    if key_sets and (verdicts := _verdicts(checks)):
+        stats = stats.crossJoin(frame.agg(*verdicts))       # one row each: all aggregate checks by one more scan
     total = F.col("_total")
     structs = []
     for pos, c in enumerate(checks):
@@ -116,6 +133,8 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
         elif c.kind == "unique":
             failed = F.col(f"_d{key_sets.index(tuple(c.columns))}")
             structs.append(_report_struct(pos, c, failed == 0, failed, total))
+        elif c.kind == "aggregate":
+            structs.append(_report_struct(pos, c, F.col(f"_p{pos}"), F.col(f"_f{pos}"), total))
         elif c.kind == "not_empty":
             structs.append(_report_struct(pos, c, total > 0, F.lit(0), total))
         elif c.kind == "row_count":
@@ -123,12 +142,12 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
             ok = total.between(F.lit(0 if low is None else low), F.lit((1 << 63) - 1 if high is None else high))
             structs.append(_report_struct(pos, c, ok, F.when(ok, F.lit(0)).otherwise(total), total))
     if structs:
-        report = stats.select(F.inline(F.array(*structs)))
+        report = stats.select(*[F.col(f"_max_{c}").alias(f"max_{c}") for c in maxima], F.inline(F.array(*structs)))
     else:
         report = stats.select(
             F.lit(0).alias("position"), F.lit("").alias("check"), F.lit("").alias("severity"),
             F.lit(True).alias("passed"), F.lit(0).cast("long").alias("failed_rows"),
-            total.alias("total_rows")).filter(F.lit(False))
+            total.alias("total_rows"), *[F.col(f"_max_{c}").alias(f"max_{c}") for c in maxima]).filter(F.lit(False))
     custom = [(pos, c) for pos, c in enumerate(checks) if c.kind == "frame"]
     if custom:
         parts = [report]
@@ -140,11 +159,11 @@ def report_frame(frame: DataFrame, checks: Sequence[Check], subject: str = "") -
                 F.lit(None).cast("long").alias("total_rows")))
         merged = parts[0]
         for p in parts[1:]:
-            merged = merged.unionByName(p)
+            merged = merged.unionByName(p, allowMissingColumns=True)
         # the report holds one row per check: a global window over it is a handful of rows
         report = merged.withColumn("total_rows", F.max("total_rows").over(Window.partitionBy()))
     return report.select("position", F.lit(subject).alias("subject"), "check", "severity",
-                         "passed", "failed_rows", "total_rows")
+                         "passed", "failed_rows", "total_rows", *[f"max_{c}" for c in maxima])
 
 
 def validate(frame: DataFrame, checks: Sequence[Check], *, subject: str = "") -> Report:
@@ -155,9 +174,9 @@ def validate(frame: DataFrame, checks: Sequence[Check], *, subject: str = "") ->
 
 def log_failures(report: Report, logger=None) -> None:
     """A warning for every failed check."""
-    for r in report.failures if logger is not None else ():
+    for r in report.failed() if logger is not None else ():
         logger.warning("quality_check_failed table=%s check=%s severity=%s failed_rows=%s total_rows=%s sample=%s",
-                       report.subject, r.name, r.severity.value, r.failed_rows, r.total_rows, r.sample)
+                       report.subject, r.name, r.check.severity.value, r.failed_rows, r.total_rows, r.sample)
 
 
 def check_frame(frame: DataFrame, checks: Sequence[Check], *, table: str, logger=None) -> Report:
