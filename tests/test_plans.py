@@ -59,9 +59,9 @@ def test_upsert_reads_only_touched_partitions(spark, store_root):
     rows = spark.createDataFrame([("a", datetime(2023, 1, 1), 1.0), ("b", datetime(2024, 1, 1), 2.0)],
                                  "k string, t timestamp, v double")
     store.append(spec.identifier, rows)
-    now = store.version(spec.identifier)
-    reached = store._touched_files(now, spec, [{"t_years": "2024"}])
-    assert len(now.files) == 2 and ["t_years=2024" in f for f in reached] == [True]
+    reached = store._reached(spec.identifier, store.pointer(spec.identifier), [("2024",)])
+    assert "PartitionFilters: [(cast(t_years" in plan(spark, reached)
+    assert [r.k for r in reached.collect()] == ["b"]
 
 
 def test_dedup_and_latest_are_partial_aggregates(spark):

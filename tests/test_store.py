@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import create_text
 from tidemark.spec import table_spec
 from tidemark.store import ConcurrentWrite, TableStore
 
@@ -22,6 +21,12 @@ def _store(spark, root):
     return TableStore(spark, root, {SPEC.identifier: SPEC, FLAT.identifier: FLAT})
 
 
+def _files(store, part="", table="raw.px"):
+    """Files that hold rows that count."""
+    names = {r.f for r in store.scan(table).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    return {n for n in names if part in n}
+
+
 def test_missing_table_reads_empty_with_schema(spark, store_root):
     store = _store(spark, store_root)
     df = store.read("raw.px", columns=["k", "v"])
@@ -52,9 +57,9 @@ def test_upsert_insert_update_unchanged(spark, store_root):
 def test_upsert_touches_only_batch_partitions(spark, store_root):
     store = _store(spark, store_root)
     store.upsert("raw.px", _rows(spark, [("a", datetime(2023, 5, 1), 1.0, None), ("b", datetime(2024, 1, 1), 2.0, None)]))
-    before = {f for f in store.version("raw.px").files if "t_years=2023" in f}
+    before = _files(store, "t_years=2023")
     store.upsert("raw.px", _rows(spark, [("b", datetime(2024, 1, 1), 9.0, None)]))
-    assert before <= set(store.version("raw.px").files)  # 2023 files untouched
+    assert before == _files(store, "t_years=2023")      # 2023 files untouched
     assert {r.k: r.v for r in store.read("raw.px").collect()} == {"a": 1.0, "b": 9.0}
 
 
@@ -128,7 +133,9 @@ def test_read_keys_prunes_to_batch_partitions(spark, store_root):
     batch = _rows(spark, [("b", datetime(2024, 1, 1), 5.0, None), ("c", datetime(2024, 2, 1), 6.0, None)])
     keys = store.read_keys("raw.px", batch)
     assert sorted(r.k for r in keys.collect()) == ["b"]
-    assert keys.inputFiles() and all("t_years=2024" in f for f in keys.inputFiles())
+    files = [r.f for r in keys.select(F.input_file_name().alias("f")).collect()]
+    assert files and all("t_years=2024" in f for f in files)
+    assert "PartitionFilters: [(cast(t_years" in keys._jdf.queryExecution().executedPlan().toString()
     assert store.read_keys("raw.flat", spark.createDataFrame([("x", 1.0)], "d string, v double")).count() == 0
 
 
@@ -156,39 +163,53 @@ def test_a_writer_lost_before_its_commit_changes_nothing(spark, store_root):
     assert store.vacuum("raw.px") >= 1 and _held(store) == MERGED and store.vacuum("raw.px") == 0
 
 
-def test_a_torn_version_file_leaves_the_one_before_in_force(spark, store_root):
-    store = _store(spark, store_root)
-    store.upsert("raw.px", _rows(spark, BASE))
-    assert create_text(spark, f"{store.path('raw.px')}/_versions/{1:012d}.json", '{"layout": null, "fil')
-    assert store.version("raw.px").number == 0 and _held(store) == [("a", 1.0), ("b", 2.0)]
-    store.upsert("raw.px", _rows(spark, BATCH))
-    assert store.version("raw.px").number == 2 and _held(store) == MERGED
-
-
 def test_two_writers(spark, store_root):
-    """Of two upserts on one version one fails whole and can be run again; an append goes on top."""
+    """Of two upserts on one state one fails whole and can be run again; an append goes on top."""
     store, other = _store(spark, store_root), _store(spark, store_root)
     store.upsert("raw.px", _rows(spark, BASE))
     late = [("d", datetime(2024, 5, 1), 4.0, None)]
     with pytest.raises(ConcurrentWrite):
         store.upsert("raw.px", _rows(spark, BATCH), before_commit=lambda: other.upsert("raw.px", _rows(spark, late)))
     assert _held(store) == [("a", 1.0), ("b", 2.0), ("d", 4.0)]
-    publish, calls = TableStore._publish, []
+    point, calls = TableStore._point, []
 
-    def outrun(self, table, base, number, files):
+    def outrun(self, table, began, to):
         if not calls:
             calls.append(1)
             other.append("raw.px", _rows(spark, [("e", datetime(2024, 6, 1), 5.0, None)]))
-        return publish(self, table, base, number, files)
+        return point(self, table, began, to)
 
-    TableStore._publish = outrun
+    TableStore._point = outrun
     try:
         store.append("raw.px", _rows(spark, [("f", datetime(2024, 6, 1), 6.0, None)]))
     finally:
-        TableStore._publish = publish
+        TableStore._point = point
     assert _held(store) == [("a", 1.0), ("b", 2.0), ("d", 4.0), ("e", 5.0), ("f", 6.0)]
 
 
+def test_the_pointer_stays_small(spark, store_root):
+    """It grows by a name a write and by an entry for a partition that was written anew, whatever is in them."""
+    store = _store(spark, store_root)
+    store.append("raw.px", _rows(spark, [(f"k{i}", datetime(2023 + i % 2, 1, 1), float(i), None) for i in range(400)]).repartition(8))
+    for v in range(3):
+        store.upsert("raw.px", _rows(spark, [("k0", datetime(2023, 1, 1), 100.0 + v, None)]))
+    now = store.pointer("raw.px")
+    assert len(now.writes) == 4 and now.since == ((("2023",), now.writes[-1]),)
+    assert store.read("raw.px").count() == 400 and store.read("raw.px").where("k = 'k0'").first().v == 102.0
+    assert len(_files(store, "t_years=2023")) == 1
+
+
+def test_null_partitions_are_written_anew_too(spark, store_root):
+    spec = table_spec("raw.np", {"k": str, "t": datetime | None, "v": float}, identity=("k",), partition=("years(t)",))
+    store = TableStore(spark, store_root, {spec.identifier: spec})
+    rows = lambda r: spark.createDataFrame(r, "k string, t timestamp, v double")
+    store.append("raw.np", rows([("a", None, 1.0), ("b", datetime(2024, 1, 1), 2.0)]))
+    r = store.upsert("raw.np", rows([("a", None, 5.0), ("c", None, 6.0)]))
+    assert (r.rows_inserted, r.rows_updated) == (1, 1)
+    r = store.upsert("raw.np", rows([("a", datetime(2025, 1, 1), 7.0)]))
+    assert sorted((x.k, x.v) for x in store.read("raw.np").collect()) == [("a", 7.0), ("b", 2.0), ("c", 6.0)]
+
+
 def test_a_read_during_a_write_sees_one_version(spark, store_root):
     store = _store(spark, store_root)
     store.upsert("raw.px", _rows(spark, BASE))
@@ -227,31 +248,51 @@ def test_a_key_that_changes_partition_moves(spark, store_root):
     assert sorted((x.k, x.t.year) for x in store.read("raw.mv").collect()) == [("1", 2021), ("2", 2020), ("3", 2021)]
 
 
-def test_small_upsert_rewrites_only_files_with_changed_keys(spark, store_root):
+def test_small_upsert_writes_only_partitions_with_changed_keys_anew(spark, store_root):
     store = _store(spark, store_root)
-    first = [(f"k{i}", datetime(2024, 1, 1 + i), float(i), None) for i in range(6)]
-    store.append("raw.px", _rows(spark, first[:3]))
-    store.append("raw.px", _rows(spark, first[3:]))          # two files in the 2024 partition
-
-    def files():
-        return store.version("raw.px").files
-
-    before = files()
-    assert len(before) == 2
+    first = [(f"k{i}", datetime(2023 + i % 3, 1, 1 + i), float(i), None) for i in range(6)]
+    store.append("raw.px", _rows(spark, first))
+    before = _files(store)
     r = store.upsert("raw.px", _rows(spark, [("k9", datetime(2024, 2, 1), 9.0, None)]))
     assert (r.rows_inserted, r.rows_updated) == (1, 0)
-    after_insert = files()
-    assert set(before) < set(after_insert) and len(after_insert) == 3   # pure addition
+    after_insert = _files(store)
+    assert before < after_insert and len(after_insert) == len(before) + 1        # pure addition
     r = store.upsert("raw.px", _rows(spark, [("k4", datetime(2024, 1, 5), 40.0, None),
-                                             ("k1", datetime(2024, 1, 2), 1.0, None)]))   # k1 unchanged
+                                             ("k3", datetime(2023, 1, 4), 3.0, None)]))   # k3 unchanged
     assert (r.rows_inserted, r.rows_updated) == (0, 1)
-    after_update = files()
-    kept = set(after_insert) & set(after_update)
-    assert len(kept) == 2 and len(after_update) == 3                  # only the file holding k4 replaced
+    gone, new = after_insert - _files(store), _files(store) - after_insert
+    assert all("t_years=2024" in f for f in gone) and len(gone) == 2 and len(new) == 1
     got = {x.k: x.v for x in store.read("raw.px").collect()}
     assert got == {"k0": 0.0, "k1": 1.0, "k2": 2.0, "k3": 3.0, "k4": 40.0, "k5": 5.0, "k9": 9.0}
 
 
+def _scanned(df):
+    """Partition filters of the plan, and the files that hold what it reads."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan, {r.f.split("/t_")[1].split("/")[0] for r in df.select("*", F.input_file_name().alias("f")).collect() if "/t_" in r.f}
+
+
+@pytest.mark.parametrize("layout, folders", [("years(t)", {"years=2022", "years=2023"}), ("months(t)", {"months=2022-12", "months=2023-01"}),
+                                             ("days(t)", {"days=2022-12-31", "days=2023-01-01"})])
+def test_a_window_reads_only_its_partitions(spark, store_root, layout, folders):
+    spec = table_spec("raw.w", {"k": int, "t": datetime | None}, partition=(layout,))
+    store = TableStore(spark, store_root, {spec.identifier: spec})
+    times = [datetime(2021, 6, 1), datetime(2022, 12, 31, 23), datetime(2023, 1, 1), datetime(2023, 1, 2), datetime(2024, 5, 5), None]
+    store.append("raw.w", spark.createDataFrame(list(enumerate(times)), "k long, t timestamp"))
+    low, high = datetime(2022, 12, 31, 23), datetime(2023, 1, 1)
+    within = store.read_window("raw.w", "t", low, high)
+    plan, read = _scanned(within)
+    assert sorted(r.k for r in within.collect()) == [1, 2] and read == folders
+    assert "PartitionFilters: [isnotnull(t_" in plan
+    scanned = within._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scanned.selectedPartitions().partitionCount() == len(folders)
+    assert [r.k for r in store.read_window("raw.w", "t", low, high, include_high=False).collect()] == [1]
+    assert sorted(r.k for r in store.read_window("raw.w", "t", None, high, columns=["k"]).collect()) == [0, 1, 2]
+    assert sorted(r.k for r in store.read_window("raw.w", "t", datetime(2023, 1, 2), None).collect()) == [3, 4]
+    assert store.read_window("raw.w", "t").count() == 6
+    assert sorted(r.k for r in store.read_window("raw.w", "k", 4, 5).collect()) == [4, 5]
+
+
 @pytest.mark.parametrize("threshold", ["64m", "-1"])
 def test_upsert_with_escaped_partition_values(spark, store_root, threshold):
     """Partition values Spark escapes in folder names (space, colon, percent, slash,

@@ -3,7 +3,7 @@ fresh folder under the shared checkpoint root and reads the result back."""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +45,20 @@ def table_read_projected(spark: SparkSession, sf_dir: str):
     return store.read(ORDERS.identifier, columns=["o_orderkey", "o_totalprice"]).unionByName(missing)
 
 
+@register("table_read_window", """
+SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '1994-11-15 00:00:00' AND o_orderdate < TIMESTAMP '1995-03-01 00:00:00'
+""")
+def table_read_window(spark: SparkSession, sf_dir: str):
+    """A window of the table by years: its bounds reach the scan as a filter on the partition column, so
+    the folders of other years are not read."""
+    store = orders_store(spark, "read-window")
+    store.append(ORDERS.identifier, orders_rows(spark, sf_dir))
+    rows = store.read_window(ORDERS.identifier, "o_orderdate", datetime(1994, 11, 15, tzinfo=timezone.utc), datetime(1995, 3, 1, tzinfo=timezone.utc),
+                             include_high=False, columns=["o_orderkey", "o_totalprice", "o_orderdate"])
+    return finish(rows)
+
+
 @register("append_rows", f"""
 SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
 UNION ALL

@@ -13,7 +13,6 @@ import os
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS: dict[str, str] = {
@@ -52,7 +51,7 @@ def apply_session_settings(spark: SparkSession) -> None:
     conf.set("spark.sql.session.timeZone", "UTC")
     conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     conf.set("spark.sql.adaptive.enabled", "true")
-    # listing the files of a version: tasks by the cores there are, not one for each file
+    # listing the files of a table: tasks by the cores there are, not one for each folder
     conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(32, 4 * spark.sparkContext.defaultParallelism)))
 
 
@@ -94,22 +93,21 @@ def hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; False if it is there already (the file system lets one creator through)."""
-    fs, hpath = hadoop_fs(spark, path)
-    if fs.exists(hpath):
-        return False
-    try:
-        out = fs.create(hpath, False)
-    except Py4JJavaError as error:
-        if "AlreadyExists" in str(error.java_exception.getClass().getName()):
-            return False
-        raise
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in the place of another by one rename: a reader sees the old one or the new one."""
+    fs, target = hadoop_fs(spark, path)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}")
+    out = fs.create(fresh, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    return True
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(target), how)
 
 
 def file_names(spark: SparkSession, folder: str) -> list[str]:
@@ -118,17 +116,6 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
-def files_below(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of all files below a folder, relative to it."""
-    fs, hpath = hadoop_fs(spark, folder)
-    if not fs.exists(hpath):
-        return []
-    top, found, it = hpath.toUri().getPath().rstrip("/"), [], fs.listFiles(hpath, True)
-    while it.hasNext():
-        found.append(it.next().getPath().toUri().getPath()[len(top) + 1:])
-    return sorted(found)
-
-
 def remove(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder; whether there was one."""
     fs, hpath = hadoop_fs(spark, path)
@@ -136,19 +123,13 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
     fs, hpath = hadoop_fs(spark, path)
     if not fs.exists(hpath):
         return None
-    jvm = spark.sparkContext._jvm
     stream = fs.open(hpath)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 

@@ -1,21 +1,24 @@
-"""Keyed tables as versioned sets of Parquet files.
+"""Keyed tables as folders of plain Parquet writes that Spark lists itself.
 
 Layout of a table's folder::
 
-    data/<write>/<derived column>=<value>/.../part-*.parquet    files of one write, never changed
-    _versions/<number>.json                                     layout and file list of a version
+    data/write=<number>-<id>/<derived column>=<value>/.../part-*.parquet    one DataFrame write each
+    _table.json                                                             what counts
 
-A version names every file that belongs to the table; the highest readable one is the table.  A
-write puts its files into a folder of its own and then creates the next version file, which only
-one writer can: an append that finds it taken is put on top of it, any other write fails and can be
-run again.  So a reader never sees half a write and changes nothing itself; a writer that dies
-leaves files that no version names (`vacuum` removes them), and a refused or torn version file
-leaves the version before it in force.  No file is moved or replaced.
+``_table.json`` names the layout, the writes that count, and for each partition that was written anew
+the first write that counts for it.  A write puts its rows into a folder of its own and then replaces
+this small file by one rename, so a reader sees a table before or after a write, never half of it, and
+a writer that dies leaves a folder that nothing names (`vacuum` removes it).  No list of files is kept:
+reads are partition-discovered scans whose filters on ``write`` and on the derived columns Spark prunes.
 
-Upsert is copy-on-write by file: one join of the batch with the stored rows it can match gives the
-counts and the files that hold changed rows; these are written anew, all others stay.  Spark picks
-the join by the measured size of the persisted batch.  Only partitions that the batch touches are
-read, if the identity determines the partition; else a row may have moved, and all are.
+Upsert is copy-on-write by partition: one join of the batch with the stored rows it can match gives the
+counts and the partitions that hold changed rows; these are written anew, with the new rows, by one
+write.  A batch of new rows alone is a pure addition.  Spark picks the join by the measured size of the
+persisted batch.  Only partitions that the batch touches are read, if the identity determines the
+partition; else a row may have moved, and all are.
+
+One writer a table: a writer that finds that another has committed since it began fails whole
+(`ConcurrentWrite`); an append goes on top.
 """
 
 from __future__ import annotations
@@ -23,25 +26,25 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import and_, or_
 from typing import NamedTuple
-from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import session as sess
 from tidemark.operators.conform import conform
-from tidemark.spec import TableSpec, partition_matches, sort_matches
+from tidemark.spec import PartitionField, TableSpec, partition_matches, sort_matches
 from tidemark.tables import ALL_SPECS, resolve
 
-DATA, VERSIONS = "data", "_versions"
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+DATA, POINTER, WRITE = "data", "_table.json", "write"
 
 
 class ConcurrentWrite(RuntimeError):
-    """Another writer made the next version first; the write changed nothing and may be run again."""
+    """Another writer has committed since this one began; this one changed nothing and may be run again."""
 
 
 class WriteResult(NamedTuple):
@@ -56,54 +59,56 @@ class WriteResult(NamedTuple):
         return sum(self[:2])
 
 
-class Version(NamedTuple):
-    """A table at one moment: its number (-1: none yet), layout, files under the table's folder, and how
-    many files each write left in its folder."""
+class Pointer(NamedTuple):
+    """A table at one moment: its layout (None: there is no table), its writes in order, and of partitions
+    that were written anew the values (as text) with the first write that counts."""
+
+    layout: dict | None = None
+    writes: tuple[str, ...] = ()
+    since: tuple[tuple[tuple[str | None, ...], str], ...] = ()
 
-    number: int
-    layout: dict | None
-    files: tuple[str, ...]
-    written: dict[str, int]
+    def added(self, layout: dict, write: str, anew: Iterable[Sequence[str | None]] = ()) -> Pointer:
+        """With one more write, which holds these partitions whole."""
+        anew = {tuple(p) for p in anew}
+        kept = [s for s in self.since if s[0] not in anew]
+        return Pointer(layout, (*self.writes, write), tuple(sorted([*kept, *((p, write) for p in anew)], key=repr)))
 
 
 def with_partition_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns({p.name: p.expr() for p in spec.partition}) if spec.partition else df
 
 
-def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True) -> DataFrame:
+def sorted_for_write(df: DataFrame, spec: TableSpec, *, cluster: bool = True, seen: Observation | None = None) -> DataFrame:
     """Cluster rows for the writer: partition columns first, then the sort order (ASC NULLS FIRST).
 
     ``REBALANCE`` on the partition columns lets AQE size the write tasks from the actual shuffle
     statistics: a partition value usually lands in one task (one file per directory), a hot value
     holding a third of the rows is split across tasks, and small tasks are coalesced - without a
     sampling pass over the input.  Then a per-task sort lays rows out in table order inside each
-    file."""
+    file.  ``seen`` counts the rows as they are written, in the tasks that write them."""
     order = [F.asc_nulls_first(c) for c in spec.partition_columns] + [s.expr() for s in spec.sort]
     if cluster:
         df = df.hint("rebalance", *spec.partition_columns) if spec.partition else df.hint("rebalance")
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     return df.sortWithinPartitions(*order) if order else df
 
 
-def _write_of(file: str) -> str:
-    """The folder of the write that a file comes from."""
-    return "/".join(file.split("/", 2)[:2])
-
-
-def partition_values(file: str) -> dict[str, str | None]:
-    """The derived columns in a file's path, as text."""
-    steps = (step.split("=", 1) for step in file.split("/")[2:-1])
-    return {name: None if value == NULL_PARTITION else unquote(value) for name, value in steps}
+def among(columns: Sequence[str], values: Iterable[Sequence[str | None]]) -> Column:
+    """Whether the columns, as text, hold one of these tuples (nulls are equal)."""
+    same = lambda held: reduce(and_, (F.col(c).cast("string").eqNullSafe(F.lit(v)) for c, v in zip(columns, held, strict=True)))
+    return reduce(or_, map(same, values), F.lit(False))
 
 
 class TableStore:
-    """``create_all / read / append / upsert`` over tables named ``namespace.name``."""
+    """``create_all / read / read_window / append / upsert`` over tables named ``namespace.name``."""
 
     def __init__(self, spark: SparkSession, root: str, specs: dict[str, TableSpec] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = dict(ALL_SPECS if specs is None else specs)
 
-    # ---- names and versions ----------------------------------------------
+    # ---- names and the pointer ---------------------------------------------
     def spec(self, table: str) -> TableSpec:
         return resolve(table, self.specs)
 
@@ -111,39 +116,23 @@ class TableStore:
         spec = self.spec(table)
         return f"{self.root}/{spec.namespace}/{spec.name}"
 
-    def version(self, table: str) -> Version:
-        """The version in force: the highest whose file is whole."""
-        folder = f"{self.path(table)}/{VERSIONS}"
-        numbers = sorted((int(n[:-5]) for n in sess.file_names(self.spark, folder) if n[:-5].isdigit()), reverse=True)
-        for number in numbers:
-            try:
-                held = json.loads(sess.read_text(self.spark, f"{folder}/{number:012d}.json") or "")
-            except ValueError:
-                continue            # its writer died; the one before is in force
-            return Version(number, held["layout"], tuple(held["files"]), held["written"])
-        return Version(-1, None, (), {})
-
-    def _next_number(self, table: str) -> int:
-        """The number after the last version file, whole or torn."""
-        names = sess.file_names(self.spark, f"{self.path(table)}/{VERSIONS}")
-        return 1 + max((int(n[:-5]) for n in names if n[:-5].isdigit()), default=-1)
-
-    def _publish(self, table: str, base: Version, number: int, files: Sequence[str]) -> bool:
-        """Make version ``number`` on top of ``base``; False if another writer was first."""
-        now = Counter(_write_of(f) for f in files)
-        text = json.dumps({"layout": self.spec(table).layout(), "base": base.number, "files": sorted(files),
-                           "written": {w: base.written.get(w, n) for w, n in now.items()}})
-        return sess.create_text(self.spark, f"{self.path(table)}/{VERSIONS}/{number:012d}.json", text)
-
-    def _commit(self, table: str, base: Version, number: int, files: Sequence[str]) -> None:
-        if not self._publish(table, base, number, files):
-            raise ConcurrentWrite(f"{table}: version {number} was made by another writer")
+    def pointer(self, table: str) -> Pointer:
+        text = sess.read_text(self.spark, f"{self.path(table)}/{POINTER}")
+        if text is None:
+            return Pointer()
+        held = json.loads(text)
+        return Pointer(held["layout"], tuple(held["writes"]), tuple((tuple(values), write) for values, write in held["since"]))
+
+    def _point(self, table: str, began: Pointer, to: Pointer) -> None:
+        if self.pointer(table) != began:
+            raise ConcurrentWrite(f"{table} was written by another writer meanwhile")
+        sess.replace_text(self.spark, f"{self.path(table)}/{POINTER}", json.dumps(to._asdict()))
 
     def stored_layout(self, table: str) -> dict | None:
-        return self.version(table).layout
+        return self.pointer(table).layout
 
     def has_data(self, table: str) -> bool:
-        return bool(self.version(table).files)
+        return bool(self.pointer(table).writes)
 
     def layout_drift(self, table: str) -> tuple[bool, bool]:
         """(partition layout matches, sort order matches) against the stored copy."""
@@ -151,98 +140,132 @@ class TableStore:
         return partition_matches(stored, spec), sort_matches(stored, spec)
 
     def create_all(self) -> None:
-        """Create missing tables (an empty version); reconcile the layout of existing ones."""
+        """Create missing tables (without rows); reconcile the layout of existing ones."""
         for table in sorted(self.specs):
-            now = self.version(table)
+            now = self.pointer(table)
             if now.layout is None:
-                self._commit(table, now, self._next_number(table), ())
+                self._point(table, now, Pointer(self.spec(table).layout()))
             elif not all(self.layout_drift(table)):
                 self.relayout(table)
 
     def vacuum(self, table: str) -> int:
-        """Remove the data files that the version in force does not name; for when no reader of an
-        older version and no writer is about.  Returns how many went."""
-        keep, path = set(self.version(table).files), self.path(table)
-        gone = [f for f in sess.files_below(self.spark, f"{path}/{DATA}") if f"{DATA}/{f}" not in keep]
-        return sum(sess.remove(self.spark, f"{path}/{DATA}/{f}") for f in gone)
+        """Remove the folders of writes that do not count; for when no writer and no reader of an older
+        state is about.  Returns how many went."""
+        folder = f"{self.path(table)}/{DATA}"
+        keep = {f"{WRITE}={w}" for w in self.pointer(table).writes}
+        return sum(sess.remove(self.spark, f"{folder}/{name}") for name in sess.file_names(self.spark, folder) if name not in keep)
 
     # ---- read ------------------------------------------------------------
-    def _scan(self, table: str, files: Sequence[str], written: dict[str, int] | None = None) -> DataFrame:
-        """The rows of these files with the declared schema (never inferred).  A write of which all files are
-        asked for is given as its folder, so that Spark does not get thousands of paths."""
-        spec, path = self.spec(table), self.path(table)
-        if not files:
-            return self.spark.createDataFrame([], spec.schema)
-        asked = Counter(map(_write_of, files))
-        whole = {w for w, n in asked.items() if (written or {}).get(w) == n}
-        paths = sorted(whole) + [f for f in files if _write_of(f) not in whole]
-        return self.spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(*(f"{path}/{p}" for p in paths))
-
-    def read_storage(self, table: str) -> DataFrame:
-        """All rows plus the derived partition columns."""
-        now = self.version(table)
-        return with_partition_columns(self._scan(table, now.files, now.written), self.spec(table))
-
-    def read(self, table: str, *, columns: Sequence[str] | None = None) -> DataFrame:
-        """Projected scan of the version in force; a missing table is an empty frame with the declared
-        (projected) schema."""
+    def scan(self, table: str, now: Pointer | None = None) -> DataFrame:
+        """All rows that count, with the derived columns they are stored by; schemas are declared, never
+        inferred.  Filters on the derived columns become partition filters of the scan."""
+        spec, now = self.spec(table), self.pointer(table) if now is None else now
+        stored = [PartitionField(source, transform) for source, transform, _ in (now.layout or spec.layout())["partition"]]
+        schema = T.StructType([*spec.schema.fields, T.StructField(WRITE, T.StringType()), *(T.StructField(p.name, p.data_type(spec.schema)) for p in stored)])
+        names = [p.name for p in stored]
+        if not now.writes:
+            return self.spark.createDataFrame([], schema).drop(WRITE)
+        folder = f"{self.path(table)}/{DATA}"
+        rows = self.spark.read.schema(schema).option("basePath", folder).parquet(*(f"{folder}/{WRITE}={w}" for w in now.writes))
+        for values, first in now.since:      # writes are numbered, so their names are in order
+            rows = rows.where((F.col(WRITE) >= F.lit(first)) | ~among(names, [values]))
+        return rows.drop(WRITE)
+
+    def _columns(self, table: str, columns: Sequence[str] | None) -> list[str]:
         spec = self.spec(table)
-        cols = list(columns) if columns else spec.columns
-        unknown = [c for c in cols if c not in spec.columns]
+        unknown = [c for c in columns or () if c not in spec.columns]
         if unknown:
             raise KeyError(f"columns {unknown} not in {table}")
-        now = self.version(table)
-        return self._scan(table, now.files, now.written).select(*cols)
+        return list(columns or spec.columns)
+
+    def read_storage(self, table: str) -> DataFrame:
+        """All rows plus the derived partition columns of the declared layout."""
+        spec, now = self.spec(table), self.pointer(table)
+        rows = self.scan(table, now)
+        if partition_matches(now.layout, spec):
+            return rows.select(*spec.columns, *spec.partition_columns)
+        return with_partition_columns(rows.select(*spec.columns), spec)
 
-    def _touched_files(self, version: Version, spec: TableSpec, touched: Sequence[dict] | None) -> list[str]:
-        """Files of the partitions with these derived values; all files if ``touched`` is None or the
-        files were laid out by another rule."""
-        if touched is None or not partition_matches(version.layout, spec):
-            return list(version.files)
-        wanted = {tuple(sorted(t.items(), key=lambda kv: kv[0])) for t in touched}
-        return [f for f in version.files if tuple(sorted(partition_values(f).items(), key=lambda kv: kv[0])) in wanted]
+    def read(self, table: str, *, columns: Sequence[str] | None = None) -> DataFrame:
+        """Projected scan of the table; a missing table is an empty frame with the declared (projected)
+        schema."""
+        return self.scan(table).select(*self._columns(table, columns))
+
+    def read_window(self, table: str, column: str, low=None, high=None, *, include_high: bool = True,
+                    columns: Sequence[str] | None = None) -> DataFrame:
+        """Rows with ``low <= column <= high`` (``< high`` without ``include_high``; None: open); a null
+        is in no window.
+
+        The bounds go through every partition transform of the column, all of which are monotone, and so
+        become partition filters: only folders that can hold rows of the window are listed as input."""
+        (named,) = self._columns(table, [column])
+        now = self.pointer(table)
+        rows = self.scan(table, now)
+        for source, transform, _ in (now.layout or {"partition": []})["partition"]:
+            if source == named and (low is not None or high is not None):
+                rows = rows.where(PartitionField(source, transform).bounds(low, high))
+        value = F.col(named)
+        if low is not None:
+            rows = rows.where(value >= F.lit(low))
+        if high is not None:
+            rows = rows.where(value <= F.lit(high) if include_high else value < F.lit(high))
+        return rows.select(*self._columns(table, columns))
+
+    def _reached(self, table: str, now: Pointer, parts: Sequence[Sequence[str | None]] | None) -> DataFrame:
+        """Stored rows of these partitions; all if ``parts`` is None or the table is laid out otherwise."""
+        spec, rows = self.spec(table), self.scan(table, now)
+        if parts is None or not spec.partition or not partition_matches(now.layout, spec):
+            return rows
+        return rows.where(among(spec.partition_columns, parts))
 
     def read_keys(self, table: str, batch: DataFrame) -> DataFrame:
         """Stored identities that can match ``batch``: one partial aggregate over the batch names the
         partitions to read, where the identity determines them."""
-        spec, now = self.spec(table), self.version(table)
-        touched = None
-        if spec.partition and spec.identity_determines_partition and now.files:
-            touched = self._touched(batch.agg(self._parts(spec)).first()["parts"], spec)
-        return self._scan(table, self._touched_files(now, spec, touched), now.written).select(*spec.identity)
+        spec, now = self.spec(table), self.pointer(table)
+        parts = None
+        if spec.partition and spec.identity_determines_partition and now.writes:
+            parts = self._values(batch.agg(F.collect_set(self._part(spec)).alias("parts")).first()["parts"])
+        return self._reached(table, now, parts).select(*spec.identity)
 
     @staticmethod
-    def _parts(spec: TableSpec) -> Column:
-        return F.collect_set(F.struct(*[p.expr().cast("string").alias(p.name) for p in spec.partition])).alias("parts")
+    def _part(spec: TableSpec) -> Column:
+        """The derived values of a row, as text."""
+        return F.struct(*[p.expr().cast("string").alias(p.name) for p in spec.partition])
 
     @staticmethod
-    def _touched(parts, spec: TableSpec) -> list[dict]:
-        return [{name: p[name] for name in spec.partition_columns} for p in parts or ()]
+    def _values(parts) -> list[tuple[str | None, ...]]:
+        return [tuple(p) for p in parts or ()]
 
     # ---- writes ----------------------------------------------------------
-    def _write(self, table: str, rows: DataFrame, spec: TableSpec) -> list[str]:
-        """Write ``rows`` into a folder of their own; returns the files."""
-        folder = f"{DATA}/{uuid.uuid4().hex}"
-        writer = sorted_for_write(with_partition_columns(rows.select(*spec.columns), spec), spec).write.mode("errorifexists")
+    def _write(self, table: str, rows: DataFrame, spec: TableSpec, now: Pointer) -> tuple[str, int]:
+        """Write ``rows`` into a folder of their own; returns its name and the rows in it."""
+        number = 1 + int(now.writes[-1].partition("-")[0]) if now.writes else 0
+        name, seen = f"{number:09d}-{uuid.uuid4().hex[:12]}", Observation()
+        laid = sorted_for_write(with_partition_columns(rows.select(*spec.columns), spec), spec, seen=seen)
+        writer = laid.write.mode("errorifexists")
         if spec.partition:
             writer = writer.partitionBy(*spec.partition_columns)
-        writer.parquet(f"{self.path(table)}/{folder}")
-        listed = self.spark.read.schema(spec.schema).option("recursiveFileLookup", "true").parquet(f"{self.path(table)}/{folder}")
-        return sorted(f"{folder}/{unquote(uri).split(f'/{folder}/', 1)[1]}" for uri in listed.inputFiles())
+        writer.parquet(f"{self.path(table)}/{DATA}/{WRITE}={name}")
+        return name, seen.get["rows"]
 
     def append(self, table: str, frame: DataFrame) -> WriteResult:
-        """Append rows; the count is read off the written files' footers.  An append that another writer
-        outruns is put on top of the newer version."""
+        """Append rows; they are counted by the tasks that write them.  An append that another writer
+        outruns is put on top."""
         started = time.perf_counter()
         spec = self.spec(table)
-        new = self._write(table, conform(frame, spec.schema), spec)
-        n = self._scan(table, new, Counter(map(_write_of, new))).count()
-        while True:
-            number, now = self._next_number(table), self.version(table)
-            if now.layout is not None and not n:
-                break
-            if self._publish(table, now, number, [*now.files, *new]):
+        rows, name, n = conform(frame, spec.schema), "", 1
+        while n:
+            now = self.pointer(table)
+            if now.writes and not partition_matches(now.layout, spec):
+                raise ValueError(f"{table} is laid out otherwise than declared: run create_all or relayout first")
+            if not name or now.writes and name <= now.writes[-1]:     # outrun: the write has to come after
+                name, n = self._write(table, rows, spec, now)
+                continue
+            try:
+                self._point(table, now, now.added(spec.layout(), name))
                 break
+            except ConcurrentWrite:
+                continue
         return WriteResult(n, 0, round(time.perf_counter() - started, 3))
 
     def batch_stats(self, frame: DataFrame, spec: TableSpec, *, identity_proven: bool = False) -> dict:
@@ -251,26 +274,24 @@ class TableStore:
         With ``identity_proven`` (a passed report already showed the identity is not null and unique)
         only rows and partitions are needed: a global aggregate with map-side partials, no shuffle of
         the keys."""
-        parts = [self._parts(spec)] if spec.partition else []
+        parts = [F.collect_set(self._part(spec)).alias("parts")] if spec.partition else [F.lit(None).alias("parts")]
         if identity_proven:
             row = frame.agg(F.count(F.lit(1)).alias("n"), *parts).first()
-            return {"rows": row["n"], "max_per_key": min(row["n"], 1), "null_keys": 0,
-                    "parts": self._touched(row["parts"], spec) if parts else []}
+            return {"rows": row["n"], "max_per_key": min(row["n"], 1), "null_keys": 0, "parts": self._values(row["parts"])}
         keys = list(spec.identity)
         null_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
-        of_key = [F.collect_set(F.struct(*[p.expr().cast("string").alias(p.name) for p in spec.partition])).alias("p")] if parts else []
+        of_key = [F.collect_set(self._part(spec)).alias("p")] if spec.partition else []
         row = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *of_key).agg(
             F.sum("n").alias("rows"), F.max("n").alias("max_per_key"), F.count_if(null_key).alias("null_keys"),
-            *([F.array_distinct(F.flatten(F.collect_set("p"))).alias("parts")] if parts else [])).first()
-        return {"rows": row["rows"] or 0, "max_per_key": row["max_per_key"] or 0, "null_keys": row["null_keys"],
-                "parts": self._touched(row["parts"], spec) if parts else []}
+            (F.array_distinct(F.flatten(F.collect_set("p"))) if of_key else F.lit(None)).alias("parts")).first()
+        return {"rows": row["rows"] or 0, "max_per_key": row["max_per_key"] or 0, "null_keys": row["null_keys"], "parts": self._values(row["parts"])}
 
     def upsert(self, table: str, frame: DataFrame, *, identity_proven: bool = False,
                before_commit: Callable[[], None] | None = None) -> WriteResult:
         """Keyed upsert, as a MERGE: a stored row whose key is in the batch takes the batch's values
         (nulls too), a batch row whose key is not stored is put in.  If a key is stored several times,
-        each of these rows takes the values.  ``rows_updated`` counts stored rows that change; rows that
-        stay equal are neither counted nor written, and a batch that changes nothing writes nothing.
+        each of these rows takes the values.  ``rows_updated`` counts stored rows that change; partitions
+        whose rows stay equal are not written, and a batch that changes nothing writes nothing.
 
         ``identity_proven``: the caller's passed quality report already showed the batch identity is
         not null and unique (skips that shuffle).  ``before_commit`` is called once the data is written.
@@ -279,7 +300,7 @@ class TableStore:
         spec = self.spec(table)
         if not spec.identity:
             raise ValueError(f"{table} has no identity columns; use append")
-        number, now = self._next_number(table), self.version(table)
+        now = self.pointer(table)
         src = conform(frame, spec.schema).persist()
         matched = None
         try:
@@ -292,59 +313,48 @@ class TableStore:
                 raise ValueError(f"upsert into {table}: duplicate identity keys in the batch")
             keys = list(spec.identity)
             others = [c for c in spec.columns if c not in keys]
-            determined = spec.partition and spec.identity_determines_partition
-            reached = self._touched_files(now, spec, stats["parts"] if determined else None)
+            by_partition = bool(spec.partition) and partition_matches(now.layout, spec)
+            reached = self._reached(table, now, stats["parts"] if spec.partition and spec.identity_determines_partition else None)
 
-            stored = self._scan(table, reached, now.written).select(*keys, F.struct(F.lit(True).alias("here"), *others).alias("_old"),
-                                                       F.col("_metadata.file_path").alias("_file") if reached else F.lit(None).cast("string").alias("_file"))
+            place = F.struct(*[F.col(p).cast("string").alias(p) for p in spec.partition_columns]) if by_partition else F.lit(None)
+            stored = reached.select(*keys, F.struct(F.lit(True).alias("here"), *others).alias("_old"), place.alias("_place"))
             differs = ~F.struct(F.lit(True).alias("here"), *others).eqNullSafe(F.col("_old"))
             matched = src.join(stored, keys, "left").select(
-                *spec.columns, F.col("_old").isNull().alias("_new"), (F.col("_old").isNotNull() & differs).alias("_changed"), "_file").persist()
+                *spec.columns, F.col("_old").isNull().alias("_new"), (F.col("_old").isNotNull() & differs).alias("_changed"), "_place").persist()
             counts = matched.agg(F.count_if("_new").alias("inserted"), F.count_if("_changed").alias("updated"),
-                                 F.collect_set(F.when(F.col("_changed"), F.col("_file"))).alias("files")).first()
+                                 F.collect_set(F.when(F.col("_changed"), F.col("_place"))).alias("anew")).first()
             if not counts["inserted"] and not counts["updated"]:
                 return WriteResult(0, 0, round(time.perf_counter() - started, 3))
 
-            rows = matched.where("_new").select(*spec.columns)
-            replaced = self._named(reached, counts["files"])
-            if replaced:
+            rows, to = matched.where("_new").select(*spec.columns), now
+            anew = self._values(counts["anew"]) if by_partition else []
+            if counts["updated"]:
                 given = src.select(*keys, F.struct(*others).alias("_given"), F.lit(True).alias("_hit"))
-                kept = self._scan(table, replaced, now.written).join(given, keys, "left")
+                kept = self._reached(table, now, anew if by_partition else None).join(given, keys, "left")
                 rows = rows.unionByName(kept.select(*keys, *[
                     F.when(F.col("_hit"), F.col(f"_given.{c}")).otherwise(F.col(c)).alias(c) for c in others]).select(*spec.columns))
-            files = self._write(table, rows, spec)
+                if not by_partition:
+                    to = Pointer(now.layout)         # the write holds the whole table
+            name, _ = self._write(table, rows, spec, now)
             if before_commit:
                 before_commit()
-            self._commit(table, now, number, [*(f for f in now.files if f not in set(replaced)), *files])
+            self._point(table, now, to.added(spec.layout(), name, anew))
             return WriteResult(counts["inserted"], counts["updated"], round(time.perf_counter() - started, 3))
         finally:
             src.unpersist()
             if matched is not None:
                 matched.unpersist()
 
-    def _named(self, files: Sequence[str], uris: Sequence[str]) -> list[str]:
-        """Those of ``files`` that Spark's file URIs name (a URI escapes once more what a path holds)."""
-        changed = {unquote(u).split(f"/{DATA}/", 1)[1] for u in uris} | {u.split(f"/{DATA}/", 1)[1] for u in uris}
-        found = [f for f in files if f.split("/", 1)[1] in changed]
-        if len(found) != len(set(uris)):
-            raise RuntimeError(f"changed files {sorted(uris)} are not all among the table's")
-        return found
-
     def relayout(self, table: str, partition: Sequence[str] | None = None,
                  sort: Sequence[str] | None = None) -> int:
-        """Rewrite a table under a new partition/sort layout; data and layout change in one version.
+        """Rewrite a table under a new partition/sort layout by one write; data and layout change together.
         Returns rows written."""
-        spec, number, now = self.spec(table), self._next_number(table), self.version(table)
+        spec, now = self.spec(table), self.pointer(table)
         if partition is not None or sort is not None:
             spec = spec.with_layout(
                 tuple(partition) if partition is not None else tuple(f"{p.transform}({p.source})" for p in spec.partition),
                 tuple(sort) if sort is not None else tuple(s.column for s in spec.sort))
-        files = self._write(table, self._scan(table, now.files, now.written), spec) if now.files else []
-        before = self.specs.get(spec.identifier)
+        name, n = self._write(table, self.scan(table, now), spec, now) if now.writes else ("", 0)
+        self._point(table, now, Pointer(spec.layout(), (name,) if n else ()))
         self.specs[spec.identifier] = spec
-        try:
-            self._commit(table, now, number, files)
-        except ConcurrentWrite:
-            self.specs[spec.identifier] = before
-            raise
-        return self._scan(table, files, Counter(map(_write_of, files))).count()
+        return n
