@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,9 @@ def run_counters(df: DataFrame, *, kept: Column | None = None, latest_of: Sequen
         aggs.append(F.count_if(kept).cast("long").alias("kept_rows"))
     aggs += [F.max(F.when(kept, F.col(c)) if kept is not None else F.col(c)).alias(f"latest_{c}") for c in latest_of]
     return df.agg(*aggs)
+
+
+def observed(seen: Observation, name: str) -> int:
+    """A count that was taken while a query ran; waits for its end.  0 if the query was found to have no
+    rows before it ran, which leaves nothing to observe."""
+    return seen.get[name] if seen._jo.getRow().length() else 0

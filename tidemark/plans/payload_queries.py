@@ -6,7 +6,7 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import no_bad_rows
@@ -588,3 +588,41 @@ def stablecoin_normalize(spark: SparkSession, sf_dir: str):
     caps = caps.select("date", F.col("x.coin").alias("coin"),
                        F.when(F.col("x.usd").isNotNull(), payload).otherwise(F.lit("{}")).alias("payload"))
     return finish(normalize.stablecoin_supply(caps, source_updated_at=SOURCE_UPDATED_AT))
+
+
+@register("page_chain", """
+WITH p AS (SELECT CAST(floor(event_id / 50) AS BIGINT) AS page_no, event_type, count(*) AS items FROM events GROUP BY 1, 2),
+c AS (SELECT event_type || ':' || CAST(page_no // 64 AS BIGINT) AS chain, * FROM p)
+SELECT chain, row_number() OVER (PARTITION BY chain ORDER BY page_no) - 1 AS position, page_no, items FROM c
+""")
+def page_chain(spark: SparkSession, sf_dir: str):
+    """Chains of up to 64 cursor pages, landed in no order: a page knows its own cursor and the next one;
+    places come from the cursors alone, and a lost page aborts."""
+    from tidemark.sources.chains import BrokenChain, ranked_pages
+    pages = landed.event_pages(load(spark, sf_dir, "events"), _event_item("event_id", "event_type", "value")).select("event_type", "page_no", "payload")
+    pages = pages.withColumn("chain", F.concat("event_type", F.lit(":"), F.expr("page_no div 64").cast("string")))
+    order = Window.partitionBy("chain").orderBy("page_no")       # 64 pages at most
+    cursor = lambda c: F.sha2(F.concat_ws(":", "event_type", c.cast("string")), 256)
+    chained = pages.select("chain", "page_no", F.size(F.from_json("payload", "array<struct<event_id:bigint>>")).cast("long").alias("items"),
+                           F.when(F.lag("page_no").over(order).isNotNull(), cursor(F.col("page_no"))).alias("token"),
+                           F.when(F.lead("page_no").over(order).isNotNull(), cursor(F.lead("page_no").over(order))).alias("next_token"))
+    chained = chained.repartition("token").persist()
+    try:
+        ranked_pages(chained.where("token IS NULL OR page_no <> 7"))
+        raise AssertionError("a lost page did not abort")
+    except BrokenChain:
+        pass
+    return ranked_pages(chained).select("chain", "position", "page_no", "items")
+
+
+@register("feed_malformed", NEWS_SQL.format(
+    summary="CASE WHEN event_type = 'error' THEN NULL ELSE props END",
+    published="date_trunc('second', ts)", where="AND CAST(floor(event_id / 50) AS BIGINT) % 5 = 0"))
+def feed_malformed(spark: SparkSession, sf_dir: str):
+    """Of five pages one is whole; in the others a tag is not closed, two are crossed, an end tag is alone,
+    or the end is lost: these have no items, not those before the fault."""
+    pages = _rss_pages(load(spark, sf_dir, "events"))
+    fault = F.element_at(F.array(*map(F.lit, ("<b>", "<i><b></i></b>", "</item>", ""))), (F.col("page_no") % 5).cast("int"))
+    spoilt = F.concat(F.expr(f"left(payload, length(payload) - {len(RSS_TAIL)})"), fault, F.when(F.col("page_no") % 5 < 4, F.lit(RSS_TAIL)).otherwise(F.lit("")))
+    pages = pages.withColumn("payload", F.when(F.col("page_no") % 5 == 0, F.col("payload")).otherwise(spoilt))
+    return finish(normalize.news_items(pages, xml="payload").select(*NEWS_COLUMNS))

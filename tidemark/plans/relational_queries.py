@@ -331,6 +331,22 @@ def hash_dedup_new(spark: SparkSession, sf_dir: str):
     return J.anti_by_hash(batch, stored)
 
 
+@register("hash_membership_new", """
+WITH h AS (SELECT doc_id, lang, sha256(lang || chr(10) || chr(10) || text) AS content_hash FROM documents),
+     firsts AS (SELECT content_hash, min(doc_id) AS doc_id FROM h GROUP BY 1)
+SELECT content_hash, doc_id FROM firsts WHERE content_hash NOT IN (SELECT content_hash FROM h WHERE lang IN ('de', 'fr'))
+""")
+def hash_membership_new(spark: SparkSession, sf_dir: str):
+    """The rows of the plain anti-join through membership filters: German and French documents were stored
+    by a write each, and only writes whose filter says maybe are read."""
+    from tidemark.plans.store_queries import append_news, news_store
+    items = document_items(spark, sf_dir)
+    store = news_store(spark, items.filter(F.col("lang") == "de"))
+    append_news(store, items.filter(F.col("lang") == "fr"))
+    batch = first_wins(items.select("content_hash", "doc_id"), "content_hash", ["doc_id"]).persist()
+    return store.unseen("raw.market_news_items", batch)
+
+
 # ---- F18 URL host, F26 redaction ---------------------------------------------------------------------
 
 @register("url_netloc", "SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS source_domain FROM pages")

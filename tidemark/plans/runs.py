@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import observed
 from tidemark.operators.dedup import first_wins
-from tidemark.operators.joins import anti_by_hash
 from tidemark.operators.windows import closed_bars, lookback_window, run_day_rows, since_filter, window_inclusive
 from tidemark.plans import normalize as N
 from tidemark.plans.jobs import JobRun, run_job, run_tables
@@ -100,18 +100,15 @@ def run_cot_positioning(store: TableStore, pages: DataFrame, *, run_date: date,
 
 def run_etf_flows(store: TableStore, pages: DataFrame, *, run_date: date, source_updated_at: datetime) -> JobRun:
     """All parsable days of the page; the trailing look-back is written."""
-    rows = N.etf_flows(pages, keep=("page",) if "page" in pages.columns else (),
-                       source_updated_at=source_updated_at).select(*ETF_FLOWS.columns)
-    days = rows.persist()
-    try:
-        available = days.count()
-        window = lookback_window(days, "date", run_date, source("etf_flows").lookback_days)
-        res = run_job(store, ETF_FLOWS.identifier, window, quality_checks(ETF_FLOWS))
-        res.metrics.update({"available_days": available, "written_days": res.metrics["rows"],
-                    "fetch_status": "ok" if available else "empty_source"})
-        return res
-    finally:
-        days.unpersist()
+    seen = Observation()
+    days = N.etf_flows(pages, keep=("page",) if "page" in pages.columns else (),
+                       source_updated_at=source_updated_at).select(*ETF_FLOWS.columns).observe(seen, F.count(F.lit(1)).alias("days"))
+    window = lookback_window(days, "date", run_date, source("etf_flows").lookback_days)
+    res = run_job(store, ETF_FLOWS.identifier, window, quality_checks(ETF_FLOWS))
+    available = observed(seen, "days")
+    res.metrics.update({"available_days": available, "written_days": res.metrics["rows"],
+                        "fetch_status": "ok" if available else "empty_source"})
+    return res
 
 
 def run_exchange_flows(store: TableStore, pages: DataFrame, *, since: date, until: date,
@@ -156,12 +153,11 @@ def run_market_news(store: TableStore, feed_pages: DataFrame, feeds: DataFrame,
                     bodies: DataFrame | None = None) -> JobRun:
     """Items of every feed, first occurrence per content hash (feed order, item
     order), minus stored hashes, then the optional landed bodies by URL."""
-    items = N.news_items(feed_pages, xml="payload", keep=("feed_pos",))
-    items = items.persist()
+    seen = Observation()
+    items = N.news_items(feed_pages, xml="payload", keep=("feed_pos",)).observe(seen, F.count(F.lit(1)).alias("items"))
+    firsts = first_wins(items, "content_hash", ["feed_pos", "item_pos"]).persist()
     try:
-        seen = items.count()
-        stored = store.read(MARKET_NEWS_ITEMS.identifier, columns=["content_hash"])
-        new = anti_by_hash(first_wins(items, "content_hash", ["feed_pos", "item_pos"]), stored)
+        new = store.unseen(MARKET_NEWS_ITEMS.identifier, firsts)
         feed_cols = feeds.select("feed_pos", "source_name", "source_type", "reliability_tier")
         new = new.join(F.broadcast(feed_cols), "feed_pos", "inner")
         if bodies is not None:
@@ -174,10 +170,10 @@ def run_market_news(store: TableStore, feed_pages: DataFrame, feeds: DataFrame,
             _ts(fetched_at).alias("fetched_at"), "title", F.col("summary").alias("summary_raw"), "content_raw",
             _ts(fetched_at).alias("source_updated_at"))
         res = run_job(store, MARKET_NEWS_ITEMS.identifier, rows, quality_checks(MARKET_NEWS_ITEMS))
-        res.metrics.update({"items_seen": seen, "items_written": res.metrics["rows"]})
+        res.metrics.update({"items_seen": observed(seen, "items"), "items_written": res.metrics["rows"]})
         return res
     finally:
-        items.unpersist()
+        firsts.unpersist()
 
 
 def run_onchain_metrics(store: TableStore, metric_pages: DataFrame, chart_pages: DataFrame, charts: DataFrame, *,
@@ -198,7 +194,8 @@ def run_onchain_metrics(store: TableStore, metric_pages: DataFrame, chart_pages:
 def run_sentiment_index(store: TableStore, fear_greed_pages: DataFrame, dvol_pages: DataFrame | None,
                         option_book: DataFrame | None, *, run_date: date, source_updated_at: datetime) -> JobRun:
     """Look-back fetch, but only the run day is written (three tables, separate gates)."""
-    fg = N.sentiment(fear_greed_pages, source_updated_at=source_updated_at)
+    seen = Observation()
+    fg = N.sentiment(fear_greed_pages, source_updated_at=source_updated_at).observe(seen, F.count(F.lit(1)).alias("days"))
     parts = [(SENTIMENT_INDEX.identifier, run_day_rows(fg, "date", run_date), quality_checks(SENTIMENT_INDEX),
               "quality")]
     if dvol_pages is not None:
@@ -210,5 +207,5 @@ def run_sentiment_index(store: TableStore, fear_greed_pages: DataFrame, dvol_pag
                                             _ts(source_updated_at).alias("source_updated_at"))
         parts.append((PUT_CALL.identifier, pc, quality_checks(PUT_CALL), "quality_put_call"))
     res = run_tables(store, parts)
-    res.metrics["available_days"] = fg.count()
+    res.metrics["available_days"] = observed(seen, "days")
     return res

@@ -283,8 +283,13 @@ def select_new_query(spark: SparkSession, sf_dir: str):
 def news_store(spark: SparkSession, items: DataFrame) -> TableStore:
     """Store document-derived news items (first per hash, so keys are unique) in
     ``raw.market_news_items``."""
-    from tidemark.operators.dedup import first_wins
     store = TableStore(spark, scratch_path(spark, "news"), {MARKET_NEWS_ITEMS.identifier: MARKET_NEWS_ITEMS})
+    append_news(store, items)
+    return store
+
+
+def append_news(store: TableStore, items: DataFrame) -> None:
+    from tidemark.operators.dedup import first_wins
     firsts = items.join(first_wins(items.select("content_hash", "doc_id"), "content_hash", ["doc_id"]), ["content_hash", "doc_id"], "left_semi")
     rows = firsts.select(
         F.col("lang").alias("source_url"), "content_hash", F.col("source").alias("source_name"),
@@ -294,4 +299,3 @@ def news_store(spark: SparkSession, items: DataFrame) -> TableStore:
         F.col("text").alias("summary_raw"), F.lit(None).cast("string").alias("content_raw"),
         F.lit(SOURCE_UPDATED_AT).cast("timestamp").alias("source_updated_at"))
     store.append(MARKET_NEWS_ITEMS.identifier, rows)
-    return store

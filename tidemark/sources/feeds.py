@@ -1,6 +1,7 @@
 """RSS 2.0 / Atom feeds -> news items, with ``from_xml`` and declared schemas.
 
-Malformed XML parses to a null struct (no rows), never an exception.  Feed kind
+A page that is not well formed has no items (``from_xml`` alone would give those before the fault), and
+is never an exception.  Feed kind
 is decided from the root start tag: the Atom namespace there means Atom,
 anything else is read as RSS.  Mixed landings are parsed once per page.
 """
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import trimmed_or_empty, url_netloc
 from tidemark.functions.time import rfc822_timestamp
+from tidemark.functions.xml import well_formed
 
 # The Atom namespace and the declared payload schemas.
 ATOM_NS = "http://www.w3.org/2005/Atom"
@@ -34,13 +36,18 @@ def is_atom(xml: Column) -> Column:
     return root_tag(xml).contains(ATOM_NS)
 
 
+def _sound(xml: str) -> Column:
+    """The page, null if it is not well formed."""
+    return F.when(well_formed(F.col(xml)), F.col(xml))
+
+
 def _items(df: DataFrame, keep: tuple[str, ...], node: Column) -> DataFrame:
     return df.select(*keep, F.posexplode(node).alias("item_pos", "it"))
 
 
 def rss_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Items of RSS feeds (under ``channel`` or the root); items without a link are dropped."""
-    parsed = F.from_xml(F.col(xml), RSS_SCHEMA, XML_OPTIONS)
+    parsed = F.from_xml(_sound(xml), RSS_SCHEMA, XML_OPTIONS)
     node = F.concat(F.coalesce(parsed.getField("channel").getField("item"), F.array()),
                     F.coalesce(parsed.getField("item"), F.array()))
     items = _items(df, keep, node)
@@ -57,7 +64,7 @@ def rss_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def atom_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Direct ``entry`` children; first ``link@href``; ``published`` else ``updated``."""
-    parsed = F.from_xml(F.col(xml), ATOM_SCHEMA, XML_OPTIONS)
+    parsed = F.from_xml(_sound(xml), ATOM_SCHEMA, XML_OPTIONS)
     items = _items(df, keep, parsed.getField("entry"))
     url = F.coalesce(F.get(F.col("it.link"), 0).getField("_href"), F.lit(""))
     published = F.coalesce(F.nullif(F.col("it.published"), F.lit("")), F.col("it.updated"))
@@ -79,7 +86,7 @@ def feed_items(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame
     """Items of RSS and Atom feeds in one pass: each page is parsed once with a
     schema covering both kinds, and its kind (Atom namespace on the root tag)
     picks which part becomes items.  RSS links are trimmed, Atom links are not."""
-    parsed = F.from_xml(F.col(xml), ANY_FEED_SCHEMA, XML_OPTIONS)
+    parsed = F.from_xml(_sound(xml), ANY_FEED_SCHEMA, XML_OPTIONS)
     atom = is_atom(F.col(xml))
     rss_nodes = F.concat(F.coalesce(parsed.getField("channel").getField("item"), F.array()),
                          F.coalesce(parsed.getField("item"), F.array()))

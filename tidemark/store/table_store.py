@@ -3,6 +3,7 @@
 Layout of a table's folder::
 
     data/write=<number>-<id>/<derived column>=<value>/.../part-*.parquet    one DataFrame write each
+    members/write=<number>-<id>/part-*.parquet                              membership filter of a write, if asked for
     _table.json                                                             what counts
 
 ``_table.json`` names the layout, the writes that count, and for each partition that was written anew
@@ -36,11 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import session as sess
+from tidemark.operators.aggregates import observed
+from tidemark.operators.bloom import key_bits, maybe_members, merged_bits
 from tidemark.operators.conform import conform
 from tidemark.spec import PartitionField, TableSpec, partition_matches, sort_matches
 from tidemark.tables import ALL_SPECS, resolve
 
-DATA, POINTER, WRITE = "data", "_table.json", "write"
+DATA, MEMBERS, POINTER, WRITE = "data", "members", "_table.json", "write"
 
 
 class ConcurrentWrite(RuntimeError):
@@ -151,22 +154,28 @@ class TableStore:
     def vacuum(self, table: str) -> int:
         """Remove the folders of writes that do not count; for when no writer and no reader of an older
         state is about.  Returns how many went."""
-        folder = f"{self.path(table)}/{DATA}"
         keep = {f"{WRITE}={w}" for w in self.pointer(table).writes}
-        return sum(sess.remove(self.spark, f"{folder}/{name}") for name in sess.file_names(self.spark, folder) if name not in keep)
+        folders = [f"{self.path(table)}/{kind}" for kind in (MEMBERS, DATA)]
+        gone = {f: [name for name in sess.file_names(self.spark, f) if name not in keep] for f in folders}
+        for folder, names in gone.items():
+            for name in names:
+                sess.remove(self.spark, f"{folder}/{name}")
+        return len(gone[folders[-1]])
 
     # ---- read ------------------------------------------------------------
-    def scan(self, table: str, now: Pointer | None = None) -> DataFrame:
-        """All rows that count, with the derived columns they are stored by; schemas are declared, never
-        inferred.  Filters on the derived columns become partition filters of the scan."""
+    def scan(self, table: str, now: Pointer | None = None, writes: Sequence[str] | None = None) -> DataFrame:
+        """All rows that count (of some writes only, if named), with the derived columns they are stored
+        by; schemas are declared, never inferred.  Filters on the derived columns become partition filters
+        of the scan."""
         spec, now = self.spec(table), self.pointer(table) if now is None else now
         stored = [PartitionField(source, transform) for source, transform, _ in (now.layout or spec.layout())["partition"]]
         schema = T.StructType([*spec.schema.fields, T.StructField(WRITE, T.StringType()), *(T.StructField(p.name, p.data_type(spec.schema)) for p in stored)])
         names = [p.name for p in stored]
-        if not now.writes:
+        asked = now.writes if writes is None else [w for w in now.writes if w in set(writes)]
+        if not asked:
             return self.spark.createDataFrame([], schema).drop(WRITE)
         folder = f"{self.path(table)}/{DATA}"
-        rows = self.spark.read.schema(schema).option("basePath", folder).parquet(*(f"{folder}/{WRITE}={w}" for w in now.writes))
+        rows = self.spark.read.schema(schema).option("basePath", folder).parquet(*(f"{folder}/{WRITE}={w}" for w in asked))
         for values, first in now.since:      # writes are numbered, so their names are in order
             rows = rows.where((F.col(WRITE) >= F.lit(first)) | ~among(names, [values]))
         return rows.drop(WRITE)
@@ -227,6 +236,25 @@ class TableStore:
             parts = self._values(batch.agg(F.collect_set(self._part(spec)).alias("parts")).first()["parts"])
         return self._reached(table, now, parts).select(*spec.identity)
 
+    def unseen(self, table: str, frame: DataFrame) -> DataFrame:
+        """Rows of ``frame`` whose value of the table's member column is not stored; a null counts as unseen.
+
+        The filters of all writes, merged, are asked first, then, for the values that pass, those of each
+        write; the stored values are read only of the writes that may hold one, and settle it.  ``frame``
+        is read several times: give a persisted or written one."""
+        spec, now = self.spec(table), self.pointer(table)
+        if not spec.member:
+            raise ValueError(f"{table} keeps no membership filter")
+        if not now.writes:
+            return frame
+        folder = f"{self.path(table)}/{MEMBERS}"
+        bits = self.spark.read.schema(f"bucket long, bits binary, {WRITE} string").option("basePath", folder).parquet(
+            *(f"{folder}/{WRITE}={w}" for w in now.writes))
+        any_write = maybe_members(frame, spec.member, merged_bits(bits.select("bucket", "bits")))
+        reached = maybe_members(any_write, spec.member, bits, by=(WRITE,)).select(WRITE).distinct().collect()   # writes at most
+        stored = self.scan(table, now, [r[WRITE] for r in reached]).select(spec.member)
+        return frame.join(stored, spec.member, "left_anti").select(*frame.columns) if reached else frame
+
     @staticmethod
     def _part(spec: TableSpec) -> Column:
         """The derived values of a row, as text."""
@@ -245,8 +273,13 @@ class TableStore:
         writer = laid.write.mode("errorifexists")
         if spec.partition:
             writer = writer.partitionBy(*spec.partition_columns)
-        writer.parquet(f"{self.path(table)}/{DATA}/{WRITE}={name}")
-        return name, seen.get["rows"]
+        folder = f"{self.path(table)}/{DATA}/{WRITE}={name}"
+        writer.parquet(folder)
+        n = observed(seen, "rows")
+        if spec.member and n:
+            held = self.spark.read.schema(T.StructType([spec.schema[spec.member]])).parquet(folder)
+            key_bits(held, spec.member).write.mode("errorifexists").parquet(f"{self.path(table)}/{MEMBERS}/{WRITE}={name}")
+        return name, n
 
     def append(self, table: str, frame: DataFrame) -> WriteResult:
         """Append rows; they are counted by the tasks that write them.  An append that another writer

@@ -3,6 +3,9 @@
 * closed bars: event-time windows with a watermark; append mode emits a bar only
   once the watermark has passed its end (the streaming form of the closed-bar
   filter), into a file sink (no driver-side collection).
+* late events: `reopened_bars` keeps the events and makes the bars again that a batch touches, so a bar is
+  right however late its events come.
+* dedup for good: `append_unseen` asks the stored table, not state that a watermark drops.
 * keyed upsert per micro-batch: ``foreachBatch`` calls the same idempotent
   ``TableStore.upsert``; a replayed batch after a failure rewrites the same rows,
   so the sink is effectively exactly-once.
@@ -13,11 +16,14 @@ resumes after the last committed batch.  ``MAX_FILES`` bounds a micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedup import first_wins
+from tidemark.spec import table_spec
 from tidemark.store import TableStore, WriteResult
 
 #: Files of one micro-batch.
@@ -95,3 +101,66 @@ def dedup_stream(items: DataFrame, *, key: str = "content_hash", ts: str = "publ
     its event time plus ``delay``; duplicates arriving within that span are dropped
     (bounded state, unlike an unbounded ``dropDuplicates``)."""
     return items.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
+def append_unseen(stream: DataFrame, store: TableStore, table: str, to_rows: Callable[[DataFrame], DataFrame],
+                  order: Sequence[str], checkpoint: str) -> list[WriteResult]:
+    """Stream items into a table that keeps each value of its member column once, for good: a batch's first
+    of each value (by ``order``) is appended if the table does not hold the value, however long ago it was
+    stored and by whomever.  Unlike state within a watermark, the memory is the table itself, asked through
+    its membership filters, so nothing is kept in the stream; a batch that is run again after a failure
+    finds its own rows stored.  ``to_rows`` gives the table's columns, and those of ``order``."""
+    spec, results = store.spec(table), []
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        firsts = first_wins(to_rows(batch), spec.member, list(order)).persist()
+        try:
+            results.append(store.append(table, store.unseen(table, firsts).select(*spec.columns)))
+        finally:
+            firsts.unpersist()
+
+    _finish(stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return results
+
+
+#: Events as they are kept for bars that may have to be made again, and the bars.
+EVENTS = table_spec("stream.events", {"event_id": int, "instrument": str, "ts": datetime, "v": float | None},
+                    identity=("event_id", "ts"), partition=("days(ts)",), sort=("ts", "event_id"))
+BARS = table_spec("stream.bars", {"instrument": str, "open_time": datetime, "close_time": datetime, "open": float | None, "high": float | None,
+                                  "low": float | None, "close": float | None, "volume": float | None, "number_of_trades": int},
+                  identity=("instrument", "open_time"), partition=("months(open_time)",), sort=("open_time", "instrument"))
+
+
+def bars_of(events: DataFrame, bar: str = "1 hour") -> DataFrame:
+    """OHLC bars of stored events."""
+    made = events.groupBy("instrument", F.window("ts", bar).alias("w")).agg(
+        F.min_by("v", "ts").alias("open"), F.max("v").alias("high"), F.min("v").alias("low"), F.max_by("v", "ts").alias("close"),
+        F.round(F.sum("v"), 2).alias("volume"), F.count(F.lit(1)).alias("number_of_trades"))
+    return made.select("instrument", F.col("w.start").alias("open_time"), (F.col("w.end") - F.expr("INTERVAL 1 MILLISECOND")).alias("close_time"),
+                       "open", "high", "low", "close", "volume", "number_of_trades")
+
+
+def reopened_bars(events: DataFrame, store: TableStore, checkpoint: str, bar: str = "1 hour") -> list[WriteResult]:
+    """Bars that late events change: each micro-batch ``(event_id, instrument, ts, v)`` is kept in ``EVENTS``,
+    and the bars that it touches, however old, are made again from all events kept for them and upserted.
+
+    Only the windows of the batch are read: its first and last time prune the days, its windows the rest.
+    A batch that is run again changes nothing."""
+    results: list[WriteResult] = []
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select(*EVENTS.columns).persist()
+        try:
+            store.upsert(EVENTS.identifier, batch)
+            touched = batch.select("instrument", F.window("ts", bar).alias("w")).distinct()
+            low, high = batch.agg(F.min(F.window("ts", bar)["start"]), F.max(F.window("ts", bar)["end"])).first()
+            if low is None:
+                return
+            kept = store.read_window(EVENTS.identifier, "ts", low, high, include_high=False).withColumn("w", F.window("ts", bar))
+            made = bars_of(kept.join(touched, ["instrument", "w"], "left_semi").drop("w"), bar)
+            results.append(store.upsert(BARS.identifier, made))
+        finally:
+            batch.unpersist()
+
+    _finish(events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return results

@@ -110,6 +110,7 @@ MARKET_NEWS_ITEMS = table_spec(
      "content_raw": str | None, "source_updated_at": datetime},
     identity=("content_hash",),
     sort=("published_at",),
+    member="content_hash",
 )
 
 ONCHAIN_METRICS = table_spec(
