@@ -103,3 +103,12 @@ def test_items_without_an_id_are_windows_too(spark, make):
     assert got == sorted(expected, key=lambda r: (r[0] is None, r[0] or 0))
     assert [r for r in got if r[0] == 6] == [(6, 25, 25, 0, none, True)] * 2
     assert not {6} & {r.doc_id for r in decontaminate(make(docs), bench).collect()}
+
+
+def test_blocks_are_not_stacked_in_one_plan(spark, make):
+    import tidemark.llm.decontaminate as d
+    docs, items = fixture()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(benchmark_blocks(bench, 150))) > 5
+    plan = d.scan(make(docs).select("doc_id", "text"), bench, block_bytes=150)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

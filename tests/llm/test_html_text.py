@@ -82,3 +82,38 @@ def test_hostile_pages_take_linear_time(model, source):
     began = time.process_time()
     main_text(source, model)
     assert time.process_time() - began < 5
+
+
+ARTICLE = ("<html><body><nav><a href='/'>Home</a></nav><article><h1>Title of it</h1><p>The first paragraph of the article has some words in it.</p>{}"
+           "<p>The last paragraph of the article has some words in it, too.</p></article><footer>&copy; all rights</footer></body></html>")
+
+
+@pytest.mark.parametrize("inside", ["<button>", "<video src=x>", "<select><option>", "<canvas>", "<audio>", "<svg>", "<iframe>", "<template>", "<object>", "<noscript>", "<math>"])
+def test_an_element_that_is_not_closed_swallows_nothing(model, inside):
+    text = main_text(ARTICLE.format(inside), model)
+    assert text.startswith("Title of it\n\nThe first paragraph") and text.endswith("some words in it, too.")
+
+
+def test_closed_ones_go_and_formulas_stay(model):
+    text = main_text(ARTICLE.format("<p>Where <math><mi>a</mi> = <mn>42</mn></math> holds, and <object data=x>a picture of it</object> shows.</p>"
+                                    "<svg><text>drawn</text></svg><button>press</button><textarea>typed</textarea>"), model)
+    assert "Where a = 42 holds, and a picture of it shows." in text
+    assert not any(w in text for w in ("drawn", "press", "typed"))
+    assert "press" not in main_text(ARTICLE.format("<textarea>press"), model)
+
+
+def test_many_open_elements_take_linear_time(model):
+    page = ARTICLE.format("<button><video><select>" * 40_000)
+    started = time.perf_counter()
+    assert main_text(page, model).endswith("too.")
+    assert time.perf_counter() - started < 20
+
+
+def test_an_article_within_noscript_is_read(model):
+    page = ARTICLE.format("").replace("<article>", "<noscript><article>").replace("</article>", "</article></noscript>")
+    assert "The first paragraph of the article" in main_text(page, model)
+
+
+def test_the_sample_of_repeated_pages_is_bounded(spark):
+    rows = [(1, "u", ARTICLE.format(""))] * 500 + [(2, "u", ARTICLE.format("<p>x</p>"))]
+    trained_model(spark.createDataFrame(rows, "page_id long, url string, html string"), bound=3)

@@ -82,3 +82,10 @@ def test_held_out_rows_are_never_learned_from(spark, docs):
 def test_segments():
     assert segments("Ab, c1d É!") == [b"ab", b"c", b"d", "é".encode()]
     assert [len(s) for s in segments("x" * 130)] == [64, 64, 2]
+
+
+def test_runs_are_cut_between_characters():
+    from tidemark.llm.language import MAX_SEGMENT, segments
+    for text in ("漢" * 100, "a" + "é" * 90, "x" * 200, "\U0001F600a" * 40):
+        pieces = segments(text)
+        assert "".join(p.decode() for p in pieces) == text and all(len(p) <= MAX_SEGMENT for p in pieces)

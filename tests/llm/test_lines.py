@@ -123,3 +123,12 @@ def test_equal_lines_of_any_length_and_near_lines_from_the_floor_on(make):
                 exact[doc, text].add(k)
             seen.add(line)
     assert got(L.repeated_lines(make(docs), min_exact=L.ANY_LINE)) == {key: sorted(exact[key] | set(long[key])) for key in long}
+
+
+def test_a_document_of_many_repeats_takes_time_by_its_lines():
+    import time
+    text = "\n".join(f"line {k // 2}" for k in range(200_000))
+    started = time.perf_counter()
+    kept = L._kept_lines(text, list(range(1, 200_000, 2)))
+    assert kept == "\n".join(f"line {k}" for k in range(100_000)) and time.perf_counter() - started < 10
+    assert L._kept_lines(None, []) is None and L._kept_lines("a\n\nb", [1]) == "a\nb"

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import time
 
@@ -89,3 +90,30 @@ def test_a_secret_goes_whole(make):
     token = "aB3-xY9z" * 800
     assert [(s["first"], s["end"]) for s in all_spans(f"token: {token}") if s["kind"] == "secret"] == [(7, 7 + len(token))]
     assert [r.text for r in redact(make([(1, f"token: {token} end")])).collect()] == ["token: <secret> end"]
+
+
+def test_overlapping_spans_are_redacted_as_one(make):
+    texts = {"token: 10.20.30.40ABCDEFsecret end": "token: <ip> end", "pay 4111 1111 1111 1111@x.co now": "pay <card> now",
+             "mail a.b@c.de, ip 10.0.0.1.": "mail <email>, ip <ip>."}
+    docs = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in redact(make(docs)).collect()}
+    assert [got[k] for k in range(len(docs))] == list(texts.values())
+
+
+def test_a_directory_of_many_lines_is_swept():
+    line = "tel 555-123-{0:04d} mail u{0}@example.org\n"
+    started = time.perf_counter()
+    spans = all_spans("".join(line.format(k % 10000) for k in range(60_000)))
+    assert time.perf_counter() - started < 30
+    assert sum(s["kind"] == "email" for s in spans) == 60_000 and sum(s["kind"] == "local_phone" for s in spans) == 60_000
+
+
+def test_local_phones_within_base_spans_go_as_by_comparing_all():
+    from tidemark.llm.personal import further_spans
+    rng = random.Random(6)
+    pieces = ["+49 555-123-4567", "555-123-4567", "(555) 123-4567@x.org", "tel", "10.20.30.40", " ", "4111 1111 1111 1111", "\n", "555-123-4567@a.de"]
+    for _ in range(300):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        base = base_spans(text)
+        lone = {(a, b) for a, b, kind in further_spans(text) if kind == "local_phone" and not any(x < b and a < y for x, y, _ in base)}
+        assert {(s["first"], s["end"]) for s in all_spans(text, threshold=0.0) if s["kind"] == "local_phone"} == lone

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bytewords import ALNUM, windows, words
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import map_batches, materialize
 
 WINDOW = 10
 #: Benchmark bytes in one broadcast block.
@@ -120,7 +120,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes
     names = base.columns
     at = names.index("text")
     out = base
+    held = None
     for number, block in enumerate(benchmark_blocks(benchmark, block_bytes)):
+        if held is not None:        # end the lineage: one block is held at a time, and one pass over the texts is run
+            out = materialize(out, "benchmark-block")
+            held.unpersist()
         held = spark.sparkContext.broadcast(Grams(block, width))
 
         def run(batches: Iterator[pa.RecordBatch], held=held, number=number) -> Iterator[pa.RecordBatch]:

@@ -36,9 +36,11 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 BLOCKS = frozenset("""html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
 nav header footer aside form fieldset blockquote pre figure figcaption address details summary center hr head""".split())
-#: Content that is never text of a page.
-SILENT = frozenset("script style title noscript template iframe object svg math canvas select textarea button audio video".split())
-_CLOSE_SILENT = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in SILENT}
+#: Content that is never text of a page: to its end tag, and without one to the page's end, as HTML reads it,
+RAW = frozenset("script style title textarea".split())
+#: and to its end tag, if there is one; without one only the start tag is left out.
+SKIPPED = frozenset("template iframe svg canvas select button audio video".split())
+_CLOSE_SILENT = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW | SKIPPED}
 _VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 #: A start tag closes an open element of these kinds (within the nearest of the last ones).
 CLOSES = {"li": (("li",), ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -82,6 +84,7 @@ class Page:
         stack, open_count = [0], {"html": 1}
         pieces: list[str] = []
         in_link = links = at = 0
+        unclosed: set[str] = set()
 
         def flush() -> None:
             nonlocal links
@@ -118,6 +121,8 @@ class Page:
             if closing:
                 if tag == "a":
                     in_link = max(0, in_link - 1)
+                elif tag == "noscript":
+                    flush()
                 elif tag in BLOCKS:
                     flush()
                     if open_count.get(tag) and tag != "html":
@@ -127,15 +132,22 @@ class Page:
                         pop_to(max(depth, 1))
                         in_link = 0
                 continue
-            if tag in SILENT:
-                if not attributes.endswith("/"):
+            if tag in _CLOSE_SILENT:
+                if not attributes.endswith("/") and tag not in unclosed:
                     found = _CLOSE_SILENT[tag].search(source, at)
-                    at = end if not found else found.start()
+                    if found:
+                        at = found.start()
+                    elif tag in RAW:
+                        at = end
+                    else:
+                        unclosed.add(tag)       # nor is any after it
                 pieces.append(" ")
             elif tag == "a":
                 in_link += not attributes.endswith("/")
             elif tag == "br":
                 pieces.append(" ")
+            elif tag == "noscript":         # what is in it is read as if it stood alone
+                flush()
             elif tag in BLOCKS:
                 flush()
                 if tag == "html":
@@ -356,8 +368,11 @@ def seed_pages(n: int = SEED_PAGES, seed: int = 23) -> list[str]:
 def trained_model(pages: DataFrame, bound: int = SAMPLE_PAGES) -> TreeModel:
     """A model of the made-up pages and at most ``bound`` of the table's pages that mark their article,
     those with the least hashes."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.length("html") <= SAMPLE_CHARS))
-    rows = marked.select("html", F.xxhash64("page_id", "html").alias("h")).orderBy("h").limit(bound).collect()
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.length("html") <= SAMPLE_CHARS)) \
+        .withColumn("h", F.xxhash64("page_id", "html"))
+    least = marked.select("h").distinct().orderBy("h").limit(bound)      # hashes alone are compared: `bound` rows
+    rows = marked.join(F.broadcast(least), "h", "left_semi").select("h", "html").dropDuplicates(["h"]).collect()
+    rows = sorted(rows, key=lambda r: r["h"])
     examples = []
     for source in seed_pages():
         page = Page(source)

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches
 
 MAX_SEGMENT = 64
-#: Documents of the training sample over all languages, characters read of each, and languages.
-SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGUAGES = 1200, 2000, 128
+#: Documents of the training sample over all languages, characters read of each, and languages (more than have a code).
+SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGUAGES = 1200, 2000, 8192
 HIDDEN, STEPS, BATCH, RATE = 16, 500, 256, 0.01
 CACHE_SEGMENTS = 400_000
 
@@ -31,13 +31,23 @@ _SPACED = bytes(b if chr(b).isalpha() or b >= 0x80 else 0x20 for b in range(256)
 
 
 def segments(text: str) -> list[bytes]:
-    """The runs of letters of a text, cut into pieces of at most ``MAX_SEGMENT`` bytes."""
+    """The runs of letters of a text, cut into pieces of at most ``MAX_SEGMENT`` bytes between characters."""
     found = text.lower().encode("utf-8", "replace").translate(_SPACED).split()
     if any(len(s) > MAX_SEGMENT for s in found):
-        found = [s[k:k + MAX_SEGMENT] for s in found for k in range(0, len(s), MAX_SEGMENT)]
+        found = [piece for s in found for piece in _pieces(s)]
     return found
 
 
+def _pieces(run: bytes) -> Iterator[bytes]:
+    first = 0
+    while first < len(run):
+        last = min(first + MAX_SEGMENT, len(run))
+        while last < len(run) and run[last] & 0xC0 == 0x80:     # inside a character
+            last -= 1
+        yield run[first:last]
+        first = last
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 

@@ -10,6 +10,7 @@ run in time linear in the text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -126,6 +127,17 @@ def context_score(text: str, start: int, end: int, kind: str) -> float:
     return round(min(1.0, max(0.0, PRIOR[kind] + RAISE * (not near.isdisjoint(for_it)) - LOWER * (not near.isdisjoint(against)))), 4)
 
 
+def joined_spans(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Spans in order with overlapping ones made one, of the first one's kind."""
+    out: list[tuple[int, int, str]] = []
+    for a, b, kind in spans:
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2])
+        else:
+            out.append((a, b, kind))
+    return out
+
+
 def all_spans(text: str | None, threshold: float = THRESHOLD) -> list[dict]:
     """Every span that stays: the base ones, and further ones with a score of ``threshold`` or more
     that no base span overlaps."""
@@ -133,9 +145,14 @@ def all_spans(text: str | None, threshold: float = THRESHOLD) -> list[dict]:
         return []
     base = base_spans(text)
     out = [(a, b, kind, context_score(text, a, b, kind)) for a, b, kind in base]
+    taken = joined_spans(base)
+    starts = [a for a, _, _ in taken]
     for a, b, kind in further_spans(text):
         score = context_score(text, a, b, kind)
-        if score >= threshold and not (kind == "local_phone" and any(x < b and a < y for x, y, _ in base)):
+        if score < threshold:
+            continue
+        before = bisect_left(starts, b) - 1         # the last taken stretch that begins before the span's end
+        if kind != "local_phone" or before < 0 or taken[before][1] <= a:
             out.append((a, b, kind, score))
     out.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return [{"kind": kind, "first": a, "end": b, "score": score} for a, b, kind, score in out]
@@ -166,8 +183,8 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
 
 def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with every span's text replaced by its kind in angle brackets (of overlapping spans
-    the first)."""
+    """``docs`` with every span's text replaced by its kind in angle brackets; spans that overlap go as one,
+    from the first one's start to the last one's end, by the first one's kind."""
     names = docs.columns
     at = names.index("text")
 
@@ -176,10 +193,9 @@ def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             texts = []
             for t in batch.column(at).to_pylist():
                 done, parts = 0, []
-                for s in all_spans(t, threshold):
-                    if s["first"] >= done:
-                        parts += [t[done:s["first"]], f"<{s['kind']}>"]
-                        done = s["end"]
+                for a, b, kind in joined_spans([(s["first"], s["end"], s["kind"]) for s in all_spans(t, threshold)]):
+                    parts += [t[done:a], f"<{kind}>"]
+                    done = b
                 texts.append(t if t is None else "".join(parts) + t[done:])
             columns = list(batch.columns)
             columns[at] = pa.array(texts, pa.string())
