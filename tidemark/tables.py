@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.quality import expression, from_spec, in_range
 from tidemark.spec import TableSpec, table_spec
 
+# Names, columns and types, identities, partitions and sort orders of the stored tables.
+
 CANDLES = table_spec(
     "raw.candles",
     {"instrument": str, "counterpart": str, "interval": str, "open_time": datetime, "close_time": datetime,
@@ -169,7 +171,7 @@ def resolve(identifier: str, registry: dict[str, TableSpec] | None = None) -> Ta
         raise KeyError(f"unknown table {identifier!r}; known: {sorted(registry)}") from None
 
 
-# ---- per-table quality rules -------------------------------------------------
+# ---- per-table quality rules: fixed names and bounds --------------------------
 
 def candle_checks(spec: TableSpec = CANDLES) -> list:
     c = F.col
