@@ -59,7 +59,7 @@ def test_run_etf_and_sentiment(spark, store_root):
     assert res.metrics["deribit_put_call_rows_affected"] == 1 and res.metrics["available_days"] == 7
     assert res.metrics["quality_dvol_checks_total"] == 2 and res.metrics["quality_put_call_checks_total"] == 2
     assert [r.dvol for r in store.read("raw.deribit_dvol").collect()] == [34.0]
-    assert [r.put_call_ratio for r in store.read("raw.deribit_put_call").collect()] == [0.5]
+    assert [r.put_call_ratio for r in store.read("raw.deribit_put_call").collect()] == [(317.5 + 84.0) / 1270.0]
 
 
 def test_run_market_metrics_and_stablecoins(spark, store_root):
