@@ -1,7 +1,9 @@
 """Scalar functions against Python's own rules."""
 
 import hashlib
+import random
 from datetime import datetime, timezone
+from email.utils import parsedate_to_datetime
 from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
@@ -29,6 +31,39 @@ def test_rfc822(spark):
     assert got[:4] == [datetime(2024, 6, 1, 12)] * 4 and got[4:] == [None, None, None]
 
 
+def test_rfc822_comments_years_and_zones(spark):
+    noon = datetime(2024, 6, 1, 12)
+    good = ["Sat, 01 Jun 2024 12:00:00 +0000 (UTC)", "Sat (week (22)), 1 June (sic) 24 08:00 EDT", "Saturday, 01-Jun-24 07:00:00 EST",
+            "1 JUN 2024 12:00 UT", "Sat Jun  1 12:00:00 2024", "Jun 1, 2024 04:00:00 PST", " Sat,1 Jun 2024 17:30:00+0530 ",
+            "1 Jun 2024 12:00:00 Q", "1 Jun 2024 12:00", "1 Jun 2024 12:00 GMT (a \\) b", "Sat, 1 Jun. 2024 12.00.00 Z", "1 Jun 2024 00:00:00 -1200"]
+    bad = ["1 Juni 2024 12:00:00 Z", "31 Feb 2024 12:00:00 Z", "1 Jun 2024 24:00:00 Z", "1 Jun 2024 12:00:60 Z", "1 Jun 2024", "1 Jun 2024 12:00 +2400",
+           "(1 Jun 2024 12:00", "()", "1|2|3|4|5|6|7|8", "1 Jun 124 12:00:00 Z", "1 Jun 2024 12:00 Z tail"]
+    years = ["1 Jan 68 00:00 Z", "1 Jan 69 00:00 Z", "29 Feb 00 00:00 Z"]
+    got = _eval(spark, TM.rfc822_timestamp(F.col("t")), [(t,) for t in good + bad + years], "t string")
+    assert dict(zip(good, got)) == dict.fromkeys(good, noon)
+    assert dict(zip(bad, got[len(good):])) == dict.fromkeys(bad)
+    assert got[-3:] == [datetime(2068, 1, 1), datetime(1969, 1, 1), datetime(2000, 2, 29)]
+
+
+def test_rfc822_as_the_mail_library_reads_it(spark):
+    rng = random.Random(8)
+    zones = ["+0000", "-0330", "+1345", "GMT", "UT", "EST", "EDT", "CST", "CDT", "MST", "MDT", "PST", "PDT", "AST", "ADT", "XYZ", "z", "", "+2500", "-0000"]
+    months = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec January june SEPTEMBER Foo".split()
+    texts = [f"{rng.choice(['Mon, ', 'tue ', '', 'Friday, '])}{rng.randint(1, 31)} {rng.choice(months)} {rng.choice([1994, 2024, 68, 69, 24])} "
+             f"{rng.randint(0, 24)}:{rng.randint(0, 60):02}{rng.choice(['', f':{rng.randint(0, 60):02}'])} {rng.choice(zones)}{rng.choice(['', ' (note)'])}"
+             for _ in range(400)]
+
+    def read(text):
+        try:
+            at = parsedate_to_datetime(text)
+        except ValueError:
+            return None
+        return (at if at.tzinfo is None else at.astimezone(timezone.utc)).replace(tzinfo=None)
+
+    got = _eval(spark, TM.rfc822_timestamp(F.col("t")), [(t,) for t in texts], "t string")
+    assert dict(zip(texts, got)) == {t: read(t) for t in texts}
+
+
 def test_dates(spark):
     rows = [("2024-06-01T23:30:00-05:00",)]
     assert _eval(spark, TM.iso_to_utc_date(F.col("t")), rows, "t string")[0].isoformat() == "2024-06-02"

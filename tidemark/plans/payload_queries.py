@@ -468,14 +468,22 @@ def _atom_free_rss_item():
 
 
 @register("rfc822_parse", """
-SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS published_at
+SELECT event_id, CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN NULL WHEN event_type = 'error' AND event_id % 4 = 1 THEN date_trunc('minute', ts)
+       ELSE date_trunc('second', ts) END AS published_at
 FROM events
 """)
 def rfc822_parse(spark: SparkSession, sf_dir: str):
-    """RFC-822 with/without weekday, numeric offsets and zone names, ISO fallback, garbage -> null."""
+    """RFC-822 with/without weekday, numeric offsets, the zone table, comments, two-digit years, no seconds,
+    the C library's order, ISO fallback, garbage -> null."""
     from tidemark.functions.time import rfc822_timestamp
     events = load(spark, sf_dir, "events")
     ts = landed.utc("ts")
+    at = (F.pmod(F.shiftright("event_id", 2), F.lit(4)) + 1).cast("int")
+    zone, hours = (F.element_at(F.array(*map(F.lit, values)), at) for values in (("PDT", "EST", "MDT", "UT"), (7, 5, 6, 0)))
+    zoned = F.concat(F.date_format(ts - F.make_dt_interval(hours=hours), "EEEE, dd-MMM-yy HH:mm:ss"), F.lit(" "), zone, F.lit(" (zone (by name))"))
+    kind = F.pmod("event_id", F.lit(4))
+    odd = (F.when(kind == 0, "not a date").when(kind == 1, F.date_format(ts, "'(no seconds) 'd MMMM yyyy HH:mm"))
+           .when(kind == 2, zoned).otherwise(F.date_format(ts, "EEE MMM d HH:mm:ss yyyy")))
     text = (F.when(F.col("event_type") == "click",
                    F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
             .when(F.col("event_type") == "view", F.concat(F.date_format(ts, "dd MMM yyyy HH:mm:ss"), F.lit(" GMT")))
@@ -483,7 +491,7 @@ def rfc822_parse(spark: SparkSession, sf_dir: str):
                   F.concat(F.date_format(ts - F.expr("INTERVAL 5 HOURS"), "EEE, d MMM yyyy HH:mm:ss"),
                            F.lit(" -0500")))
             .when(F.col("event_type") == "signup", F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
-            .otherwise(F.lit("not a date")))
+            .otherwise(odd))
     return finish(events.select("event_id", rfc822_timestamp(text).alias("published_at")))
 
 
