@@ -2,9 +2,10 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import words
-from tidemark.llm.quality import (COUNTS, IsolationForest, bounded_sample, calibrated_threshold, judged, keep_good, text_counts)
+from tidemark.llm.quality import (COUNTS, IsolationForest, allowances, bounded_sample, calibrated_threshold, judged, keep_good, ratios, text_counts)
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -66,6 +67,31 @@ def test_junk_goes_and_prose_stays(spark, make):
     assert {r.doc_id for r in stay.collect()} == {k for k in kept if kept[k]}
 
 
+def test_other_kinds_of_junk_go_on_held_out_rows(spark, make):
+    """Junk in word length and repeated lines alone; the labels cover every second document."""
+    rng, docs = random.Random(6), []
+    for k in range(400):
+        w = words(rng.randint(40, 90), 5000 + k, 2000)
+        if k % 8 == 3:
+            w = ["".join(rng.choice("ABCDabcdefgh0123") for _ in range(40)).lower() for _ in w]
+        elif k % 8 == 5:
+            w = [x[0] for x in w]
+        text = " ".join(w)
+        docs.append((k, "\n".join(" ".join(w[i:i + 6]) for i in range(0, len(w), 6)) + "\nread more" * 30 if k % 8 == 7 else text))
+    marks = spark.createDataFrame([(k, 0 if k % 8 in (3, 5, 7) else 1, 0) for k, _ in docs if k // 8 % 2], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in judged(make(docs), marks).collect()}
+    held = [k for k in kept if not k // 8 % 2]
+    assert not any(kept[k] for k in held if k % 8 in (3, 5, 7))
+    assert all(kept[k] for k in held if k % 8 not in (3, 5, 7))
+
+
+def test_allowances():
+    shown = ratios(np.array([text_counts(" ".join(words(60, k))) for k in range(300)]))
+    allowed = allowances(shown)
+    assert (shown <= allowed).all() and allowed[0] == 0.1 and allowed[4] > shown[:, 4].max()
+    assert np.isinf(allowances(shown[:0])).all()
+
+
 def test_without_labels_the_fixed_rules_decide(spark, make, odd, clashing):
     docs, _ = corpus(60)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -73,7 +99,8 @@ def test_without_labels_the_fixed_rules_decide(spark, make, odd, clashing):
     for frame in (odd, clashing(odd)):
         for r in judged(frame, none).collect():
             assert r.kept == (not r.base_failed) and r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
-        assert keep_good(frame, none).columns == frame.columns
+        taken = frame.withColumn("counts", F.lit(1)).withColumn("Counts_", F.lit("x"))
+        assert sorted(keep_good(taken, none).collect(), key=str) == sorted((r for r in taken.collect() if len(W.findall(r.text or "")) >= 20 and r.doc_id != 8), key=str)
     assert judged(make([]), none).collect() == [] == keep_good(make([]), none).collect()
 
 

@@ -1,9 +1,10 @@
 """Quality rules judged by an isolation forest.
 
-`rule_statistics` counts, per document, what the rules look at.  `IsolationForest` is grown on a
-bounded sample of their ratios; `calibrated_threshold` reads the score beyond which a document is
-anomalous off the labelled rows: the lowest one at which at most a stated share of the labelled good
-documents is lost.  Two fixed rules (too short, too repetitive) stand beside the forest's verdict.
+`rule_statistics` counts, per document, what the rules look at: symbols, capitals, marks, doubled words,
+the length of words, repeated lines and runs of words.  `allowances` reads off the labelled good rows how far
+their ratios go; `IsolationForest` is grown on a bounded sample of what goes further, and
+`calibrated_threshold` reads the score beyond which a document is anomalous off the labelled rows: the lowest
+one at which at most a stated share of the labelled good documents is lost.  Two fixed rules (too short, too repetitive) stand beside the forest's verdict.
 """
 
 from __future__ import annotations
@@ -26,11 +27,15 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 
 #: Counts per document.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marked", "n_stutter")
-#: Rule statistics that the forest sees: by how much a ratio exceeds what the rule allows (nothing
-#: in ordinary prose), so none depends on a document's length as such.  Repetition is left to the
-#: fixed rule: good documents repeat a line now and then, so it says little there.
-RATIOS = ("symbols_per_word", "upper_share", "marked_share", "stutter_share")
-ALLOWED = {"symbols_per_word": 0.1, "upper_share": 0.3, "marked_share": 0.1, "stutter_share": 0.1}
+#: Rule statistics that the forest sees, none of which depends on a document's length as such: the count, the
+#: count that it is divided by, and its sign (-1: low values are the odd ones).
+RATIOS = {"symbols_per_word": ("n_symbols", "n_words", 1), "upper_share": ("n_upper", "n_letters", 1), "marked_share": ("n_marked", "n_words", 1),
+          "stutter_share": ("n_stutter", "n_words", 1), "long_words": ("word_chars", "n_words", 1), "short_words": ("word_chars", "n_words", -1),
+          "dup_line_share": ("n_dup_lines", "n_lines", 1), "repeat_share": ("n_repeat_words", "n_words", 1)}
+#: What a ratio may reach whatever the labelled good documents show (a single mark is no sign of junk), and
+#: how far beyond theirs it may go, as a part of the way from their median to their upper end.
+AT_LEAST = {"symbols_per_word": 0.1, "upper_share": 0.3, "marked_share": 0.1, "stutter_share": 0.1}
+SLACK = 0.5
 
 _CAPITALS, _SMALL = bytes(range(0x41, 0x5B)), bytes([*range(0x61, 0x7B), *range(0x80, 0x100)])
 _MARKED = [bytes([mark, space]) for mark in b"#*$%&|<>!" for space in b" \n"]
@@ -109,9 +114,16 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 def ratios(counts: np.ndarray) -> np.ndarray:
     """``RATIOS`` from rows of ``COUNTS``."""
     c = dict(zip(COUNTS, np.asarray(counts, float).reshape(-1, len(COUNTS)).T))
-    parts = {"symbols_per_word": ("n_symbols", "n_words"), "upper_share": ("n_upper", "n_letters"), "marked_share": ("n_marked", "n_words"),
-             "stutter_share": ("n_stutter", "n_words")}
-    return np.stack([np.maximum(c[a] / np.maximum(c[b], 1) - ALLOWED[name], 0) for name, (a, b) in parts.items()], 1)
+    return np.stack([sign * c[a] / np.maximum(c[b], 1) for a, b, sign in RATIOS.values()], 1)
+
+
+def allowances(good: np.ndarray, loss: float = GOOD_LOSS) -> np.ndarray:
+    """How far each ratio may go, read off labelled good documents: the value that ``loss`` of them, shared
+    among the ratios, go beyond, and ``SLACK``.  Without any, everything is allowed."""
+    if not len(good):
+        return np.full(len(RATIOS), np.inf)
+    upper = np.quantile(good, 1 - loss / len(RATIOS), axis=0, method="higher")
+    return np.maximum(upper + SLACK * (upper - np.median(good, 0)), [AT_LEAST.get(name, -np.inf) for name in RATIOS])
 
 
 class IsolationForest:
@@ -186,7 +198,9 @@ def calibrated_threshold(good: np.ndarray, bad: np.ndarray, loss: float = GOOD_L
 
 
 class Rules(NamedTuple):
-    """The fixed rules, the forest, and the score beyond which a document is anomalous."""
+    """The fixed rules, how far ratios may go, the forest of what goes further, and the score beyond which a
+    document is anomalous."""
+    allowed: np.ndarray
     forest: IsolationForest
     threshold: float
 
@@ -194,7 +208,7 @@ class Rules(NamedTuple):
         """``(base_failed, score, kept)`` of rows of ``COUNTS``."""
         words, repeats = (counts[:, COUNTS.index(c)] for c in ("n_words", "n_repeat_words"))
         failed = (words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words)
-        score = self.forest.score(ratios(counts))
+        score = self.forest.score(np.maximum(ratios(counts) - self.allowed, 0))
         return failed, score, ~failed & (score <= self.threshold)
 
 
@@ -207,14 +221,15 @@ def fitted_rules(stats: DataFrame, labels: DataFrame) -> Rules:
     """
     seen = stats.where((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= MAX_REPEAT_PERCENT * F.col("n_words")))
     matrix = lambda rows: ratios(np.array([[r[c] for c in COUNTS] for r in rows], float).reshape(-1, len(COUNTS)))
-    forest = IsolationForest(matrix(bounded_sample(seen, "doc_id", POOL).collect()))
     marks = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.min("quality").alias("quality"))
     known = bounded_sample(marks, "doc_id", LABELLED)
     marked = seen.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).collect()  # LABELLED rows at most
-    quality = np.array([r["quality"] for r in marked], int)
-    scores = forest.score(matrix(marked))
-    return Rules(forest, calibrated_threshold(scores[quality == 1], scores[quality == 0]))
+    quality, shown = np.array([r["quality"] for r in marked], int), matrix(marked)
+    allowed = allowances(shown[quality == 1])
+    forest = IsolationForest(np.maximum(matrix(bounded_sample(seen, "doc_id", POOL).collect()) - allowed, 0))
+    scores = forest.score(np.maximum(shown - allowed, 0))
+    return Rules(allowed, forest, calibrated_threshold(scores[quality == 1], scores[quality == 0]))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -238,16 +253,26 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the rules reject; texts are counted again where they are, so no row
-    is moved for it."""
-    stats = materialize(rule_statistics(docs), "quality-statistics")
-    held = docs.sparkSession.sparkContext.broadcast(fitted_rules(stats, labels))
+    """``docs`` without the rows that the rules reject.  Texts are counted once: the counts are written beside
+    the rows, the rules fitted to them, and the rows judged where they are."""
+    name = next(n for n in ("counts" + "_" * k for k in range(len(docs.columns) + 1)) if n.lower() not in {c.lower() for c in docs.columns})
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))])
     at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = pa.array([text_counts(t.as_py()) for t in batch.column(at)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=schema.fieldNames())
+
+    counted = materialize(map_batches(docs, count, schema), "quality-counted")
+    stats = counted.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(name)[k].alias(c) for k, c in enumerate(COUNTS)))
+    held = docs.sparkSession.sparkContext.broadcast(fitted_rules(stats, labels))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = held.value
         for batch in batches:
-            counts = np.array([text_counts(t.as_py()) for t in batch.column(at)], np.int64).reshape(-1, len(COUNTS))
-            yield batch.filter(pa.array(rules.verdicts(counts)[2]))
+            counts = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(COUNTS))
+            kept = batch.select(range(batch.num_columns - 1))
+            yield kept.filter(pa.array(rules.verdicts(counts)[2]))
 
-    return map_batches(docs, run, docs.schema)
+    return map_batches(counted, judge, docs.schema)
