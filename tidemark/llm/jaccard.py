@@ -5,7 +5,9 @@ similarity reaches the threshold must share one of their first ``s - ceil(t * s)
 *every* global order of tokens.  The first order puts tokens that are rare in the corpus first (by
 counts in a sketch over all documents), so a prefix seldom holds a common token; pairs
 that share a prefix token there, at places that leave enough tokens for the overlap, must also share
-a prefix token under the other orders and pass a parity bitmap before their sets are compared.
+a prefix token under the other orders and pass a parity bitmap before their sets are compared.  The second order
+breaks ties among equally rare tokens otherwise, the third is a hash of the token whatever its count: a pair that
+shares rare tokens by chance seldom shares a prefix there.
 
 Equal sets are one class from the start.  A token's classes are first linked to one pivot, the class
 that has the token earliest; only classes that this leaves outside the pivot's component are joined
@@ -140,9 +142,12 @@ def commonness(sizes: DataFrame, bits: int) -> np.ndarray:
 
 
 def _ordered(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
-    """Sorted ranks of the tokens under a global order: rare ones first, then by a hash of the order."""
+    """Sorted ranks of the tokens under a global order: rare ones first, then by a hash of the order; from the
+    third order on by a hash alone, which has nothing in common with the first two."""
     level = levels[_slot(tokens, levels)].astype(np.uint64)
-    tie = tokens if order == 0 else mix(tokens ^ np.uint64(order * 0x5851F42D4C957F2D))
+    tie = tokens if order == 0 else mix(tokens ^ np.uint64(order * 0x5851F42D4C957F2D & 0xFFFFFFFFFFFFFFFF))
+    if order > 1:
+        return np.sort(tie)
     return np.sort(level << np.uint64(58) | tie >> np.uint64(6))
 
 
@@ -240,7 +245,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n_gram: int, p
     return materialize(map_batches(rows, compare, "u long, v long").distinct(), f"{purpose}-links")
 
 
-def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders: int = 2) -> DataFrame:
+def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders: int = 3) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every document.
 
     Words are maximal runs of all but ASCII white space, A-Z lower-cased.  A document of fewer words
@@ -307,7 +312,7 @@ def jaccard_components(documents: DataFrame, n_gram: int = 3, percent: int = 90,
     return linked.unionByName(alone)
 
 
-def one_of_each(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders: int = 2) -> DataFrame:
+def one_of_each(documents: DataFrame, n_gram: int = 3, percent: int = 90, orders: int = 3) -> DataFrame:
     """``documents`` with one document of each component: that with its smallest doc_id.
 
     Rows that share a doc_id stay or go together, and stay if any of them would; so do rows without
