@@ -1,9 +1,10 @@
+import gzip
 import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.warc import START, audit, damaged, fixity_report, manifest, read_warc, trees, warc_records, write_warc
+from tidemark.llm.warc import START, VERSION, audit, audit_folders, cut_records, damaged, fixity_report, manifest, read_warc, trees, warc_records, write_warc
 from tidemark.session import scratch_path
 
 
@@ -65,3 +66,61 @@ def test_report(spark, pages, clashing):
         expected = "missing" if r.place not in after else "ok" if after[r.place] == r.record else "changed"
         assert next(x.status for x in rows if x.place == r.place) == expected
     assert fixity_report(pages.limit(0), scratch_path(spark, "test-warc")).collect() == []
+
+
+def member(version, fields, body, length=None, tail=b"\r\n\r\n"):
+    lines = [f"WARC/{version}", *fields, f"Content-Length: {len(body) if length is None else length}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + tail
+
+
+INNER = member("1.0", ["WARC-Type: response", "WARC-Record-ID: <urn:x:inner>"], b"inner")
+STANDARD = [
+    member("1.0", ["WARC-Type: warcinfo", "WARC-Record-ID: <urn:x:0>"], b"software: test\r\n"),
+    member("1.1", ["WARC-Record-ID: <urn:x:1>", "WARC-Date: 2024-01-01T00:00:00Z", "WARC-Target-URI: http://x/WARC/1.0"], b"a WARC/1.0\r\nb"),
+    member("1.0", ["WARC-Type: resource", "WARC-Record-ID: <urn:x:2>"], INNER + INNER),
+    member("1.0", ["WARC-Record-ID: <urn:x:3>"], b"short", length=9),
+    member("1.0", ["WARC-Record-ID: <urn:x:4>"], b"long", length=10 ** 7),
+    member("1.0", ["warc-record-id: <urn:x:5>"], b"\xff\xfe no text"),
+    member("1.0", ["WARC-Record-ID: <urn:x:6>"], b"", tail=b""),
+]
+
+
+def test_records_are_cut_by_their_length():
+    whole = b"".join(STANDARD)
+    cut = list(cut_records(iter(whole.split(VERSION))))
+    assert [whole[first:end] for first, end, _, _ in cut] == STANDARD
+    assert [complete for *_, complete in cut] == [True, True, True, False, False, True, True]
+    assert [r for _, _, r, c in cut if c][2].endswith(INNER + INNER)
+    assert list(cut_records(iter([]))) == list(cut_records(iter([b"no archive"]))) == []
+
+
+def test_standard_archives_in_two_folders(spark, tmp_path):
+    folders = [tmp_path / "a", tmp_path / "b"]
+    for folder in folders:
+        folder.mkdir()
+    (folders[0] / "one.warc.gz").write_bytes(b"".join(map(gzip.compress, STANDARD)))        # a member for each record
+    (folders[0] / "two.warc.gz").write_bytes(gzip.compress(b"".join(member("1.0", [f"WARC-Record-ID: <urn:y:{k}>"], b"y" * k) for k in range(500))))
+    (folders[0] / "notes.txt").write_text("no archive")
+    rows = read_warc(spark, str(folders[0])).collect()
+    assert len(rows) == 507 and len({r.place for r in rows}) == 507 and {r.page_id for r in rows} == {None}
+    assert {r.record_id for r in rows if not r.complete} == {"<urn:x:3>", "<urn:x:4>"}
+    whole = b"".join(STANDARD)
+    assert sorted(whole[r["first"]:r.end] for r in rows if r.file == "one.warc.gz") == sorted(STANDARD)
+    assert next(r.url for r in rows if r.record_id == "<urn:x:1>") == "http://x/WARC/1.0"
+
+    other = [member("1.0", [f"WARC-Record-ID: <urn:y:{k}>"], b"y" * k + b"!" * (k == 7)) for k in range(501) if k != 300]
+    (folders[1] / "all.warc.gz").write_bytes(b"".join(map(gzip.compress, STANDARD[:-1])) + gzip.compress(b"".join([*other[::-1], STANDARD[-1]])))
+    at = {r.place: r.record_id for folder in folders for r in read_warc(spark, str(folder)).collect()}
+    found = {at[r.place]: r.status for r in audit_folders(spark, *map(str, folders)).collect()}
+    assert found == {"<urn:y:7>": "changed", "<urn:y:300>": "missing", "<urn:y:500>": "extra"}
+
+
+def test_offsets_of_the_report(spark, pages):
+    path = scratch_path(spark, "test-warc")
+    files = {r.path.rsplit("/", 1)[1]: gzip.decompress(bytes(r.content))
+             for r in (fixity_report(pages, path), spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path))[1].collect()}
+    said = {r.place: r.record for r in read_warc(spark, path).collect()}
+    rows = read_warc(spark, path).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        assert files[r.file][r["first"]:r.end] == (START + said[r.place] + "\r\n\r\n").encode()
