@@ -124,3 +124,13 @@ def test_offsets_of_the_report(spark, pages):
     assert len(rows) == pages.count()
     for r in rows:
         assert files[r.file][r["first"]:r.end] == (START + said[r.place] + "\r\n\r\n").encode()
+
+
+def test_repeated_places_are_compared_together(spark):
+    def kept(*rows):
+        return manifest(spark.createDataFrame(rows, "place long, record string"))
+
+    left = kept((1, "a"), (1, "b"), (1, "b"), (2, "c"), (3, "d"), (3, "d"))
+    assert audit(left, kept((1, "b"), (2, "c"), (1, "a"), (3, "d"), (1, "b"), (3, "d"))).collect() == []
+    found = {r.place: r.status for r in audit(left, kept((1, "a!"), (1, "b"), (1, "b"), (2, "c"), (3, "d"))).collect()}
+    assert found == {1: "changed", 3: "changed"}

@@ -176,10 +176,13 @@ def _above(nodes: DataFrame, bits: int) -> DataFrame:
 
 def trees(left: DataFrame, right: DataFrame) -> list[DataFrame]:
     """The levels of both replicas' trees, ``(replica, node, bytes, digest)``, leaves first, up to the one
-    with a single node each.  Every node spans an ordered range of offsets and has at most 256 children."""
+    with a single node each.  Every node spans an ordered range of offsets and has at most 256 children.
+    Records of one place, however many, are one leaf: their number and the sum of their hashes."""
     columns = ("replica", F.col("place").alias("node"), (F.col("end") - F.col("first")).alias("bytes"), "digest")
     both = left.withColumn("replica", F.lit(0)).select(*columns).unionByName(right.withColumn("replica", F.lit(1)).select(*columns))
-    levels, done = [materialize(both, "warc-leaves")], 0
+    many = F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.sum(F.xxhash64("digest", "bytes").cast("decimal(38,0)")).cast("string")), 256)
+    leaves = both.groupBy("replica", "node").agg(F.when(F.count("*") == 1, F.min("digest")).otherwise(many).alias("digest"), F.sum("bytes").alias("bytes"))
+    levels, done = [materialize(leaves, "warc-leaves")], 0
     for bits in LEVELS:
         levels.append(materialize(_above(levels[-1], bits - done), "warc-level"))
         done = bits
@@ -225,7 +228,7 @@ def folder_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def audit_folders(spark: SparkSession, left: str, right: str) -> DataFrame:
     """`audit` of the archives in two folders, whatever wrote them and however their records are dealt to
-    files.  Records of one place (equal ids) count as one."""
+    files.  Records of one place (equal ids) are compared together: changed if one of them is, or is missing."""
     return audit(folder_manifest(spark, left), folder_manifest(spark, right))
 
 
