@@ -64,6 +64,24 @@ def test_stream_forms(spark):
     assert stream_upsert(spark, sf).count() == ev.count()
 
 
+@pytest.mark.parametrize("max_files", [64, 1])
+def test_events_of_one_type_and_time_are_all_kept(spark, store_root, monkeypatch, max_files):
+    """In one micro-batch, and in two, where the later one must not take the other's place."""
+    from functools import partial
+
+    from tidemark.plans.stream_queries import stream_upsert
+    from tidemark.streaming import jobs as S
+    monkeypatch.setattr(S, "read_table_stream", partial(S.read_table_stream, max_files=max_files))
+    sf, at = store_root.replace("file:", "") + "-events", datetime(2024, 6, 1, 5)
+    files = [[(1, at, "view", 90.0), (2, at, "click", 90.0), (None, datetime(2024, 7, 1), "view", 90.0)],
+             [(3, at, "view", 110.0), (4, at, "view", 90.0), (None, datetime(2024, 7, 2), "view", 95.0)]]
+    for rows in files if max_files == 1 else [files[0] + files[1]]:
+        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double").coalesce(1) \
+            .write.mode("append").parquet(f"{sf}/events.parquet")
+    got = sorted(tuple(r) for r in stream_upsert(spark, sf).collect())
+    assert got == sorted((kind, "USDT", ts, (v - 100) / 1000, v * 100) for _, ts, kind, v in files[0] + files[1])
+
+
 def test_a_stopped_stream_goes_on_where_it_was(spark, store_root):
     """A batch that fails stops the stream; started again with the same checkpoint it takes up the files
     that are left, not those that were committed."""

@@ -3,8 +3,11 @@ completion (``availableNow``), then its sink is read back."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans import landed
 from tidemark.plans.payload_queries import BARS_SQL
@@ -14,6 +17,11 @@ from tidemark.store import TableStore
 from tidemark.streaming import jobs as S
 from tidemark.tables import FUNDING_RATES
 
+#: Funding rates made of events.  Events of one type may share their time, so the key holds the event's id too
+#: (as text, empty if it is null).
+EVENT_RATES = replace(FUNDING_RATES, schema=T.StructType([*FUNDING_RATES.schema.fields, T.StructField("event", T.StringType(), False)]),
+                      identity=(*FUNDING_RATES.identity, "event"))
+
 
 @register("stream_closed_bars", f"""
 SELECT instrument, open_time, close_time, open, high, low, close, volume, number_of_trades
@@ -33,22 +41,23 @@ SELECT event_type AS instrument, 'USDT' AS counterpart, ts AS funding_time,
 FROM events
 """)
 def stream_upsert(spark: SparkSession, sf_dir: str):
-    """Micro-batches upserted into ``raw.funding_rates``; the same stream replayed
-    from a fresh checkpoint changes nothing (idempotent sink)."""
-    store = TableStore(spark, scratch_path(spark, "stream-store"), {FUNDING_RATES.identifier: FUNDING_RATES})
+    """Micro-batches upserted into ``raw.funding_rates``, one row an event; the same
+    stream replayed from a fresh checkpoint changes nothing (idempotent sink)."""
+    store = TableStore(spark, scratch_path(spark, "stream-store"), {EVENT_RATES.identifier: EVENT_RATES})
 
     def to_rows(batch):
         return batch.select(F.col("event_type").alias("instrument"), F.lit("USDT").alias("counterpart"),
                             F.col("ts").cast("timestamp").alias("funding_time"),
                             ((F.col("value") - 100) / 1000).alias("funding_rate"),
-                            (F.col("value") * 100).alias("mark_price"))
+                            (F.col("value") * 100).alias("mark_price"),
+                            F.coalesce(F.col("event_id").cast("string"), F.lit("")).alias("event"))
 
-    S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows,
+    S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, EVENT_RATES.identifier, to_rows,
                     scratch_path(spark, "stream-upsert"))
-    replay = S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, FUNDING_RATES.identifier, to_rows,
+    replay = S.upsert_stream(S.read_table_stream(spark, sf_dir, "events"), store, EVENT_RATES.identifier, to_rows,
                              scratch_path(spark, "stream-replay"))
     assert sum(r.rows_affected for r in replay) == 0, "replayed stream must not change the table"
-    return finish(store.read(FUNDING_RATES.identifier))
+    return finish(store.read(EVENT_RATES.identifier, columns=FUNDING_RATES.columns))
 
 
 @register("stream_hash_dedup", """
